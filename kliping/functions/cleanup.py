@@ -39,7 +39,7 @@ COMMON_ENTITIES = [
     ("&middot;", "·"),
     ("&amp;", "&"),
 ]
-QUOTES = "‘’'"
+QUOTES = "‘'"
 # -----------------------------------------------------------------------------
 
 TAG = r"(?s)<!--.*?-->|</?[a-zA-Z!][^>]*>"
@@ -85,18 +85,19 @@ def br_to_space(html: Column) -> Column:
     return F.regexp_replace(html, r"(?i)<br\s*/?>", " ")
 
 
+def join_marked(text: Column) -> Column:
+    """Let each run of marks vanish together with the white space around it."""
+    run = rf"(?<![{WS_CLASS}\x{{01}}])[{WS_CLASS}]*+\x{{01}}[{WS_CLASS}\x{{01}}]*+"
+    return strip_text(F.regexp_replace(text, run, ""))
+
+
 def html_text(html: Column) -> Column:
     """Strip every text node, drop empty ones and join with no separator.
 
-    Tags become a mark, then each run of marks together with the white space
-    around it vanishes, so no array is built and the whole text is handled in
-    two linear passes.
+    Tags become marks first, so no array is built and the whole text is handled
+    in two linear passes.
     """
-    marked = F.regexp_replace(html, TAG, MARK)
-    joined = F.regexp_replace(
-        marked, rf"(?<![{WS_CLASS}\x{{01}}])[{WS_CLASS}]*+\x{{01}}[{WS_CLASS}\x{{01}}]*+", ""
-    )
-    return strip_text(joined)
+    return join_marked(F.regexp_replace(html, TAG, MARK))
 
 
 def strip_control(text: Column) -> Column:
@@ -106,7 +107,7 @@ def strip_control(text: Column) -> Column:
 
 def truncate_phrase(text: Column, phrase: str) -> Column:
     """Cut one line of text from a phrase on."""
-    return F.regexp_replace(text, rf"{phrase}.*", "")
+    return F.regexp_replace(text, rf"{phrase}[^\n]*", "")
 
 
 def strip_quotes(text: Column, quotes: str = QUOTES) -> Column:
@@ -160,3 +161,12 @@ def unescape(texts: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def nfkd(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKD")
+
+
+def normalized(text: Column) -> Column:
+    """NFKD of a computed text; plain ASCII stands for itself.
+
+    The text is used more than once here, so Catalyst computes it below the
+    Python step. (An argument that nests lambdas cannot move into one.)
+    """
+    return F.when(text.rlike(r"^\p{ASCII}*+$"), text).otherwise(nfkd(text))

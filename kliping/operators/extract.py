@@ -1,0 +1,357 @@
+"""Field extraction by rule rows.
+
+A site is a row of rules, not a program: ``extract_fields`` joins pages with
+the (literal, one row per site) rule table and evaluates the rules over the
+node array of each page. No rows are grouped or shuffled, so a site that holds
+most pages costs no more per page than any other.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kliping.functions import cleanup, dates, nodes as N
+from kliping.functions.nodes import STEP, let
+
+RULE = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("steps", T.ArrayType(STEP)),
+        T.StructField("take", T.StringType()),
+        T.StructField("block", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("pattern", T.StringType()),
+        T.StructField("remove", T.StringType()),
+    ]
+)
+REQUIRED = T.StructType([T.StructField("name", T.StringType()), T.StructField("rule", RULE)])
+BANNED = T.StructType([T.StructField("field", T.StringType()), T.StructField("words", T.ArrayType(T.StringType()))])
+DROP = T.StructType(
+    [
+        T.StructField("step", STEP),
+        T.StructField("mode", T.StringType()),
+        T.StructField("phrase", T.StringType()),
+        T.StructField("child", T.StringType()),
+        T.StructField("also", T.ArrayType(T.StringType())),
+        T.StructField("when", T.StringType()),
+    ]
+)
+FIELDS = ["post_id", "author", "pubdate", "category", "subcategory", "comments", "images", "title", "tags"]
+CHECKS = ["caption"]
+SITE_RULES = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("source", T.StringType()),
+        # One chain of rules per name of FIELDS + CHECKS, in that order.
+        T.StructField("fields", T.ArrayType(T.ArrayType(RULE))),
+        T.StructField("required", T.ArrayType(REQUIRED)),
+        T.StructField("banned", T.ArrayType(BANNED)),
+        T.StructField("body", T.ArrayType(RULE)),
+        T.StructField("drops", T.ArrayType(DROP)),
+        T.StructField("soft_drops", T.ArrayType(DROP)),
+        T.StructField("cut", T.StringType()),
+    ]
+)
+
+# Text forms of a publishing date; no text fits two of them differently.
+DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "dd/MM/yyyy", "yyyy-MM-dd"]
+
+RuleKind = Callable[[Column, Column], Column]
+_KINDS: dict[str, RuleKind] = {}
+
+
+def register_rule_kind(name: str, value: RuleKind) -> None:
+    """Add a rule kind: ``value(page, rule)`` gives a string Column.
+
+    ``page`` offers ``page['nodes']``, ``page['url']`` and ``page['blocks']``
+    (JSON-LD texts); ``rule`` is one ``RULE`` struct. Sites with new needs are
+    served by expressions like these instead of by code run per row.
+    """
+    _KINDS[name] = value
+
+
+def _from_nodes(page: Column, rule: Column) -> Column:
+    nodes = page["nodes"]
+    found = N.select(nodes, F.slice(nodes, 1, 1), rule["steps"])
+    return let(
+        F.transform(found, lambda n: N.value_of(nodes, n, rule["take"])),
+        lambda values: F.when(F.size(values) > 0, F.array_join(values, ",")),
+    )
+
+
+def jsonld(blocks: Column, pick: Column | str) -> Column:
+    """One JSON-LD text of a page: ``first``, ``second``, ``last``,
+    ``before_last`` or ``dated`` (the last if it carries a date, else the first)."""
+    pick = F.lit(pick) if isinstance(pick, str) else pick
+    last = F.try_element_at(blocks, F.lit(-1))
+    has_date = F.coalesce(F.get_json_object(last, "$.datePublished"), F.lit("")) != ""
+    return (
+        F.when(pick == "last", last)
+        .when(pick == "second", F.get(blocks, 1))
+        .when(pick == "before_last", F.try_element_at(blocks, F.lit(-2)))
+        .when((pick == "dated") & has_date, last)
+        .otherwise(F.get(blocks, 0))
+    )
+
+
+def repair_json(text: Column) -> Column:
+    """Leave out a broken body text in front of the publishing date."""
+    body = r'(?s)"articleBody"\s*:\s*".*"\s*,\s*(?="datePublished")'
+    return F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.regexp_replace(text, body, ""))
+
+
+register_rule_kind("node", _from_nodes)
+register_rule_kind(
+    "jsonld", lambda page, rule: F.call_function("get_json_object", jsonld(page["blocks"], rule["block"]), rule["path"])
+)
+register_rule_kind("const", lambda page, rule: rule["path"])
+register_rule_kind("url", lambda page, rule: page["url"])
+register_rule_kind("link", lambda page, rule: F.when(rule["take"] == "category", page["link_category"]).otherwise(page["link_subcategory"]))
+
+
+def rule_value(page: Column, rule: Column) -> Column:
+    """Value of one rule, after its pattern (first group, NULL where it does
+    not occur) and its removals."""
+    raw = F.lit(None).cast("string")
+    for name, value in _KINDS.items():
+        raw = F.when(rule["kind"] == name, value(page, rule)).otherwise(raw)
+
+    def group(value: Column) -> Column:
+        part = F.get(F.regexp_extract_all(value, rule["pattern"], F.lit(1)), 0)
+        return F.when(rule["pattern"].isNull(), value).otherwise(part)
+
+    def clear(value: Column) -> Column:
+        return F.replace(value, F.coalesce(rule["remove"], F.lit("")), F.lit(""))
+
+    return let(let(raw, group), clear)
+
+
+def first_value(page: Column, rules: Column) -> Column:
+    """The first rule of a chain that finds something."""
+    return F.get(F.filter(F.transform(rules, lambda r: rule_value(page, r)), lambda v: v.isNotNull()), 0)
+
+
+def parse_pubdate(text: Column) -> Column:
+    trimmed = cleanup.btrim_text(text)
+    return F.coalesce(
+        dates.iso_wallclock(trimmed),
+        dates.parse_dates(F.substring(trimmed, 1, 19), DATE_FORMATS),
+        F.when(trimmed.rlike(r"^\d{9,11}$"), dates.epoch_timestamp(trimmed)),
+        dates.parse_local_dates(trimmed),
+    )
+
+
+def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column) -> Column:
+    """Nodes below the body that one drop rule removes."""
+    step, mode, phrase = drop["step"], drop["mode"], drop["phrase"]
+
+    def first_below(node: Column, tag: Column | str) -> Column:
+        return F.get(F.filter(N.inside(nodes, node), lambda n: n["tag"] == tag), 0)
+
+    def says(node: Column) -> Column:
+        return F.lower(N.text_of(nodes, node)).contains(phrase)
+
+    in_child = drop["child"].isNotNull() & (mode != "self")
+
+    def named(node: Column) -> Column:
+        """Child, phrase and further tags are there as the rule wants them."""
+        child = drop["child"].isNull() | let(
+            first_below(node, drop["child"]),
+            lambda c: c.isNotNull() & (phrase.isNull() | ~in_child | says(c)),
+        )
+        also = drop["also"].isNull() | F.forall(drop["also"], lambda t: first_below(node, t).isNotNull())
+        return child & also & (phrase.isNull() | in_child | says(node))
+
+    def byline(node: Column) -> Column:
+        """Strong text that repeats the author, or an emphasised strong link."""
+        linked = let(
+            first_below(node, "em"),
+            lambda em: let(first_below(em, "strong"), lambda s: first_below(s, "a").isNotNull()),
+        )
+        repeats = let(first_below(node, "strong"), lambda s: N.text_of(nodes, s) == author)
+        emphasised = first_below(node, "em").isNotNull()
+        return F.coalesce(F.when(emphasised, linked).otherwise(repeats), F.lit(False))
+
+    def chosen(found: Column) -> Column:
+        """The removed ones among the elements of the rule's step."""
+        marker = F.get(found, 0)["i"]
+        later = F.filter(N.inside(nodes, body), lambda n: (n["i"] > marker) & N.is_element(n))
+        start = F.when(step["pick"] < 0, F.greatest(step["pick"], -F.size(found))).otherwise(1)
+        return (
+            F.when(F.size(found) == 0, found)
+            .when(mode == "after", later)
+            .when(mode == "byline", F.filter(found, byline))
+            .otherwise(F.filter(F.slice(found, start, F.size(found)), named))
+        )
+
+    applies = drop["when"].isNull() | F.lower(N.string_of(nodes, body)).contains(drop["when"])
+    hits = let(F.filter(N.inside(nodes, body), lambda n: N.matches(n, step)), chosen)
+    return F.when(applies, hits).otherwise(F.slice(nodes, 1, 0))
+
+
+def clean_body(nodes: Column, body: Column, author: Column, drops: Column) -> Column:
+    """Text of the body without what the drop rules remove."""
+    dropped = F.flatten(F.transform(drops, lambda d: _drop_hits(nodes, body, author, d)))
+    return N.joined_text(nodes, body, dropped)
+
+
+def reject(values: Column, page: Column, required: Column, banned: Column) -> Column:
+    """Name of the first missing part or banned word group, else NULL."""
+    missing = F.get(
+        F.filter(required, lambda r: rule_value(page, r["rule"]).isNull()), 0
+    )["name"]
+    fields = ["subcategory", "category", "title", "tags", "caption"]
+
+    def hit(group: Column) -> Column:
+        text = F.lit(None).cast("string")
+        for name in fields:
+            text = F.when(group["field"] == name, values[name]).otherwise(text)
+        spoken = F.exists(group["words"], lambda w: F.coalesce(F.lower(text).contains(w), F.lit(False)))
+        segment = F.arrays_overlap(F.split(page["url"], "/"), group["words"])
+        return F.when(group["field"] == "segment", segment).otherwise(spoken)
+
+    return F.coalesce(missing, F.concat(F.lit("word_in_"), F.get(F.filter(banned, hit), 0)["field"]))
+
+
+def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per page with the article fields and a ``reject_reason``.
+
+    ``pages`` needs ``site, url, html`` and may carry ``category`` and
+    ``subcategory`` from its listing link; further columns pass through.
+    """
+    have = set(pages.columns)
+    carried = pages.withColumnsRenamed({c: f"link_{c}" for c in ("category", "subcategory") if c in have})
+    for name in ("link_category", "link_subcategory"):
+        if name not in carried.columns:
+            carried = carried.withColumn(name, F.lit(None).cast("string"))
+    extra = [c for c in carried.columns if c not in ("html", "link_category", "link_subcategory", "site", "url")]
+
+    flat = N.flatten_pages(carried)
+    joined = flat.join(F.broadcast(rules), "site")
+    blocks = F.transform(F.filter("nodes", lambda n: n["tag"] == "#json"), lambda n: repair_json(n["text"]))
+    page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
+    staged = joined.withColumn("page", page).drop("nodes")
+
+    page = F.col("page")
+    chains = F.transform("fields", lambda rules: first_value(page, rules))
+    valued = staged.withColumn("values", chains).withColumn(
+        "v", F.struct(*[F.get("values", k).alias(name) for k, name in enumerate(FIELDS + CHECKS)])
+    )
+    v = F.col("v")
+    root = F.slice(page["nodes"], 1, 1)
+    body = F.get(F.flatten(F.transform("body", lambda r: N.select(page["nodes"], root, r["steps"]))), 0)
+    found = valued.withColumn("b", body)
+
+    def cleaned(drops: Column) -> Column:
+        return F.when(F.col("b").isNotNull(), clean_body(page["nodes"], F.col("b"), v["author"], drops))
+
+    strict = found.withColumn("content", cleaned(F.col("drops")))
+    soft = F.when(
+        (F.col("content") == "") & F.col("soft_drops").isNotNull(), cleaned(F.col("soft_drops"))
+    ).otherwise(F.col("content"))
+    cut = F.when(F.col("cut").isNull(), F.col("content")).otherwise(
+        F.regexp_replace("content", F.concat(F.lit("(?s)"), F.col("cut"), F.lit(".*")), F.lit(""))
+    )
+    reason = F.coalesce(
+        reject(v, page, F.col("required"), F.col("banned")), F.when(F.col("b").isNull(), F.lit("no_body"))
+    )
+    stamp = parse_pubdate(v["pubdate"])
+    return (
+        strict.withColumn("content", soft)
+        .withColumn("content", cleanup.strip_control(cleanup.normalized(F.col("content"))))
+        .select(
+            *extra,
+            "site",
+            dates.article_key([v["post_id"]], stamp, F.col("url")).alias("post_id"),
+            F.coalesce(v["author"], F.lit("")).alias("author"),
+            stamp.alias("pubdate"),
+            F.coalesce(v["category"], F.lit("")).alias("category"),
+            F.coalesce(v["subcategory"], F.lit("")).alias("subcategory"),
+            F.coalesce(cut, F.lit("")).alias("content"),
+            dates.comment_count(v["comments"]).alias("comments"),
+            F.coalesce(v["images"], F.lit("")).alias("images"),
+            F.coalesce(v["title"], F.lit("")).alias("title"),
+            F.coalesce(v["tags"], F.lit("")).alias("tags"),
+            "url",
+            "source",
+            reason.alias("reject_reason"),
+        )
+    )
+
+
+# -- listings ----------------------------------------------------------------------
+
+LISTING_RULES = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("template", T.StringType()),
+        T.StructField("first_template", T.StringType()),
+        T.StructField("section", T.StringType()),
+        T.StructField("section_template", T.StringType()),
+        T.StructField("page_size", T.IntegerType()),
+        T.StructField("prefix", T.StringType()),
+        T.StructField("items", T.ArrayType(T.ArrayType(STEP))),
+        T.StructField("link", T.ArrayType(STEP)),
+        T.StructField("badge", T.ArrayType(STEP)),
+        T.StructField("label", T.ArrayType(STEP)),
+        T.StructField("stops_at_seen", T.BooleanType()),
+        T.StructField("next_kind", T.StringType()),
+        T.StructField("next_steps", T.ArrayType(STEP)),
+        T.StructField("next_take", T.StringType()),
+    ]
+)
+
+
+def listing_items(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Links of listing pages: ``pos, link, badge, label`` beside the input.
+
+    ``listings`` needs ``site, url, page, html``. The link of an item is its
+    first anchor with a target; items without one give no row.
+    """
+    carried = [c for c in listings.columns if c != "html"]
+    flat = N.flatten_pages(listings).join(
+        F.broadcast(rules.select("site", "prefix", "items", "link", "badge", "label")), "site"
+    )
+    nodes = F.col("nodes")
+    root = F.slice(nodes, 1, 1)
+    chains = F.transform("items", lambda steps: N.select(nodes, root, steps))
+    items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
+    found = flat.select(*carried, "nodes", "prefix", "link", "badge", "label", F.posexplode(items).alias("pos", "item"))
+
+    def first_text(steps: Column) -> Column:
+        hit = F.get(N.select(nodes, F.array("item"), steps), 0)
+        return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n))))
+
+    target = F.get(
+        F.filter(
+            F.transform(
+                F.when(F.size("link") == 0, F.array("item")).otherwise(N.select(nodes, F.array("item"), F.col("link"))),
+                lambda n: F.try_element_at(n["attrs"], F.lit("href")),
+            ),
+            lambda href: href.isNotNull(),
+        ),
+        0,
+    )
+    absolute = F.when(target.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), target).otherwise(F.concat(F.coalesce("prefix", F.lit("")), target))
+    return found.select(
+        *carried, "pos", absolute.alias("link"), first_text(F.col("badge")).alias("badge"), first_text(F.col("label")).alias("label")
+    ).filter(F.col("link").isNotNull())
+
+
+def listing_last_page(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Number of the last listing page, by each site's own rule."""
+    from kliping.plans import listings as plan
+
+    carried = [c for c in listings.columns if c != "html"]
+    flat = N.flatten_pages(listings).join(
+        F.broadcast(rules.select("site", "page_size", "next_kind", "next_steps", "next_take")), "site"
+    )
+    nodes = F.col("nodes")
+    hit = F.get(N.select(nodes, F.slice(nodes, 1, 1), F.col("next_steps")), 0)
+    value = let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"))))
+    last = plan.last_page(F.col("next_kind"), value, F.col("page_size"), F.col("page"))
+    return flat.select(*carried, last.alias("last_page"))

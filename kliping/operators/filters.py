@@ -70,3 +70,17 @@ def project_article(df: DataFrame) -> DataFrame:
         return F.coalesce((F.col(name) if name in have else F.lit(None)).cast("string"), F.lit("")).alias(name)
 
     return df.select(*[pick(name) for name in ARTICLE_COLUMNS])
+
+
+def code_label(df: DataFrame, code: str, labels: DataFrame, label_code: str, label: str, other: str) -> DataFrame:
+    """Add ``label`` for a code; codes the table does not know get ``other``.
+
+    The join carries no hint: Spark broadcasts the label table when its
+    measured size allows, and shuffles otherwise.
+    """
+    named = labels.select(F.col(label_code).alias("_code"), F.col(label).alias("_label"))
+    return (
+        df.join(named, F.col(code) == F.col("_code"), "left")
+        .withColumn("label", F.coalesce("_label", F.lit(other)))
+        .drop("_code", "_label")
+    )

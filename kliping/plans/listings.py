@@ -60,14 +60,17 @@ def page_offset(page: Column, page_size: Column | int) -> Column:
     return (page - 1) * page_size
 
 
-def fill_template(template: Column, category: Column, date: Column, page: Column, page_size: Column) -> Column:
+def fill_template(
+    template: Column, category: Column, date: Column, page: Column, page_size: Column, subcategory: Column | None = None
+) -> Column:
     """Fill a listing address.
 
-    Places: ``{cat} {page} {offset}`` and ``{yyyy} {MM} {dd}`` with, ``{M} {d}``
-    without leading zero.
+    Places: ``{cat} {sub} {page} {offset}`` and ``{yyyy} {MM} {dd}`` with,
+    ``{M} {d}`` without leading zero.
     """
     places = {
         "{cat}": category,
+        "{sub}": F.lit("") if subcategory is None else subcategory,
         "{page}": page.cast("string"),
         "{offset}": page_offset(page, page_size).cast("string"),
         "{yyyy}": F.year(date).cast("string"),
@@ -82,19 +85,21 @@ def fill_template(template: Column, category: Column, date: Column, page: Column
 
 
 def listing_urls(grid: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``listing_url`` to a grid of ``site, category, date, page``.
+    """Add ``listing_url`` to a grid of ``site, category, date, page`` (and
+    ``subcategory`` where a site needs it).
 
     ``rules`` is the listing table of ``kliping.rules``, one literal row per site.
     """
-    picked = F.broadcast(rules.select("site", "template", "first_template", "page_size"))
-    template = F.when(F.col("page") == 1, F.coalesce("first_template", "template")).otherwise(F.col("template"))
+    used = ["template", "first_template", "section", "section_template", "page_size"]
+    template = (
+        F.when(F.col("category") == F.col("section"), F.col("section_template"))
+        .when(F.col("page") == 1, F.coalesce("first_template", "template"))
+        .otherwise(F.col("template"))
+    )
+    subcategory = F.col("subcategory") if "subcategory" in grid.columns else None
+    url = fill_template(template, F.col("category"), F.col("date"), F.col("page"), F.col("page_size"), subcategory)
     return (
-        grid.join(picked, "site")
-        .withColumn(
-            "listing_url",
-            fill_template(template, F.col("category"), F.col("date"), F.col("page"), F.col("page_size")),
-        )
-        .drop("template", "first_template", "page_size")
+        grid.join(F.broadcast(rules.select("site", *used)), "site").withColumn("listing_url", url).drop(*used)
     )
 
 

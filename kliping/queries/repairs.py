@@ -1 +1,50 @@
-"""Queries."""
+"""Repair of stored rows."""
+
+from pyspark.sql import functions as F
+
+from kliping.functions import cleanup, dates
+from kliping.operators import repair
+from kliping.queries.registry import query
+from kliping.session import table
+
+
+@query("""
+    SELECT doc_id, source, lang FROM documents
+    WHERE (text LIKE '%the%' AND text LIKE '%of%') OR text = '' OR source IN ('src1', 'src2')
+""")
+def repair_candidates(spark, sf):
+    documents = table(spark, sf, "documents")
+    text = F.col("text")
+    wanted = (text.contains("the") & text.contains("of")) | (text == "") | F.col("source").isin("src1", "src2")
+    return repair.candidates(documents, wanted, ["doc_id", "source", "lang"])
+
+
+@query(r"""
+    SELECT doc_id, lang, source,
+           CASE WHEN contains(text, 'the') THEN regexp_replace(text, '[\n\t\r]', '', 'g') ELSE text END AS text
+    FROM documents
+""")
+def repair_merge(spark, sf):
+    """Stored line feeds are cleaned away where a candidate has them."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    fixes = repair.candidates(documents, F.col("text").contains("the"), ["doc_id", "text"]).withColumn(
+        "text", cleanup.strip_control(F.col("text"))
+    )
+    return repair.merge(documents, fixes, "doc_id", ["text"]).select("doc_id", "text", "lang", "source")
+
+
+@query("""
+    WITH stored AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN TIMESTAMP '1970-01-01 01:01:01'
+                           ELSE o_orderdate END AS pubdate FROM orders),
+    known AS (SELECT o_custkey, max(pubdate) AS latest FROM stored WHERE pubdate <> TIMESTAMP '1970-01-01 01:01:01' GROUP BY o_custkey)
+    SELECT o_orderkey, CASE WHEN pubdate = TIMESTAMP '1970-01-01 01:01:01' THEN coalesce(latest, pubdate) ELSE pubdate END AS pubdate
+    FROM stored s LEFT JOIN known k ON k.o_custkey = s.o_custkey
+""")
+def repair_pubdate(spark, sf):
+    """Rows with the sentinel get the latest known date of their customer."""
+    found = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    stored = table(spark, sf, "orders").select("o_orderkey", "o_custkey", dates.with_sentinel(found).alias("pubdate"))
+    missing = repair.candidates(stored, dates.without_sentinel(F.col("pubdate")).isNull(), ["o_orderkey", "o_custkey"])
+    known = stored.groupBy("o_custkey").agg(F.max(dates.without_sentinel(F.col("pubdate"))).alias("pubdate"))
+    fixes = missing.join(known, "o_custkey").select("o_orderkey", "pubdate")
+    return repair.merge(stored, fixes, "o_orderkey", ["pubdate"]).select("o_orderkey", "pubdate")
