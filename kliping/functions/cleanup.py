@@ -86,17 +86,12 @@ def br_to_space(html: Column) -> Column:
 
 
 def join_marked(text: Column) -> Column:
-    """Let each run of marks vanish together with the white space around it."""
-    run = rf"(?<![{WS_CLASS}\x{{01}}])[{WS_CLASS}]*+\x{{01}}[{WS_CLASS}\x{{01}}]*+"
-    return strip_text(F.regexp_replace(text, run, ""))
+    """Strip the parts between marks and join them with nothing."""
+    return F.array_join(F.transform(F.split(text, MARK), strip_text), "")
 
 
 def html_text(html: Column) -> Column:
-    """Strip every text node, drop empty ones and join with no separator.
-
-    Tags become marks first, so no array is built and the whole text is handled
-    in two linear passes.
-    """
+    """Strip every text node, drop empty ones and join with no separator."""
     return join_marked(F.regexp_replace(html, TAG, MARK))
 
 

@@ -52,6 +52,7 @@ BLOCK = set(
 )
 SCOPE = set("body button caption html object table td template th".split())
 SPECIAL = BLOCK | SCOPE | set("head iframe noscript script select style tbody tfoot thead title tr".split())
+TABLE = set("caption table tbody td tfoot th thead tr".split())
 # An opening tag ends the open elements of the first set, if found before one of the second.
 ENDS = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -136,7 +137,8 @@ class _Tokens(HTMLParser):
         if tag == "br":
             self._add("br")
         elif tag not in VOID:
-            self._end({tag}, (SCOPE if tag in SPECIAL else SPECIAL) - {tag})
+            barrier = {"table"} if tag in TABLE else SCOPE if tag in SPECIAL else SPECIAL
+            self._end({tag}, barrier - {tag})
 
     def handle_data(self, data: str) -> None:
         holder = self.starts[-1] + self.open[-1]
@@ -201,9 +203,25 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def root(nodes: Column) -> Column:
+    """The starting point of selections over a whole page."""
+    return F.array(F.get(nodes, 0))
+
+
+def none_of(nodes: Column) -> Column:
+    """An empty array of nodes."""
+    return F.filter(root(nodes), lambda n: F.lit(False))
+
+
+def between(nodes: Column, first: Column, last: Column) -> Column:
+    """Nodes by place, reading only those asked for."""
+    places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda k: F.get(nodes, k))
+
+
 def inside(nodes: Column, node: Column) -> Column:
     """The nodes below a node; their places follow each other."""
-    return F.slice(nodes, node["i"] + 2, node["last"] - node["i"])
+    return F.when(node["i"] == 0, nodes).otherwise(between(nodes, node["i"] + 1, node["last"]))
 
 
 def matches(node: Column, step: Column) -> Column:
@@ -238,7 +256,7 @@ def select(nodes: Column, start: Column, steps: Column) -> Column:
 
         def beside(node: Column) -> Column:
             end = F.get(nodes, node["up"])["last"]
-            rest = F.slice(nodes, node["last"] + 2, end - node["last"])
+            rest = between(nodes, node["last"] + 1, end)
             return F.filter(rest, lambda n: (n["up"] == node["up"]) & is_element(n) & ((step["tag"] == "*") | matches(n, step)))
 
         hits = F.flatten(F.transform(found, lambda n: F.when(step["axis"] == "next", beside(n)).otherwise(below(n))))

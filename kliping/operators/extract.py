@@ -76,7 +76,7 @@ def register_rule_kind(name: str, value: RuleKind) -> None:
 
 def _from_nodes(page: Column, rule: Column) -> Column:
     nodes = page["nodes"]
-    found = N.select(nodes, F.slice(nodes, 1, 1), rule["steps"])
+    found = N.select(nodes, N.root(nodes), rule["steps"])
     return let(
         F.transform(found, lambda n: N.value_of(nodes, n, rule["take"])),
         lambda values: F.when(F.size(values) > 0, F.array_join(values, ",")),
@@ -190,7 +190,7 @@ def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column) -> Col
 
     applies = drop["when"].isNull() | F.lower(N.string_of(nodes, body)).contains(drop["when"])
     hits = let(F.filter(N.inside(nodes, body), lambda n: N.matches(n, step)), chosen)
-    return F.when(applies, hits).otherwise(F.slice(nodes, 1, 0))
+    return F.when(applies, hits).otherwise(N.none_of(nodes))
 
 
 def clean_body(nodes: Column, body: Column, author: Column, drops: Column) -> Column:
@@ -199,22 +199,17 @@ def clean_body(nodes: Column, body: Column, author: Column, drops: Column) -> Co
     return N.joined_text(nodes, body, dropped)
 
 
-def reject(values: Column, page: Column, required: Column, banned: Column) -> Column:
-    """Name of the first missing part or banned word group, else NULL."""
-    missing = F.get(
-        F.filter(required, lambda r: rule_value(page, r["rule"]).isNull()), 0
-    )["name"]
-    fields = ["subcategory", "category", "title", "tags", "caption"]
+def banned_words(values: Column, url: Column, banned: Column) -> Column:
+    """``word_in_<field>`` for the first banned word group that occurs."""
 
     def hit(group: Column) -> Column:
-        text = F.lit(None).cast("string")
-        for name in fields:
-            text = F.when(group["field"] == name, values[name]).otherwise(text)
-        spoken = F.exists(group["words"], lambda w: F.coalesce(F.lower(text).contains(w), F.lit(False)))
-        segment = F.arrays_overlap(F.split(page["url"], "/"), group["words"])
+        place = F.array_position(F.lit(FIELDS + CHECKS), group["field"]).cast("int")
+        text = F.lower(F.get(values, place - 1))
+        spoken = F.exists(group["words"], lambda w: F.coalesce(text.contains(w), F.lit(False)))
+        segment = F.arrays_overlap(F.split(url, "/"), group["words"])
         return F.when(group["field"] == "segment", segment).otherwise(spoken)
 
-    return F.coalesce(missing, F.concat(F.lit("word_in_"), F.get(F.filter(banned, hit), 0)["field"]))
+    return F.concat(F.lit("word_in_"), F.get(F.filter(banned, hit), 0)["field"])
 
 
 def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -236,32 +231,37 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
     staged = joined.withColumn("page", page).drop("nodes")
 
-    page = F.col("page")
-    chains = F.transform("fields", lambda rules: first_value(page, rules))
-    valued = staged.withColumn("values", chains).withColumn(
-        "v", F.struct(*[F.get("values", k).alias(name) for k, name in enumerate(FIELDS + CHECKS)])
-    )
-    v = F.col("v")
-    root = F.slice(page["nodes"], 1, 1)
+    page, values, v = F.col("page"), F.col("values"), F.col("v")
+    names = FIELDS + CHECKS
+    # Required parts are rules too, evaluated behind the fields.
+    chains = F.concat("fields", F.transform("required", lambda r: F.array(r["rule"])))
+    root = N.root(page["nodes"])
     body = F.get(F.flatten(F.transform("body", lambda r: N.select(page["nodes"], root, r["steps"]))), 0)
-    found = valued.withColumn("b", body)
-
-    def cleaned(drops: Column) -> Column:
-        return F.when(F.col("b").isNotNull(), clean_body(page["nodes"], F.col("b"), v["author"], drops))
-
-    strict = found.withColumn("content", cleaned(F.col("drops")))
-    soft = F.when(
-        (F.col("content") == "") & F.col("soft_drops").isNotNull(), cleaned(F.col("soft_drops"))
-    ).otherwise(F.col("content"))
+    missing = F.transform(
+        "required", lambda r, k: F.when(F.get(values, k + len(names)).isNull(), r["name"])
+    )
+    cleanings = F.transform(
+        F.array("drops", "soft_drops"), lambda drops: clean_body(page["nodes"], F.col("b"), v["author"], drops)
+    )
+    found = (
+        staged.withColumn("values", F.transform(chains, lambda rules: first_value(page, rules)))
+        .withColumn("v", F.struct(*[F.get(values, k).alias(name) for k, name in enumerate(names)]))
+        .withColumn("b", body)
+        .withColumn("cleanings", cleanings)
+    )
+    strict, soft = F.get("cleanings", 0), F.get("cleanings", 1)
+    content = F.when((strict == "") & soft.isNotNull(), soft).otherwise(strict)
     cut = F.when(F.col("cut").isNull(), F.col("content")).otherwise(
         F.regexp_replace("content", F.concat(F.lit("(?s)"), F.col("cut"), F.lit(".*")), F.lit(""))
     )
     reason = F.coalesce(
-        reject(v, page, F.col("required"), F.col("banned")), F.when(F.col("b").isNull(), F.lit("no_body"))
+        F.get(F.array_compact(missing), 0),
+        banned_words(values, F.col("url"), F.col("banned")),
+        F.when(F.col("b").isNull(), F.lit("no_body")),
     )
     stamp = parse_pubdate(v["pubdate"])
     return (
-        strict.withColumn("content", soft)
+        found.withColumn("content", content)
         .withColumn("content", cleanup.strip_control(cleanup.normalized(F.col("content"))))
         .select(
             *extra,
@@ -317,7 +317,7 @@ def listing_items(listings: DataFrame, rules: DataFrame) -> DataFrame:
         F.broadcast(rules.select("site", "prefix", "items", "link", "badge", "label")), "site"
     )
     nodes = F.col("nodes")
-    root = F.slice(nodes, 1, 1)
+    root = N.root(nodes)
     chains = F.transform("items", lambda steps: N.select(nodes, root, steps))
     items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
     found = flat.select(*carried, "nodes", "prefix", "link", "badge", "label", F.posexplode(items).alias("pos", "item"))
@@ -351,7 +351,7 @@ def listing_last_page(listings: DataFrame, rules: DataFrame) -> DataFrame:
         F.broadcast(rules.select("site", "page_size", "next_kind", "next_steps", "next_take")), "site"
     )
     nodes = F.col("nodes")
-    hit = F.get(N.select(nodes, F.slice(nodes, 1, 1), F.col("next_steps")), 0)
+    hit = F.get(N.select(nodes, N.root(nodes), F.col("next_steps")), 0)
     value = let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"))))
     last = plan.last_page(F.col("next_kind"), value, F.col("page_size"), F.col("page"))
     return flat.select(*carried, last.alias("last_page"))

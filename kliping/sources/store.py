@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from kliping.functions import urls
-from kliping.operators import dedupe
+from kliping.operators import dedupe, repair
 from kliping.schema import ARTICLE
 from kliping.session import durable
 
@@ -66,37 +66,41 @@ def overwrite_partitions(rows: DataFrame, path: str) -> None:
     )
 
 
-def insert_if_absent(batch: DataFrame, path: str, order: Sequence[str] = ("url",), row_id: str = "url") -> DataFrame:
+def insert_if_absent(batch: DataFrame, path: str, row_id: str, order: Sequence[str] | None = None) -> DataFrame:
     """Append the articles whose address is not stored; return the outcomes.
 
-    ``batch`` has the article columns and may carry a ``reject_reason``. The
-    outcomes are written to the checkpoint folder before the store changes, so
-    a lost executor cannot turn an inserted row into a duplicate; a repeated
-    call finds the rows stored and inserts nothing.
+    ``batch`` has the article columns, a unique ``row_id`` and maybe a
+    ``reject_reason``. Of several rows with one address the first in ``order``
+    (default: by ``row_id``) goes in. The outcomes are written to the checkpoint
+    folder before the store changes, so the append and the returned frame agree
+    whatever is computed again; a repeated call inserts nothing.
     """
-    spark = batch.sparkSession
     rows = with_keys(batch)
     if "reject_reason" not in rows.columns:
         rows = rows.withColumn("reject_reason", F.lit(None).cast("string"))
-    marked = durable(dedupe.load_outcome(rows, read_store(spark, path), row_id, order))
+    stored = read_store(batch.sparkSession, path, columns=["url_key"])
+    marked = durable(dedupe.load_outcome(rows, stored, row_id, order or [row_id]))
     append(marked.filter(F.col("outcome") == "inserted").select(*STORED.fieldNames()), path)
-    return marked.select(row_id, "url", "source", "reject_reason", "outcome") if row_id != "url" else marked.select(
-        "url", "source", "reject_reason", "outcome"
-    )
+    return marked.select(row_id, "url", "source", "reject_reason", "outcome")
 
 
 def repair_partitions(store: DataFrame, fixes: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Rewrite the partitions that hold fixed rows, keyed by address.
+    """Put fixes, keyed by address, into the stored partitions they touch.
 
-    The touched partitions are found by a semi join, so untouched ones are
-    neither read in full nor written.
+    Partitions without a fix are not written. The merged rows go to the
+    checkpoint folder first, so the partitions are not read while replaced.
+    Repaired dates move rows to other partitions: for those, ``append`` the
+    result of ``repair.merge`` to a new folder instead.
     """
-    from kliping.operators import repair
-
-    touched = store.join(fixes.select("url_key"), "url_key", "left_semi").select(*PARTITIONS).distinct()
-    affected = store.join(touched, [store[p].eqNullSafe(touched[p]) for p in PARTITIONS], "left_semi")
-    merged = repair.merge(affected, fixes, "url_key", columns)
-    overwrite_partitions(durable(merged).select(*STORED.fieldNames()), path)
+    if set(columns) & {"pubdate", *PARTITIONS}:
+        raise ValueError("this repair would move rows to other partitions")
+    hit = store.join(fixes.select("url_key"), "url_key", "left_semi").select(
+        *[F.col(p).alias(f"_{p}") for p in PARTITIONS]
+    )
+    same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in PARTITIONS]
+    affected = store.join(hit.distinct(), same, "left_semi")
+    merged = durable(repair.merge(affected, fixes, "url_key", columns))
+    overwrite_partitions(merged.select(*STORED.fieldNames()), path)
 
 
 # -- dumps ---------------------------------------------------------------------
