@@ -17,16 +17,16 @@ GRID = """
     FROM (SELECT DISTINCT event_type FROM events),
          range(0, (SELECT max(ts)::DATE - min(ts)::DATE FROM events)) t(n)
 """
-ORDERED_GRID = f"""
-    SELECT 'events' AS site, event_type AS category, date,
-           dense_rank() OVER (ORDER BY event_type)::INTEGER AS cat_ord
-    FROM ({GRID})
+# Each event type plays a site, its k values are the categories in their order.
+SITES = """
+    SELECT DISTINCT event_type AS site, CAST(json_extract(props, '$.k') AS INTEGER) AS cat_ord FROM events
 """
-# The place of the highest value plays the part of the interrupted run.
+# The place of a site's highest value plays the part of the interrupted run.
 STOPPED = """
-    SELECT 'events' AS site, ts::DATE AS date, event_type,
-           CAST(json_extract(props, '$.k') AS INTEGER) AS page
-    FROM events ORDER BY value DESC, event_id LIMIT 1
+    SELECT event_type AS site, ts::DATE AS date, CAST(json_extract(props, '$.k') AS INTEGER) AS cat_ord,
+           user_id::INTEGER AS page
+    FROM events WHERE event_type <> 'view'
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) = 1
 """
 
 
@@ -38,18 +38,6 @@ def _grid(spark, sf):
     return listings.seed_grid(kinds, low, high)
 
 
-def _ordinals(spark, sf):
-    """Position of each event type in name order, from the distinct types."""
-    kinds = table(spark, sf, "events").select("event_type").distinct()
-    names = kinds.agg(F.array_sort(F.collect_set("event_type"))).scalar()
-    return kinds.withColumn("cat_ord", F.array_position(names, F.col("event_type")).cast("int"))
-
-
-def _ordered_grid(spark, sf):
-    grid = _grid(spark, sf).join(_ordinals(spark, sf), "event_type")
-    return grid.select(F.lit("events").alias("site"), F.col("event_type").alias("category"), "date", "cat_ord")
-
-
 @query(f"SELECT event_type, lo + n::INTEGER AS date FROM ({SPAN}) s, range(0, hi - lo) t(n)")
 def date_range(spark, sf):
     day = F.to_date("ts")
@@ -63,31 +51,27 @@ def seed_grid(spark, sf):
 
 
 @query(f"""
-    WITH grid AS ({ORDERED_GRID}),
-    stopped AS (SELECT s.date, s.page, g.cat_ord FROM ({STOPPED}) s
-                JOIN (SELECT DISTINCT category, cat_ord FROM grid) g ON g.category = s.event_type)
-    SELECT g.site, g.category, g.date, g.cat_ord,
+    SELECT g.site, g.cat_ord, g.date,
            CASE WHEN g.date = s.date AND g.cat_ord = s.cat_ord THEN s.page ELSE 1 END AS first_page
-    FROM grid g, stopped s
-    WHERE g.date > s.date OR (g.date = s.date AND g.cat_ord >= s.cat_ord)
+    FROM (SELECT c.site, c.cat_ord, d.date FROM ({SITES}) c JOIN ({GRID}) d ON d.event_type = c.site) g
+    LEFT JOIN ({STOPPED}) s ON s.site = g.site
+    WHERE s.site IS NULL OR g.date > s.date OR (g.date = s.date AND g.cat_ord >= s.cat_ord)
 """)
 def resume_slice(spark, sf):
     events = table(spark, sf, "events")
-    page = F.get_json_object("props", "$.k").cast("int")
-    best = F.max(
-        F.struct(
-            "value",
-            (-F.col("event_id")).alias("earliest"),
-            F.to_date("ts").alias("date"),
-            "event_type",
-            page.alias("page"),
-        )
-    )
+    k = F.get_json_object("props", "$.k").cast("int")
+    day = F.to_date("ts")
+    categories = events.select(F.col("event_type").alias("site"), k.alias("cat_ord")).distinct()
+    grid = listings.seed_grid(categories, events.agg(F.min(day)).scalar(), events.agg(F.max(day)).scalar())
+    place = F.struct(day.alias("date"), k.alias("cat_ord"), F.col("user_id").cast("int").alias("page"))
+    highest = F.struct("value", -F.col("event_id"))
     state = (
-        events.agg(best.alias("b")).select("b.*").join(_ordinals(spark, sf), "event_type")
-        .select(F.lit("events").alias("site"), "date", "cat_ord", "page")
+        events.filter(F.col("event_type") != "view")
+        .groupBy(F.col("event_type").alias("site"))
+        .agg(F.max_by(place, highest).alias("stopped"))
+        .select("site", "stopped.*")
     )
-    return listings.pending(_ordered_grid(spark, sf), state)
+    return listings.pending(grid, state).select("site", "cat_ord", "date", "first_page")
 
 
 @query(f"""

@@ -46,15 +46,19 @@ def ingest(
     store_path: str,
     checkpoint: str,
     rules: DataFrame,
-    delay: str = "1 day",
     files_per_batch: int = 1000,
+    delay: str | None = None,
 ) -> StreamingQuery:
     """Load all page files not read yet, then stop.
 
     The checkpoint remembers the files; the anti join with the store makes a
-    batch that is run again after a failure harmless.
+    batch that is run again after a failure harmless. Of copies in one batch
+    the one with the lowest ``page_id`` goes in. With ``delay``, copies that
+    arrive within it are dropped before a batch is formed, whichever is first.
     """
-    pages = distinct_pages(read_page_stream(spark, pages_path, files_per_batch), delay)
+    pages = read_page_stream(spark, pages_path, files_per_batch)
+    if delay is not None:
+        pages = distinct_pages(pages, delay)
 
     def load(batch: DataFrame, _: int) -> None:
         load_batch(batch, rules, store_path)
