@@ -44,6 +44,8 @@ STEP = T.StructType(
     ]
 )
 
+PAGES_AT_ONCE = 100  # bounds the nodes a task holds, whatever the batch size
+
 # --- fixed values (HTML element groups) --------------------------------------
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set(
@@ -185,12 +187,14 @@ def flatten_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = _Tokens()
-            for markup in batch.column(at).to_pylist():
-                tokens.page(markup)
-            columns = [c for k, c in enumerate(batch.columns) if k != at]
-            names = [n for k, n in enumerate(batch.schema.names) if k != at]
-            yield pa.RecordBatch.from_arrays([*columns, tokens.arrow()], names=[*names, "nodes"])
+            for first in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(first, PAGES_AT_ONCE)
+                tokens = _Tokens()
+                for markup in part.column(at).to_pylist():
+                    tokens.page(markup)
+                columns = [c for k, c in enumerate(part.columns) if k != at]
+                names = [n for k, n in enumerate(part.schema.names) if k != at]
+                yield pa.RecordBatch.from_arrays([*columns, tokens.arrow()], names=[*names, "nodes"])
 
     return pages.mapInArrow(run, schema)
 

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK = 8  # literal characters per blocking step of the wildcard join
+# Literal characters per blocking step of the wildcard join, and at most.
+BLOCK = 8
+LONGEST = 256
 
 
 def url_counts(rows: DataFrame, key: str = "url_key") -> DataFrame:
@@ -42,43 +44,52 @@ def _unmatched_patterns(links: DataFrame, stored: DataFrame, key: str) -> DataFr
     """Anti join on LIKE without comparing all pairs.
 
     A match must agree with the literal text before the first and after the
-    last wildcard. The longer of the two, cut to a multiple of ``BLOCK``
-    characters, is the join key of a pattern; stored values offer their own
-    beginnings and ends of those lengths. Patterns with no wildcard take the
-    whole value as key, which makes theirs a plain equality join.
+    last wildcard. The longer of the two, cut to a multiple of ``BLOCK`` and at
+    most ``LONGEST`` characters, is the join key of a pattern; stored values
+    offer their own beginnings and ends of the lengths in use. A pattern with
+    no wildcard takes its whole value as key, which is a plain equality join.
     """
     pattern = F.col(key)
-    head = F.length(F.regexp_extract(pattern, r"^[^_%]*", 0))
-    tail = F.length(F.regexp_extract(pattern, r"[^_%]*$", 0))
-    head_cut = (F.floor(head / BLOCK) * BLOCK).cast("int")
-    tail_cut = (F.floor(tail / BLOCK) * BLOCK).cast("int")
-    literal = ~pattern.rlike("[_%]")
-    probe = links.withColumn(
-        "_block",
-        F.when(literal, F.concat(F.lit("="), pattern))
-        .when(head_cut >= tail_cut, F.concat(F.lit("<"), F.substring(pattern, F.lit(1), head_cut)))
-        .otherwise(F.concat(F.lit(">"), F.right(pattern, tail_cut))),
+
+    def cut(literal: str) -> Column:
+        length = F.length(F.regexp_extract(pattern, literal, 0))
+        return (F.floor(F.least(length, F.lit(LONGEST)) / BLOCK) * BLOCK).cast("int")
+
+    sided = links.withColumns({"_head": cut("^[^_%]*"), "_tail": cut("[^_%]*$")}).withColumns(
+        {
+            "_side": F.when(~pattern.rlike("[_%]"), "=").when(F.col("_head") >= F.col("_tail"), "<").otherwise(">"),
+            "_cut": F.when(~pattern.rlike("[_%]"), 0).otherwise(F.greatest("_head", "_tail")),
+        }
     )
-    cuts = F.sequence(F.lit(0), (F.floor(F.length("stored") / BLOCK) * BLOCK).cast("int"), F.lit(BLOCK))
-    offered = F.flatten(
-        F.array(
-            F.array(F.concat(F.lit("="), F.col("stored"))),
-            F.transform(cuts, lambda n: F.concat(F.lit("<"), F.substring(F.col("stored"), F.lit(1), n))),
-            F.transform(
-                F.filter(cuts, lambda n: n > 0),
-                lambda n: F.concat(F.lit(">"), F.right(F.col("stored"), n)),
-            ),
-        )
+    probe = sided.withColumn("_block", _block(pattern, F.col("_side"), F.col("_cut"))).drop("_head", "_tail")
+    # One row per side and length: at most 2 * LONGEST / BLOCK + 3.
+    lengths = probe.select("_side", "_cut").distinct()
+    cuts = F.sequence(F.lit(0), F.least(F.length("stored"), F.lit(LONGEST)), F.lit(BLOCK))
+    offers = F.concat(
+        F.array(F.struct(F.lit("=").alias("_side"), F.lit(0).alias("_cut"))),
+        F.transform(cuts, lambda n: F.struct(F.lit("<").alias("_side"), n.alias("_cut"))),
+        F.transform(cuts, lambda n: F.struct(F.lit(">").alias("_side"), n.alias("_cut"))),
+    )
+    keys = (
+        stored.distinct()
+        .select("stored", F.inline(offers))
+        .join(F.broadcast(lengths), ["_side", "_cut"], "left_semi")
+        .select("stored", _block(F.col("stored"), F.col("_side"), F.col("_cut")).alias("_block"))
+        .join(probe.select("_block").distinct(), "_block", "left_semi")
     )
-    # Only blocks some pattern asks for are kept before the wide comparison.
-    wanted = probe.select("_block").distinct()
-    keys = stored.distinct().select("stored", F.explode(offered).alias("_block")).join(wanted, "_block", "left_semi")
     like = F.expr(f"_s.stored LIKE _p.`{key}`")
     return (
         probe.alias("_p")
         .join(keys.alias("_s"), (F.col("_p._block") == F.col("_s._block")) & like, "left_anti")
-        .drop("_block")
+        .drop("_block", "_side", "_cut")
+    )
+
+
+def _block(text: Column, side: Column, cut: Column) -> Column:
+    part = (
+        F.when(side == "=", text).when(side == "<", F.substring(text, F.lit(1), cut)).otherwise(F.right(text, cut))
     )
+    return F.concat(side, cut.cast("string"), F.lit(":"), part)
 
 
 def first_by_key(rows: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -130,6 +141,19 @@ def until_first_seen(
     )
 
 
+def winners(batch: DataFrame, store: DataFrame, row_id: str, order: Sequence[str], key: str = "url_key", reason: str = "reject_reason") -> DataFrame:
+    """``row_id`` of the rows an insert adds: accepted, new and first of their key."""
+    columns = list(dict.fromkeys([row_id, key, *order]))
+    accepted = batch.filter(F.col(reason).isNull()).select(*columns)
+    return first_by_key(accepted, key, order).join(store.select(key), key, "left_anti").select(row_id)
+
+
+def mark_outcome(batch: DataFrame, won: DataFrame, row_id: str, reason: str = "reject_reason") -> DataFrame:
+    outcome = F.when(F.col(reason).isNotNull(), "rejected").when(F.col("_won"), "inserted").otherwise("duplicate")
+    marked = batch.join(won.withColumn("_won", F.lit(True)), row_id, "left")
+    return marked.withColumn("outcome", outcome).drop("_won")
+
+
 def load_outcome(
     batch: DataFrame,
     store: DataFrame,
@@ -140,17 +164,8 @@ def load_outcome(
 ) -> DataFrame:
     """Mark each row of a batch ``inserted``, ``duplicate`` or ``rejected``.
 
-    Only the narrow winners are joined with the store; the batch itself is
-    joined on its unique ``row_id``, which no hot key can skew.
+    Only narrow rows are ranked and joined with the store; the batch itself is
+    joined on its unique ``row_id``, which no hot key can skew. The batch is
+    read twice: cut its lineage first where it is costly to compute.
     """
-    columns = list(dict.fromkeys([row_id, key, *order]))
-    accepted = batch.filter(F.col(reason).isNull()).select(*columns)
-    winners = (
-        first_by_key(accepted, key, order)
-        .join(store.select(key), key, "left_anti")
-        .select(F.col(row_id), F.lit(True).alias("_won"))
-    )
-    outcome = (
-        F.when(F.col(reason).isNotNull(), "rejected").when(F.col("_won"), "inserted").otherwise("duplicate")
-    )
-    return batch.join(winners, row_id, "left").withColumn("outcome", outcome).drop("_won")
+    return mark_outcome(batch, winners(batch, store, row_id, order, key, reason), row_id, reason)

@@ -225,8 +225,10 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
             carried = carried.withColumn(name, F.lit(None).cast("string"))
     extra = [c for c in carried.columns if c not in ("html", "link_category", "link_subcategory", "site", "url")]
 
-    flat = N.flatten_pages(carried)
-    joined = flat.join(F.broadcast(rules), "site")
+    # The rule table has one literal row per site. Pages of sites without rules
+    # leave before their markup is read.
+    ruled = carried.join(F.broadcast(rules.select("site")), "site", "left_semi")
+    joined = N.flatten_pages(ruled).join(F.broadcast(rules), "site")
     blocks = F.transform(F.filter("nodes", lambda n: n["tag"] == "#json"), lambda n: repair_json(n["text"]))
     page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
     staged = joined.withColumn("page", page).drop("nodes")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kliping.functions import cleanup, dates, urls
 from kliping.operators import dedupe, extract, filters, links
+from kliping.session import durable
 
 
 def article_table(pages: DataFrame) -> DataFrame:
@@ -41,13 +42,22 @@ def article_table(pages: DataFrame) -> DataFrame:
     return filters.project_article(dedupe.first_by_key(rows, "url_key", ["page_id"]))
 
 
+def fresh_fields(pages: DataFrame, rules: DataFrame, store: DataFrame) -> DataFrame:
+    """Fields of the pages whose address is not stored yet.
+
+    The cheap test comes first: stored addresses leave before the Python step
+    that reads the markup.
+    """
+    fresh = dedupe.new_links(pages.withColumn("url_key", links.canonical_url(F.col("url"))), store)
+    return extract.extract_fields(fresh, rules)
+
+
 def harvest(pages: DataFrame, rules: DataFrame, store: DataFrame, row_id: str = "page_id") -> DataFrame:
     """Fields and outcome of every page whose address is not stored yet.
 
-    The cheap tests come first: stored addresses leave before the Python step
-    that reads the markup. ``pages`` needs ``site, url, html`` and a unique
-    ``row_id``; the outcome frame still holds rejected rows with their reason.
+    ``pages`` needs ``site, url, html`` and a unique ``row_id``; the outcome
+    frame still holds rejected rows with their reason. The fields go to the
+    checkpoint folder, as ranking and marking would extract them twice.
     """
-    fresh = dedupe.new_links(pages.withColumn("url_key", links.canonical_url(F.col("url"))), store)
-    fields = extract.extract_fields(fresh, rules)
+    fields = durable(fresh_fields(pages, rules, store))
     return dedupe.load_outcome(fields, store, row_id, [row_id])

@@ -61,7 +61,8 @@ FIELDS_SQL = rf"""
 
 
 def _plain_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.lit("plain").alias("site"), "url", "html")
+    site = F.when(urls.host(F.col("url")).contains(".example."), "plain").alias("site")
+    return table(spark, sf, "pages").select("page_id", site, "url", "html")
 
 
 @query(FIELDS_SQL)

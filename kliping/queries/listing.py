@@ -84,11 +84,14 @@ def resume_slice(spark, sf):
 """)
 def listing_urls(spark, sf):
     events = table(spark, sf, "events")
+    day = F.to_date("ts")
     pages = events.select("event_type", F.get_json_object("props", "$.k").cast("int").alias("page")).distinct()
+    grid = listings.seed_grid(
+        pages.filter(F.col("page") >= 1), events.agg(F.min(day)).scalar(), events.agg(F.max(day)).scalar()
+    )
     template = F.lit("https://{cat}.example.com/indeks/{page}?date={MM}/{dd}/{yyyy}&day={d}&offset={offset}")
     url = listings.fill_template(template, F.col("event_type"), F.col("date"), F.col("page"), F.lit(15))
-    wanted = pages.filter(F.col("page") >= 1)
-    return _grid(spark, sf).join(wanted, "event_type").select("event_type", "date", "page", url.alias("listing_url"))
+    return grid.select("event_type", "date", "page", url.alias("listing_url"))
 
 
 @query("""

@@ -20,9 +20,24 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "kliping", master: str | None = None, **extra: str) -> SparkSession:
+PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions of about ``PARTITION_BYTES`` for an input of that size.
+
+    Adaptive execution joins small ones, so the number errs on the high side.
+    """
+    return min(max(200, -(-input_bytes // PARTITION_BYTES)), 100_000)
+
+
+def build_session(
+    app: str = "kliping", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
     """A session with the settings above; ``extra`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     if master:
         builder = builder.master(master)
     for name, value in SETTINGS.items():

@@ -16,7 +16,6 @@ from kliping.session import durable
 
 PARTITIONS = ["source", "pub_date"]
 STORED = T.StructType([*ARTICLE.fields, T.StructField("url_key", T.StringType()), T.StructField("pub_date", T.DateType())])
-INDEX_BUCKET = 10_000
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -71,15 +70,18 @@ def insert_if_absent(batch: DataFrame, path: str, row_id: str, order: Sequence[s
 
     ``batch`` has the article columns, a unique ``row_id`` and maybe a
     ``reject_reason``. Of several rows with one address the first in ``order``
-    (default: by ``row_id``) goes in. The outcomes are written to the checkpoint
-    folder before the store changes, so the append and the returned frame agree
-    whatever is computed again; a repeated call inserts nothing.
+    (default: by ``row_id``) goes in. The batch and the numbers of the rows to
+    add are written to the checkpoint folder before the store changes, so the
+    batch is computed once, and the append and the returned frame agree
+    whatever is run again; a repeated call inserts nothing.
     """
     rows = with_keys(batch)
     if "reject_reason" not in rows.columns:
         rows = rows.withColumn("reject_reason", F.lit(None).cast("string"))
+    rows = durable(rows)
     stored = read_store(batch.sparkSession, path, columns=["url_key"])
-    marked = durable(dedupe.load_outcome(rows, stored, row_id, order or [row_id]))
+    won = durable(dedupe.winners(rows, stored, row_id, order or [row_id]))
+    marked = dedupe.mark_outcome(rows, won, row_id)
     append(marked.filter(F.col("outcome") == "inserted").select(*STORED.fieldNames()), path)
     return marked.select(row_id, "url", "source", "reject_reason", "outcome")
 
@@ -107,22 +109,24 @@ def repair_partitions(store: DataFrame, fixes: DataFrame, path: str, columns: Se
 
 
 def with_index(rows: DataFrame, row_id: str, name: str = "_index") -> DataFrame:
-    """A gapless index from 0 in the order of a unique integer id.
+    """A gapless index from 0 in the order of a unique column.
 
-    Rows are numbered inside small id ranges and shifted by the running count
-    of the ranges before, so only one number per range meets in one task.
+    The ids alone are range partitioned and written to the checkpoint folder,
+    so that their partitions stay the same; inside a partition they are
+    numbered, and shifted by the sizes of the partitions before it. Only one
+    number per partition meets in one task.
     """
-    bucketed = rows.withColumn("_bucket", F.floor(F.col(row_id) / INDEX_BUCKET))
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
-    shifts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(W.partitionBy("_bucket").orderBy(row_id))
-    return (
-        bucketed.withColumn("_inside", inside)
-        .join(shifts, "_bucket")
-        .withColumn(name, F.col("_shift") + F.col("_inside") - 1)
-        .drop("_bucket", "_inside", "_shift")
+    ranged = durable(rows.select(row_id).repartitionByRange(F.col(row_id)).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    shifts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(row_id))
+    numbered = (
+        ranged.withColumn("_inside", inside)
+        .join(shifts, "_part")
+        .select(row_id, (F.col("_shift") + F.col("_inside") - 1).alias(name))
     )
+    return rows.join(numbered, row_id)
 
 
 def write_dump(rows: DataFrame, path: str, row_id: str) -> None:

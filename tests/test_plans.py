@@ -2,11 +2,18 @@
 
 import pytest
 
-from kliping.queries import ORACLE, QUERIES, load_all
+from pyspark.sql import functions as F
+
+from kliping.functions import urls
+from kliping.operators import links
+from kliping.plans import articles
+from kliping.queries import QUERIES, load_all
+from kliping.rules.sites import site_rules
+from kliping.session import shuffle_partitions, table
 
 load_all()
 SF = "/root/testdata/sf0.001"
-PYTHON = {"extract_fields", "harvest", "listing_items", "jsonld_pick", "nfkd_text", "unescape_full"}
+PYTHON = {"extract_fields", "listing_items", "jsonld_pick", "nfkd_text", "unescape_full"}
 
 
 def plan(spark, name):
@@ -39,5 +46,13 @@ def test_rank_limits_run_before_the_shuffle(spark, name):
 
 
 def test_stored_addresses_leave_before_python(spark):
-    text = plan(spark, "harvest")
+    pages = table(spark, SF, "pages").select("page_id", urls.host(F.col("url")).alias("site"), "url", "html")
+    known = pages.filter(F.col("url").startswith("http:")).select(links.canonical_url(F.col("url")).alias("url_key"))
+    text = articles.fresh_fields(pages, site_rules(spark), known)._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in text[text.index("MapInArrow"):]
+
+
+def test_partitions_follow_the_input():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(10 * 1024**4) == 81_920
+    assert shuffle_partitions(100 * 1024**4) == 100_000
