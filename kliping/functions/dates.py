@@ -27,10 +27,16 @@ LOCAL_DATE = (
 )
 
 
-def parse_dates(text: Column, formats: Sequence[str]) -> Column:
-    """The first format that fits; NULL when none does."""
+def parse_dates(text: Column, formats: Sequence[str], locale: str | None = None) -> Column:
+    """The first format that fits; NULL when none does.
+
+    With ``locale='id'`` texts with local month words are read as well.
+    """
+    if locale not in (None, "id"):
+        raise ValueError(f"no month words for locale {locale!r}")
     trimmed = F.btrim(text, F.lit(" \t\n\r"))
-    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+    local = [] if locale is None else [parse_local_dates(trimmed)]
+    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats], *local)
 
 
 def parse_local_dates(text: Column) -> Column:

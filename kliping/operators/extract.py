@@ -54,6 +54,7 @@ SITE_RULES = T.StructType(
         T.StructField("drops", T.ArrayType(DROP)),
         T.StructField("soft_drops", T.ArrayType(DROP)),
         T.StructField("cut", T.StringType()),
+        T.StructField("escaped_twice", T.BooleanType()),
     ]
 )
 
@@ -262,6 +263,11 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(F.col("b").isNull(), F.lit("no_body")),
     )
     stamp = parse_pubdate(v["pubdate"])
+
+    def text(value: Column) -> Column:
+        value = F.coalesce(value, F.lit(""))
+        return F.when(F.col("escaped_twice"), cleanup.unescape_common(value)).otherwise(value)
+
     return (
         found.withColumn("content", content)
         .withColumn("content", cleanup.strip_control(cleanup.normalized(F.col("content"))))
@@ -269,91 +275,17 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
             *extra,
             "site",
             dates.article_key([v["post_id"]], stamp, F.col("url")).alias("post_id"),
-            F.coalesce(v["author"], F.lit("")).alias("author"),
+            text(v["author"]).alias("author"),
             stamp.alias("pubdate"),
-            F.coalesce(v["category"], F.lit("")).alias("category"),
-            F.coalesce(v["subcategory"], F.lit("")).alias("subcategory"),
-            F.coalesce(cut, F.lit("")).alias("content"),
+            text(v["category"]).alias("category"),
+            text(v["subcategory"]).alias("subcategory"),
+            text(cut).alias("content"),
             dates.comment_count(v["comments"]).alias("comments"),
             F.coalesce(v["images"], F.lit("")).alias("images"),
-            F.coalesce(v["title"], F.lit("")).alias("title"),
-            F.coalesce(v["tags"], F.lit("")).alias("tags"),
+            text(v["title"]).alias("title"),
+            text(v["tags"]).alias("tags"),
             "url",
             "source",
             reason.alias("reject_reason"),
         )
     )
-
-
-# -- listings ----------------------------------------------------------------------
-
-LISTING_RULES = T.StructType(
-    [
-        T.StructField("site", T.StringType()),
-        T.StructField("template", T.StringType()),
-        T.StructField("first_template", T.StringType()),
-        T.StructField("section", T.StringType()),
-        T.StructField("section_template", T.StringType()),
-        T.StructField("page_size", T.IntegerType()),
-        T.StructField("prefix", T.StringType()),
-        T.StructField("items", T.ArrayType(T.ArrayType(STEP))),
-        T.StructField("link", T.ArrayType(STEP)),
-        T.StructField("badge", T.ArrayType(STEP)),
-        T.StructField("label", T.ArrayType(STEP)),
-        T.StructField("stops_at_seen", T.BooleanType()),
-        T.StructField("next_kind", T.StringType()),
-        T.StructField("next_steps", T.ArrayType(STEP)),
-        T.StructField("next_take", T.StringType()),
-    ]
-)
-
-
-def listing_items(listings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Links of listing pages: ``pos, link, badge, label`` beside the input.
-
-    ``listings`` needs ``site, url, page, html``. The link of an item is its
-    first anchor with a target; items without one give no row.
-    """
-    carried = [c for c in listings.columns if c != "html"]
-    flat = N.flatten_pages(listings).join(
-        F.broadcast(rules.select("site", "prefix", "items", "link", "badge", "label")), "site"
-    )
-    nodes = F.col("nodes")
-    root = N.root(nodes)
-    chains = F.transform("items", lambda steps: N.select(nodes, root, steps))
-    items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
-    found = flat.select(*carried, "nodes", "prefix", "link", "badge", "label", F.posexplode(items).alias("pos", "item"))
-
-    def first_text(steps: Column) -> Column:
-        hit = F.get(N.select(nodes, F.array("item"), steps), 0)
-        return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n))))
-
-    target = F.get(
-        F.filter(
-            F.transform(
-                F.when(F.size("link") == 0, F.array("item")).otherwise(N.select(nodes, F.array("item"), F.col("link"))),
-                lambda n: F.try_element_at(n["attrs"], F.lit("href")),
-            ),
-            lambda href: href.isNotNull(),
-        ),
-        0,
-    )
-    absolute = F.when(target.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), target).otherwise(F.concat(F.coalesce("prefix", F.lit("")), target))
-    return found.select(
-        *carried, "pos", absolute.alias("link"), first_text(F.col("badge")).alias("badge"), first_text(F.col("label")).alias("label")
-    ).filter(F.col("link").isNotNull())
-
-
-def listing_last_page(listings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Number of the last listing page, by each site's own rule."""
-    from kliping.plans import listings as plan
-
-    carried = [c for c in listings.columns if c != "html"]
-    flat = N.flatten_pages(listings).join(
-        F.broadcast(rules.select("site", "page_size", "next_kind", "next_steps", "next_take")), "site"
-    )
-    nodes = F.col("nodes")
-    hit = F.get(N.select(nodes, N.root(nodes), F.col("next_steps")), 0)
-    value = let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"))))
-    last = plan.last_page(F.col("next_kind"), value, F.col("page_size"), F.col("page"))
-    return flat.select(*carried, last.alias("last_page"))

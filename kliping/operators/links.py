@@ -6,8 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kliping.functions import cleanup, urls
+from kliping.functions import nodes as N
+from kliping.functions.nodes import STEP, let
+
+LISTING_RULES = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("template", T.StringType()),
+        T.StructField("first_template", T.StringType()),
+        T.StructField("section", T.StringType()),
+        T.StructField("section_template", T.StringType()),
+        T.StructField("page_size", T.IntegerType()),
+        T.StructField("prefix", T.StringType()),
+        T.StructField("items", T.ArrayType(T.ArrayType(STEP))),
+        T.StructField("link", T.ArrayType(STEP)),
+        T.StructField("badge", T.ArrayType(STEP)),
+        T.StructField("label", T.ArrayType(STEP)),
+        T.StructField("needs_label", T.BooleanType()),
+        T.StructField("stops_at_seen", T.BooleanType()),
+        T.StructField("next_kind", T.StringType()),
+        T.StructField("next_steps", T.ArrayType(STEP)),
+        T.StructField("next_take", T.StringType()),
+    ]
+)
 
 HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 
@@ -21,7 +45,7 @@ def page_links(pages: DataFrame, scope: str = "nav") -> DataFrame:
     """Anchors inside the first element of one tag: ``page_id, url, pos, link``.
 
     The column form for listings whose items need no rules; listings with
-    per-site item rules go through ``extract.listing_items``.
+    per-site item rules go through ``listing_links``.
     """
     return pages.select(
         "page_id", "url", F.posexplode(hrefs(cleanup.element(F.col("html"), scope))).alias("pos", "link")
@@ -39,3 +63,41 @@ def canonical_url(url: Column) -> Column:
 def filter_segments(df: DataFrame, url: str, words: Sequence[str]) -> DataFrame:
     """Drop rows whose address has one of the words as a whole path segment."""
     return df.filter(~F.coalesce(urls.has_segment(F.col(url), list(words)), F.lit(False)))
+
+
+def listing_links(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Links of listing pages: ``pos, link, badge, label`` beside the input.
+
+    ``listings`` needs ``site, html``. The link of an item is its first anchor
+    with a target; items without one, and without the label a site asks for,
+    give no row.
+    """
+    carried = [c for c in listings.columns if c != "html"]
+    used = ["prefix", "items", "link", "badge", "label", "needs_label"]
+    ruled = listings.join(F.broadcast(rules.select("site")), "site", "left_semi")
+    flat = N.flatten_pages(ruled).join(F.broadcast(rules.select("site", *used)), "site")
+    nodes = F.col("nodes")
+    chains = F.transform("items", lambda steps: N.select(nodes, N.root(nodes), steps))
+    items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
+    rest = [c for c in used if c != "items"]
+    found = flat.select(*carried, "nodes", *rest, F.posexplode(items).alias("pos", "item"))
+
+    def first_text(steps: Column) -> Column:
+        hit = F.get(N.select(nodes, F.array("item"), steps), 0)
+        return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n))))
+
+    anchors = F.when(F.size("link") == 0, F.array("item")).otherwise(N.select(nodes, F.array("item"), F.col("link")))
+    targets = F.transform(anchors, lambda n: F.try_element_at(n["attrs"], F.lit("href")))
+    target = F.get(F.array_compact(targets), 0)
+    return (
+        found.select(
+            *carried,
+            "pos",
+            urls.absolute(target, F.coalesce("prefix", F.lit(""))).alias("link"),
+            first_text(F.col("badge")).alias("badge"),
+            first_text(F.col("label")).alias("label"),
+            "needs_label",
+        )
+        .filter(F.col("link").isNotNull() & (~F.col("needs_label") | F.col("label").isNotNull()))
+        .drop("needs_label")
+    )

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kliping.functions import urls
+from kliping.operators import extract
+
 
 def candidates(store: DataFrame, predicate: Column, columns: Sequence[str] = ("id", "url", "source")) -> DataFrame:
     """Rows that need a repair, with only the columns a repair reads."""
@@ -32,3 +35,19 @@ def widen(fixes: DataFrame, columns: Sequence[str], key: str = "id") -> DataFram
         F.max(F.when(F.col("column") == c, F.col("new_value"))).alias(c) for c in columns
     ]
     return fixes.groupBy(key).agg(*picked)
+
+
+def recompute(
+    wanted: DataFrame, pages: DataFrame, rules: DataFrame, columns: Sequence[str], key: str = "url_key"
+) -> DataFrame:
+    """Fixes for the wanted rows, taken again from their pages.
+
+    The pages are narrowed to the wanted addresses before their markup is read.
+    Rejected pages and empty values fix nothing.
+    """
+    keyed = pages.withColumn(key, urls.canonical(F.col("url")))
+    again = extract.extract_fields(keyed.join(wanted.select(key), key, "left_semi"), rules)
+    values = [
+        F.when(F.col(c) != "", F.col(c)).alias(c) if c != "pubdate" else F.col(c) for c in columns
+    ]
+    return again.filter(F.col("reject_reason").isNull()).select(key, *values)

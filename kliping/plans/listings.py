@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kliping.functions import nodes as N
+
 
 def _as_date(value: Column | dt.date | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
@@ -124,3 +126,21 @@ def last_page(kind: Column, value: Column, page_size: Column, page: Column) -> C
         .otherwise(tail),
         page,
     )
+
+
+def max_page(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``last_page`` to listing pages (``site, page, html``) by each site's rule."""
+    carried = [c for c in listings.columns if c != "html"]
+    used = ["page_size", "next_kind", "next_steps", "next_take"]
+    ruled = listings.join(F.broadcast(rules.select("site")), "site", "left_semi")
+    flat = N.flatten_pages(ruled).join(F.broadcast(rules.select("site", *used)), "site")
+    nodes = F.col("nodes")
+    hit = F.get(N.select(nodes, N.root(nodes), F.col("next_steps")), 0)
+    value = N.let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"))))
+    last = last_page(F.col("next_kind"), value, F.col("page_size"), F.col("page"))
+    return flat.select(*carried, last.alias("last_page"))
+
+
+def readable_category(slug: Column) -> Column:
+    """A category name out of its address part."""
+    return F.replace(slug, F.lit("-"), F.lit(""))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kliping.functions import cleanup, dates, markup, urls
 from kliping.functions import nodes as N
-from kliping.operators import extract
+from kliping.operators import extract, links
 from kliping.plans import articles
 from kliping.queries import sqltext as q
 from kliping.queries.cleaning import decomposed
@@ -60,14 +60,14 @@ FIELDS_SQL = rf"""
 """
 
 
-def _plain_pages(spark, sf):
+def plain_pages(spark, sf):
     site = F.when(urls.host(F.col("url")).contains(".example."), "plain").alias("site")
     return table(spark, sf, "pages").select("page_id", site, "url", "html")
 
 
 @query(FIELDS_SQL)
 def extract_fields(spark, sf):
-    return extract.extract_fields(_plain_pages(spark, sf), site_rules(spark, PLAIN_SITE))
+    return extract.extract_fields(plain_pages(spark, sf), site_rules(spark, PLAIN_SITE))
 
 
 @query(f"""
@@ -84,7 +84,7 @@ def harvest(spark, sf):
     """Unseen pages through extraction to their load outcome."""
     key = urls.canonical(F.col("url")).alias("url_key")
     stored = table(spark, sf, "pages").filter(F.col("url").startswith("http:")).select(key)
-    rows = articles.harvest(_plain_pages(spark, sf), site_rules(spark, PLAIN_SITE), stored)
+    rows = articles.harvest(plain_pages(spark, sf), site_rules(spark, PLAIN_SITE), stored)
     return rows.select("page_id", key, "post_id", "title", "content", "outcome")
 
 
@@ -95,8 +95,8 @@ def harvest(spark, sf):
     FROM (SELECT page_id, {NAV_HREFS} AS h, {NAV_TEXTS} AS t FROM pages)
 """)
 def listing_items(spark, sf):
-    listings = _plain_pages(spark, sf).withColumn("page", F.lit(1))
-    items = extract.listing_items(listings, listing_rules(spark, PLAIN_LISTING))
+    listings = plain_pages(spark, sf).withColumn("page", F.lit(1))
+    items = links.listing_links(listings, listing_rules(spark, PLAIN_LISTING))
     return items.select("page_id", "pos", "link", "label")
 
 

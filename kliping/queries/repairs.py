@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from kliping.functions import cleanup, dates
-from kliping.operators import repair
+from kliping.functions import cleanup, dates, urls
+from kliping.operators import dedupe, repair
+from kliping.queries import sqltext as q
+from kliping.queries.fields import FIELDS_SQL, PLAIN_SITE, plain_pages
 from kliping.queries.registry import query
+from kliping.rules.sites import site_rules
 from kliping.session import table
 
 
@@ -48,3 +51,23 @@ def repair_pubdate(spark, sf):
     known = stored.groupBy("o_custkey").agg(F.max(dates.without_sentinel(F.col("pubdate"))).alias("pubdate"))
     fixes = missing.join(known, "o_custkey").select("o_orderkey", "pubdate")
     return repair.merge(stored, fixes, "o_orderkey", ["pubdate"]).select("o_orderkey", "pubdate")
+
+
+@query(f"""
+    WITH stored AS (SELECT page_id, {q.KEY} AS url_key, CASE WHEN url LIKE 'http:%' THEN '' ELSE 'kept' END AS author FROM pages),
+    once AS (SELECT {q.KEY} AS url_key, author, reject_reason FROM ({FIELDS_SQL})
+             QUALIFY row_number() OVER (PARTITION BY {q.KEY} ORDER BY page_id) = 1),
+    again AS (SELECT * FROM once WHERE reject_reason IS NULL)
+    SELECT page_id, s.url_key, CASE WHEN s.author = '' THEN coalesce(a.author, '') ELSE s.author END AS author
+    FROM stored s LEFT JOIN again a ON a.url_key = s.url_key
+""")
+def repair_author(spark, sf):
+    """Stored rows without an author get the one their page names."""
+    key = urls.canonical(F.col("url")).alias("url_key")
+    author = F.when(F.col("url").startswith("http:"), "").otherwise("kept").alias("author")
+    stored = table(spark, sf, "pages").select("page_id", key, author)
+    wanted = repair.candidates(stored, F.col("author") == "", ["url_key"])
+    once = dedupe.first_by_key(plain_pages(spark, sf).withColumn("url_key", key), "url_key", ["page_id"])
+    fixes = repair.recompute(wanted, once.drop("url_key"), site_rules(spark, PLAIN_SITE), ["author"])
+    empty = repair.merge(stored.filter(F.col("author") == ""), fixes, "url_key", ["author"])
+    return empty.unionByName(stored.filter(F.col("author") != "")).select("page_id", "url_key", "author")

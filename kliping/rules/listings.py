@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kliping.functions import urls
-from kliping.operators.extract import LISTING_RULES
+from kliping.operators.links import LISTING_RULES
 from kliping.rules.notation import at, every, having
 
 ANY_LINK = [having("a", "href")]
@@ -180,6 +180,7 @@ LISTINGS = {
         "items": [[every("div", "td_module_16 td_module_wrap td-animation-stack")]],
         "link": [at("h3", "entry-title td-module-title"), having("a", "href")],
         "label": [at("a", "td-post-category")],
+        "needs_label": True,
         "stops": True,
         "next": ("number", [at("div", "page-nav td-pb-padding-side"), at("a", "last")], "text"),
     },
@@ -261,6 +262,7 @@ def listing_row(site: str, rules: dict) -> dict:
         "link": rules.get("link", ANY_LINK),
         "badge": rules.get("badge"),
         "label": rules.get("label"),
+        "needs_label": rules.get("needs_label", False),
         "stops_at_seen": rules.get("stops", False),
         "next_kind": kind,
         "next_steps": steps,

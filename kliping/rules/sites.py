@@ -7,10 +7,11 @@ default chain; the tables hold only what differs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kliping.operators.extract import CHECKS, FIELDS, SITE_RULES
-from kliping.rules.notation import at, ban, const, drop, every, ld, link, meta, need, node, url
+from kliping.operators.extract import CHECKS, FIELDS, SITE_RULES, register_rule_kind
+from kliping.rules.notation import at, ban, const, drop, every, ld, link, meta, need, node, rule, url
 
 # --- fixed values: defaults ----------------------------------------------------
 DEFAULT_FIELDS = {
@@ -297,6 +298,7 @@ SITES = {
     },
     "otomart": {
         "source": "otomart.com",
+        "escaped_twice": True,
         "fields": {
             "title": [node(at("h1", "entry-title"))],
             "author": [node(at("span", "vcard author"), at("span", "fn"))],
@@ -418,6 +420,7 @@ SITES = {
         ],
     },
     "seva": {
+        "escaped_twice": True,
         "fields": {
             "post_id": [node(at("link", "shortlink", "rel"), take="href", pattern=r"\?p=(\d+)")],
             "title": [node(at("div", "news-content border-list"), at("div", "title"), at("h1"))],
@@ -516,13 +519,23 @@ SITES = {
         "drops": [drop("div"), SCRIPT],
     },
 }
-# Same markup, other listings: subcategories come from a code table.
-SITES["otorider"] = SITES["otodriver"]
+# The same markup, but the listing link carries a section number for a name.
 SECTION_CODES = {"1": "Tips Modifikasi", "12": "Berita"}
 OTHER_SECTION = "Komunitas"
+SITES["otorider"] = SITES["otodriver"] | {
+    "fields": SITES["otodriver"]["fields"] | {"subcategory": [rule("section")]}
+}
 # -----------------------------------------------------------------------------------
 
 
+def section_name(page: Column, _: Column) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in SECTION_CODES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, page["link_subcategory"]), F.lit(OTHER_SECTION))
+
+
+register_rule_kind("section", section_name)
+
+
 def rule_row(site: str, rules: dict) -> dict:
     fields = DEFAULT_FIELDS | rules.get("fields", {})
     return {
@@ -535,6 +548,7 @@ def rule_row(site: str, rules: dict) -> dict:
         "drops": rules.get("drops", []),
         "soft_drops": rules.get("soft_drops"),
         "cut": rules.get("cut"),
+        "escaped_twice": rules.get("escaped_twice", False),
     }
 
 

@@ -106,6 +106,18 @@ def test_keys_and_bylines(rows):
     assert rows["tirto_second_div"].author == "Hadi" and rows["tirto_second_div"].source == "tirto.id"
 
 
+def test_section_numbers_and_double_escapes(spark):
+    article = '<div class="left-content"><div class="entry-content detail-content">isi</div></div>'
+    data = [
+        (k, "otorider", f"http://otorider.com/{k}", "Otomotif", code, article) for k, code in enumerate(["1", "12", "7", None])
+    ]
+    data.append((9, "otomart", "http://otomart.id/9", "", "", '<a rel="category tag">A &amp;amp; B</a><h1 class="entry-title">x</h1><div class="entry-content">R&amp;amp;D</div>'))
+    df = spark.createDataFrame(data, "page_id int, site string, url string, category string, subcategory string, html string")
+    got = {r.page_id: r for r in extract.extract_fields(df, site_rules(spark)).collect()}
+    assert [got[k].subcategory for k in range(4)] == ["Tips Modifikasi", "Berita", "Komunitas", "Komunitas"]
+    assert (got[9].subcategory, got[9].content) == ("A & B", "R&D")
+
+
 def test_every_site_has_rules():
     assert set(LISTINGS) == set(SITES) == set(DOMAINS.values())
     assert len(SITES) == 30

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from kliping.operators import extract
+from kliping.operators import links
 from kliping.plans import listings as plan
 from kliping.rules.listings import listing_rules, whole_page_url
 from kliping.sources import pages as sources
@@ -69,7 +69,7 @@ PAGERS = {
 def test_last_pages(spark):
     rows = [(site, "u", page, html) for (site, page), (html, _) in PAGERS.items()]
     listings = spark.createDataFrame(rows, "site string, url string, page int, html string")
-    got = {(r.site, r.page): r.last_page for r in extract.listing_last_page(listings, listing_rules(spark)).collect()}
+    got = {(r.site, r.page): r.last_page for r in plan.max_page(listings, listing_rules(spark)).collect()}
     assert got == {key: last for key, (_, last) in PAGERS.items()}
 
 
@@ -83,10 +83,12 @@ def test_items(spark):
                              '<a class="vw-button" href="http://c/no">y</a></div>'),
         ("rumah", "u3", 1, '<div class="box news-article-lists"><a href="/berita/1">x</a></div>'),
         ("rumahhokie", "u4", 1, '<div class="td_module_16 td_module_wrap td-animation-stack"><a href="http://r/no"></a>'
-                                '<h3 class="entry-title td-module-title"><a href="http://r/1">x</a></h3><a class="td-post-category"> Tips </a></div>'),
+                                '<h3 class="entry-title td-module-title"><a href="http://r/1">x</a></h3><a class="td-post-category"> Tips </a></div>'
+                                '<div class="td_module_16 td_module_wrap td-animation-stack">'
+                                '<h3 class="entry-title td-module-title"><a href="http://r/2">x</a></h3></div>'),
     ]
     listings = spark.createDataFrame(rows, "site string, url string, page int, html string")
-    got = sorted((r.site, r.pos, r.link, r.badge, r.label) for r in extract.listing_items(listings, listing_rules(spark)).collect())
+    got = sorted((r.site, r.pos, r.link, r.badge, r.label) for r in links.listing_links(listings, listing_rules(spark)).collect())
     assert got == [
         ("carmudi", 0, "http://c/1", None, None),
         ("detik", 0, "/f", "detikFoto", None),
@@ -96,6 +98,11 @@ def test_items(spark):
     ]
 
 
+def test_category_names(spark):
+    df = spark.createDataFrame([("tips-mobil",)], "slug string")
+    assert df.select(plan.readable_category(F.col("slug"))).first()[0] == "tipsmobil"
+
+
 def test_envelope_and_state(spark):
     bodies = spark.createDataFrame([(1, '{"html": "<a>x</a>"}'), (2, '{"html": ""}'), (3, "{}"), (4, "broken")], "k int, body string")
     assert [(r.k, r.html) for r in sources.unwrap_envelope(bodies, "body").collect()] == [(1, "<a>x</a>")]

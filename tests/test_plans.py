@@ -13,7 +13,7 @@ from kliping.session import shuffle_partitions, table
 
 load_all()
 SF = "/root/testdata/sf0.001"
-PYTHON = {"extract_fields", "listing_items", "jsonld_pick", "nfkd_text", "unescape_full"}
+PYTHON = {"extract_fields", "repair_author", "listing_items", "jsonld_pick", "nfkd_text", "unescape_full"}
 
 
 def plan(spark, name):
