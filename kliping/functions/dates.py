@@ -22,7 +22,7 @@ STAMP = "yyyy-MM-dd HH:mm:ss"
 # -----------------------------------------------------------------------------
 
 LOCAL_DATE = (
-    r"(\d{1,2})[\s-]+([A-Za-z]{3,})\.?[\s-]+(\d{4})"
+    r"(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{4})"
     r"(?:[\s,-]+(\d{1,2})[:.](\d{2})(?::(\d{2}))?)?"
 )
 
@@ -46,19 +46,20 @@ def parse_local_dates(text: Column) -> Column:
     ignored, so one expression serves all local-language formats.
     """
 
-    def part(k: int) -> Column:
-        return F.regexp_extract(text, LOCAL_DATE, k)
-
     months = F.create_map(*[F.lit(x) for pair in MONTH_WORDS.items() for x in pair])
-    number = F.try_element_at(months, F.lower(F.substring(part(2), 1, 3)))
+    # One pass of the pattern per text: the groups come back as one list.
+    found = F.regexp_replace(text, rf"(?s)^.*?{LOCAL_DATE}.*$", "$1\u0001$2\u0001$3\u0001$4\u0001$5\u0001$6")
+
+    def stamp(part: Column) -> Column:
+        def number(k: int) -> Column:
+            return F.get(part, k).try_cast("int")
 
-    def clock(k: int) -> Column:
-        return F.coalesce(part(k).try_cast("int"), F.lit(0))
+        month = F.try_element_at(months, F.lower(F.get(part, 1)))
+        clock = [F.coalesce(number(k), F.lit(0)) for k in (3, 4)]
+        second = F.coalesce(F.get(part, 5).try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
+        return F.try_make_timestamp(number(2), month, number(0), *clock, second)
 
-    return F.try_make_timestamp(
-        part(3).try_cast("int"), number, part(1).try_cast("int"),
-        clock(4), clock(5), clock(6).cast("decimal(16,6)"),
-    )
+    return F.get(F.transform(F.array(F.split(found, "\u0001")), stamp), 0)
 
 
 def iso_wallclock(text: Column) -> Column:

@@ -9,6 +9,7 @@ most pages costs no more per page than any other.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,6 +214,27 @@ def banned_words(values: Column, url: Column, banned: Column) -> Column:
     return F.concat(F.lit("word_in_"), F.get(F.filter(banned, hit), 0)["field"])
 
 
+@lru_cache(maxsize=4)
+def _expressions(application: str, kinds: tuple) -> dict[str, Column]:
+    """The large expressions of ``extract_fields``, built once per session.
+
+    They name columns only, so every call (and every batch of a stream) can
+    use them again. ``kinds`` renews them when a rule kind is added.
+    """
+    page = F.col("page")
+    nodes = page["nodes"]
+    # Required parts are rules too, evaluated behind the fields.
+    chains = F.concat("fields", F.transform("required", lambda r: F.array(r["rule"])))
+    body = F.transform("body", lambda r: N.select(nodes, N.root(nodes), r["steps"]))
+    return {
+        "values": F.transform(chains, lambda rules: first_value(page, rules)),
+        "body": F.get(F.flatten(body), 0),
+        "cleanings": F.transform(
+            F.array("drops", "soft_drops"), lambda drops: clean_body(nodes, F.col("b"), F.col("v")["author"], drops)
+        ),
+    }
+
+
 def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per page with the article fields and a ``reject_reason``.
 
@@ -234,23 +256,17 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
     staged = joined.withColumn("page", page).drop("nodes")
 
-    page, values, v = F.col("page"), F.col("values"), F.col("v")
+    values, v = F.col("values"), F.col("v")
     names = FIELDS + CHECKS
-    # Required parts are rules too, evaluated behind the fields.
-    chains = F.concat("fields", F.transform("required", lambda r: F.array(r["rule"])))
-    root = N.root(page["nodes"])
-    body = F.get(F.flatten(F.transform("body", lambda r: N.select(page["nodes"], root, r["steps"]))), 0)
     missing = F.transform(
         "required", lambda r, k: F.when(F.get(values, k + len(names)).isNull(), r["name"])
     )
-    cleanings = F.transform(
-        F.array("drops", "soft_drops"), lambda drops: clean_body(page["nodes"], F.col("b"), v["author"], drops)
-    )
+    made = _expressions(pages.sparkSession.sparkContext.applicationId, tuple(_KINDS.items()))
     found = (
-        staged.withColumn("values", F.transform(chains, lambda rules: first_value(page, rules)))
+        staged.withColumn("values", made["values"])
         .withColumn("v", F.struct(*[F.get(values, k).alias(name) for k, name in enumerate(names)]))
-        .withColumn("b", body)
-        .withColumn("cleanings", cleanings)
+        .withColumn("b", made["body"])
+        .withColumn("cleanings", made["cleanings"])
     )
     strict, soft = F.get("cleanings", 0), F.get("cleanings", 1)
     content = F.when((strict == "") & soft.isNotNull(), soft).otherwise(strict)

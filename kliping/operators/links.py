@@ -79,25 +79,28 @@ def listing_links(listings: DataFrame, rules: DataFrame) -> DataFrame:
     nodes = F.col("nodes")
     chains = F.transform("items", lambda steps: N.select(nodes, N.root(nodes), steps))
     items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
-    rest = [c for c in used if c != "items"]
-    found = flat.select(*carried, "nodes", *rest, F.posexplode(items).alias("pos", "item"))
 
-    def first_text(steps: Column) -> Column:
-        hit = F.get(N.select(nodes, F.array("item"), steps), 0)
+    def first_text(item: Column, steps: Column) -> Column:
+        hit = F.get(N.select(nodes, F.array(item), steps), 0)
         return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n))))
 
-    anchors = F.when(F.size("link") == 0, F.array("item")).otherwise(N.select(nodes, F.array("item"), F.col("link")))
-    targets = F.transform(anchors, lambda n: F.try_element_at(n["attrs"], F.lit("href")))
-    target = F.get(F.array_compact(targets), 0)
-    return (
-        found.select(
-            *carried,
-            "pos",
-            urls.absolute(target, F.coalesce("prefix", F.lit(""))).alias("link"),
-            first_text(F.col("badge")).alias("badge"),
-            first_text(F.col("label")).alias("label"),
-            "needs_label",
+    def read(item: Column) -> Column:
+        anchors = F.when(F.size("link") == 0, F.array(item)).otherwise(N.select(nodes, F.array(item), F.col("link")))
+        targets = F.transform(anchors, lambda n: F.try_element_at(n["attrs"], F.lit("href")))
+        return F.struct(
+            F.get(F.array_compact(targets), 0).alias("target"),
+            first_text(item, F.col("badge")).alias("badge"),
+            first_text(item, F.col("label")).alias("label"),
         )
-        .filter(F.col("link").isNotNull() & (~F.col("needs_label") | F.col("label").isNotNull()))
-        .drop("needs_label")
+
+    # Items are read inside their page, so only small values are exploded.
+    found = flat.select(*carried, "prefix", "needs_label", F.posexplode(F.transform(items, read)).alias("pos", "item"))
+    return found.filter(
+        F.col("item.target").isNotNull() & (~F.col("needs_label") | F.col("item.label").isNotNull())
+    ).select(
+        *carried,
+        "pos",
+        urls.absolute(F.col("item.target"), F.coalesce("prefix", F.lit(""))).alias("link"),
+        "item.badge",
+        "item.label",
     )
