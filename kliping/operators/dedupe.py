@@ -118,7 +118,8 @@ def until_first_seen(
     The stopping place of a listing is an aggregate, so no listing is sorted in
     one task; ``order`` must be unique within a listing.
     """
-    place = F.struct(*order)
+    # A single column keeps the aggregates below in hash tables.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     ok = F.lit(True) if accepted is None else F.coalesce(accepted, F.lit(False))
     narrow = links.select(*by, key, place.alias("_place"), ok.alias("_ok"))
     per_key = narrow.groupBy(*by, key).agg(
