@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kliping.functions import cleanup, dates, urls
@@ -42,6 +44,21 @@ def article_table(pages: DataFrame) -> DataFrame:
     return filters.project_article(dedupe.first_by_key(rows, "url_key", ["page_id"]))
 
 
+def unseen_links(
+    found: DataFrame, store: DataFrame, rules: DataFrame, by: Sequence[str], order: Sequence[str], accepted: Column | None = None
+) -> DataFrame:
+    """Links to follow, by each site's habit.
+
+    Sites listed newest first stop at the first link seen before; of the others
+    every unseen link is taken. ``rules`` is the listing table.
+    """
+    marked = found.join(F.broadcast(rules.select("site", "stops_at_seen")), "site")
+    stops = F.col("stops_at_seen")
+    stopping = dedupe.until_first_seen(marked.filter(stops), store, by, order, accepted=accepted)
+    others = dedupe.new_links(marked.filter(~stops), store)
+    return stopping.unionByName(others).drop("stops_at_seen")
+
+
 def fresh_fields(pages: DataFrame, rules: DataFrame, store: DataFrame) -> DataFrame:
     """Fields of the pages whose address is not stored yet.
 

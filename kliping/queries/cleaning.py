@@ -44,12 +44,13 @@ def drop_ads(spark, sf):
 
 
 @query(f"""
-    SELECT page_id, list_filter({PARAGRAPHS}, lambda p: NOT (contains(lower(p), 'nicht') OR contains(lower(p), 'with'))) AS paragraphs
+    SELECT page_id, array_to_string(list_filter({PARAGRAPHS},
+               lambda p: NOT (contains(lower(p), 'nicht') OR contains(lower(p), 'with'))), '|') AS paragraphs
     FROM pages
 """)
 def drop_phrases(spark, sf):
     kept = cleanup.drop_phrases(_paragraphs(), ["Nicht", "with"])
-    return table(spark, sf, "pages").select("page_id", kept.alias("paragraphs"))
+    return table(spark, sf, "pages").select("page_id", F.array_join(kept, "|").alias("paragraphs"))
 
 
 @query("SELECT page_id, split_part(html, '<footer>', 1) AS html FROM pages")
@@ -58,12 +59,12 @@ def cut_after_marker(spark, sf):
 
 
 @query("""
-    SELECT doc_id, CASE WHEN contains(lower(text), ' the ') THEN l[1:greatest(len(l) - 7, 0)] ELSE l END AS lines
+    SELECT doc_id, array_to_string(CASE WHEN contains(lower(text), ' the ') THEN l[1:greatest(len(l) - 7, 0)] ELSE l END, '|') AS lines
     FROM (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents)
 """)
 def drop_tail(spark, sf):
     lines = cleanup.drop_tail(F.split("text", "\n"), 7, F.col("text"), " THE ")
-    return table(spark, sf, "documents").select("doc_id", lines.alias("lines"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(lines, "|").alias("lines"))
 
 
 @query(rf"""
@@ -113,11 +114,13 @@ def btrim_text(spark, sf):
 
 
 @query(f"""
-    SELECT page_id, list_filter({PARAGRAPHS}, lambda p: p <> {q.text(q.element('html', 'title'))}) AS paragraphs FROM pages
+    SELECT page_id, array_to_string(list_filter({PARAGRAPHS}, lambda p: p <> {q.text(q.element('html', 'title'))}), '|') AS paragraphs
+    FROM pages
 """)
 def drop_byline(spark, sf):
     title = cleanup.html_text(cleanup.element(F.col("html"), "title"))
-    return table(spark, sf, "pages").select("page_id", cleanup.drop_byline(_paragraphs(), title).alias("paragraphs"))
+    kept = cleanup.drop_byline(_paragraphs(), title)
+    return table(spark, sf, "pages").select("page_id", F.array_join(kept, "|").alias("paragraphs"))
 
 
 @query("SELECT doc_id, replace(replace(text, '‘', ''), '''', '') AS text FROM documents")

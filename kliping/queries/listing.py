@@ -6,7 +6,7 @@ from kliping.functions import urls
 from kliping.operators import links
 from kliping.plans import listings
 from kliping.queries import sqltext as q
-from kliping.queries.registry import query
+from kliping.queries.registry import days_as_text, query
 from kliping.session import table
 
 SPAN = """
@@ -38,20 +38,20 @@ def _grid(spark, sf):
     return listings.seed_grid(kinds, low, high)
 
 
-@query(f"SELECT event_type, lo + n::INTEGER AS date FROM ({SPAN}) s, range(0, hi - lo) t(n)")
+@query(f"SELECT event_type, (lo + n::INTEGER)::VARCHAR AS date FROM ({SPAN}) s, range(0, hi - lo) t(n)")
 def date_range(spark, sf):
     day = F.to_date("ts")
     spans = table(spark, sf, "events").groupBy("event_type").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    return listings.explode_dates(spans, F.col("lo"), F.col("hi")).select("event_type", "date")
+    return days_as_text(listings.explode_dates(spans, F.col("lo"), F.col("hi")).select("event_type", "date"))
 
 
-@query(GRID)
+@query(f"SELECT event_type, date::VARCHAR AS date FROM ({GRID})")
 def seed_grid(spark, sf):
-    return _grid(spark, sf)
+    return days_as_text(_grid(spark, sf))
 
 
 @query(f"""
-    SELECT g.site, g.cat_ord, g.date,
+    SELECT g.site, g.cat_ord, g.date::VARCHAR AS date,
            CASE WHEN g.date = s.date AND g.cat_ord = s.cat_ord THEN s.page ELSE 1 END AS first_page
     FROM (SELECT c.site, c.cat_ord, d.date FROM ({SITES}) c JOIN ({GRID}) d ON d.event_type = c.site) g
     LEFT JOIN ({STOPPED}) s ON s.site = g.site
@@ -71,11 +71,11 @@ def resume_slice(spark, sf):
         .agg(F.max_by(place, highest).alias("stopped"))
         .select("site", "stopped.*")
     )
-    return listings.pending(grid, state).select("site", "cat_ord", "date", "first_page")
+    return days_as_text(listings.pending(grid, state).select("site", "cat_ord", "date", "first_page"))
 
 
 @query(f"""
-    SELECT event_type, date, page,
+    SELECT event_type, date::VARCHAR AS date, page,
            'https://' || event_type || '.example.com/indeks/' || page || '?date='
              || strftime(date, '%m/%d/%Y') || '&day=' || day(date) || '&offset=' || ((page - 1) * 15) AS listing_url
     FROM ({GRID}) g,
@@ -91,7 +91,7 @@ def listing_urls(spark, sf):
     )
     template = F.lit("https://{cat}.example.com/indeks/{page}?date={MM}/{dd}/{yyyy}&day={d}&offset={offset}")
     url = listings.fill_template(template, F.col("event_type"), F.col("date"), F.col("page"), F.lit(15))
-    return grid.select("event_type", "date", "page", url.alias("listing_url"))
+    return days_as_text(grid.select("event_type", "date", "page", url.alias("listing_url")))
 
 
 @query("""

@@ -5,34 +5,34 @@ from pyspark.sql import functions as F
 from kliping.functions import urls
 from kliping.operators import audit
 from kliping.queries import sqltext as q
-from kliping.queries.registry import query
+from kliping.queries.registry import days_as_text, query
 from kliping.session import table
 
 
 @query("""
-    SELECT event_type, ts::DATE AS day, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at
+    SELECT event_type, ts::DATE::VARCHAR AS day, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at
     FROM events GROUP BY ALL
 """)
 def coverage(spark, sf):
-    return audit.coverage(table(spark, sf, "events"), "ts", ["event_type"])
+    return days_as_text(audit.coverage(table(spark, sf, "events"), "ts", ["event_type"]))
 
 
 @query("""
-    SELECT event_type, ts::DATE AS day, count(*) AS n FROM events
-    GROUP BY ROLLUP (event_type, ts::DATE)
+    SELECT event_type, day::VARCHAR AS day, count(*) AS n FROM (SELECT event_type, ts::DATE AS day FROM events)
+    GROUP BY ROLLUP (event_type, day)
 """)
 def coverage_rollup(spark, sf):
-    return audit.coverage_rollup(table(spark, sf, "events"), "ts", ["event_type"])
+    return days_as_text(audit.coverage_rollup(table(spark, sf, "events"), "ts", ["event_type"]))
 
 
 @query("""
     WITH days AS (SELECT DISTINCT user_id, ts::DATE AS day FROM events),
     spans AS (SELECT user_id, min(day) AS lo, max(day) AS hi FROM days GROUP BY user_id),
     expected AS (SELECT user_id, lo + n::INTEGER AS day FROM spans, range(0, 10000) t(n) WHERE lo + n::INTEGER <= hi)
-    SELECT * FROM expected EXCEPT SELECT * FROM days
+    SELECT user_id, day::VARCHAR AS day FROM (SELECT * FROM expected EXCEPT SELECT * FROM days)
 """)
 def missing_days(spark, sf):
-    return audit.missing_days(table(spark, sf, "events"), "ts", "user_id")
+    return days_as_text(audit.missing_days(table(spark, sf, "events"), "ts", "user_id"))
 
 
 @query(f"""
@@ -68,11 +68,11 @@ def fill_rates(spark, sf):
 
 @query("""
     WITH daily AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL)
-    SELECT *, lag(day) OVER w AS previous_day, (day - lag(day) OVER w)::INTEGER AS gap_days
+    SELECT user_id, day::VARCHAR AS day, n, (lag(day) OVER w)::VARCHAR AS previous_day, (day - lag(day) OVER w)::INTEGER AS gap_days
     FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY day)
 """)
 def publish_gaps(spark, sf):
-    return audit.publish_gaps(table(spark, sf, "events"), "ts", "user_id")
+    return days_as_text(audit.publish_gaps(table(spark, sf, "events"), "ts", "user_id"))
 
 
 @query("""

@@ -36,9 +36,9 @@ def plain(value):
     if isinstance(value, bool):
         return f"b:{value}"
     if isinstance(value, (float, decimal.Decimal)):
-        return "NaN" if math.isnan(value) else f"n:{float(value):.9g}"
+        return "NaN" if math.isnan(value) else f"n:{float(value)!r}"
     if isinstance(value, int):
-        return f"n:{value}"
+        return f"n:{float(value)!r}"
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(value, (list, tuple)):

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kliping.operators import dedupe, filters, links
+from kliping.plans import articles
+from kliping.rules.listings import listing_rules
 
 
 def like(pattern, text):
@@ -77,6 +79,14 @@ def test_rejected_copy_does_not_stop(spark):
     assert sorted(r.pos for r in got.collect()) == [1, 2, 3]
 
 
+def test_each_site_has_its_habit(spark):
+    rows = [(site, pos, key) for site in ("oto", "detik") for pos, key in enumerate("abcd")]
+    found = spark.createDataFrame(rows, "site string, pos int, url_key string")
+    store = spark.createDataFrame([("b",)], "url_key string")
+    got = articles.unseen_links(found, store, listing_rules(spark), ["site"], ["pos"])
+    assert sorted((r.site, r.url_key) for r in got.collect()) == [("detik", "a"), ("detik", "c"), ("detik", "d"), ("oto", "a")]
+
+
 def test_first_by_key_with_a_hot_key(spark):
     rows = spark.range(20000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("url_key"))
     first = dedupe.first_by_key(rows.repartition(8), "url_key", ["id"])
