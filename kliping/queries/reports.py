@@ -68,11 +68,12 @@ def fill_rates(spark, sf):
 
 @query("""
     WITH daily AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL)
-    SELECT user_id, day::VARCHAR AS day, n, (lag(day) OVER w)::VARCHAR AS previous_day, (day - lag(day) OVER w)::INTEGER AS gap_days
+    SELECT user_id, day::VARCHAR AS day, n, (lag(day) OVER w)::VARCHAR AS previous_day, (day - lag(day) OVER w)::DOUBLE AS gap_days
     FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY day)
 """)
 def publish_gaps(spark, sf):
-    return days_as_text(audit.publish_gaps(table(spark, sf, "events"), "ts", "user_id"))
+    gaps = audit.publish_gaps(table(spark, sf, "events"), "ts", "user_id")
+    return days_as_text(gaps.withColumn("gap_days", F.col("gap_days").cast("double")))
 
 
 @query("""

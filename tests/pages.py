@@ -126,4 +126,92 @@ PAGES = {
         """<ol class="breadcrumb"><li>a<li>Tips<li>x</ol><div class="post-wrapper"><meta itemprop="datePublished" content="2018-08-11 14:15:16.0">
         <div class="post-text"><figure>f</figure><p>isi</p></div></div>""",
     ),
+    "idntimes_one_block": ("idntimes", "https://www.idntimes.com/c", "tech", None, ld('{"headline": "x"}') + "<section class='content-post clearfix'></section>"),
+    "otodriver_no_article": ("otodriver", "http://otodriver.com/x", "", "tips", "<p>isi</p>"),
+    "rumah_no_title": ("rumah", "https://www.rumah.com/berita/2", "", None, "<div class='contents news-detail'><div class='news-article-body'>x</div></div>"),
+    "detik_one_crumb": ("detik", "https://x.detik.com/6", "news", None,
+        "<div class='breadcrumb'><a>Beranda</a></div><article><div class='detail_text'>isi</div></article>"),
+    "gridoto": (
+        "gridoto", "https://www.gridoto.com/read/1?page=all", "Otomotif", "Motor",
+        ld('{"headline": "bukan"}') + ld('{"headline": "Judul G"}')
+        + """<meta name="content_date" content="2018-08-12 13:14:15"><meta name="content_id" content="221"><meta name="content_author" content="Ina">
+        <meta name="content_tag" content="x,y"><meta property="og:image" content="g.jpg"><div class="read__article clearfix"><div class="read__right">
+        <p>isi</p><p><strong>Baca: lain</strong> dan ekor</p><p><strong>tebal</strong></p><noscript>n</noscript></div></div>""",
+    ),
+    "housingestate": (
+        "housingestate", "http://housingestate.id/read/1", "", None,
+        """<meta property="article:section" content="Berita"><meta property="article:published_time" content="2018-08-13T01:02:03+00:00">
+        <meta property="og:title" content="Judul H"><meta property="article:tag" content="griya"><div id="ajax-load-more" data-post-id="31"></div>
+        <div id="post-content"><span class="author">Joko</span><div class="content-txt"><div><script>s</script>x</div>isi</div></div>""",
+    ),
+    "kompas": (
+        "kompas", "https://nasional.kompas.com/read/1", "news", None,
+        """<meta name="cXenseParse:articleid" content="501"><meta name="content_PublishedDate" content="2018-08-14 05:06:07"><meta name="content_tag" content="p,q">
+        <ul class="breadcrumb__wrap"><li>Home<li>News<li>Nasional</ul><h1 class="read__title">Judul K</h1><div class="read__author">Kiki</div>
+        <div class="read__content"><p>isi</p><p><strong>Baca juga: lain</strong></p><p><strong>Baca</strong> buku</p></div>""",
+    ),
+    "liputan6": (
+        "liputan6", "https://www.liputan6.com/news/read/9", "", None,
+        """<meta property="og:title" content="Judul L"><article class="hentry main read-page--core-article" data-article-id="3605"></article>
+        <ul class="read-page--breadcrumb"><a>Home</a><a>News</a><a>Politik</a></ul>
+        <p class="read-page--header--author__datetime-wrapper"><time datetime="2018-08-15 08:09:10">x</time></p>
+        <a class="read-page--header--author__link url fn"><span class="read-page--header--author__name fn">Lia</span></a>
+        <li class="read-page--social-share__list-item js-social-share-comment"><a><span class="read-page--social-share__comment-total"> 6 </span></a></li>
+        <span class="tags--snippet__name">a</span><span class="tags--snippet__name">b</span><picture class="read-page--photo-gallery--item__picture"><img src="l.jpg"></picture>
+        <div class="article-content-body__item-content"><p>isi</p><div class="baca-juga">x</div><p>Saksikan video pilihan di bawah ini</p></div>""",
+    ),
+    "liputan6_photo": ("liputan6", "https://www.liputan6.com/foto/1", "", None,
+        "<meta property='og:title' content='FOTO: x'><ul class='read-page--breadcrumb'><a>a</a><a>b</a></ul><div class='article-content-body__item-content'>x</div>"),
+    "mobil123": (
+        "mobil123", "https://www.mobil123.com/berita/1", "", None,
+        """<div class="article__content--header"><a>Tips</a><a>x</a></div><meta name="ga:cns:details:news_id" content="88"><meta name="ga:cns:details:author" content="Mia">
+        <meta name="keywords" content="k1, k2"><h1 class="article__title push-quarter--bottom">Judul B</h1>
+        <div class="article__meta"><span itemprop="datePublished">16 Agustus 2018 11:12</span></div><div itemprop="image"><img data-src="m.jpg"></div>
+        <div class="article__story-more"><p>isi</p><small>kecil</small><p>Temukan mobil idaman di <a>Mobil123</a></p>
+        <p>Mari bergabung bersama kami di <a>Facebook</a> dan <a>Twitter</a></p></div>""",
+    ),
+    "oto": (
+        "oto", "https://www.oto.com/berita-motor/judul-berita-2197400012", "", "berita",
+        ld('{"datePublished": "2018-08-17T13:14:15+07:00", "keywords": "o1,o2"}')
+        + """<article class="newslistouter container-base"><h1>Judul O</h1></article><ul class="breadcrumb"><li>Home<li>Motor<li>x</ul>
+        <div class="publish-cont"><a>Nana</a></div><div class="content"><img src="o.jpg"><p>isi</p><div>x</div><p>Sumber: y</p></div>""",
+    ),
+    "otosia": (
+        "otosia", "https://www.otosia.com/berita/1.html", "", None,
+        """<div id="v5-navigation"><a>Home</a><a>Berita</a></div><span class="newsdetail-schedule">Jumat, 17 Agustus 2018 14:15</span>
+        <span class="newsdetail-schedule">Editor : Oki | x</span><h1 class="OtoDetailT">Judul Q</h1><div class="detags"><a>q</a></div>
+        <div id="mobart-detail"><img class="lazy_loaded" data-src="q.jpg"></div><div class="OtoDetailNews">isi satu<table><tr><td>x</table></div>""",
+    ),
+    "propertiterkini": (
+        "propertiterkini", "https://www.propertiterkini.com/x/", "", None,
+        """<h1 class="name post-title entry-title"><span>Judul P</span></h1><div id="crumbs"><a>Home</a><a>Berita</a></div>
+        <meta property="article:published_time" content="2018-08-18T16:17:18+07:00"><span class="post-meta-author">Putri</span><p class="post-tag"><a>p1</a><a>p2</a></p>
+        <div class="single-post-thumb"><img src="p.jpg"></div><div class="entry"><p>isi</p><ul><li>x</ul><p>Baca juga: y</p>
+        <div class="sharedaddy sd-sharing-enabled">s</div><section id="related_posts">r</section><p>PropertiTerkini.com z</p></div>""",
+    ),
+    "rumahhokie": (
+        "rumahhokie", "http://www.rumahhokie.com/beritaproperti/x", "", "Tips",
+        """<link rel="shortlink" href="http://www.rumahhokie.com/beritaproperti/?p=2750"><meta property="article:published_time" content="2018-08-19T01:01:01+00:00">
+        <h1 class="entry-title">Judul Z</h1><div class="td-post-author-name">By <a>Rara</a></div><div class="td-ss-main-content"><div class="td-post-content"><p>isi</p>
+        <ul><li><em>Baca: x</em></ul><ul><li><em>daftar</em></ul></div></div>""",
+    ),
+    "seva": (
+        "seva", "https://www.seva.id/otomotif/blog/x", "otomotif", "tips",
+        """<link rel="shortlink" href="https://www.seva.id/otomotif/?p=910"><meta property="article:published_time" content="2018-08-20T02:02:02+00:00">
+        <div class="news-content border-list"><div class="title"><h1>Judul W</h1></div><div class="content">isi &amp;amp; lain</div></div>
+        <div class="col-md-8"><div class="col-md-10"><div class="details">Sari</div></div></div>""",
+    ),
+    "tribun": (
+        "tribun", "http://www.tribunnews.com/nasional/x?page=all", "", None,
+        ld('{"datePublished": "2018-08-21T03:03:03+07:00", "headline": "Judul U", "author": {"name": "Tari"}, "image": {"url": "u.jpg"}}')
+        + """<meta name="cXenseParse:category" content="Nasional"><meta name="cXenseParse:category" content="Politik"><meta property="android:app_id" content="664">
+        <div id="article_con"><div class="mb10 f16 ln24 mb10 mt5"><a>#t1</a><a>#t2</a></div><div class="side-article txt-article"><p>isi</p>
+        <p class="baca"><strong>Baca: x</strong></p><p class="baca">tetap</p></div></div>""",
+    ),
+    "tribun_no_category": ("tribun", "http://www.tribunnews.com/y", "", None,
+        ld('{"headline": "x"}') + "<div id='article_con'><div class='side-article txt-article'>isi</div></div>"),
+    "rumah123_nested_paragraph": (
+        "rumah123", "https://artikel.rumah123.com/lagi-56", "", None,
+        """<ol class="breadcrumb"><li>a<li>Photo<li>x</ol><div class="post-wrapper"><div class="post-text"><p>isi</p></div></div>""",
+    ),
 }

@@ -50,6 +50,11 @@ def test_reject_reasons(rows):
         "antara_segment": "word_in_segment",
         "antara_no_jsonld": "jsonld",
         "tirto_caption": "word_in_caption",
+        "idntimes_one_block": "jsonld",
+        "otodriver_no_article": "article",
+        "rumah_no_title": "title",
+        "liputan6_photo": "word_in_title",
+        "rumah123_nested_paragraph": "word_in_subcategory",
     }
 
 
@@ -106,6 +111,38 @@ def test_keys_and_bylines(rows):
     assert rows["tirto_second_div"].author == "Hadi" and rows["tirto_second_div"].source == "tirto.id"
 
 
+FULL = {
+    # name: post_id, author, pubdate, category, subcategory, title, tags, images, comments, content
+    "gridoto": (221, "Ina", stamp(2018, 8, 12, 13, 14, 15), "Otomotif", "Motor", "Judul G", "x,y", "g.jpg", 0, "isitebal"),
+    "housingestate": (31, "Joko", stamp(2018, 8, 13, 1, 2, 3), "Properti", "Berita", "Judul H", "griya", "", 0, "isi"),
+    "kompas": (501, "Kiki", stamp(2018, 8, 14, 5, 6, 7), "news", "Nasional", "Judul K", "p,q", "", 0, "isiBacabuku"),
+    "liputan6": (3605, "Lia", stamp(2018, 8, 15, 8, 9, 10), "News", "Politik", "Judul L", "a,b", "l.jpg", 6, "isi"),
+    "mobil123": (88, "Mia", stamp(2018, 8, 16, 11, 12), "Otomotif", "Tips", "Judul B", "k1, k2", "m.jpg", 0, "isi"),
+    "oto": (12, "Nana", stamp(2018, 8, 17, 13, 14, 15), "Otomotif", "Motor", "Judul O", "o1,o2", "o.jpg", 0, "isi"),
+    "otosia": (None, "Oki", stamp(2018, 8, 17, 14, 15), "Otomotif", "Berita", "Judul Q", "q", "q.jpg", 0, "isi satu"),
+    "propertiterkini": (None, "Putri", stamp(2018, 8, 18, 16, 17, 18), "properti", "Berita", "Judul P", "p1,p2", "p.jpg", 0, "isi"),
+    "rumahhokie": (2750, "Rara", stamp(2018, 8, 19, 1, 1, 1), "Properti", "Tips", "Judul Z", "", "", 0, "isidaftar"),
+    "seva": (910, "Sari", stamp(2018, 8, 20, 2, 2, 2), "otomotif", "tips", "Judul W", "", "", 0, "isi & lain"),
+    "tribun": (664, "Tari", stamp(2018, 8, 21, 3, 3, 3), "Nasional", "Politik", "Judul U", "t1,t2", "u.jpg", 0, "isitetap"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(FULL))
+def test_whole_record(rows, name):
+    r = rows[name]
+    post_id, *rest = FULL[name]
+    if post_id is None:
+        post_id = int(r.pubdate.replace(tzinfo=dt.timezone.utc).timestamp()) + len(r.url)
+    got = (r.post_id, r.author, r.pubdate, r.category, r.subcategory, r.title, r.tags, r.images, r.comments, r.content)
+    assert got == (post_id, *rest)
+    assert r.reject_reason is None
+
+
+def test_fallback_values(rows):
+    assert (rows["tribun_no_category"].category, rows["tribun_no_category"].subcategory) == ("Berita", "")
+    assert rows["detik_one_crumb"].subcategory == "" and rows["detik_one_crumb"].reject_reason is None
+
+
 def test_section_numbers_and_double_escapes(spark):
     article = '<div class="left-content"><div class="entry-content detail-content">isi</div></div>'
     data = [
