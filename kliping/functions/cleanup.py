@@ -97,7 +97,9 @@ def html_text(html: Column) -> Column:
 
 def strip_control(text: Column) -> Column:
     """Line feeds, tabs and carriage returns vanish; they become no spaces."""
-    return F.translate(text, "\n\t\r", "")
+    for control in "\n\t\r":
+        text = F.replace(text, F.lit(control), F.lit(""))
+    return text
 
 
 def truncate_phrase(text: Column, phrase: str) -> Column:

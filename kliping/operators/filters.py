@@ -38,7 +38,9 @@ def drop_mentions(df: DataFrame, columns: Sequence[str], words: Sequence[str]) -
 
 
 def on_date(df: DataFrame, stamp: str, date: Column) -> DataFrame:
-    return df.filter(F.to_date(stamp) == date)
+    """Rows of one day, as a range of the column so that it reaches the scan."""
+    kind = df.schema[stamp].dataType
+    return df.filter((F.col(stamp) >= date.cast(kind)) & (F.col(stamp) < F.date_add(date, 1).cast(kind)))
 
 
 def reject_reason(required: Mapping[str, Column]) -> Column:

@@ -37,6 +37,7 @@ def test_columns_are_pruned(spark):
 def test_filters_are_pushed(spark):
     assert "EqualTo(source,src3), StringContains(text,the)], ReadSchema" in plan(spark, "scan_store")
     assert "StringStartsWith(url,http:)" in plan(spark, "new_links")
+    assert "GreaterThanOrEqual(ts,2024-01-15T00:00), LessThan(ts,2024-01-16T00:00)" in plan(spark, "filter_date")
 
 
 @pytest.mark.parametrize("name", ["latest_n", "first_by_url", "article_table"])
