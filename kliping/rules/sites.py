@@ -41,6 +41,16 @@ READ_PARAGRAPH = drop("p", child="strong", phrase="baca")
 READ_LIST = drop("ul", child="em", phrase="baca")
 WIDGETS = [SCRIPTED_DIV, SCRIPT, NOSCRIPT]
 
+# --- fixed values: sites of one sector carry it as their category -----------------
+SECTORS = {
+    "Otomotif": [
+        "carmudi", "carreview", "cintamobil", "gridoto", "mobil123", "oto", "otodriver", "otomart", "otorider",
+        "otosia", "rajamobil",
+    ],
+    "Properti": ["housingestate", "rumah", "rumah123", "rumahhokie"],
+    "properti": ["propertiterkini", "rumahku"],
+}
+
 # --- fixed values: sites ---------------------------------------------------------
 SITES = {
     "antara": {
@@ -68,7 +78,6 @@ SITES = {
             "title": [node(at("article", "vw-main-post"), at("h1", "entry-title"))],
             "pubdate": [node(at("article", "vw-main-post"), at("time", "datePublished", "itemprop"), take="datetime")],
             "author": [node(at("article", "vw-main-post"), at("a", "author-name"))],
-            "category": [const("Otomotif")],
             "subcategory": [
                 node(at("div", "vw-breadcrumb vw-breadcrumb-envirra"), at("span", "v:Breadcrumb", "typeof", 2))
             ],
@@ -84,7 +93,6 @@ SITES = {
             "title": [node(at("div", "left-content"), at("h1", "entry-title"))],
             "pubdate": [node(at("div", "left-content"), at("li", "publish-date"))],
             "author": [node(at("div", "left-content"), at("span", "author", "itemprop"))],
-            "category": [const("Otomotif")],
             "tags": [node(at("div", "left-content"), at("div", "post-meta"), every("a"), remove="#")],
         },
         "body": [node(at("div", "left-content"), at("div", "entry-content"))],
@@ -102,7 +110,6 @@ SITES = {
             "author": [
                 node(at("div", "list-review w--100 pull-left"), at("span", "blue-clr text-right full-width display-ib"))
             ],
-            "category": [const("Otomotif")],
             "tags": [
                 node(at("div", "list-review w--100 pull-left"), at("div", "w--100 pull-left text-left mg-top-20"), every("a"))
             ],
@@ -141,7 +148,6 @@ SITES = {
             "title": [ld("$.headline", "last")],
             "pubdate": [meta("content_date", "name")],
             "author": [meta("content_author", "name")],
-            "category": [const("Otomotif")],
             "tags": [meta("content_tag", "name")],
         },
         "required": [NEED_JSONLD],
@@ -152,7 +158,6 @@ SITES = {
         "fields": {
             "post_id": [node(at("div", "ajax-load-more", "id"), take="data-post-id")],
             "author": [node(at("div", "post-content", "id"), at("span", "author"))],
-            "category": [const("Properti")],
             "subcategory": [meta("article:section")],
             "tags": [meta("article:tag")],
         },
@@ -235,7 +240,6 @@ SITES = {
             "title": [node(at("h1", "article__title push-quarter--bottom"))],
             "pubdate": [node(at("div", "article__meta"), at("span", "datePublished", "itemprop"))],
             "author": [meta("ga:cns:details:author", "name")],
-            "category": [const("Otomotif")],
             "subcategory": [node(at("div", "article__content--header"), at("a"))],
             "tags": [meta("keywords", "name")],
             "images": [node(at("div", "image", "itemprop"), at("img"), take="data-src")],
@@ -274,7 +278,6 @@ SITES = {
             "title": [node(at("article", "newslistouter container-base"), at("h1"))],
             "pubdate": [ld("$.datePublished", "last")],
             "author": [node(at("div", "publish-cont"), at("a"))],
-            "category": [const("Otomotif")],
             "subcategory": [node(at("ul", "breadcrumb"), at("li", pick=-2))],
             "tags": [ld("$.keywords", "last")],
             "images": [node(at("div", "content"), at("img"), take="src")],
@@ -288,7 +291,6 @@ SITES = {
         "fields": {
             "pubdate": [node(at("div", "left-content"), at("meta", "datePublished", "itemprop"), take="content")],
             "author": [meta("article:author")],
-            "category": [const("Otomotif")],
             "tags": [node(at("div", "left-content"), at("div", "post-meta"), every("a"), remove="#")],
             "images": [meta("twitter:image")],
         },
@@ -302,7 +304,6 @@ SITES = {
         "fields": {
             "title": [node(at("h1", "entry-title"))],
             "author": [node(at("span", "vcard author"), at("span", "fn"))],
-            "category": [const("Otomotif")],
             "subcategory": [node(at("a", "category tag", "rel"))],
             "tags": [node(every("meta", "article:tag", "property"), take="content")],
             "images": [meta("og:image:secure_url")],
@@ -321,7 +322,6 @@ SITES = {
                 node(at("span", "newsdetail-schedule", pick=2), pattern=r"^(?:Editor ?: ?)?(.*?)(?: \| .*)?$"),
                 node(at("span", "reporter"), pattern=r"^(?:Editor ?: ?)?(.*?)(?: \| .*)?$"),
             ],
-            "category": [const("Otomotif")],
             "subcategory": [node(at("div", "v5-navigation", "id"), at("a", pick=-1))],
             "tags": [node(at("div", "detags"), every("a"))],
             "images": [node(at("div", "mobart-detail", "id"), at("img", "lazy_loaded"), take="data-src")],
@@ -335,7 +335,6 @@ SITES = {
         "fields": {
             "title": [node(at("h1", "name post-title entry-title"), at("span"), take="string")],
             "author": [node(at("span", "post-meta-author"))],
-            "category": [const("properti")],
             "subcategory": [node(at("div", "crumbs", "id"), at("a", pick=-1), take="string")],
             "tags": [node(at("p", "post-tag"), every("a"))],
             "images": [node(at("div", "single-post-thumb"), at("img"), take="src")],
@@ -354,7 +353,6 @@ SITES = {
             "post_id": [node(at("input", "comment_post_ID", "id"), take="value")],
             "title": [node(at("h1", "entry-title"))],
             "author": [node(at("div", "td-post-author-name"), at("a"))],
-            "category": [const("Otomotif")],
             "tags": [node(at("div", "td-pb-span8 td-main-content"), every("meta", "article:tag", "property"), take="content")],
         },
         "banned": [MEDIA_SEGMENTS],
@@ -369,7 +367,6 @@ SITES = {
                 node(at("div", "contents news-detail"), at("span", "datePublished", "itemprop"), take="content")
             ],
             "author": [node(at("div", "contents news-detail"), at("p", "news-quick-info"), at("span"))],
-            "category": [const("Properti")],
             "subcategory": [node(at("ol", "breadcrumb"), at("li", pick=2))],
         },
         "required": [need("title", at("meta", "og:title", "property"))],
@@ -381,7 +378,6 @@ SITES = {
             "post_id": [url("([^-]*)$")],
             "pubdate": [node(at("div", "post-wrapper"), at("meta", "datePublished", "itemprop"), take="content")],
             "author": [node(at("div", "post-wrapper"), at("div", "post-author"))],
-            "category": [const("Properti")],
             "subcategory": [node(at("ol", "breadcrumb"), at("li", pick=-2))],
         },
         "required": [need("article", at("div", "post-wrapper"))],
@@ -394,7 +390,6 @@ SITES = {
             "post_id": [node(at("link", "shortlink", "rel"), take="href", pattern=r"\?p=(\d+)")],
             "title": [node(at("h1", "entry-title"))],
             "author": [node(at("div", "td-post-author-name"), at("a"))],
-            "category": [const("Properti")],
             "tags": [node(at("div", "td-ss-main-content"), every("meta", "article:tag", "property"), take="content")],
         },
         "banned": [MEDIA_SEGMENTS],
@@ -409,7 +404,6 @@ SITES = {
             "author": [
                 node(at("div", "title-article margin-bottom-4"), at("label", "normal t-purple"), take="string")
             ],
-            "category": [const("properti")],
             "subcategory": [node(at("div", "container"), at("ul"), at("li", pick=-2), take="string")],
         },
         "required": [need("breadcrumb", at("div", "container"), at("ul"))],
@@ -537,7 +531,8 @@ register_rule_kind("section", section_name)
 
 
 def rule_row(site: str, rules: dict) -> dict:
-    fields = DEFAULT_FIELDS | rules.get("fields", {})
+    sector = {"category": [const(name)] for name, sites in SECTORS.items() if site in sites}
+    fields = DEFAULT_FIELDS | sector | rules.get("fields", {})
     return {
         "site": site,
         "source": rules.get("source", site),
