@@ -42,7 +42,7 @@ HEAD = 1 << 14  # bytes inflated to validate a candidate
 BLOCK = 1 << 20  # bytes read at once
 RANGE_BYTES = 8 << 20
 LEAST = 100
-RECORD = StructType.fromDDL(
+RECORD = (
     "id string, url string, record_type string, refers_to string, payload_digest string, payload binary,"
     " payload_bytes long"
 )
@@ -207,7 +207,7 @@ def read_archive(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES,
 
     The payload of a ``response`` is checked against its digest and length.
     """
-    out = to_arrow_schema(RECORD)
+    out = to_arrow_schema(StructType.fromDDL(RECORD))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
