@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import sharding, warc
+from kliping.llm import quality, secrets, sharding, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
 
 
+@query("op3_secrets")
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fitted(docs)).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_quality")
+def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op8_sharding")
 def sharding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shuffled(table(spark, sf_dir, "documents"), shards=24)
