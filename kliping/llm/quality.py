@@ -28,9 +28,8 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from kliping.llm.shared import map_slices, stored
+from kliping.llm.shared import map_slices, schema_of, stored
 
 SHARE = 0.02
 LEAST = 20
@@ -92,10 +91,10 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
                 place.append(value)
         return out
 
-    schema = StructType([StructField("id", docs.schema[id_col].dataType)]).add("host", "string").add("digest", "long")
-    for name in COUNTS:
-        schema = schema.add(name, "long")
-    schema = schema.add("lines", ArrayType(LongType())).add("line_words", ArrayType(IntegerType()))
+    schema = schema_of(
+        id=docs.schema[id_col].dataType, host="string", digest="long", **dict.fromkeys(COUNTS, "long"),
+        lines="array<long>", line_words="array<int>",
+    )
     texts = docs.select(
         F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"),
         F.xxhash64(text_col).alias("digest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import quality, secrets, sharding, warc
+from kliping.llm import decontaminate, quality, secrets, sharding, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -17,6 +17,15 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fitted(docs)).withColumnRenamed("id", "doc_id")
 
 
+@query("op4_decontamination")
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+        F.size("near").cast("long").alias("n_near_items"),
+    )
+
+
 @query("op5_quality")
 def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

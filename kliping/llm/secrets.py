@@ -30,10 +30,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from kliping.llm.shared import map_slices
+from kliping.llm.shared import map_slices, schema_of
 
 # Fixed values.
 ASSIGN = re.compile(
@@ -218,7 +217,7 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", per_kind: int = PER
 
     found = map_slices(
         docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), smallest,
-        StructType.fromDDL("kind string, hash long, token string"),
+        schema_of(kind="string", hash="long", token="string"),
     ).groupBy("kind", "hash", "token").agg(F.lit(1).alias("one"))
     rank = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "token"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= per_kind).select("kind", "token")
@@ -254,9 +253,10 @@ def scan(
             out[6].append(len(more))
         return out
 
-    schema = StructType([StructField("id", docs.schema[id_col].dataType)]).add("n_assign", "long").add(
-        "n_access", "long").add("n_hex", "long").add("base_sha256", "string").add("spans", "string").add(
-        "n_format", "long")
+    schema = schema_of(
+        id=docs.schema[id_col].dataType, n_assign="long", n_access="long", n_hex="long", base_sha256="string",
+        spans="string", n_format="long",
+    )
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return map_slices(texts, rows, schema)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 SLICE = 512  # rows handled at once inside a task
 
@@ -57,3 +57,9 @@ def map_slices(
 
     return df.mapInArrow(run, schema)
 
+
+def schema_of(**types: str | DataType) -> StructType:
+    """A schema from names and types, the latter as SQL text or as they are."""
+    return StructType(
+        [StructField(n, t if isinstance(t, DataType) else StructType.fromDDL(f"x {t}")[0].dataType) for n, t in types.items()]
+    )

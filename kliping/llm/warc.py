@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from kliping.llm.shared import map_slices, stored
+from kliping.llm.shared import map_slices, schema_of, stored
 
 MAGIC = b"\x1f\x8b\x08"
 HEAD = 1 << 14  # bytes inflated to validate a candidate
@@ -116,7 +116,7 @@ def write_archive(
     """Write one record per row under ``path``."""
     kinds = record_kinds(pages, id_col, payload_col, url_col, least)
     members = map_slices(
-        kinds.select("id", "url", "payload", "digest", "refers_to"), _members, StructType.fromDDL("member binary")
+        kinds.select("id", "url", "payload", "digest", "refers_to"), _members, schema_of(member="binary")
     )
     members.select(F.col("member").cast("string")).write.option("lineSep", "\x00").text(path)
 
