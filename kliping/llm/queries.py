@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, quality, secrets, sharding, warc
+from kliping.llm import decontaminate, near_dedup, quality, secrets, sharding, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -31,6 +31,12 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op7_near_duplicates")
+def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.grouped(table(spark, sf_dir, "documents"), shingle=4)
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @query("op8_sharding")
 def sharding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shuffled(table(spark, sf_dir, "documents"), shards=24)
