@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, near_dedup, quality, secrets, sharding, warc
+from kliping.llm import decontaminate, near_dedup, quality, secrets, sharding, substring_dedup, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -53,3 +53,10 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op10_substring_dedup")
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )

@@ -50,7 +50,7 @@ def map_slices(
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 columns = fn(*first, [c.to_pylist() for c in part.columns])
-                if columns[0]:
+                if len(columns[0]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out
                     )
