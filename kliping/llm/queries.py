@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, near_dedup, quality, secrets, sharding, substring_dedup, warc
+from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, sharding, substring_dedup, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
 
 
+@query("op1_line_dedup", line_dedup.deduplicated_sql())
+def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, lost = line_dedup.marked(table(spark, sf_dir, "documents"))
+    text = F.col("text")
+    return docs.select(
+        "doc_id", F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias("n_lines"),
+        F.size(lost).cast("long").alias("n_deleted"),
+        F.sha2(F.coalesce(line_dedup.kept_text(text, lost), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query("op3_secrets")
 def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
