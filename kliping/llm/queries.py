@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, sharding, substring_dedup, warc
+from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, sharding, substring_dedup, toxicity, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -42,6 +42,19 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def held_out() -> F.Column:
+    """Whether the row's label may not be learned from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query("op6_toxicity")
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    grammar = toxicity.fitted(docs, labels.filter(~held_out()))
+    scores = toxicity.scored(docs, grammar).withColumnRenamed("id", "doc_id")
+    return scores.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op7_near_duplicates")
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.grouped(table(spark, sf_dir, "documents"), shingle=4)
