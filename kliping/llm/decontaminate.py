@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from kliping.llm.shared import map_slices, schema_of, stored
+from kliping.llm.shared import map_slices, schema_of, stored, without
 
 WINDOW = 10
 SLACK = 3
@@ -238,3 +238,12 @@ def search(
         near="array<string>",
     )
     return map_slices(rows.select("id", "digest", "n_words", "spans", "items", "near"), finish, schema)
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", window: int = WINDOW,
+) -> DataFrame:
+    """The documents, same columns, that hold no test window."""
+    found = search(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
+    return without(docs, found.filter("contaminated"), id_col, text_col)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kliping.llm.graph import components
-from kliping.llm.shared import map_slices, schema_of, stored
+from kliping.llm.shared import map_slices, schema_of, stored, without
 
 K = 64
 SHINGLE = 5
@@ -222,3 +222,11 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
     schema: StructType = schema_of(node="long", n="long", sketch="array<long>", shingles="array<long>")
     # A repeated row with the node's id and text has the same set.
     return stored(map_slices(found, rows, schema).dropDuplicates(["node"]), "full-sets")
+
+
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The documents, same columns, one of each group: that with the smallest id."""
+    gone = grouped(docs, id_col, text_col, shingle, percent).filter(~F.col("kept"))
+    return without(docs, gone, id_col, text_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, sharding, substring_dedup, toxicity, warc
+from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, segmentation, sharding, substring_dedup, toxicity, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -22,6 +22,17 @@ def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_segmentation")
+def sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = segmentation.encoded(table(spark, sf_dir, "documents"))
+    rows = rows.select(
+        F.col("id").alias("doc_id"), "sample", F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "log_inclusion", "pieces",
+    )
+    texts = segmentation.decoded(rows)
+    return texts.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).drop("text")
+
+
 @query("op3_secrets")
 def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -42,10 +43,14 @@ from kliping.llm.shared import map_slices, schema_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 10.0
-GROUP = 1_000_000  # characters worked out together
+GROUP = 2_000_000  # characters worked out together
+ROWS = 1024
 MARK = "▁"  # stands for a space in pieces
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 
+TABLE_BITS = 18  # of the trie's hash table, some times the transitions of a usual vocabulary
+TABLE = 1 << TABLE_BITS
+
 _U = np.uint64
 _GAMMA = _U(0x9E3779B97F4A7C15)
 
@@ -65,13 +70,18 @@ def _truncated(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray
         return -np.logaddexp(-bound, np.log(-np.log(u)) - mass)
 
 
+def _slots(key: np.ndarray) -> np.ndarray:
+    return ((key.astype(np.uint64) * _GAMMA) >> _U(64 - TABLE_BITS)).astype(np.int64)
+
+
 @dataclass
 class Vocabulary:
-    """A trie over the pieces: sorted ``keys`` (state, character), the states they lead to, and per state piece and weight."""
+    """A trie over the pieces: ``keys`` (state, character) in a hash table, the states they lead to, and per state piece and weight."""
 
     pieces: list[str]
     keys: np.ndarray
     to: np.ndarray
+    probes: int
     piece: np.ndarray
     weight: np.ndarray
     byte_ids: list[int]
@@ -96,15 +106,35 @@ class Vocabulary:
             for c in pieces[i]:
                 at = states.setdefault((at, ord(c)), len(states) + 1)
             ends[at] = i
-        keys = np.array([(a << 21) | c for a, c in states], np.int64)
-        order = np.argsort(keys)
+        keys, to, probes = np.full(TABLE, -1, np.int64), np.zeros(TABLE, np.int64), 1
+        for (a, c), state in states.items():
+            key, n = (a << 21) | c, 1
+            slot = int(_slots(np.array([key]))[0])
+            while keys[slot] >= 0:
+                slot, n = (slot + 1) % TABLE, n + 1
+            keys[slot], to[slot], probes = key, state, max(probes, n)
         piece = np.full(len(states) + 1, -1, np.int64)
         weight = np.zeros(len(states) + 1)
         for state, i in ends.items():
             piece[state], weight[state] = i, -np.log(ranks[i] + SHIFT)
         byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        to = np.array(list(states.values()), np.int64)
-        return Vocabulary(pieces, keys[order], to[order], piece, weight, byte_ids, -np.log(last + SHIFT + 1))
+        return Vocabulary(pieces, keys, to, probes, piece, weight, byte_ids, -np.log(last + SHIFT + 1))
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The states that these characters lead to, 0 where no piece goes on so."""
+        key = (state << 21) | code
+        slot = _slots(key)
+        out = np.where(self.keys[slot] == key, self.to[slot], 0)
+        open_ = np.flatnonzero((self.keys[slot] != key) & (self.keys[slot] >= 0))
+        for _ in range(self.probes - 1):
+            if not len(open_):
+                break
+            slot[open_] = (slot[open_] + 1) % TABLE
+            seen = self.keys[slot[open_]]
+            hit = open_[seen == key[open_]]
+            out[hit] = self.to[slot[hit]]
+            open_ = open_[(seen != key[open_]) & (seen >= 0)]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         out, known = bytearray(), self._spelled()
@@ -137,21 +167,22 @@ class Lattices:
         at, state, depth = places, np.zeros(len(codes), np.int64), 0
         single = np.zeros(len(codes), bool)
         while len(at):
-            key = (state << 21) | codes[at + depth]
-            found = np.minimum(np.searchsorted(vocabulary.keys, key), len(vocabulary.keys) - 1)
-            known = vocabulary.keys[found] == key
-            at, state, depth = at[known], vocabulary.to[found[known]], depth + 1
-            ends = vocabulary.piece[state] >= 0
-            edges.append((at[ends], at[ends] + depth, vocabulary.piece[state[ends]], vocabulary.weight[state[ends]]))
+            state = vocabulary.step(state, codes[at + depth])
+            known = state > 0
+            at, state, depth = at[known], state[known], depth + 1
+            piece = vocabulary.piece[state]
+            ends = piece >= 0
+            edges.append((at[ends], at[ends] + depth, piece[ends], vocabulary.weight[state[ends]]))
             if depth == 1:
                 single[at[ends]] = True
             more = at + depth < stop[at]
             at, state = at[more], state[more]
         rest = places[~single]
         codes = np.where(literal, ord(MARK), codes)[rest]
-        # Negative pieces are characters in bytes.
+        # Negative pieces are characters in several bytes.
         n_bytes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
-        edges.append((rest, rest + 1, -codes - 1, n_bytes * vocabulary.byte_weight))
+        one = np.array(vocabulary.byte_ids)[np.minimum(codes, 0xFF)]
+        edges.append((rest, rest + 1, np.where(n_bytes == 1, one, -codes - 1), n_bytes * vocabulary.byte_weight))
         source, self.target, self.piece, weight = (np.concatenate(x) for x in zip(*edges, strict=True))
         order = np.argsort(source, kind="stable")
         source, self.target, self.piece, weight = (x[order] for x in (source, self.target, self.piece, weight))
@@ -181,7 +212,13 @@ class Lattices:
             self.log_rest = np.where(np.diff(self.first)[source] > 1, np.log1p(-np.minimum(share, 1 - 1e-16)), -np.inf)
 
     def drawn(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
-        return np.clip(np.searchsorted(self.reach, place + u), self.first[place], self.first[place + 1] - 1)
+        edge, last = self.first[place], self.first[place + 1] - 1
+        goal = place + u
+        short = np.flatnonzero((self.reach[edge] < goal) & (edge < last))
+        while len(short):
+            edge[short] += 1
+            short = short[(self.reach[edge[short]] < goal[short]) & (edge[short] < last[short])]
+        return edge
 
 
 @dataclass
@@ -208,9 +245,10 @@ class Sampler:
 
     def __init__(self, texts: list[str], seeds: list[int], vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        numbers: dict[str, int] = {}
         split = [UNIT.findall(" " + t) if t else [] for t in texts]
-        self.units = np.fromiter((numbers.setdefault(u, len(numbers)) for x in split for u in x), np.int64)
+        every = list(chain.from_iterable(split))
+        numbers = {u: i for i, u in enumerate(dict.fromkeys(every))}
+        self.units = np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
         self.count = np.array([len(x) for x in split], np.int64)
         self.end = np.cumsum(self.count)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
@@ -374,7 +412,7 @@ def encoded(
     schema = schema_of(
         id=docs.schema[id_col].dataType, sample="int", pieces="array<int>", log_prob="double", log_inclusion="double"
     )
-    return map_slices(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), rows, schema)
+    return map_slices(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), rows, schema, ROWS)
 
 
 def decoded(rows: DataFrame, pieces_col: str = "pieces", model_file: str = MODEL) -> DataFrame:

@@ -36,20 +36,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_slices(
-    df: DataFrame, fn: Callable[[list[list]], list[list]], schema: StructType, start: Callable[[], object] | None = None
+    df: DataFrame, fn: Callable[[list[list]], list[list]], schema: StructType, size: int = SLICE
 ) -> DataFrame:
-    """Apply ``fn`` to slices of rows within tasks; columns go in and come out as lists.
-
-    ``start``, if given, runs once a task, and ``fn`` gets its result first.
-    """
+    """Apply ``fn`` to slices of ``size`` rows within tasks; columns go in and come out as lists."""
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = () if start is None else (start(),)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                columns = fn(*first, [c.to_pylist() for c in part.columns])
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                columns = fn([c.to_pylist() for c in part.columns])
                 if len(columns[0]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out
@@ -63,3 +59,10 @@ def schema_of(**types: str | DataType) -> StructType:
     return StructType(
         [StructField(n, t if isinstance(t, DataType) else StructType.fromDDL(f"x {t}")[0].dataType) for n, t in types.items()]
     )
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents, same columns, whose ``id`` and text ``digest`` are not in ``gone``."""
+    gone = gone.select(F.col("id").alias("_gone_id"), F.col("digest").alias("_gone_digest"))
+    same = docs[id_col].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs[text_col]) == F.col("_gone_digest"))
+    return docs.join(gone, same, "left_anti")
