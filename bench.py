@@ -20,7 +20,7 @@ from kliping.queries import QUERIES, load_all  # noqa: E402
 from kliping.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "article_table", "extract_fields", "harvest", "html_text", "drop_phrases", "nfkd_text", "parse_dates_id",
+    "article_table", "extract_fields", "harvest", "html_text", "drop_phrases", "parse_dates_id",
     "listing_links", "listing_items", "new_links", "new_links_like", "until_first_seen", "first_by_url", "load_outcome",
     "insert_if_absent", "repair_merge", "coverage_rollup", "missing_days", "key_collisions", "fill_rates",
     "publish_gaps", "latest_n", "frequent_lines", "csv_roundtrip", "dump_rescue",

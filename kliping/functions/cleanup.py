@@ -161,9 +161,9 @@ def nfkd(texts: pd.Series) -> pd.Series:
 
 
 def normalized(text: Column) -> Column:
-    """NFKD of a computed text; plain ASCII stands for itself.
+    """NFKD of a computed text; plain ASCII stands for itself, and NULL goes to Python for it.
 
     The text is used more than once here, so Catalyst computes it below the
     Python step. (An argument that nests lambdas cannot move into one.)
     """
-    return F.when(text.rlike(r"^\p{ASCII}*+$"), text).otherwise(nfkd(text))
+    return F.coalesce(nfkd(F.when(~text.rlike(r"^\p{ASCII}*+$"), text)), text)

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def canonical(url: Column) -> Column:
-    """One key per article: no query, no fragment, no trailing slash."""
-    return F.rtrim(F.regexp_replace(url, r"[?#].*$", ""), F.lit("/"))
+    """One key per article: no fragment, no whole-article variant, no trailing slash.
+
+    ``page=all`` is the one query that sites add to fetch an article whole;
+    every other parameter may tell articles apart and stays.
+    """
+    whole = F.regexp_replace(F.regexp_replace(url, r"#.*$", ""), r"([?&])page=all(&|$)", "$1")
+    return F.rtrim(F.regexp_replace(whole, r"[?&]+$", ""), F.lit("/"))
 
 
 def host(url: Column) -> Column:
@@ -21,7 +26,7 @@ def base(url: Column) -> Column:
 
 def segments(url: Column) -> Column:
     """Path segments without scheme and host."""
-    path = F.regexp_replace(canonical(url), r"^[a-z]+://[^/?#]+/?", "")
+    path = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"^[a-z]+://[^/?#]+/?", "")
     return F.filter(F.split(path, "/"), lambda s: s != "")
 
 

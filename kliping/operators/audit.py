@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from kliping.functions import cleanup
 from kliping.plans import listings
 
+SALTS = 64
+
 
 def coverage(rows: DataFrame, stamp: str, by: Sequence[str]) -> DataFrame:
     """Articles per group and day, with the first and last time."""
@@ -24,13 +26,15 @@ def coverage(rows: DataFrame, stamp: str, by: Sequence[str]) -> DataFrame:
 
 
 def coverage_rollup(rows: DataFrame, stamp: str, by: Sequence[str]) -> DataFrame:
-    """Daily counts with totals per group and over all.
+    """Daily counts with totals per group and over all, told apart by ``level``.
+
+    ``level`` is the grouping id, 0 for days: a missing date is a day of its own.
 
     The totals are rolled up from daily counts, so the multiplied rows are
     aggregates and not articles.
     """
     daily = rows.groupBy(*by, F.to_date(stamp).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return daily.rollup(*by, "day").agg(F.sum("n").alias("n"))
+    return daily.rollup(*by, "day").agg(F.grouping_id().alias("level"), F.sum("n").alias("n"))
 
 
 def missing_days(rows: DataFrame, stamp: str, source: str) -> DataFrame:
@@ -64,15 +68,24 @@ def publish_gaps(rows: DataFrame, stamp: str, source: str) -> DataFrame:
 
 
 def latest_n(rows: DataFrame, source: str, n: int, order: Sequence[Column]) -> DataFrame:
-    """The latest ``n`` rows per source; the limit also runs before the shuffle."""
+    """The latest ``n`` rows per source, ``order`` being unique within it.
+
+    A source is first split into ``SALTS`` parts, of which each keeps its
+    latest ``n``; so no task sorts a hot source, whatever ``n`` is, and the last
+    step ranks at most ``SALTS * n`` rows of it.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    part = F.row_number().over(W.partitionBy(source, "_salt").orderBy(*order))
+    few = rows.withColumn("_salt", salt).withColumn("_part", part).filter(F.col("_part") <= n).drop("_salt", "_part")
     rank = F.row_number().over(W.partitionBy(source).orderBy(*order))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= n)
+    return few.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
 def frequent_lines(rows: DataFrame, row_id: str, text: str, source: str, share: float, least: int = 2) -> DataFrame:
     """Lines that recur in many articles of a source.
 
-    A line counts once per article: it is made distinct inside the row, so the
+    A line is one that ``least`` articles at least and ``share`` of them have.
+    It counts once per article: it is made distinct inside the row, so the
     shuffle carries partial counts and never the articles of one line.
     """
     lines = F.array_distinct(F.filter(F.transform(F.split(text, "\n"), cleanup.strip_text), lambda x: x != ""))

@@ -55,10 +55,12 @@ def _unmatched_patterns(links: DataFrame, stored: DataFrame, key: str) -> DataFr
         length = F.length(F.regexp_extract(pattern, literal, 0))
         return (F.floor(F.least(length, F.lit(LONGEST)) / BLOCK) * BLOCK).cast("int")
 
-    sided = links.withColumns({"_head": cut("^[^_%]*"), "_tail": cut("[^_%]*$")}).withColumns(
+    # An escape ends a literal run, so no block ever holds one.
+    plain = ~pattern.rlike(r"[_%\\]")
+    sided = links.withColumns({"_head": cut(r"^[^_%\\]*"), "_tail": cut(r"[^_%\\]*$")}).withColumns(
         {
-            "_side": F.when(~pattern.rlike("[_%]"), "=").when(F.col("_head") >= F.col("_tail"), "<").otherwise(">"),
-            "_cut": F.when(~pattern.rlike("[_%]"), 0).otherwise(F.greatest("_head", "_tail")),
+            "_side": F.when(plain, "=").when(F.col("_head") >= F.col("_tail"), "<").otherwise(">"),
+            "_cut": F.when(plain, 0).otherwise(F.greatest("_head", "_tail")),
         }
     )
     probe = sided.withColumn("_block", _block(pattern, F.col("_side"), F.col("_cut"))).drop("_head", "_tail")
@@ -110,28 +112,32 @@ def until_first_seen(
     order: Sequence[str],
     key: str = "url_key",
     accepted: Column | None = None,
+    run_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep each listing's links up to the first one seen before.
 
-    Seen means stored already, or accepted earlier in the same run: an earlier
-    item with the same key counts unless it was rejected (``accepted`` false).
+    Seen means stored already, or accepted earlier: an earlier item with the
+    same key counts unless it was rejected (``accepted`` false). Earlier is
+    meant within the listing, or, given the ``run_order`` in which a run comes
+    to its links, in any listing of the run.
     The stopping place of a listing is an aggregate, so no listing is sorted in
     one task; ``order`` must be unique within a listing.
     """
     # A single column keeps the aggregates below in hash tables.
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     ok = F.lit(True) if accepted is None else F.coalesce(accepted, F.lit(False))
-    narrow = links.select(*by, key, place.alias("_place"), ok.alias("_ok"))
-    per_key = narrow.groupBy(*by, key).agg(
-        F.min("_place").alias("_first"),
-        F.min(F.when(F.col("_ok"), F.col("_place"))).alias("_taken"),
-        F.count(F.lit(1)).alias("_n"),
+    turn = place if run_order is None else F.struct(*run_order)
+    narrow = links.select(*by, key, place.alias("_place"), turn.alias("_turn"), ok.alias("_ok"))
+    firsts = narrow.groupBy(*by, key).agg(F.min("_place").alias("_first"))
+    stored = firsts.join(store.select(key), key, "left_semi").select(*by, F.col("_first").alias("_stop"))
+    scope = [key] if run_order is not None else [*by, key]
+    taken = narrow.groupBy(*scope).agg(
+        F.min(F.when(F.col("_ok"), F.col("_turn"))).alias("_taken"), F.count(F.lit(1)).alias("_n")
     )
-    stored = per_key.join(store.select(key), key, "left_semi").select(*by, F.col("_first").alias("_stop"))
-    repeated = per_key.filter((F.col("_n") > 1) & F.col("_taken").isNotNull()).select(*by, key, "_taken")
+    repeated = taken.filter((F.col("_n") > 1) & F.col("_taken").isNotNull()).drop("_n")
     again = (
-        narrow.join(repeated, [*by, key])
-        .filter(F.col("_place") > F.col("_taken"))
+        narrow.join(repeated, scope)
+        .filter(F.col("_turn") > F.col("_taken"))
         .select(*by, F.col("_place").alias("_stop"))
     )
     stops = stored.unionByName(again).groupBy(*by).agg(F.min("_stop").alias("_stop"))

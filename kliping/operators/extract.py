@@ -248,10 +248,11 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
             carried = carried.withColumn(name, F.lit(None).cast("string"))
     extra = [c for c in carried.columns if c not in ("html", "link_category", "link_subcategory", "site", "url")]
 
-    # The rule table has one literal row per site. Pages of sites without rules
-    # leave before their markup is read.
-    ruled = carried.join(F.broadcast(rules.select("site")), "site", "left_semi")
-    joined = N.flatten_pages(ruled).join(F.broadcast(rules), "site")
+    # The rule table has one literal row per site, so Spark broadcasts it by its
+    # size. Pages of sites without rules stay, but their markup is not read.
+    known = rules.select("site", F.lit(True).alias("_ruled"))
+    ruled = carried.join(known, "site", "left").withColumn("html", F.when(F.col("_ruled"), F.col("html")))
+    joined = N.flatten_pages(ruled).join(rules, "site", "left")
     blocks = F.transform(F.filter("nodes", lambda n: n["tag"] == "#json"), lambda n: repair_json(n["text"]))
     page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
     staged = joined.withColumn("page", page).drop("nodes")
@@ -274,6 +275,7 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
         F.regexp_replace("content", F.concat(F.lit("(?s)"), F.col("cut"), F.lit(".*")), F.lit(""))
     )
     reason = F.coalesce(
+        F.when(F.col("_ruled").isNull(), F.lit("no_rules")),
         F.get(F.array_compact(missing), 0),
         banned_words(values, F.col("url"), F.col("banned")),
         F.when(F.col("b").isNull(), F.lit("no_body")),

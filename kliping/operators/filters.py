@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 BADGE_WORDS = ["foto", "video"]
-SEGMENT_WORDS = ["video", "foto"]
-SUBCATEGORY_WORDS = ["foto", "detiktv", "video", "photos", "videos"]
-TITLE_MARKERS = ["foto:", "video:"]
 ARTICLE_COLUMNS = [
     "post_id", "author", "pubdate", "category", "subcategory", "content",
     "comments", "images", "title", "tags", "url", "source",

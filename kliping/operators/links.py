@@ -36,6 +36,9 @@ LISTING_RULES = T.StructType(
 HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 
 
+CARRIED = ["category", "subcategory"]
+
+
 def hrefs(html: Column) -> Column:
     """Targets of all anchors, in document order."""
     return F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
@@ -60,6 +63,21 @@ def canonical_url(url: Column) -> Column:
     return urls.canonical(url)
 
 
+def pages_with_links(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """Pages with the category and subcategory of the listing link that led to them.
+
+    ``found`` has ``link`` and some of ``CARRIED``; of several links to an
+    address each column takes its smallest value, by a partial aggregate. Pages
+    no link leads to keep what they have, or NULL.
+    """
+    have = [c for c in CARRIED if c in found.columns]
+    of = found.groupBy(urls.canonical(F.col("link")).alias("_key")).agg(*[F.min(c).alias(f"_{c}") for c in have])
+    both = pages.join(of, urls.canonical(pages["url"]) == F.col("_key"), "left")
+    own = [c for c in have if c in pages.columns]
+    kept = [F.coalesce(f"_{c}", c).alias(c) if c in own else F.col(c) for c in pages.columns]
+    return both.select(*kept, *[F.col(f"_{c}").alias(c) for c in have if c not in own])
+
+
 def filter_segments(df: DataFrame, url: str, words: Sequence[str]) -> DataFrame:
     """Drop rows whose address has one of the words as a whole path segment."""
     return df.filter(~F.coalesce(urls.has_segment(F.col(url), list(words)), F.lit(False)))

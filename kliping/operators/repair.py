@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kliping.functions import urls
-from kliping.operators import extract
+from kliping.operators import dedupe, extract
 
 
 def candidates(store: DataFrame, predicate: Column, columns: Sequence[str] = ("id", "url", "source")) -> DataFrame:
@@ -19,9 +19,10 @@ def candidates(store: DataFrame, predicate: Column, columns: Sequence[str] = ("i
 def merge(store: DataFrame, fixes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The store with the fixed columns put in place.
 
-    ``fixes`` has at most one row per key. A NULL fix leaves the stored value.
+    A NULL fix leaves the stored value. Of several fixes of a key each column
+    takes its largest value, so no stored row is ever doubled.
     """
-    renamed = fixes.select(key, *[F.col(c).alias(f"_fix_{c}") for c in columns])
+    renamed = fixes.groupBy(key).agg(*[F.max(c).alias(f"_fix_{c}") for c in columns])
     joined = store.join(renamed, key, "left")
     kept = [
         F.coalesce(F.col(f"_fix_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in store.columns
@@ -43,11 +44,13 @@ def recompute(
     """Fixes for the wanted rows, taken again from their pages.
 
     The pages are narrowed to the wanted addresses before their markup is read.
-    Rejected pages and empty values fix nothing.
+    Rejected pages and empty values fix nothing; of copies of a page the first
+    accepted one counts, by ``page_id`` if there is one, else by address.
     """
     keyed = pages.withColumn(key, urls.canonical(F.col("url")))
     again = extract.extract_fields(keyed.join(wanted.select(key), key, "left_semi"), rules)
     values = [
         F.when(F.col(c) != "", F.col(c)).alias(c) if c != "pubdate" else F.col(c) for c in columns
     ]
-    return again.filter(F.col("reject_reason").isNull()).select(key, *values)
+    accepted = again.filter(F.col("reject_reason").isNull())
+    return dedupe.first_by_key(accepted, key, ["page_id" if "page_id" in again.columns else "url"]).select(key, *values)

@@ -90,11 +90,6 @@ def html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.alias("content"))
 
 
-@query(f"SELECT doc_id, {decomposed('text')} AS text FROM documents")
-def nfkd_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", cleanup.nfkd(F.col("text")).alias("text"))
-
-
 @query(f"SELECT doc_id, {q.control('text')} AS text FROM documents")
 def strip_control(spark, sf):
     return table(spark, sf, "documents").select("doc_id", cleanup.strip_control(F.col("text")).alias("text"))

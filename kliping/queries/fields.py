@@ -235,9 +235,3 @@ def script_value(spark, sf):
 @query(f"SELECT page_id, {q.unescape('html')} AS html FROM pages")
 def unescape_common(spark, sf):
     return table(spark, sf, "pages").select("page_id", cleanup.unescape_common(F.col("html")).alias("html"))
-
-
-@query(f"SELECT page_id, {q.unescape('html')} AS html FROM pages")
-def unescape_full(spark, sf):
-    """All named and numeric entities; the pages hold only common ones."""
-    return table(spark, sf, "pages").select("page_id", cleanup.unescape(F.col("html")).alias("html"))

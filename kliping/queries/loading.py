@@ -7,7 +7,7 @@ is an incoming link.
 from pyspark.sql import functions as F
 
 from kliping.functions import cleanup, urls
-from kliping.operators import dedupe, filters
+from kliping.operators import dedupe, filters, links
 from kliping.queries import sqltext as q
 from kliping.queries.registry import query
 from kliping.session import table
@@ -76,8 +76,7 @@ def first_by_url(spark, sf):
         SELECT page_id, {q.HOST} AS site, regexp_replace({q.KEY}, '^https?:', '') AS url_key, {COMPLETE} AS ok FROM pages),
     marked AS (
         SELECT *, url_key IN (SELECT regexp_replace({q.KEY}, '^https?:', '') FROM pages WHERE url LIKE 'http:%.html%')
-                  OR EXISTS (SELECT 1 FROM links b WHERE b.site = a.site AND b.url_key = a.url_key
-                             AND b.page_id < a.page_id AND b.ok) AS seen
+                  OR EXISTS (SELECT 1 FROM links b WHERE b.url_key = a.url_key AND b.page_id < a.page_id AND b.ok) AS seen
         FROM links a),
     run AS (SELECT *, sum(seen::INT) OVER (PARTITION BY site ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS hits FROM marked)
     SELECT page_id, site, url_key FROM run WHERE hits = 0
@@ -89,7 +88,7 @@ def until_first_seen(spark, sf):
         F.col("html").contains("</html>").alias("ok"),
     )
     stored = pages.filter(F.col("url").like("http:%.html%")).select(_key().alias("url_key"))
-    kept = dedupe.until_first_seen(found, stored, ["site"], ["page_id"], accepted=F.col("ok"))
+    kept = dedupe.until_first_seen(found, stored, ["site"], ["page_id"], accepted=F.col("ok"), run_order=["page_id"])
     return kept.select("page_id", "site", "url_key")
 
 
@@ -110,6 +109,21 @@ def load_outcome(spark, sf):
     return dedupe.load_outcome(batch, stored, "page_id", ["page_id"]).select("page_id", "url_key", "outcome")
 
 
+@query(f"""
+    WITH pages_ AS (SELECT page_id, regexp_replace({q.KEY}, '^https?:', '') AS url_key, {q.SEGMENTS} AS path, url FROM pages),
+    found AS (SELECT url_key, min(path[1]) AS category, min(path[2]) AS subcategory FROM pages_ WHERE url LIKE 'http:%' GROUP BY 1)
+    SELECT p.page_id, p.url_key AS url, f.category, f.subcategory FROM pages_ p LEFT JOIN found f ON f.url_key = p.url_key
+""")
+def pages_with_links(spark, sf):
+    """Listing links (those of plain ``http``) hand their categories to the pages they lead to."""
+    pages = table(spark, sf, "pages")
+    path = urls.segments(F.col("url"))
+    found = pages.filter(F.col("url").startswith("http:")).select(
+        _key().alias("link"), F.get(path, 0).alias("category"), F.get(path, 1).alias("subcategory")
+    )
+    return links.pages_with_links(pages.select("page_id", _key().alias("url")), found)
+
+
 @query(f"""
     SELECT page_id, url_key, title FROM (
         SELECT page_id, regexp_replace({q.KEY}, '^https?:', '') AS url_key, {q.element('html', 'h1')} AS title FROM pages)
@@ -128,7 +142,7 @@ def insert_if_absent(spark, sf):
 @query(f"""
     SELECT {q.HOST} AS source, page_id AS post_id, {q.element('html', 'title')} AS title, url FROM pages WHERE url LIKE 'http:%'
     UNION ALL
-    SELECT {q.HOST}, page_id, {q.element('html', 'title')}, url FROM pages WHERE url LIKE 'https:%'
+    SELECT {q.HOST}, page_id, {q.element('html', 'title')}, url FROM pages WHERE url NOT LIKE 'http:%' OR url IS NULL
     UNION ALL
     SELECT source, doc_id, lang, 'doc:' || doc_id FROM documents
 """)
@@ -142,5 +156,5 @@ def union_sites(spark, sf):
         F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "source", F.col("doc_id").alias("post_id"), F.col("lang").alias("title")
     )
     plain = pages.filter(F.col("url").startswith("http:"))
-    secure = pages.filter(F.col("url").startswith("https:"))
+    secure = pages.filter(~F.col("url").startswith("http:") | F.col("url").isNull())
     return plain.unionByName(secure).unionByName(documents)

@@ -18,7 +18,7 @@ def coverage(spark, sf):
 
 
 @query("""
-    SELECT event_type, day::VARCHAR AS day, count(*) AS n FROM (SELECT event_type, ts::DATE AS day FROM events)
+    SELECT event_type, day::VARCHAR AS day, grouping_id(event_type, day) AS level, count(*) AS n FROM (SELECT event_type, ts::DATE AS day FROM events)
     GROUP BY ROLLUP (event_type, day)
 """)
 def coverage_rollup(spark, sf):

@@ -2,10 +2,11 @@
 
 from kliping.functions.cleanup import COMMON_ENTITIES, WS_CLASS
 
-KEY = "rtrim(regexp_replace(url, '[?#].*$', ''), '/')"
+WHOLE = r"regexp_replace(regexp_replace(url, '#.*$', ''), '([?&])page=all(&|$)', '\1', 'g')"
+KEY = f"rtrim(regexp_replace({WHOLE}, '[?&]+$', ''), '/')"
 HOST = "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)"
 BASE = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
-PATH = f"regexp_replace({KEY}, '^[a-z]+://[^/?#]+/?', '')"
+PATH = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://[^/?#]+/?', '')"
 SEGMENTS = f"list_filter(string_split({PATH}, '/'), lambda s: s <> '')"
 
 

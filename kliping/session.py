@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Pages reach tens of kB each, so Arrow batches are kept small; skewed joins
@@ -29,7 +27,7 @@ def shuffle_partitions(input_bytes: int) -> int:
 
     Adaptive execution joins small ones, so the number errs on the high side.
     """
-    return min(max(200, -(-input_bytes // PARTITION_BYTES)), 100_000)
+    return max(200, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -55,8 +53,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` into the shared checkpoint folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder of its own.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; without
+    that setting it is one in the warehouse, which all executors share too.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -65,7 +63,5 @@ def durable(df: DataFrame) -> DataFrame:
         if not context._jsc.sc().getCheckpointDir().isDefined():
             context.setCheckpointDir(named)
     elif not context._jsc.sc().getCheckpointDir().isDefined():
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kliping-checkpoint-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
     return df.checkpoint(eager=True)

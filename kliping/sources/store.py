@@ -19,10 +19,9 @@ STORED = T.StructType([*ARTICLE.fields, T.StructField("url_key", T.StringType())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True where the folder holds at least one committed data file."""
+    """True where the folder is there; one without data files reads as empty, since the schema is given."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(target) and files.getContentSummary(target).getFileCount() > 0
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_store(spark: SparkSession, path: str, predicate: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -91,22 +90,44 @@ def repair_partitions(store: DataFrame, fixes: DataFrame, path: str, columns: Se
 
     Partitions without a fix are not written. The merged rows go to the
     checkpoint folder first, so the partitions are not read while replaced.
-    Repaired dates move rows to other partitions: for those, ``append`` the
-    result of ``repair.merge`` to a new folder instead.
+    Repaired dates move rows: the partitions they go to are rewritten as well,
+    and those that lose their last row are deleted.
     """
-    if set(columns) & {"pubdate", *PARTITIONS}:
-        raise ValueError("this repair would move rows to other partitions")
-    hit = store.join(fixes.select("url_key"), "url_key", "left_semi").select(
-        *[F.col(p).alias(f"_{p}") for p in PARTITIONS]
-    )
+    if set(columns) & set(PARTITIONS):
+        raise ValueError("a repair cannot set the columns the store is partitioned by")
+    hit = durable(store.join(fixes.select("url_key"), "url_key", "left_semi").select(*PARTITIONS, "url_key"))
+    parts = hit.select(*PARTITIONS)
+    if "pubdate" in columns:
+        moved = hit.join(fixes.filter(F.col("pubdate").isNotNull()), "url_key")
+        parts = parts.unionByName(moved.select("source", F.to_date("pubdate").alias("pub_date")))
+    parts = durable(parts.distinct())
+    merged = repair.merge(_in_partitions(store, parts), fixes, "url_key", columns)
+    merged = durable(merged.withColumn("pub_date", F.to_date("pubdate")).select(*STORED.fieldNames()))
+    overwrite_partitions(merged, path)
     same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in PARTITIONS]
-    affected = store.join(hit.distinct(), same, "left_semi")
-    merged = durable(repair.merge(affected, fixes, "url_key", columns))
-    overwrite_partitions(merged.select(*STORED.fieldNames()), path)
+    left = merged.select(*[F.col(p).alias(f"_{p}") for p in PARTITIONS]).distinct()
+    for row in parts.join(left, same, "left_anti").collect():  # one row per emptied partition
+        _delete_partition(store.sparkSession, path, row.source, row.pub_date)
+
+
+def _in_partitions(store: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of the given partitions; dated ones by plain equality, which prunes the scan, undated ones apart."""
+    dated = store.join(parts.filter("pub_date is not null"), PARTITIONS, "left_semi")
+    undated = parts.filter("pub_date is null").select("source")
+    return dated.unionByName(store.filter("pub_date is null").join(undated, "source", "left_semi"))
+
+
+def _delete_partition(spark: SparkSession, path: str, source: str, day: object) -> None:
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    day = None if day is None else str(day)
+    folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, named("source", source), named("pub_date", day)]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 # -- dumps ---------------------------------------------------------------------
 
+NULL_CELL = r"\N"  # an empty cell is an empty text
+
 
 def with_index(rows: DataFrame, row_id: str, name: str = "_index") -> DataFrame:
     """A gapless index from 0 in the order of a unique column.
@@ -134,12 +155,12 @@ def write_dump(rows: DataFrame, path: str, row_id: str) -> None:
     indexed = with_index(rows, row_id)
     indexed.select(F.col("_index"), *rows.columns).write.mode("overwrite").option("header", True).option(
         "escape", '"'
-    ).csv(path)
+    ).option("nullValue", NULL_CELL).csv(path)
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A dump in good form; cells may be quoted and hold line feeds."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+    """A dump in good form; cells may be quoted and hold line feeds, so each file is read by one task."""
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', nullValue=NULL_CELL)
 
 
 def rescue_dump(rows: DataFrame, cell: str) -> tuple[DataFrame, DataFrame]:

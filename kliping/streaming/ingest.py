@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kliping.functions import urls
-from kliping.operators import extract
+from kliping.operators import extract, links
 from kliping.rules.listings import assign_site
 from kliping.schema import PAGE
 from kliping.sources import store
@@ -22,21 +22,34 @@ def read_page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000
 
 
 def distinct_pages(pages: DataFrame, delay: str = "1 day") -> DataFrame:
-    """One page per address within the watermark.
+    """Drop copies of a page, same address and same markup, that arrive within ``delay``.
 
-    The state holds an address for ``delay`` only; later copies are caught by
-    the store, so the bound keeps the state small without losing the rule.
+    The watermark follows the time of arrival, behind which no page can be, so
+    none is late, however old it is. Only equal markup counts as a copy: it
+    would be rejected or accepted alike, so a bad page never hides a good one.
+    Later copies are left to the store.
     """
-    keyed = pages.withColumn("url_key", urls.canonical(F.col("url")))
-    return keyed.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["url_key"])
+    keyed = pages.withColumns(
+        {
+            "url_key": urls.canonical(F.col("url")),
+            "_arrived": F.current_timestamp(),
+            "_markup": F.sha2(F.coalesce("html", F.lit("")), 256),
+        }
+    )
+    return keyed.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(["url_key", "_markup"]).drop("_arrived", "_markup")
+
 
+def load_batch(batch: DataFrame, rules: DataFrame, store_path: str, found: DataFrame | None = None) -> DataFrame:
+    """Extract and insert one batch; the same batch again inserts nothing.
 
-def load_batch(batch: DataFrame, rules: DataFrame, store_path: str) -> DataFrame:
-    """Extract and insert one batch; the same batch again inserts nothing."""
+    ``found`` holds the listing links, whose categories go with their pages.
+    """
     pages = batch if "site" in batch.columns else assign_site(batch)
+    if found is not None:
+        pages = links.pages_with_links(pages, found)
     known = store.read_store(batch.sparkSession, store_path, columns=["url_key"])
     fresh = pages.withColumn("url_key", urls.canonical(F.col("url"))).join(known, "url_key", "left_anti")
-    fields = extract.extract_fields(fresh.select("page_id", "site", "url", "html"), rules)
+    fields = extract.extract_fields(fresh.select("page_id", "site", "url", "html", *[c for c in links.CARRIED if c in fresh.columns]), rules)
     return store.insert_if_absent(fields, store_path, "page_id")
 
 
@@ -48,20 +61,22 @@ def ingest(
     rules: DataFrame,
     files_per_batch: int = 1000,
     delay: str | None = None,
+    found: DataFrame | None = None,
 ) -> StreamingQuery:
     """Load all page files not read yet, then stop.
 
     The checkpoint remembers the files; the anti join with the store makes a
     batch that is run again after a failure harmless. Of copies in one batch
-    the one with the lowest ``page_id`` goes in. With ``delay``, copies that
-    arrive within it are dropped before a batch is formed, whichever is first.
+    the one with the lowest ``page_id`` goes in. With ``delay``, equal copies
+    that arrive within it are dropped before a batch is formed. ``found`` holds
+    the listing links (see ``load_batch``).
     """
     pages = read_page_stream(spark, pages_path, files_per_batch)
     if delay is not None:
         pages = distinct_pages(pages, delay)
 
     def load(batch: DataFrame, _: int) -> None:
-        load_batch(batch, rules, store_path)
+        load_batch(batch, rules, store_path, found)
 
     return (
         pages.writeStream.foreachBatch(load)

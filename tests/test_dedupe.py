@@ -6,9 +6,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from kliping.operators import dedupe, filters, links
+from kliping.operators import audit, dedupe, extract, filters, links
 from kliping.plans import articles
 from kliping.rules.listings import listing_rules
+from kliping.rules.sites import site_rules
 
 
 def like(pattern, text):
@@ -124,3 +125,36 @@ def test_filters(spark):
     same = links.canonical_url(F.col("url"))
     urls = spark.createDataFrame([("http://t/1?page=all",), ("http://t/1/#top",), ("http://t/1",)], "url string")
     assert urls.select(same.alias("k")).distinct().count() == 1
+    kept = spark.createDataFrame([("http://t/?p=1",), ("http://t/?p=2&page=all",), ("http://t/?p=2",)], "url string")
+    assert sorted(r.k for r in kept.select(same.alias("k")).distinct().collect()) == ["http://t/?p=1", "http://t/?p=2"]
+
+
+def test_seen_in_another_listing_of_the_run(spark):
+    rows = [("a", 1, "u", True), ("a", 2, "v", False), ("b", 3, "w", True), ("b", 4, "u", True), ("b", 5, "x", True), ("c", 6, "v", True)]
+    df = spark.createDataFrame(rows, "site string, pos int, url_key string, ok boolean")
+    empty = spark.createDataFrame([], "url_key string")
+    alone = dedupe.until_first_seen(df, empty, ["site"], ["pos"], accepted=F.col("ok"))
+    assert alone.count() == 6
+    run = dedupe.until_first_seen(df, empty, ["site"], ["pos"], accepted=F.col("ok"), run_order=["pos"])
+    assert sorted(r.pos for r in run.collect()) == [1, 2, 3, 6]
+
+
+def test_escapes_in_patterns(spark):
+    patterns = [r"http://long.host.site.id/back\_slash_z", r"http://long.host.site.id/a%z", r"http://long.host.site.id/100\%", "http://plain"]
+    stored = ["http://long.host.site.id/back_slashXz", "http://long.host.site.id/b-z", "http://long.host.site.id/100%", "http://plain"]
+    links_ = spark.createDataFrame([(p,) for p in patterns], "url_key string")
+    got = dedupe.new_links(links_, spark.createDataFrame([(s,) for s in stored], "url_key string"), mode="like")
+    assert [r.url_key for r in got.collect()] == [patterns[1]]
+
+
+def test_latest_n_of_a_hot_source(spark):
+    rows = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("source")).repartition(6)
+    got = audit.latest_n(rows, "source", 1500, [F.desc("id")]).collect()
+    assert sorted(r.id for r in got if r.source == "hot") == list(range(4500, 9000, 3))
+    assert {(r.id, r.rank) for r in got if r.rank == 1} == {(8997, 1), (8999, 1)}
+
+
+def test_pages_without_rules_are_reported(spark):
+    pages = spark.createDataFrame([(1, "nowhere", "http://n/1", "<p>x</p>"), (2, "detik", "http://d/2", "<p>y</p>")], "page_id int, site string, url string, html string")
+    got = {r.page_id: r.reject_reason for r in extract.extract_fields(pages, site_rules(spark)).collect()}
+    assert got[1] == "no_rules" and got[2] not in (None, "no_rules")

@@ -13,7 +13,7 @@ from kliping.session import shuffle_partitions, table
 
 load_all()
 SF = "/root/testdata/sf0.001"
-PYTHON = {"extract_fields", "repair_author", "listing_items", "jsonld_pick", "nfkd_text", "unescape_full"}
+PYTHON = {"extract_fields", "repair_author", "listing_items", "jsonld_pick"}
 
 
 def plan(spark, name):
@@ -56,4 +56,4 @@ def test_stored_addresses_leave_before_python(spark):
 def test_partitions_follow_the_input():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(10 * 1024**4) == 81_920
-    assert shuffle_partitions(100 * 1024**4) == 100_000
+    assert shuffle_partitions(100 * 1024**4) == 819_200

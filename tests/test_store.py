@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kliping.functions import cleanup
 from kliping.operators import repair
+from kliping.rules.listings import assign_site
 from kliping.rules.sites import site_rules
 from kliping.sources import store
 from kliping.streaming import ingest
@@ -71,7 +72,19 @@ def test_repair(spark, tmp_path):
     assert {r.post_id: r.content for r in store.read_store(spark, path).collect()} == {1: "baru", 2: "x", 3: "isi", 4: ""}
     assert untouched == sorted(p.name for p in (tmp_path / "store" / "source=detik" / "pub_date=2018-08-02").glob("*.parquet"))
     with pytest.raises(ValueError):
-        store.repair_partitions(rows, fixes, path, ["pubdate"])
+        store.repair_partitions(rows, fixes, path, ["pub_date"])
+
+
+def test_repair_moves_rows_with_their_dates(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [article(1, "http://a/1"), article(2, "http://a/2", day=2), article(3, "http://a/3", day=3)]
+    store.insert_if_absent(batch(spark, *rows), path, "row").count()
+    # Copies of a fix double no row.
+    fixes = spark.createDataFrame([("http://a/1", dt.datetime(2018, 8, 2, 5))] * 2 + [("http://a/3", None)], "url_key string, pubdate timestamp")
+    store.repair_partitions(store.read_store(spark, path), fixes, path, ["pubdate"])
+    spark.catalog.refreshByPath(path)
+    days = sorted((r.post_id, str(r.pub_date)) for r in store.read_store(spark, path).collect())
+    assert days == [(1, "2018-08-02"), (2, "2018-08-02"), (3, "2018-08-03")]
 
 
 def test_repair_rows(spark):
@@ -84,11 +97,12 @@ def test_repair_rows(spark):
 
 
 def test_dump(spark, tmp_path):
-    rows = spark.createDataFrame([(30, 'kata "kutip", koma\nbaris'), (10, "a"), (20_005, "")], "id long, text string")
+    rows = spark.createDataFrame([(30, 'kata "kutip", koma\nbaris'), (10, "a"), (20_005, ""), (20_006, None)], "id long, text string")
     path = str(tmp_path / "dump")
     store.write_dump(rows, path, "id")
     back = store.read_dump(spark, path, "_index int, id long, text string")
-    assert sorted((r._index, r.id, r.text or "") for r in back.collect()) == [(0, 10, "a"), (1, 30, 'kata "kutip", koma\nbaris'), (2, 20_005, "")]
+    want = [(0, 10, "a"), (1, 30, 'kata "kutip", koma\nbaris'), (2, 20_005, ""), (3, 20_006, None)]
+    assert sorted((r._index, r.id, r.text) for r in back.collect()) == want
 
 
 def test_broken_dump(spark):
@@ -140,6 +154,7 @@ def test_stream(spark, tmp_path):
     assert run() == first
     arrive(page(5, first[1] + "#x", hour=2), page(6, "https://inet.detik.com/3", hour=2))
     assert run() == sorted([*first, "https://inet.detik.com/3"])
+    assert {r.category for r in store.read_store(spark, path).collect()} == {""}
     # The same pages under a lost checkpoint are stored already.
     query = ingest.ingest(spark, pages, path, str(tmp_path / "other"), rules)
     assert query.awaitTermination(240)
@@ -148,7 +163,9 @@ def test_stream(spark, tmp_path):
 
 def test_stream_dedupe_within_the_watermark(spark, tmp_path):
     pages = str(tmp_path / "pages")
-    rows = [page(1, "http://a/1"), page(2, "http://a/1#x", hour=2), page(3, "http://a/2", hour=3)]
+    # Equal copies go; an old page and another markup of an address stay.
+    rows = [page(1, "http://a/1"), page(2, "http://a/1#x"), page(3, "http://a/2", hour=3), page(4, "http://a/2", "lain", hour=4)]
+    rows.append((*page(5, "http://a/5")[:3], dt.datetime(2018, 8, 1)))
     spark.createDataFrame(rows, ingest.FETCHED).write.parquet(pages)
     distinct = ingest.distinct_pages(ingest.read_page_stream(spark, pages), "12 hours")
     query = (
@@ -156,4 +173,31 @@ def test_stream_dedupe_within_the_watermark(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     )
     assert query.awaitTermination(120)
-    assert sorted(r.url_key for r in spark.table("distinct_pages").collect()) == ["http://a/1", "http://a/2"]
+    assert sorted(r.url_key for r in spark.table("distinct_pages").collect()) == ["http://a/1", "http://a/2", "http://a/2", "http://a/5"]
+
+
+def test_pages_carry_their_links(spark, tmp_path):
+    path = str(tmp_path / "store")
+    found = spark.createDataFrame(
+        [("https://news.detik.com/1#top", "news"), ("https://news.detik.com/1", "news"), ("https://x/9", "x")], "link string, category string"
+    )
+    pages = spark.createDataFrame([page(1, "https://news.detik.com/1"), page(2, "https://news.detik.com/2")], ingest.FETCHED)
+    ingest.load_batch(pages, site_rules(spark), path, found)
+    assert sorted((r.url[-1], r.category) for r in store.read_store(spark, path).collect()) == [("1", "news"), ("2", "")]
+
+
+def test_repair_of_page_copies(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rules = site_rules(spark)
+    pages = spark.createDataFrame(
+        [page(1, "https://news.detik.com/1"), page(2, "https://news.detik.com/1?page=all", "lain"), page(3, "https://news.detik.com/2")],
+        ingest.FETCHED,
+    )
+    ingest.load_batch(pages, rules, path)
+    rows = store.read_store(spark, path)
+    wanted = repair.candidates(rows, F.col("url").endswith("/1"), ["url_key"])
+    fixes = repair.recompute(wanted, assign_site(pages), rules, ["content"])
+    assert [r.content for r in fixes.collect()] == ["isi"]
+    store.repair_partitions(rows, fixes.unionByName(fixes), path, ["content"])
+    spark.catalog.refreshByPath(path)
+    assert store.read_store(spark, path).count() == 2
