@@ -113,7 +113,7 @@ class Vocabulary:
             while keys[slot] >= 0:
                 slot, n = (slot + 1) % TABLE, n + 1
             keys[slot], to[slot], probes = key, state, max(probes, n)
-        piece = np.full(len(states) + 1, -1, np.int64)
+        piece = np.full(len(states) + 1, -1, np.int32)
         weight = np.zeros(len(states) + 1)
         for state, i in ends.items():
             piece[state], weight[state] = i, -np.log(ranks[i] + SHIFT)
@@ -161,8 +161,8 @@ class Lattices:
         literal = codes == ord(MARK)
         codes = np.where(codes == 0x20, ord(MARK), codes)
         codes[literal] = (1 << 21) - 1  # no piece has it, so it is spelled in bytes
-        stop = np.repeat(self.stop, lengths)
-        places = np.arange(len(codes))
+        stop = np.repeat(self.stop, lengths).astype(np.int32)
+        places = np.arange(len(codes), dtype=np.int32)
         edges: list[tuple[np.ndarray, ...]] = []
         at, state, depth = places, np.zeros(len(codes), np.int64), 0
         single = np.zeros(len(codes), bool)
@@ -184,6 +184,7 @@ class Lattices:
         one = np.array(vocabulary.byte_ids)[np.minimum(codes, 0xFF)]
         edges.append((rest, rest + 1, np.where(n_bytes == 1, one, -codes - 1), n_bytes * vocabulary.byte_weight))
         source, self.target, self.piece, weight = (np.concatenate(x) for x in zip(*edges, strict=True))
+        edges.clear()
         order = np.argsort(source, kind="stable")
         source, self.target, self.piece, weight = (x[order] for x in (source, self.target, self.piece, weight))
         self.first = np.searchsorted(source, np.arange(len(places) + 1))
@@ -191,6 +192,8 @@ class Lattices:
         # Sums over all ways from a place to its unit's end, from the end backwards.
         sums = np.zeros(len(places) + 1)
         left = (stop - places)[source]
+        if left.max(initial=0) < 1 << 16:
+            left = left.astype(np.uint16)  # sorted by digits
         by_left = np.argsort(left, kind="stable")
         bounds = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
         total = np.zeros(len(source))
