@@ -274,8 +274,13 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     cut = F.when(F.col("cut").isNull(), F.col("content")).otherwise(
         F.regexp_replace("content", F.concat(F.lit("(?s)"), F.col("cut"), F.lit(".*")), F.lit(""))
     )
+    # A site that reads JSON-LD rejects a block that is none even after repair.
+    reads = F.get(F.filter(F.flatten("fields"), lambda r: r["kind"] == "jsonld"), 0)
+    block = jsonld(F.col("page")["blocks"], reads["block"])
+    broken = reads.isNotNull() & block.isNotNull() & F.try_parse_json(block).isNull()
     reason = F.coalesce(
         F.when(F.col("_ruled").isNull(), F.lit("no_rules")),
+        F.when(broken, F.lit("bad_jsonld")),
         F.get(F.array_compact(missing), 0),
         banned_words(values, F.col("url"), F.col("banned")),
         F.when(F.col("b").isNull(), F.lit("no_body")),

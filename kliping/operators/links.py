@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from kliping.functions import cleanup, urls
 from kliping.functions import nodes as N
 from kliping.functions.nodes import STEP, let
+from kliping.sources import pages as sources
 
 LISTING_RULES = T.StructType(
     [
@@ -21,6 +22,8 @@ LISTING_RULES = T.StructType(
         T.StructField("section_template", T.StringType()),
         T.StructField("page_size", T.IntegerType()),
         T.StructField("prefix", T.StringType()),
+        # html, or JSON: an envelope around markup, or the page state in a script.
+        T.StructField("form", T.StringType()),
         T.StructField("items", T.ArrayType(T.ArrayType(STEP))),
         T.StructField("link", T.ArrayType(STEP)),
         T.StructField("badge", T.ArrayType(STEP)),
@@ -88,12 +91,28 @@ def listing_links(listings: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``listings`` needs ``site, html``. The link of an item is its first anchor
     with a target; items without one, and without the label a site asks for,
-    give no row.
+    give no row. Listings that arrive as JSON are read by the ``form`` of their
+    site: markup in an envelope is unwrapped, links in a page state are taken
+    from there.
     """
+    forms = listings.join(rules.select("site", "form", "prefix"), "site")
+    carried = [c for c in listings.columns if c != "html"]
+    state = sources.state_links(forms.filter("form = 'state'"), "html")
+    nothing = F.lit(None).cast("string")
+    state = state.select(
+        *carried, "pos", urls.absolute(F.col("link"), F.coalesce("prefix", F.lit(""))).alias("link"),
+        nothing.alias("badge"), nothing.alias("label"),
+    )
+    inner = F.when(F.col("form") == "envelope", sources.envelope(F.col("html"))).otherwise(F.col("html"))
+    marked = forms.filter("form <> 'state'").withColumn("html", inner).select(*listings.columns)
+    return _items(marked, rules).unionByName(state)
+
+
+def _items(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Links of listings whose items are elements of markup."""
     carried = [c for c in listings.columns if c != "html"]
     used = ["prefix", "items", "link", "badge", "label", "needs_label"]
-    ruled = listings.join(F.broadcast(rules.select("site")), "site", "left_semi")
-    flat = N.flatten_pages(ruled).join(F.broadcast(rules.select("site", *used)), "site")
+    flat = N.flatten_pages(listings).join(rules.select("site", *used), "site")
     nodes = F.col("nodes")
     chains = F.transform("items", lambda steps: N.select(nodes, N.root(nodes), steps))
     items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)

@@ -73,6 +73,7 @@ LISTINGS = {
             "http://housingestate.id/wp-admin/admin-ajax.php?action=alm_query_posts&order=DESC&orderby=date"
             "&month={M}&year={yyyy}&day={d}"
         ),
+        "form": "envelope",
         "items": [[every("div", "item-box")]],
         "next": ("one", [], None),
     },
@@ -212,6 +213,7 @@ LISTINGS = {
     "tirto": {
         "template": "https://tirto.id/indeks/{page}?date={yyyy}-{MM}-{dd}",
         "prefix": "https://tirto.id",
+        "form": "state",
         "items": [],
         "next": (
             "number", [at("ul", "custom-pagination p-0 text-center mb-5 col-10 offset-1"), at("a", pick=-2)], "text",
@@ -227,6 +229,7 @@ LISTINGS = {
     "viva": {
         "template": "https://www.viva.co.id/indeks/all/all/{yyyy}-{MM}-{dd}?type=art",
         "items": [[at("ul", "load_terbaru_content", "id"), every("li")]],
+        "link": [at("a", "title-content")],
         "next": ("one", [], None),
     },
 }
@@ -258,6 +261,7 @@ def listing_row(site: str, rules: dict) -> dict:
         "section_template": rules.get("section_template"),
         "page_size": rules.get("page_size", 1),
         "prefix": rules.get("prefix"),
+        "form": rules.get("form", "html"),
         "items": rules["items"],
         "link": rules.get("link", ANY_LINK),
         "badge": rules.get("badge"),

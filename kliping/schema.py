@@ -44,9 +44,11 @@ RUN_STATE = T.StructType(
     [
         T.StructField("site", T.StringType()),
         T.StructField("category", T.StringType()),
-        T.StructField("end_date", T.DateType()),
-        T.StructField("start_date", T.DateType()),
+        # Where the run stands, in the order of a grid: day, category, page.
+        T.StructField("date", T.DateType()),
+        T.StructField("cat_ord", T.IntegerType()),
         T.StructField("page", T.IntegerType()),
+        T.StructField("end_date", T.DateType()),
         T.StructField("written_at", T.TimestampType()),
     ]
 )

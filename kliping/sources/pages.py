@@ -21,10 +21,14 @@ def read_html_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def envelope(body: Column, field: str = "html") -> Column:
+    """The markup inside a JSON envelope."""
+    return F.from_json(body, f"`{field}` STRING").getField(field)
+
+
 def unwrap_envelope(df: DataFrame, body: str, field: str = "html") -> DataFrame:
     """Replace a JSON envelope by the markup inside; empty ones give no row."""
-    inner = F.from_json(F.col(body), f"`{field}` STRING").getField(field)
-    return df.withColumn(field, inner).filter(F.col(field) != "")
+    return df.withColumn(field, envelope(F.col(body), field)).filter(F.col(field) != "")
 
 
 def script_value(html: Column, pattern: str) -> Column:

@@ -175,3 +175,9 @@ def test_own_rule_kind(spark):
         assert row.post_id == 8 and row.content == "x"
     finally:
         extract._KINDS.pop("url_length")
+
+
+def test_unreadable_jsonld_is_rejected(spark):
+    html = '<script type="application/ld+json">{"headline": "A" broken</script><article>x</article>'
+    pages = spark.createDataFrame([(1, "tempo", "https://tempo.co/1", html)], "page_id int, site string, url string, html string")
+    assert [r.reject_reason for r in extract.extract_fields(pages, site_rules(spark)).collect()] == ["bad_jsonld"]

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from kliping.operators import links
 from kliping.plans import listings as plan
 from kliping.rules.listings import listing_rules, whole_page_url
+from kliping.schema import RUN_STATE
 from kliping.sources import pages as sources
+from kliping.sources import store
 
 
 def test_range_end_is_excluded(spark):
@@ -123,3 +125,24 @@ def test_read_whole_article(spark):
     df = spark.createDataFrame([("tribun", "http://t/1"), ("viva", "http://v/1")], "site string, url string")
     got = [r[0] for r in df.select(whole_page_url(F.col("site"), F.col("url"))).collect()]
     assert got == ["http://t/1?page=all", "http://v/1"]
+
+
+def test_listing_forms(spark):
+    state = '<div id="__nuxt"></div><script>window.__NUXT__={"data":[{"listarticle":[{"articleUrl":"/x"},{"articleUrl":"/a-1"},{"articleUrl":"/b-2"}]}]};</script>'
+    envelope = '{"html": "<div class=\\"item-box\\"><a href=\\"http://h/1\\">x</a></div>", "n": 1}'
+    viva = '<ul id="load_terbaru_content"><li><a href="/kat">K</a><a class="title-content" href="https://v/1">T</a></li></ul>'
+    rows = [(1, "tirto", state), (2, "housingestate", envelope), (3, "viva", viva), (4, "housingestate", '{"html": ""}')]
+    listings = spark.createDataFrame(rows, "page_id int, site string, html string")
+    got = sorted((r.page_id, r.link) for r in links.listing_links(listings, listing_rules(spark)).collect())
+    assert got == [(1, "https://tirto.id/a-1"), (1, "https://tirto.id/b-2"), (2, "http://h/1"), (3, "https://v/1")]
+
+
+def test_a_saved_run_goes_on(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for page, hour in ((3, 1), (7, 2)):
+        row = ("a", "y", dt.date(2018, 8, 1), 2, page, dt.date(2018, 8, 3), dt.datetime(2018, 9, 1, hour))
+        store.save_run_state(spark.createDataFrame([row], RUN_STATE), path)
+    categories = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "site string, category string, cat_ord int")
+    last = store.latest_run_state(spark.read.parquet(path), by=["site"])
+    left = plan.pending(plan.seed_grid(categories, "2018-08-01", "2018-08-03"), last)
+    assert {(r.date.day, r.cat_ord): r.first_page for r in left.collect()} == {(1, 2): 7, (2, 1): 1, (2, 2): 1}
