@@ -17,7 +17,8 @@ sketch gives an estimate, exact sets confirm, confirmed links merge components.
 Lists within one component are done with. What the rounds leave open goes an
 exact way: the full sets of the nodes in open lists are listed under their
 rarest shingles, the fifth that a partner of similarity 0.8 cannot miss as a
-whole, and all pairs of different components there are verified. So links
+whole, and pairs of different components there are verified if what either has
+from that shingle on, in order of rarity, can be enough. So links
 between different texts are lost only where the estimate fails, and no list
 ends up as all its pairs unless its members are candidates of as many
 components.
@@ -98,10 +99,11 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
 
 
 def _rarest(entries: DataFrame, length: Column) -> DataFrame:
-    """``value`` and ``node`` under the ``length`` rarest of each node's values; ``size`` and ``own`` go along.
+    """``value`` and ``node`` under the ``length`` rarest of each node's values.
 
     ``entries`` hold ``value``, ``node``, ``size``. Values of one node come
     first in rarity and count, but are not listed; ``own`` is their number.
+    ``size``, ``own`` and the ``place`` of the value in that order go along.
     """
     common = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = entries.join(common, "value")
@@ -111,8 +113,8 @@ def _rarest(entries: DataFrame, length: Column) -> DataFrame:
         by_node.withColumn("own", own)
         .withColumn("take", length - own)
         .filter("take > 0")
-        .select("node", "size", "own", F.explode(F.slice("values", F.lit(1), F.col("take").cast("int"))).alias("x"))
-        .select(F.col("x.value").alias("value"), "node", "size", "own")
+        .select("node", "size", "own", F.posexplode(F.slice("values", F.lit(1), F.col("take").cast("int"))))
+        .select(F.col("col.value").alias("value"), "node", "size", "own", (F.col("own") + F.col("pos")).alias("place"))
     )
 
 
@@ -167,13 +169,16 @@ def _rest(lists: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     rare = stored(_rarest(entries, length).join(full.select("node", "root"), "node"), "rare-shingles")
     spread = rare.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rare = rare.join(spread.select("value"), "value").select("value", "node", "root", "size")
-    other = rare.select("value", F.col("node").alias("node_b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
+    parts = ["value", "node", "root", "size", "place"]
+    rare = rare.join(spread.select("value"), "value").select(*parts)
+    other = rare.select(*(F.col(c).alias(f"{c}_b") for c in parts))
+    # In the common order of rarity, nothing before the first common value is common.
+    room = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
     pairs = rare.join(
         other,
-        (rare["value"] == other["value"])
+        (F.col("value") == F.col("value_b"))
         & (F.col("root") < F.col("root_b"))
-        & (F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent),
+        & ((100 + percent) * room >= percent * (F.col("size") + F.col("size_b"))),
     )
     pairs = pairs.select(*_ordered("node", "node_b")).distinct().join(tried, ["a", "b"], "left_anti")
     return _linked(pairs, sets, percent)
