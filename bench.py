@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -40,7 +41,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(max(8, int(cpus) if cpus.isdigit() else 8)),
         spark__ui__enabled="false", spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
-        spark__sql__files__maxPartitionBytes="1m",
+        spark__sql__files__maxPartitionBytes="1m", spark__checkpoint__dir=tempfile.mkdtemp(prefix="kliping-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     chosen = sys.argv[1:] or HEADLINE

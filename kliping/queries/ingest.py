@@ -9,7 +9,7 @@ from kliping.queries import sqltext as q
 from kliping.queries.registry import query
 from kliping.sources import pages as sources
 from kliping.sources import store
-from kliping.session import table
+from kliping.session import scratch_path, table
 
 CONTENT = q.unescape(q.control(q.text(q.br(q.drop(q.element("html", "article"), ["script", "style"])))))
 NAV_TEXTS = f"list_transform({q.elements(q.element('html', 'nav'), 'a')}, lambda a: {q.text('a')})"
@@ -62,13 +62,11 @@ def scan_store(spark, sf):
 
 @query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS _index, doc_id, text, lang, source FROM documents")
 def csv_roundtrip(spark, sf):
-    """Index rows, write them as CSV records and read the records back."""
+    """Write an indexed dump of the documents and read it back."""
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    indexed = store.with_index(documents, "doc_id").select("_index", *documents.columns)
-    options = {"escape": '"', "quoteAll": "true", "maxCharsPerColumn": "-1"}
-    record = indexed.select(F.to_csv(F.struct("*"), options).alias("record"))
-    shape = "_index BIGINT, doc_id BIGINT, text STRING, lang STRING, source STRING"
-    return record.select(F.from_csv("record", shape, {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}).alias("r")).select("r.*")
+    path = scratch_path(spark, "dump")
+    store.write_dump(documents, path, "doc_id")
+    return store.read_dump(spark, path, "_index BIGINT, doc_id BIGINT, text STRING, lang STRING, source STRING")
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Pages reach tens of kB each, so Arrow batches are kept small; skewed joins
@@ -50,6 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``, or else in the warehouse; all executors share either."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{(named or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` into the shared checkpoint folder.
 

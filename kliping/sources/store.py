@@ -127,6 +127,8 @@ def _delete_partition(spark: SparkSession, path: str, source: str, day: object)
 # -- dumps ---------------------------------------------------------------------
 
 NULL_CELL = r"\N"  # an empty cell is an empty text
+FILE_ROWS = 100_000  # one task reads a file
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def with_index(rows: DataFrame, row_id: str, name: str = "_index") -> DataFrame:
@@ -155,12 +157,12 @@ def write_dump(rows: DataFrame, path: str, row_id: str) -> None:
     indexed = with_index(rows, row_id)
     indexed.select(F.col("_index"), *rows.columns).write.mode("overwrite").option("header", True).option(
         "escape", '"'
-    ).option("nullValue", NULL_CELL).csv(path)
+    ).options(nullValue=NULL_CELL, maxRecordsPerFile=FILE_ROWS, **KEEP_BLANKS).csv(path)
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A dump in good form; cells may be quoted and hold line feeds, so each file is read by one task."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', nullValue=NULL_CELL)
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', nullValue=NULL_CELL, **KEEP_BLANKS)
 
 
 def rescue_dump(rows: DataFrame, cell: str) -> tuple[DataFrame, DataFrame]:
