@@ -249,9 +249,13 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     extra = [c for c in carried.columns if c not in ("html", "link_category", "link_subcategory", "site", "url")]
 
     # The rule table has one literal row per site, so Spark broadcasts it by its
-    # size. Pages of sites without rules stay, but their markup is not read.
-    known = rules.select("site", F.lit(True).alias("_ruled"))
-    ruled = carried.join(known, "site", "left").withColumn("html", F.when(F.col("_ruled"), F.col("html")))
+    # size. Pages of sites without rules stay, and so do those whose address is
+    # banned, but their markup is not read.
+    segments = F.flatten(F.transform(F.filter("banned", lambda b: b["field"] == "segment"), lambda b: b["words"]))
+    known = rules.select("site", F.lit(True).alias("_ruled"), segments.alias("_segments"))
+    barred = F.coalesce(F.arrays_overlap(F.split("url", "/"), "_segments"), F.lit(False))
+    ruled = carried.join(known, "site", "left").withColumn("_barred", barred).drop("_segments")
+    ruled = ruled.withColumn("html", F.when(F.col("_ruled") & ~F.col("_barred"), F.col("html")))
     joined = N.flatten_pages(ruled).join(rules, "site", "left")
     blocks = F.transform(F.filter("nodes", lambda n: n["tag"] == "#json"), lambda n: repair_json(n["text"]))
     page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
@@ -280,6 +284,7 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     broken = reads.isNotNull() & block.isNotNull() & F.try_parse_json(block).isNull()
     reason = F.coalesce(
         F.when(F.col("_ruled").isNull(), F.lit("no_rules")),
+        F.when(F.col("_barred"), F.lit("word_in_segment")),
         F.when(broken, F.lit("bad_jsonld")),
         F.get(F.array_compact(missing), 0),
         banned_words(values, F.col("url"), F.col("banned")),

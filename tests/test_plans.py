@@ -57,3 +57,12 @@ def test_partitions_follow_the_input():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(10 * 1024**4) == 81_920
     assert shuffle_partitions(100 * 1024**4) == 819_200
+
+
+def test_banned_addresses_leave_before_python(spark):
+    pages = table(spark, SF, "pages").select("page_id", urls.host(F.col("url")).alias("site"), "url", "html")
+    from kliping.operators import extract
+
+    text = extract.extract_fields(pages, site_rules(spark))._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("MapInArrow"):]
+    assert "arrays_overlap(split(url" in below and "_barred" in below
