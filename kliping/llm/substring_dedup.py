@@ -19,9 +19,11 @@ a rank that a third of the anchors have over many tasks; the first and last row
 of each task stay, since their neighbours are elsewhere (later steps are exact).
 
 Matches. What is left is compared in full. If the text of all strings that share
-an anchor has an equal elsewhere, they all are repeated. Anchors of one rank
-whose texts differ, at the edges of a match, are compared string by string, one
-bearer for each different text. Groups never turn into pairs.
+an anchor has an equal elsewhere, they all are repeated; if the bytes that they
+have in common have none, they all are unique. The rest, at the edges of a
+match, is cut into blocks of fewer strings and compared in the same way down to
+single strings, one bearer for each different text. Groups never turn into
+pairs.
 
 Equal texts are one text from the start. Null texts count as empty; texts below
 ``LENGTH`` bytes lose nothing; null ids and repeated rows are documents of their
@@ -45,6 +47,7 @@ from kliping.llm.shared import map_slices, schema_of, stored
 LENGTH = 400
 SPAN = 128
 GRAM = 8
+WIDTHS = (16, 1)  # of the blocks of strings that are compared after those of whole anchors
 
 _KEY = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -168,61 +171,82 @@ def _repeated_runs(texts: DataFrame, length: int, span: int) -> DataFrame:
         waiting = live.join(rest, "row").select("row", "names", "runs", "live", "todo")
 
 
-def _bearers(texts: DataFrame, length: int, span: int) -> DataFrame:
-    """Stored: of each anchor in ``found``, the starts of its strings and the text they cover together.
+def _hash(data: memoryview) -> int:
+    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
-    ``name``, ``near`` and ``far`` (offsets of the last and first string), ``content`` hash, ``at``, ``row``.
-    """
 
-    def rows(columns: list[list]) -> list[list]:
-        out: list[list] = [[] for _ in range(6)]
-        for row, text, found in zip(*columns, strict=True):
-            data = text.encode()
-            at, first, last = (x.tolist() for x in anchors(data, length, span))
-            for x in found:
-                i = x["idx"]
-                cover = xxhash.xxh3_64_intdigest(data[first[i] : last[i] + length]) - (1 << 63)
-                for place, value in zip(out, (x["name"], at[i] - last[i], at[i] - first[i], cover, at[i], row), strict=True):
+def _blocks(columns: list[list], length: int, width: int) -> list[list]:
+    """The strings of the wanted anchors in blocks of ``width`` offsets: rows of ``BLOCK``.
+
+    A block is known by the bytes that all strings with its offsets share
+    (``core``) and by those that the anchor's own strings there cover together.
+    """
+    out: list[list] = [[] for _ in range(9)]
+    for row, text, anchors_ in zip(*columns, strict=True):
+        data = memoryview(text.encode())
+        for x in anchors_:
+            at = x["at"]
+            for block in range(x["near"] // width, x["far"] // width + 1):
+                low, high = block * width, block * width + width - 1
+                near, far = max(low, x["near"]), min(high, x["far"])
+                core, cover = data[at - low : at - high + length], data[at - far : at - near + length]
+                for place, value in zip(
+                    out, (x["name"], block, _hash(core), near, far, _hash(cover), row, at, x["open"]), strict=True
+                ):
                     place.append(value)
-        return out
+    return out
 
-    schema = schema_of(name="long", near="int", far="int", content="long", at="long", row="long")
-    return stored(map_slices(texts.select("row", "text", "found"), rows, schema), "anchors")
 
+BLOCK = {
+    "name": "long", "block": "int", "core": "long", "near": "int", "far": "int", "cover": "long", "row": "long", "at": "long",
+    "open": "boolean",
+}
 
-def _edge_strings(bearers: DataFrame, groups: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """``row``, ``low``, ``high``: starts of repeated strings among anchors of one name whose texts differ."""
-    single = F.col("first") == F.col("last")
-    mixed = groups.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max(single).alias("open")).filter("n > 1 and open")
-    wanted = groups.join(mixed, "name").select(
-        F.col("first.row").alias("row"),
-        F.struct("name", "near", "far", F.col("first.at").alias("at"), single.alias("single")).alias("x"),
-    )
-    wanted = wanted.groupBy("row").agg(F.collect_list("x").alias("wanted"))
-    both = texts.select("row", "text").join(wanted, "row").select("row", "text", "wanted")
-
-    def strings(columns: list[list]) -> list[list]:
-        out: list[list] = [[] for _ in range(6)]
-        for row, text, anchors_ in zip(*columns, strict=True):
-            data = memoryview(text.encode())
-            for x in anchors_:
-                offsets = range(x["near"], x["far"] + 1)
-                out[0] += [x["name"]] * len(offsets)
-                out[1] += offsets
-                out[2] += [xxhash.xxh3_64_intdigest(data[x["at"] - o : x["at"] - o + length]) - (1 << 63) for o in offsets]
-                out[3] += [row] * len(offsets)
-                out[4] += [x["at"]] * len(offsets)
-                out[5] += [x["single"]] * len(offsets)
-        return out
 
-    schema = schema_of(name="long", offset="int", content="long", row="long", at="long", single="boolean")
-    each = stored(map_slices(both, strings, schema), "edge-strings")
-    keys = ["name", "offset", "content"]
-    where = F.struct("row", "at")
-    twice = each.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first <> last")
-    hit = each.filter("single").join(twice.select(*keys), keys)
-    start = F.col("at") - F.col("offset")
-    return hit.select("row", start.alias("low"), start.alias("high"))
+def _repeated_starts(texts: DataFrame, length: int, span: int) -> DataFrame:
+    """``row``, ``low``, ``high``: starts of repeated strings, of ``row``, ``text`` and the anchors ``found``.
+
+    In blocks of ``WIDTHS`` offsets: equal covers of two anchors make all
+    their strings repeated, a core of one anchor makes all its strings there
+    unique, and what differs in the cover only is cut into smaller blocks, one
+    bearer for each different cover.
+    """
+
+    def first(columns: list[list]) -> list[list]:
+        rows, data, found = columns
+        wanted = []
+        for text, own in zip(data, found, strict=True):
+            at, low, high = (x.tolist() for x in anchors(text.encode(), length, span))
+            wanted.append([
+                {"name": x["name"], "at": at[x["idx"]], "near": at[x["idx"]] - high[x["idx"]], "far": at[x["idx"]] - low[x["idx"]], "open": True}
+                for x in own
+            ])
+        return _blocks([rows, data, wanted], length, span)
+
+    schema = schema_of(**BLOCK)
+    each = map_slices(texts.select("row", "text", "found"), first, schema)
+    hits = []
+    for width in (*WIDTHS, None):
+        each = stored(each, "blocks")
+        keys = ["name", "block", "core", "near", "far", "cover"]
+        where = F.struct("row", "at")
+        groups = each.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("open").alias("open"))
+        groups = stored(groups, "covers")
+        twice = groups.filter("first <> last and open").select(*keys)
+        hit = each.filter("open").join(twice, keys)
+        hits.append(hit.select("row", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high")))
+        if width is None:
+            return reduce(DataFrame.unionByName, hits)
+        alone = (F.col("first") == F.col("last")) & F.col("open")
+        mixed = groups.groupBy("name", "block", "core").agg(F.count(F.lit(1)).alias("n"), F.max(alone).alias("any"))
+        mixed = mixed.filter("n > 1 and any").select("name", "block", "core")
+        bearers = groups.join(mixed, ["name", "block", "core"]).select(
+            F.col("first.row").alias("row"),
+            F.struct("name", F.col("first.at").alias("at"), "near", "far", alone.alias("open")).alias("x"),
+        )
+        wanted = bearers.groupBy("row").agg(F.collect_list("x").alias("wanted"))
+        both = texts.select("row", "text").join(wanted, "row").select("row", "text", "wanted")
+        each = map_slices(both, lambda columns, width=width: _blocks(columns, length, width), schema)
 
 
 def repeated_spans(
@@ -254,13 +278,7 @@ def repeated_spans(
     of = found.select("row", "found", F.col("id").alias("own"), F.col("digest").alias("own_digest"))
     texts = narrow.select("id", "digest", "text").join(of, F.col("id").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("own_digest")))
     texts = stored(texts.select("row", "text", "found"), "candidate-texts")
-    bearers = _bearers(texts, length, span)
-    keys = ["name", "near", "far", "content"]
-    where = F.struct("row", "at")
-    groups = stored(bearers.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("last")), "covers")
-    whole = bearers.join(groups.filter("first <> last").select(*keys), keys)
-    whole = whole.select("row", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high"))
-    hits = whole.unionByName(_edge_strings(bearers, groups, texts, length))
+    hits = _repeated_starts(texts, length, span)
     hits = hits.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("hits"))
 
     def spans(columns: list[list]) -> list[list]:
