@@ -24,13 +24,11 @@ def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_segmentation")
 def sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segmentation.encoded(table(spark, sf_dir, "documents"))
-    rows = rows.select(
+    rows = segmentation.encoded(table(spark, sf_dir, "documents"), checksum=True)
+    return rows.select(
         F.col("id").alias("doc_id"), "sample", F.size("pieces").cast("long").alias("n_pieces"),
-        F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "log_inclusion", "pieces",
+        F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "log_inclusion", "text_crc32",
     )
-    texts = segmentation.decoded(rows)
-    return texts.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).drop("text")
 
 
 @query("op3_secrets")

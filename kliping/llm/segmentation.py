@@ -30,10 +30,13 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +46,9 @@ from kliping.llm.shared import map_slices, schema_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 10.0
-GROUP = 2_000_000  # characters worked out together
-ROWS = 1024
+GROUP = 1_000_000  # characters worked out together
+ROWS = 512  # encoded in one slice
+DECODED = 64  # rows decoded in one slice
 MARK = "▁"  # stands for a space in pieces
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 
@@ -137,10 +141,11 @@ class Vocabulary:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        out, known = bytearray(), self._spelled()
-        for i in ids:
-            out += known[i]
-        return out.decode()[1:]
+        return self.decode_bytes(ids).decode()
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        """The text in UTF-8."""
+        return b"".join(map(self._spelled().__getitem__, ids))[1:]
 
     def _spelled(self) -> list[bytes]:
         if not hasattr(self, "_bytes"):
@@ -393,27 +398,31 @@ def row_seed(key: object, seed: int) -> int:
 
 def encoded(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, seed: int = 0,
-    model_file: str = MODEL,
+    model_file: str = MODEL, checksum: bool = False,
 ) -> DataFrame:
     """One row per document and sample: ``id``, ``sample`` from 1, ``pieces``, ``log_prob``, ``log_inclusion``.
 
+    With ``checksum`` also ``text_crc32``, of the text that the pieces decode to.
+
     The vocabulary, some ten thousand pieces, is read by the driver and broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
 
     def rows(columns: list[list]) -> list[list]:
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(5 + checksum)]
         texts = [t or "" for t in columns[1]]
         for a, b in _groups(texts):
             sampler = Sampler(texts[a:b], [row_seed(x, seed) for x in columns[0][a:b]], shared.value)
             for key, found in zip(columns[0][a:b], sampler.sample(samples), strict=True):
                 for i, one in enumerate(found):
-                    for place, value in zip(out, (key, i + 1, *one), strict=True):
+                    crc = [zlib.crc32(shared.value.decode_bytes(np.asarray(one[0]).tolist()))] if checksum else []
+                    for place, value in zip(out, (key, i + 1, *one, *crc), strict=True):
                         place.append(value)
         return out
 
     schema = schema_of(
-        id=docs.schema[id_col].dataType, sample="int", pieces="array<int>", log_prob="double", log_inclusion="double"
+        id=docs.schema[id_col].dataType, sample="int", pieces="array<int>", log_prob="double", log_inclusion="double",
+        **({"text_crc32": "long"} if checksum else {}),
     )
     return map_slices(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), rows, schema, ROWS)
 
@@ -423,8 +432,19 @@ def decoded(rows: DataFrame, pieces_col: str = "pieces", model_file: str = MODEL
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
     others = [c for c in rows.columns if c != pieces_col]
 
-    def texts(columns: list[list]) -> list[list]:
-        return [*columns[:-1], [None if p is None else shared.value.decode(p) if p else "" for p in columns[-1]]]
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, DECODED):
+                part = batch.slice(at, DECODED)
+                # Pieces stay one flat array; a list of lists would cost more than the decoding.
+                column = part.column(part.num_columns - 1)
+                flat, ends = column.values.to_numpy(), column.offsets.to_pylist()
+                known = column.is_valid().to_pylist()
+                found = [
+                    None if not ok else shared.value.decode(flat[a:b].tolist()) if b > a else ""
+                    for ok, a, b in zip(known, ends[:-1], ends[1:], strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string())], names=[*others, "text"])
 
     schema = schema_of(**{c: rows.schema[c].dataType for c in others}, text="string")
-    return map_slices(rows.select(*others, pieces_col), texts, schema)
+    return rows.select(*others, pieces_col).mapInArrow(texts, schema)
