@@ -46,8 +46,8 @@ from kliping.llm.shared import map_slices, schema_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 10.0
-GROUP = 1_000_000  # characters worked out together
-ROWS = 512  # encoded in one slice
+GROUP = 1_500_000  # characters worked out together
+ROWS = 1024  # encoded in one slice
 DECODED = 64  # rows decoded in one slice
 MARK = "▁"  # stands for a space in pieces
 UNIT = re.compile(r"\n| *[^ \n]+| +")
