@@ -43,7 +43,8 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return segmentation.encoded(docs).withColumnRenamed("id", "doc_id")
+    # Earlier stages' Python workers still hold memory here, so the groups are small.
+    return segmentation.encoded(docs, group=250_000).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Stage]] = [

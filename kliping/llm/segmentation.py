@@ -381,11 +381,11 @@ class Sampler:
         return np.array([i for x in spelled for i in x], np.int64)
 
 
-def _groups(texts: list[str]) -> list[tuple[int, int]]:
-    """Ranges of texts with at most ``GROUP`` characters together, or one longer text."""
+def _groups(texts: list[str], group: int = GROUP) -> list[tuple[int, int]]:
+    """Ranges of texts with at most ``group`` characters together, or one longer text."""
     out, begin, size = [], 0, 0
     for i, t in enumerate(texts):
-        if i > begin and size + len(t) > GROUP:
+        if i > begin and size + len(t) > group:
             out.append((begin, i))
             begin, size = i, 0
         size += len(t)
@@ -398,10 +398,11 @@ def row_seed(key: object, seed: int) -> int:
 
 def encoded(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, seed: int = 0,
-    model_file: str = MODEL, checksum: bool = False,
+    model_file: str = MODEL, checksum: bool = False, group: int = GROUP,
 ) -> DataFrame:
     """One row per document and sample: ``id``, ``sample`` from 1, ``pieces``, ``log_prob``, ``log_inclusion``.
 
+    ``group`` bounds the characters worked out together, at about 150 bytes each.
     With ``checksum`` also ``text_crc32``, of the text that the pieces decode to.
 
     The vocabulary, some ten thousand pieces, is read by the driver and broadcast.
@@ -411,7 +412,7 @@ def encoded(
     def rows(columns: list[list]) -> list[list]:
         out: list[list] = [[] for _ in range(5 + checksum)]
         texts = [t or "" for t in columns[1]]
-        for a, b in _groups(texts):
+        for a, b in _groups(texts, group):
             sampler = Sampler(texts[a:b], [row_seed(x, seed) for x in columns[0][a:b]], shared.value)
             for key, found in zip(columns[0][a:b], sampler.sample(samples), strict=True):
                 for i, one in enumerate(found):
