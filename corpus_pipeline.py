@@ -1,7 +1,7 @@
 """A training corpus in five stages, each on the whole of what its predecessor kept.
 
-Toxic documents go; later repeats of runs of lines are cut out of the texts, and
-documents without any line left go; one document of each near-duplicate group
+Toxic documents go; later repeats of runs of three lines, or of fewer that hold
+25 words, are cut out of the texts, and documents without any line left go; one document of each near-duplicate group
 stays; documents with a benchmark passage go; the rest is encoded into sampled
 segmentations. All but the last stage return the columns of ``documents``.
 """
@@ -27,7 +27,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked, lost = line_dedup.marked(docs)
+    marked, lost = line_dedup.marked(docs, words=line_dedup.WORDS)
     left = marked.filter(~F.coalesce(line_dedup.depleted(F.col("text"), lost), F.lit(False)))
     text = line_dedup.kept_text(F.col("text"), lost)
     changed = {"text": text, "n_chars": F.when(F.size(lost) == 0, F.col("n_chars")).otherwise(F.length(text).cast("long"))}

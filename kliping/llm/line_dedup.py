@@ -12,6 +12,11 @@ the hashes of all its lines. A window that stands earlier too, by id, then by
 position, is a repeat, and its lines go; overlapping windows make longer runs.
 The first occurrence of a line's text within repeated runs always stays.
 
+With ``words`` given, a run of fewer lines counts too if it holds that many
+words, cut at blanks: windows of one line up to ``RUN`` - 1 lines join those of
+``RUN``. Lines can be whole paragraphs, so a passage of one or two of them may be
+long. Without it, the rule is that of ``deduplicated_sql``.
+
 Everything is DataFrame functions. Windows are counted by partial aggregates,
 so a run that a third of the documents share is no hot group, and its join key
 is one that Spark splits. What is shuffled are hashes; texts move only once, to
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 from kliping.llm.shared import stored
 
 RUN = 3
+WORDS = 25  # for ``words``, where short runs are to go too: half a passage of 50
 BLANK = " \t\r"
 
 
@@ -37,11 +43,26 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _windows(docs: DataFrame, run: int) -> DataFrame:
+def _starts(run: int, words: int) -> Column:
+    """Structs of ``at`` and ``k``, of all windows: ``run`` lines, or fewer that hold ``words`` words together."""
+
+    def of(k: int) -> Column:
+        at = F.sequence(F.lit(0), F.size("h") - k)
+        if k < run:
+            at = F.filter(at, lambda a: F.aggregate(F.slice("w", a + 1, F.lit(k)), F.lit(0), lambda x, y: x + y) >= words)
+        each = F.transform(at, lambda a: F.struct(a.alias("at"), F.lit(k).alias("k")))
+        return F.when(F.size("h") >= k, each).otherwise(F.array().cast("array<struct<at:int,k:int>>"))
+
+    return F.concat(*map(of, range(1, run + 1)))
+
+
+def _windows(docs: DataFrame, run: int, words: int | None = None) -> DataFrame:
     """``id``, ``digest``, ``at`` and the line hashes of each window, with its fingerprint ``mark`` and that one's place.
 
     ``lines`` are the numbers of the window's lines in the text.
     """
+    if words is not None:
+        return _windows_by_words(docs, run, words)
     trimmed = F.transform(_lines(F.col("text")), lambda x: F.trim(x, F.lit(BLANK)))
     hashed = F.transform(trimmed, lambda x, i: F.struct(F.xxhash64(x).alias("h"), i.alias("n"), (x != "").alias("full")))
     full = docs.select("id", "digest", F.filter(hashed, lambda x: x["full"]).alias("l")).filter(F.size("l") >= run)
@@ -54,10 +75,29 @@ def _windows(docs: DataFrame, run: int) -> DataFrame:
     return each.select("*", mark.alias("mark"), (F.lit(run) - F.array_position(F.reverse("window"), mark)).cast("int").alias("place"))
 
 
-def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
+def _windows_by_words(docs: DataFrame, run: int, words: int) -> DataFrame:
+    """The same with the shorter windows that hold ``words`` words."""
+    trimmed = F.transform(_lines(F.col("text")), lambda x: F.trim(x, F.lit(BLANK)))
+    hashed = F.transform(trimmed, lambda x, i: F.struct(
+        F.xxhash64(x).alias("h"), i.alias("n"), (x != "").alias("full"), F.size(F.split(x, f"[{BLANK}]+")).alias("w")
+    ))
+    full = docs.select("id", "digest", F.filter(hashed, lambda x: x["full"]).alias("l")).filter(F.size("l") > 0)
+    full = full.select("id", "digest", F.col("l.h").alias("h"), F.col("l.n").alias("n"), F.col("l.w").alias("w"))
+    each = full.select("id", "digest", "h", "n", F.explode(_starts(run, words)).alias("x"))
+    each = each.select("id", "digest", F.col("x.at").alias("at"), F.col("x.k").alias("k"), "h", "n")
+    window, lines = (F.slice(c, F.col("at") + 1, F.col("k")) for c in ("h", "n"))
+    each = each.select("id", "digest", "at", "k", window.alias("window"), lines.alias("lines"))
+    mark = F.array_min("window")
+    place = (F.col("k") - F.array_position(F.reverse("window"), mark)).cast("int")
+    return each.select("id", "digest", "at", "window", "lines", mark.alias("mark"), place.alias("place"))
+
+
+def deleted_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None
+) -> DataFrame:
     """``id``, ``digest`` and the sorted numbers of the ``lines`` that go, for texts that lose any."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
-    windows = stored(_windows(texts, run), "line-windows")
+    windows = stored(_windows(texts, run, words), "line-windows")
     where = F.struct("id", "digest", (F.col("at") + F.col("place")).alias("at"))
     marks = windows.groupBy("mark").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     common = marks.filter("first <> last").select("mark")
@@ -72,10 +112,10 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def marked(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, words: int | None = None
 ) -> tuple[DataFrame, Column]:
     """The documents, and a Column over them: the numbers of the lines that go, empty where none does."""
-    gone = deleted_lines(docs, id_col, text_col, run)
+    gone = deleted_lines(docs, id_col, text_col, run, words)
     lost, id_, digest = (f"_{name}_of_line_dedup" for name in ("lines", "id", "digest"))
     gone = gone.select(F.col("id").alias(id_), F.col("digest").alias(digest), F.col("lines").alias(lost))
     same = docs[id_col].eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text_col]) == F.col(digest))
