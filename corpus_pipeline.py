@@ -1,7 +1,7 @@
 """A training corpus in five stages, each on the whole of what its predecessor kept.
 
 Toxic documents go; later repeats of runs of three lines, or of fewer that hold
-25 words, are cut out of the texts, and documents without any line left go; one document of each near-duplicate group
+25 words, are cut out of the texts, and documents without any line left go; one row of each near-duplicate group
 stays; documents with a benchmark passage go; the rest is encoded into sampled
 segmentations. All but the last stage return the columns of ``documents``.
 """
@@ -35,7 +35,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.representatives(docs)
+    return near_dedup.one_of_each(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

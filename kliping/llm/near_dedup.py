@@ -25,7 +25,8 @@ components.
 
 Null or empty texts and texts without words have empty sets and no links. Null
 ids never stand for a component; repeated rows are linked and share the
-smallest id. Ties have no effect. Extra columns are ignored; an empty table
+smallest id, so ``kept`` holds for all of them; ``one_of_each`` keeps one row of
+a group, whatever repeats. Ties have no effect. Extra columns are ignored; an empty table
 gives no rows.
 """
 
@@ -184,10 +185,8 @@ def _rest(lists: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame
     return _linked(pairs, sets, percent)
 
 
-def grouped(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
-) -> DataFrame:
-    """One row per document: ``id``, ``digest`` of the text, ``n_shingles``, ``component_id``, ``kept``."""
+def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """One row per document: ``row``, ``id``, ``digest`` of the text, ``n`` shingles, ``group``."""
     rows = sketched(docs, id_col, text_col, shingle)
     nodes = rows.filter("n > 0").groupBy("key").agg(F.min("row").alias("node"))
     own = rows.join(nodes, "key").filter("row = node").select("node", "id", "digest", "n", "sketch")
@@ -206,7 +205,14 @@ def grouped(
         labels = _relabelled(labels, _linked(pairs, sets, percent))
     labels = _relabelled(labels, _rest(lists, labels, sets, tried, percent))
     members = rows.select("row", "id", "digest", "n", "key").join(nodes, "key", "left").join(labels, "node", "left")
-    members = members.withColumn("group", F.coalesce("root", "node", "row"))
+    return members.select("row", "id", "digest", "n", F.coalesce("root", "node", "row").alias("group"))
+
+
+def grouped(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row per document: ``id``, ``digest`` of the text, ``n_shingles``, ``component_id``, ``kept``."""
+    members = _members(docs, id_col, text_col, shingle, percent)
     least = members.groupBy("group").agg(F.min("id").alias("component_id"))
     return members.join(least, "group").select(
         "id", "digest", F.col("n").alias("n_shingles"), "component_id",
@@ -232,6 +238,30 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
 def representatives(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The documents, same columns, one of each group: that with the smallest id."""
+    """The documents, same columns, of each group those with the smallest id: repeated rows of it all stay."""
     gone = grouped(docs, id_col, text_col, shingle, percent).filter(~F.col("kept"))
     return without(docs, gone, id_col, text_col)
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The documents, same columns, exactly one row of each group: of those with the smallest id, null only if all are.
+
+    Texts without words have no links, so each of their rows stays.
+    """
+    members = _members(docs, id_col, text_col, shingle, percent)
+    members = stored(members.select("row", "id", "digest", "group"), "members")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row", "digest")
+    best = members.groupBy("group").agg(F.min(order).alias("best"))
+    same = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
+    others = members.join(best, "group").filter(F.col("row") != F.col("best.row"))
+    # With ``again``, rows that repeat the one that stays; all rows of these go, but for one that comes back below.
+    others = stored(others.select("id", "digest", same.alias("again")).distinct(), "other-members")
+    left = without(docs, others, id_col, text_col)
+    again = others.filter("again").select(F.col("id").alias("_again_id"), F.col("digest").alias("_again_digest"))
+    if again.isEmpty():
+        return left
+    repeated = docs[id_col].eqNullSafe(F.col("_again_id")) & (F.xxhash64(docs[text_col]) == F.col("_again_digest"))
+    back = docs.join(again, repeated, "left_semi").withColumn("_again_digest", F.xxhash64(text_col))
+    return left.unionByName(back.dropDuplicates([id_col, "_again_digest"]).drop("_again_digest"))

@@ -1,9 +1,9 @@
-"""What operators do beyond the thin queries: short runs of long lines."""
+"""What operators do beyond the thin queries: short runs of long lines, one row of each group."""
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kliping.llm import line_dedup
+from kliping.llm import line_dedup, near_dedup
 
 from .conftest import as_set
 
@@ -46,3 +46,24 @@ def test_pipeline_cuts_short_runs(spark):
     docs = spark.createDataFrame([(1, f"own\n{passage}", 1), (2, f"{passage}\nmore", 1)], "doc_id long, text string, n_chars long")
     got = corpus_pipeline.without_repeated_lines(spark, docs, "")
     assert as_set(got, "doc_id", F.col("text").substr(1, 4), "n_chars") == [(1, "own\n", 1), (2, "more", 4)]
+
+
+def test_one_row_of_each_group_stays(spark, docs, none):
+    text = lambda name, n=60: " ".join(f"{name}{k}" for k in range(n))
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [
+        (1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a, "x"), (1, a + " more", "x"), (None, a, "x"),  # smallest id repeated, with two texts
+        (None, b, "x"), (None, b, "x"), (None, b + " more", "x"), (None, b + " more", "x"),  # all ids null
+        (7, c, "x"), (8, c + " more", "x"), (8, c + " more", "x"), (9, text("d"), "x"), (10, "", "x"), (11, None, "x"), (None, None, "x"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, id string").repartition(3)
+    got = near_dedup.one_of_each(frame)
+    assert got.columns == frame.columns
+    kept = sorted(((r.doc_id, (r.text or "")[:1]) for r in got.collect()), key=repr)
+    assert kept == sorted([(1, "a"), (None, "b"), (7, "c"), (9, "d"), (10, ""), (11, ""), (None, "")], key=repr)
+    stage = corpus_pipeline.without_near_duplicates(spark, frame, "")
+    assert stage.count() == len(kept)
+    groups = near_dedup.grouped(docs).filter("n_shingles > 0")
+    left = near_dedup.one_of_each(docs).filter("trim(translate(text, '\n\t\r', '   ')) <> ''")
+    assert left.count() == groups.select(F.coalesce("component_id", F.xxhash64("digest"))).distinct().count()
+    assert near_dedup.one_of_each(none).count() == 0
