@@ -3,7 +3,7 @@
 Toxic documents go; later repeats of runs of three lines, or of fewer that hold
 25 words, are cut out of the texts, and documents without any line left go; one row of each near-duplicate group
 stays; documents with a benchmark passage go; the rest is encoded into sampled
-segmentations. All but the last stage return the columns of ``documents``.
+segmentations, and each is decoded again and held against its text. All but the last stage return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Earlier stages' Python workers still hold memory here, so the groups are small.
-    return segmentation.encoded(docs, group=250_000).withColumnRenamed("id", "doc_id")
+    return segmentation.encoded(docs, group=250_000, verify=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Stage]] = [

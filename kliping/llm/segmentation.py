@@ -398,25 +398,30 @@ def row_seed(key: object, seed: int) -> int:
 
 def encoded(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, seed: int = 0,
-    model_file: str = MODEL, checksum: bool = False, group: int = GROUP,
+    model_file: str = MODEL, checksum: bool = False, group: int = GROUP, verify: bool = False,
 ) -> DataFrame:
     """One row per document and sample: ``id``, ``sample`` from 1, ``pieces``, ``log_prob``, ``log_inclusion``.
 
     ``group`` bounds the characters worked out together, at about 150 bytes each.
-    With ``checksum`` also ``text_crc32``, of the text that the pieces decode to.
+    With ``checksum`` also ``text_crc32``, of the text that the pieces decode to; with ``verify`` too, and pieces
+    that decode to another checksum than that of the input text raise an error.
 
     The vocabulary, some ten thousand pieces, is read by the driver and broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
+    checksum = checksum or verify
 
     def rows(columns: list[list]) -> list[list]:
         out: list[list] = [[] for _ in range(5 + checksum)]
         texts = [t or "" for t in columns[1]]
         for a, b in _groups(texts, group):
             sampler = Sampler(texts[a:b], [row_seed(x, seed) for x in columns[0][a:b]], shared.value)
-            for key, found in zip(columns[0][a:b], sampler.sample(samples), strict=True):
+            for key, text, found in zip(columns[0][a:b], texts[a:b], sampler.sample(samples), strict=True):
+                want = zlib.crc32(text.encode()) if verify else None
                 for i, one in enumerate(found):
                     crc = [zlib.crc32(shared.value.decode_bytes(np.asarray(one[0]).tolist()))] if checksum else []
+                    if verify and crc != [want]:
+                        raise ValueError(f"sample {i + 1} of document {key!r} does not decode to its text")
                     for place, value in zip(out, (key, i + 1, *one, *crc), strict=True):
                         place.append(value)
         return out

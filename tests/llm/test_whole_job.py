@@ -1,9 +1,10 @@
-"""What operators do beyond the thin queries: short runs of long lines, one row of each group."""
+"""What operators do beyond the thin queries: short runs of long lines, one row of each group, decoded pieces."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kliping.llm import line_dedup, near_dedup
+from kliping.llm import line_dedup, near_dedup, segmentation
 
 from .conftest import as_set
 
@@ -67,3 +68,20 @@ def test_one_row_of_each_group_stays(spark, docs, none):
     left = near_dedup.one_of_each(docs).filter("trim(translate(text, '\n\t\r', '   ')) <> ''")
     assert left.count() == groups.select(F.coalesce("component_id", F.xxhash64("digest"))).distinct().count()
     assert near_dedup.one_of_each(none).count() == 0
+
+
+def test_pipeline_decodes(spark, docs, monkeypatch):
+    got = corpus_pipeline.encoded(spark, docs, "")
+    want = docs.select("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
+    assert set(as_set(got, "doc_id", "text_crc32")) == set(as_set(want, "doc_id", "crc"))
+    assert got.filter("sample = 1").count() == docs.count()
+    load = segmentation.Vocabulary.load
+
+    def broken(*args):
+        vocabulary = load(*args)
+        vocabulary._bytes = [b"?"] * len(vocabulary.pieces)
+        return vocabulary
+
+    monkeypatch.setattr(segmentation.Vocabulary, "load", staticmethod(broken))
+    with pytest.raises(Exception, match="does not decode to its text"):
+        corpus_pipeline.encoded(spark, docs, "").collect()
