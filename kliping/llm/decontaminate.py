@@ -10,8 +10,9 @@ postings of its rarest term give the possible starts, and the postings of the
 others, in order of rarity and shifted by their offsets, thin them out.
 
 Two kinds of match come back: exact phrases, and proximity matches, where every
-word of a window stands within ``SLACK`` words of its place. Only exact phrases
-make a document contaminated.
+word of a window stands within ``SLACK`` words of its place, counted from its
+rarest word and inside that one's document. Only exact phrases make a document
+contaminated.
 
 Segments stay where their documents are, so neither a common word nor a passage
 that a third of the documents share moves data or gathers in a task; only term
@@ -75,24 +76,33 @@ class Block:
         self.last = np.append(self.first[1:], len(key)).astype(np.int64)
 
     def search(
-        self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, total: int, slack: int = SLACK
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Window numbers, starts and whether exact, of all proximity matches in a segment of ``total`` words."""
+        self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, lengths: np.ndarray, slack: int = SLACK
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Window numbers, documents, starts there and whether exact, of all proximity matches in a segment.
+
+        ``lengths`` are those of its documents, in words. A match is in the document of its rarest term, and a
+        start may lie before it. Documents are moved apart, so that no lookup reaches from one into another.
+        """
         ends = np.cumsum(counts)
+        room = self.window.shape[1] + slack
+        begins = np.cumsum(lengths) - lengths + room * np.arange(len(lengths))
+        doc_of = np.searchsorted(np.cumsum(lengths), positions, "right")
+        positions = positions + room * doc_of
         _, in_segment, in_keys = np.intersect1d(terms, self.keys, assume_unique=True, return_indices=True)
-        picked, starts = [], []
+        picked, starts, docs = [], [], []
         for s, k in zip(in_segment, in_keys, strict=True):
-            at = positions[ends[s] - counts[s] : ends[s]]
+            here = slice(ends[s] - counts[s], ends[s])
+            at = positions[here]
             own = self.by_key[self.first[k] : self.last[k]]
             picked.append(np.repeat(own, len(at)))
             starts.append(np.tile(at, len(own)) - np.repeat(self.order[own, 0], len(at)))
+            docs.append(np.tile(doc_of[here], len(own)))
         if not picked:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        # The postings by position, with room for shifts beyond either end.
-        room = self.window.shape[1] + slack
-        at_place = np.full(total + 2 * room, -2, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        # The postings by position, with room for shifts beyond either end of each document.
+        at_place = np.full(int(lengths.sum()) + (len(lengths) + 1) * room, -2, np.int64)
         at_place[positions + room] = np.repeat(terms, counts)
-        w, start = np.concatenate(picked), np.concatenate(starts)
+        w, start, doc = np.concatenate(picked), np.concatenate(starts), np.concatenate(docs)
         exact = np.ones(len(w), bool)
         for k in range(1, self.window.shape[1]):
             place = self.order[w, k]
@@ -103,10 +113,11 @@ class Block:
             for shift in (*range(-slack, 0), *range(1, slack + 1)):
                 near |= at_place[spot + shift] == term
             exact &= same
-            w, start, exact = w[near], start[near], exact[near]
+            w, start, doc, exact = w[near], start[near], doc[near], exact[near]
+        start = start - begins[doc]
         # A window is inside the text, but for the slack of a proximity match.
-        exact &= (start >= 0) & (start + self.length[w] <= total)
-        return w, start, exact
+        exact &= (start >= 0) & (start + self.length[w] <= lengths[doc])
+        return w, doc, start, exact
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[str, list[bytes]]]]:
@@ -163,17 +174,13 @@ def _matches(segments: DataFrame, block: Block) -> DataFrame:
         out: list[list] = [[] for _ in range(7)]
         for rows, ids, digests, lengths, terms, counts, positions in zip(*columns, strict=True):
             block, n = shared.value, len(rows)
-            ends = np.cumsum(lengths)
-            w, start, exact = block.search(*(np.array(x, np.int64) for x in (terms, counts, positions)), int(ends[-1]))
-            doc = np.searchsorted(ends, np.clip(start, 0, ends[-1] - 1), "right")
-            exact &= (start >= ends[doc] - np.array(lengths)[doc]) & (start + block.length[w] <= ends[doc])
+            w, doc, start, exact = block.search(*(np.array(x, np.int64) for x in (terms, counts, positions, lengths)))
             spans: list[list] = [[] for _ in range(n)]
             items: list[set] = [set() for _ in range(n)]
             near: list[set] = [set() for _ in range(n)]
             for d, x, a, e in zip(doc.tolist(), w.tolist(), start.tolist(), exact.tolist(), strict=True):
                 near[d].update(block.items[x])
                 if e:
-                    a -= int(ends[d]) - lengths[d]
                     spans[d].append((a, a + int(block.length[x])))
                     items[d].update(block.items[x])
             for place, value in zip(

@@ -1,10 +1,13 @@
-"""What operators do beyond the thin queries: short runs of long lines, one row of each group, decoded pieces."""
+"""What operators do beyond the thin queries: short runs of long lines, one row of each group, decoded pieces, near phrases between neighbours."""
+
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kliping.llm import line_dedup, near_dedup, segmentation
+from kliping.llm import decontaminate, line_dedup, near_dedup, segmentation
 
 from .conftest import as_set
 
@@ -85,3 +88,44 @@ def test_pipeline_decodes(spark, docs, monkeypatch):
     monkeypatch.setattr(segmentation.Vocabulary, "load", staticmethod(broken))
     with pytest.raises(Exception, match="does not decode to its text"):
         corpus_pipeline.encoded(spark, docs, "").collect()
+
+
+def _near(texts, items):
+    """Brute force: the items with a window whose rarest word is in the text and the others within SLACK of their places."""
+    slack, split = decontaminate.SLACK, {i: decontaminate.words(t) for i, t in texts}
+    counts = Counter(w for x in split.values() for w in x)
+    out = {i: set() for i in split}
+    for item, text in items:
+        own = decontaminate.words(text)
+        for a in range(max(1, len(own) - decontaminate.WINDOW + 1)):
+            window = own[a : a + decontaminate.WINDOW]
+            rare = min(range(len(window)), key=lambda k: counts[window[k]])
+            for i, x in split.items():
+                for s in (p - rare for p, w in enumerate(x) if w == window[rare]):
+                    if all(k == rare or w in x[max(0, s + k - slack) : max(0, s + k + slack + 1)] for k, w in enumerate(window)):
+                        out[i].add(item)
+    return out
+
+
+def test_near_phrases_stay_in_their_documents(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    texts = [
+        (1, "x y z"), (2, "beta alpha gamma delta epsilon zeta eta theta kappa iota"), (3, ""),
+        (4, "gamma alpha beta delta epsilon zeta eta theta iota kappa"), (5, "q alpha beta gamma delta epsilon"),
+        (6, "zeta eta theta iota kappa"), (7, "kappa"), (8, item), (9, "beta gamma delta alpha epsilon zeta eta theta iota kappa alpha alpha"),
+    ]
+    rng = random.Random(6)
+    for i in range(10, 90):
+        own = item.split()
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(9)
+            own[k : k + 2] = own[k : k + 2][::-1]
+        cut = rng.choice([0, 0, 4])
+        texts.append((i, " ".join(own[cut:] if rng.random() < 0.5 else own[: 10 - cut])))
+    items = [("i", item), ("j", "epsilon zeta eta")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)  # neighbours in one segment
+    found = decontaminate.search(docs, spark.createDataFrame(items, "item_id string, text string")).collect()
+    got = {r.id: set(r.near) for r in found}
+    assert got == _near(texts, items)
+    assert "i" in got[2] and got[1] == got[3] == got[7] == set() and "i" not in got[5] | got[6]
+    assert {r.id for r in found if "i" in r.items} >= {8}
