@@ -10,12 +10,13 @@ share anchors. Only anchors are sorted, one in ``SPAN`` / 2 bytes. Consecutive
 anchors cut the text into chunks, and the chunks behind an anchor are decided by
 the text there as well.
 
-Doubling. The rank of an anchor stands for the run of 1, 2, 4 ... chunks from it,
-up to the run that all its strings have in common. Per round Spark sorts rank
+Doubling. Not prefix doubling with ranks: no rank is assigned. The hash of the raw
+bytes, made anew each round, stands for the run of 1, 2, 4 ... chunks from an anchor,
+up to the run that all its strings have in common. Per round Spark sorts hash
 and position; an anchor without an equal neighbour is unique and leaves, the
-others pair their rank with that of the run behind it for the next round, until
-they are unique or their run is complete. Sorting by rank *and* position spreads
-a rank that a third of the anchors have over many tasks; the first and last row
+others get the hash of the longer run in the next round, until they are unique
+or their run is complete. A run is a few chunks, so one or two rounds only filter
+candidates. Sorting by hash *and* position spreads a hash that a third of the anchors have over many tasks; the first and last row
 of each task stay, since their neighbours are elsewhere (later steps are exact).
 
 Matches. What is left is compared in full. If the text of all strings that share
