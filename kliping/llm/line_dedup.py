@@ -1,14 +1,16 @@
-"""Line dedup by winnowing: later repeats of runs of lines are deleted.
+"""Line dedup over windows of lines: later repeats of runs of lines are deleted.
 
 Lines are cut at line feeds and compared without blanks, tabs and carriage
 returns at their ends; lines that are empty then do not count and are never
 deleted by themselves. A run is ``RUN`` lines or more that stand one behind
-another, apart from empty ones. Each window of ``RUN`` lines selects the line
+another, apart from empty ones. Each window of ``RUN`` lines marks the line
 with the smallest hash, the last of equal ones, as its fingerprint, so two equal
 runs have a fingerprint in common at the same place. Fingerprints that occur at
 one position only are dropped; the positions of the others are joined with the
-first position of their window, which holds the match extended to both sides:
-the hashes of all its lines. A window that stands earlier too, by id, then by
+first position of their window, the hashes of all its lines. So winnowing does
+not select here: every window is kept and grouped as a whole, the fingerprint
+only filters beforehand, and no match is grown line by line. The first place of
+a fingerprint need not be that of the window, which the rule asks for. A window that stands earlier too, by id, then by
 position, is a repeat, and its lines go; overlapping windows make longer runs.
 The first occurrence of a line's text within repeated runs always stays.
 
