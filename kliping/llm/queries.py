@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, line_dedup, near_dedup, quality, secrets, segmentation, sharding, substring_dedup, toxicity, warc
+from kliping.llm import decontaminate, line_dedup, near_dedup, quality, ranked_search, secrets, segmentation, sharding, substring_dedup, toxicity, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -93,3 +93,8 @@ def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@query("op13_ranked_search", ranked_search.ranked_sql())
+def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
