@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import decontaminate, line_dedup, near_dedup, quality, ranked_search, secrets, segmentation, sharding, substring_dedup, toxicity, warc
+from kliping.llm import conversations, decontaminate, line_dedup, near_dedup, quality, ranked_search, secrets, segmentation, sharding, substring_dedup, toxicity, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -98,3 +98,10 @@ def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_ranked_search", ranked_search.ranked_sql())
 def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_conversation_repair")
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    results = conversations.repaired(conversations.damaged(rows))
+    return conversations.with_every_conversation(results, rows).withColumnRenamed("conv", "conv_id")
