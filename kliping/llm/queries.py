@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kliping.llm import conversations, decontaminate, line_dedup, near_dedup, quality, ranked_search, secrets, segmentation, sharding, substring_dedup, toxicity, warc
+from kliping.llm import conversations, decontaminate, language_model, line_dedup, near_dedup, quality, ranked_search, secrets, segmentation, sharding, substring_dedup, toxicity, warc
 from kliping.llm.registry import query
 from kliping.llm.shared import new_path
 from kliping.session import table
@@ -105,3 +105,9 @@ def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     results = conversations.repaired(conversations.damaged(rows))
     return conversations.with_every_conversation(results, rows).withColumnRenamed("conv", "conv_id")
+
+
+@query("op12_language_model")
+def text_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    return language_model.scored(table(spark, sf_dir, "documents"), held).withColumnRenamed("id", "doc_id")
