@@ -6,52 +6,87 @@ the same or another document, is removed. Strings are judged on the input.
 Sampling. Each string start picks an anchor: the position of the smallest hash
 of eight bytes among the next ``SPAN``. A string decides its anchor alone, so
 equal strings have their anchors at the same offset, and consecutive starts
-share anchors. Only anchors are sorted, one in ``SPAN`` / 2 bytes. Consecutive
-anchors cut the text into chunks, and the chunks behind an anchor are decided by
-the text there as well.
-
-Doubling. Not prefix doubling with ranks: no rank is assigned. The hash of the raw
-bytes, made anew each round, stands for the run of 1, 2, 4 ... chunks from an anchor,
-up to the run that all its strings have in common. Per round Spark sorts hash
-and position; an anchor without an equal neighbour is unique and leaves, the
-others get the hash of the longer run in the next round, until they are unique
-or their run is complete. A run is a few chunks, so one or two rounds only filter
-candidates. Sorting by hash *and* position spreads a hash that a third of the anchors have over many tasks; the first and last row
-of each task stay, since their neighbours are elsewhere (later steps are exact).
-
-Matches. What is left is compared in full. If the text of all strings that share
-an anchor has an equal elsewhere, they all are repeated; if the bytes that they
-have in common have none, they all are unique. The rest, at the edges of a
-match, is cut into blocks of fewer strings and compared in the same way down to
-single strings, one bearer for each different text. Groups never turn into
-pairs.
+share anchors: about one position in ``SPAN`` / 2 is one. Consecutive anchors cut the
+text into chunks, up to its end, behind the last string start too.
+
+Doubling. Positions are ranked by their chunk, then by pairs of ranks at growing
+offsets: the rank of the run of 2, 4, 8 ... chunks from a position comes from its
+own rank and that of the position 1, 2, 4 ... chunks on. Each round deals the keys by
+range, sorts them there and numbers those that occur twice or more; positions with a
+unique run leave. All strings of an anchor share the next ``LENGTH - SPAN + 1``
+bytes, its threshold: once a run covers the chunks decided by these (a last,
+overlapping pair of ranks where their number is no power of two), the anchor is
+done. Anchors unique until then hold no repeated string.
+
+Matches. The strings of the anchors left are compared in full, by hashes of 64 bits.
+If the text of all strings that share an anchor has an equal elsewhere, they all are
+repeated; if the bytes that they have in common have none, they all are unique. The
+rest, at the edges of a match, is cut into blocks of fewer strings and compared in
+the same way down to single strings, one bearer for each different text. Groups
+never turn into pairs.
+
+Distribution. Texts lie in slices of about ``SLICE_BYTES``, a row each. A slice sends
+each key once a round, packed in one row per receiver, and gets the ranks back,
+so a passage that a third of the documents share costs its receiver a key a slice.
 
 Equal texts are one text from the start. Null texts count as empty; texts below
 ``LENGTH`` bytes lose nothing; null ids and repeated rows are documents of their
-own; extra columns are ignored; an empty table gives no rows.
+own; a text is never cut, so a very long one makes a slice of its own; extra columns
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType
 
-from kliping.llm.shared import map_slices, schema_of, stored
+from kliping.llm.packed import pack, pack_all, rows_of, table_of, unpack, unpack_all
+from kliping.llm.shared import schema_of, stored
 
 LENGTH = 400
 SPAN = 128
 GRAM = 8
-WIDTHS = (16, 1)  # of the blocks of strings that are compared after those of whole anchors
+WIDTHS = (SPAN, 16, 1)  # strings a block, in the order of comparison
+SLICE_BYTES = 4 << 20
+KEYS = 2_000_000  # keys of all slices that one task sorts
+SEGMENT = 1 << 18
 
 _KEY = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
+_BASE = 0xD6E8FEB86659FD93
+_U = np.uint64
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(32))) * _KEY
+    x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
+    return x ^ (x >> _U(32))
+
+
+def _key(*parts: np.ndarray) -> np.ndarray:
+    """One key of several numbers."""
+    out = np.zeros(len(parts[0]), _U)
+    for part in parts:
+        out = _mixed(out * _U(31) + part.astype(np.int64).view(_U))
+    return out
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hash of the eight bytes from each position."""
+    x = data.astype(_U)
+    for k in (1, 2, 4):
+        x = (x[:-k] << _U(8 * k)) | x[k:]
+    x = (x ^ (x >> _U(29))) * _KEY
+    return (x ^ (x >> _U(32))) * _KEY
 
 
 def anchors(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,12 +98,9 @@ def anchors(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.nda
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none, none
-    x = np.frombuffer(data, np.uint8).astype(np.uint64)
-    for k in (1, 2, 4):  # eight bytes as one number
-        x = (x[:-k] << np.uint64(8 * k)) | x[k:]
-    x = (x ^ (x >> np.uint64(29))) * _KEY
     # Ties in the hash go to the first position.
-    x = (((x ^ (x >> np.uint64(32))) * _KEY) & _HIGH) | np.arange(len(x), dtype=np.uint64)
+    x = _grams(np.frombuffer(data, np.uint8))
+    x = (x & _HIGH) | np.arange(len(x), dtype=_U)
     width = 1
     while width < span:
         step = min(width, span - width)
@@ -81,237 +113,433 @@ def anchors(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.nda
     return at[first], first[:bearing], last[:bearing]
 
 
-def chunks(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[list[int], list[int]]:
-    """Hash of each chunk, and of each anchor with strings how many chunks these have in common.
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2^64."""
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(size, base, _U)
+        x[0] = 1
+        both.append(np.multiply.accumulate(x))
+    return both[0], both[1]
 
-    All strings of an anchor hold the ``length - span + 1`` bytes from it on;
-    ``span + GRAM`` of them behind an anchor decide where its chunk ends.
-    """
-    at, first, _ = anchors(data, length, span)
-    view = memoryview(data)
-    ends = at.tolist()
-    names = [xxhash.xxh3_64_intdigest(view[a:b]) - (1 << 63) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    reach = length - span + 1 - span - GRAM
-    own = at[: len(first)]
-    return names, (np.searchsorted(at, own + reach, "right") - np.arange(len(own))).tolist()
-
-
-def _run_names(names: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Hash of the ``sizes`` chunks from each of the ``places``."""
-    out = np.zeros(len(places), np.uint64)
-    for k in range(int(sizes.max(initial=0))):
-        more = sizes > k
-        x = (out[more] * np.uint64(31)) ^ names[places[more] + k].view(np.uint64)
-        x = (x ^ (x >> np.uint64(29))) * _KEY
-        out[more] = x ^ (x >> np.uint64(32))
-    return out.view(np.int64)
-
-
-def _not_unique(ranked: DataFrame) -> DataFrame:
-    """Of the rows ``name``, ``row``, ``idx``, ``run`` those with an equal name beside them once all are sorted."""
-    ordered = ranked.repartitionByRange("name", "row", "idx").sortWithinPartitions("name", "row", "idx")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row so far, and whether it equals the one before it or is the first
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            name = batch.column(0).to_numpy()
-            same = np.empty(len(name), bool)
-            same[1:] = name[1:] == name[:-1]
-            same[0] = held is None or name[0] == held[0].column(0)[0].as_py()
-            alive = same.copy()
-            alive[:-1] |= same[1:]
-            if held is not None and (held[1] or (same[0])):
-                yield held[0]
-            held = batch.slice(len(name) - 1), bool(alive[-1])
-            yield batch.slice(0, len(name) - 1).filter(pa.array(alive[:-1]))
-        if held is not None:
-            yield held[0]
-
-    return ordered.mapInArrow(keep, ranked.schema)
-
-
-def _repeated_runs(texts: DataFrame, length: int, span: int) -> DataFrame:
-    """``row``, ``idx`` and ``name`` of the anchors whose complete run is not unique, of ``row``, ``names``, ``runs``."""
-    first = texts.select("row", F.posexplode(F.arrays_zip(F.slice("names", F.lit(1), F.size("runs")).alias("n"), F.col("runs").alias("r"))))
-    ranked = first.select(F.col("col.n").alias("name"), "row", F.col("pos").alias("idx"), F.col("col.r").alias("run"))
-    alive = stored(_not_unique(ranked), "ranks")
-    done, size = [alive.filter("run <= 1")], 1
-    live = alive.groupBy("row").agg(F.collect_list("idx").alias("live"))
-    live = stored(texts.select("row", "names", "runs").join(live, "row"), "live-texts")
-    waiting = live.select("row", "names", "runs", "live", F.col("live").alias("todo"))
-    schema = schema_of(name="long", row="long", idx="int", run="int")
-    while True:
-        size *= 2
-
-        def pairs(columns: list[list], size: int = size) -> list[list]:
-            out: list[list] = [[], [], [], []]
-            for row, names, runs, live, todo in zip(*columns, strict=True):
-                todo, runs = np.array(sorted(todo), np.int64), np.array(runs, np.int64)
-                todo = todo[runs[todo] > size // 2]
-                run = np.minimum(runs[todo], size)
-                # A run with a unique chunk is unique. Chunks behind the last string bear none and are not known.
-                known = np.zeros(len(names) + 1, np.int64)
-                known[np.array(live, np.int64) + 1] = 1
-                known[len(runs) + 1 :] = 1
-                known = np.cumsum(known)
-                whole = known[todo + run] - known[todo] == run
-                todo, run = todo[whole], run[whole]
-                out[0].append(_run_names(np.array(names, np.int64), todo, run))
-                out[1].append(np.full(len(todo), row, np.int64))
-                out[2].append(todo)
-                out[3].append(runs[todo])
-            return [np.concatenate(x) if x else [] for x in out]
-
-        alive = stored(_not_unique(map_slices(waiting, pairs, schema)), "ranks")
-        done.append(alive.filter(f"run > {size // 2} and run <= {size}"))
-        rest = alive.filter(f"run > {size}").groupBy("row").agg(F.collect_list("idx").alias("todo"))
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, done).select("row", "idx", "name")
-        waiting = live.join(rest, "row").select("row", "names", "runs", "live", "todo")
-
-
-def _hash(data: memoryview) -> int:
-    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
-
-
-def _blocks(columns: list[list], length: int, width: int) -> list[list]:
-    """The strings of the wanted anchors in blocks of ``width`` offsets: rows of ``BLOCK``.
 
-    A block is known by the bytes that all strings with its offsets share
-    (``core``) and by those that the anchor's own strings there cover together.
-    """
-    out: list[list] = [[] for _ in range(9)]
-    for row, text, anchors_ in zip(*columns, strict=True):
-        data = memoryview(text.encode())
-        for x in anchors_:
-            at = x["at"]
-            for block in range(x["near"] // width, x["far"] // width + 1):
-                low, high = block * width, block * width + width - 1
-                near, far = max(low, x["near"]), min(high, x["far"])
-                core, cover = data[at - low : at - high + length], data[at - far : at - near + length]
-                for place, value in zip(
-                    out, (x["name"], block, _hash(core), near, far, _hash(cover), row, at, x["open"]), strict=True
-                ):
-                    place.append(value)
+def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to each end, eight at least, from sums over the hashes of all eight bytes in a row."""
+    out = np.zeros(len(start), _U)
+    if not len(start):
+        return out
+    size = SEGMENT + -(-int((end - start).max()) // 1024) * 1024
+    up, down = _powers(size)
+    of = start // SEGMENT
+    order = np.argsort(of, kind="stable")
+    edges = np.flatnonzero(np.diff(of[order], prepend=-1)).tolist() + [len(order)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        here = order[a:b]
+        low = int(of[here[0]]) * SEGMENT
+        grams = _grams(data[low : low + size])
+        sums = np.zeros(len(grams) + 1, _U)
+        np.cumsum(grams * up[: len(grams)], out=sums[1:])
+        i, j = start[here] - low, end[here] - low - (GRAM - 1)
+        out[here] = _mixed((sums[j] - sums[i]) * down[i])
     return out
 
 
-BLOCK = {
-    "name": "long", "block": "int", "core": "long", "near": "int", "far": "int", "cover": "long", "row": "long", "at": "long",
-    "open": "boolean",
-}
+def _dealt(keys: np.ndarray, tasks: int) -> Iterator[tuple[int, int, int]]:
+    """Of sorted keys the range that goes to each task."""
+    task = ((keys >> _U(32)) * _U(tasks)) >> _U(32)
+    edges = np.flatnonzero(np.diff(task.astype(np.int64), prepend=-1)).tolist()
+    for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+        yield int(task[a]), a, b
 
 
-def _repeated_starts(texts: DataFrame, length: int, span: int) -> DataFrame:
-    """``row``, ``low``, ``high``: starts of repeated strings, of ``row``, ``text`` and the anchors ``found``.
+# -- slices ------------------------------------------------------------------------
 
-    In blocks of ``WIDTHS`` offsets: equal covers of two anchors make all
-    their strings repeated, a core of one anchor makes all its strings there
-    unique, and what differs in the cover only is cut into smaller blocks, one
-    bearer for each different cover.
+
+def _slices(docs: DataFrame, length: int, span: int, slice_bytes: int) -> DataFrame:
+    """Texts of ``id``, ``text`` documents in slices, with the chunks of those of ``length`` bytes and more.
+
+    ``marks`` holds per text in it: its number, and how many positions and anchors with strings it has; per position its place in
+    the slice, its chunk's hash, how many chunks an anchor's strings have in common (0 for those without), and the offsets of the
+    nearest and the farthest string start before it.
     """
+    schema = schema_of(
+        slice="long", ids=ArrayType(docs.schema["id"].dataType), lengths="array<int>", data="binary", digests="binary", marks="binary", positions="long"
+    )
+    out = to_arrow_schema(schema)
+
+    def send(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
+        joined = np.frombuffer(b"".join(texts), np.uint8)
+        lengths = [len(t) for t in texts]
+        starts = np.cumsum([0, *lengths[:-1]])
+        owners, counts, places, stops, runs, near, far = [], [], [], [], [], [], []
+        for k, text in enumerate(texts):
+            at, first, last = anchors(text, length, span)
+            if not len(at):
+                continue
+            n = len(at) - 1  # the last one ends a chunk only
+            bearing = min(len(first), n)
+            own = at[:bearing]
+            run = np.zeros(n, np.int64)
+            run[:bearing] = np.searchsorted(at, own + (length - 2 * span + 1 - GRAM), "right") - np.arange(bearing)
+            offsets = np.zeros((2, n), np.int64)
+            offsets[:, :bearing] = own - last[:bearing], own - first[:bearing]
+            owners.append(k)
+            counts.append(n)
+            places.append(at[:-1] + starts[k])
+            stops.append(at[1:] + starts[k])
+            runs.append(run)
+            near.append(offsets[0])
+            far.append(offsets[1])
+        joint = {"at": places, "run": runs, "near": near, "far": far}
+        marks = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in joint.items()}
+        stop = np.concatenate(stops) if stops else np.zeros(0, np.int64)
+        name = string_hashes(joined, marks["at"], stop + GRAM - 1)
+        small = {"run": marks["run"].astype(np.int16), "near": marks["near"].astype(np.int16), "far": marks["far"].astype(np.int16)}
+        blob = pack_all(owner=np.array(owners, np.int64), n=np.array(counts, np.int64), at=np.diff(marks["at"], prepend=0), name=name, **small)
+        digests = np.frombuffer(b"".join(hashlib.sha256(t).digest() for t in texts), np.uint8)
+        row = (number, ids, lengths, pack(joined), pack(digests), blob, len(name))
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, out, strict=True)], schema=out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids.append(key)
+                texts.append((text.as_py() or "").encode())
+                size += len(texts[-1]) + 1
+                if size >= slice_bytes:
+                    yield send(number, ids, texts)
+                    number, ids, texts, size = number + 1, [], [], 0
+        if ids:
+            yield send(number, ids, texts)
 
-    def first(columns: list[list]) -> list[list]:
-        rows, data, found = columns
-        wanted = []
-        for text, own in zip(data, found, strict=True):
-            at, low, high = (x.tolist() for x in anchors(text.encode(), length, span))
-            wanted.append([
-                {"name": x["name"], "at": at[x["idx"]], "near": at[x["idx"]] - high[x["idx"]], "far": at[x["idx"]] - low[x["idx"]], "open": True}
-                for x in own
-            ])
-        return _blocks([rows, data, wanted], length, span)
-
-    schema = schema_of(**BLOCK)
-    each = map_slices(texts.select("row", "text", "found"), first, schema)
-    hits = []
-    for width in (*WIDTHS, None):
-        each = stored(each, "blocks")
-        keys = ["name", "block", "core", "near", "far", "cover"]
-        where = F.struct("row", "at")
-        groups = each.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("open").alias("open"))
-        groups = stored(groups, "covers")
-        twice = groups.filter("first <> last and open").select(*keys)
-        hit = each.filter("open").join(twice, keys)
-        hits.append(hit.select("row", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high")))
-        if width is None:
-            return reduce(DataFrame.unionByName, hits)
-        alone = (F.col("first") == F.col("last")) & F.col("open")
-        mixed = groups.groupBy("name", "block", "core").agg(F.count(F.lit(1)).alias("n"), F.max(alone).alias("any"))
-        mixed = mixed.filter("n > 1 and any").select("name", "block", "core")
-        bearers = groups.join(mixed, ["name", "block", "core"]).select(
-            F.col("first.row").alias("row"),
-            F.struct("name", F.col("first.at").alias("at"), "near", "far", alone.alias("open")).alias("x"),
-        )
-        wanted = bearers.groupBy("row").agg(F.collect_list("x").alias("wanted"))
-        both = texts.select("row", "text").join(wanted, "row").select("row", "text", "wanted")
-        each = map_slices(both, lambda columns, width=width: _blocks(columns, length, width), schema)
+    return stored(docs.select("id", "text").mapInArrow(run, schema), "text-slices")
 
 
-def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, span: int = SPAN
-) -> DataFrame:
-    """One row per document: ``id``, ``digest``, ``n_bytes``, ``n_removed``, ``spans`` (byte ranges), ``kept_sha256``."""
-    narrow = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"),
-        F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("sha"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-
-    def cut(columns: list[list]) -> list[list]:
-        data = [t.encode() for t in columns[3]]
-        pieces = [chunks(d, length, span) for d in data]
-        return [*columns[:3], [len(d) for d in data], [p[0] for p in pieces], [p[1] for p in pieces]]
+ANSWER = dict(slice="long", q="int", answer="binary")
+MIXED = dict(slice="long", state="binary", waiting="long", q="int", ask="binary")
 
-    schema = schema_of(
-        id=docs.schema[id_col].dataType, digest="long", sha="string", n_bytes="long", names="array<long>", runs="array<int>"
-    )
-    rows = stored(map_slices(narrow, cut, schema).withColumn("row", F.monotonically_increasing_id()), "chunks")
-    # Equal texts: one bears the strings for all, and if there are others, every string is repeated.
-    same = rows.groupBy("sha").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
-    long = rows.filter(F.col("n_bytes") >= length)
-    alone = long.join(same.select("row", "copies"), "row")
-    found = _repeated_runs(alone.select("row", "names", "runs"), length, span)
-    found = found.groupBy("row").agg(F.collect_list(F.struct("idx", "name")).alias("found"))
-    found = stored(alone.select("row", "id", "digest").join(found, "row"), "candidates")
-    of = found.select("row", "found", F.col("id").alias("own"), F.col("digest").alias("own_digest"))
-    texts = narrow.select("id", "digest", "text").join(of, F.col("id").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("own_digest")))
-    texts = stored(texts.select("row", "text", "found"), "candidate-texts")
-    hits = _repeated_starts(texts, length, span)
-    hits = hits.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("hits"))
-
-    def spans(columns: list[list]) -> list[list]:
-        out: list[list] = [columns[0], [], [], []]
-        for text, starts in zip(*columns[1:], strict=True):
-            runs: list[list[int]] = []
-            for low, high in sorted((x["low"], x["high"] + length) for x in starts):
-                if runs and low <= runs[-1][1]:
-                    runs[-1][1] = max(high, runs[-1][1])
-                else:
-                    runs.append([low, high])
-            kept, at = hashlib.sha256(), 0
-            data = text.encode()
-            for low, high in runs:
-                kept.update(data[at:low])
-                at = high
-            kept.update(data[at:])
-            out[1].append(sum(b - a for a, b in runs))
-            out[2].append(runs)
-            out[3].append(kept.hexdigest())
-        return out
 
-    schema = schema_of(row="long", n_removed="long", spans="array<array<long>>", kept_sha256="string")
-    removed = map_slices(texts.select("row", "text").join(hits, "row").select("row", "text", "hits"), spans, schema)
-    removed = removed.dropDuplicates(["row"])  # rows repeated with their id
-    every = rows.select("row", "id", "digest", "sha", "n_bytes").join(same.select("sha", "copies"), "sha")
-    every = every.join(removed, "row", "left")
-    copied = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    all_of_it = F.array(F.array(F.lit(0).cast("long"), F.col("n_bytes")))
-    return every.select(
-        "id", "digest", "n_bytes",
-        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(copied, all_of_it).otherwise(F.coalesce("spans", F.array().cast("array<array<long>>"))).alias("spans"),
-        F.when(copied, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-    )
+def _copies(slices: DataFrame, length: int, tasks: int) -> DataFrame:
+    """For each slice the numbers of texts that have copies (``copied``), and of those to leave out, as another stands for them."""
+    asked, answered = schema_of(q="int", slice="long", ask="binary"), schema_of(**ANSWER)
+    out = to_arrow_schema(asked)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(pa.Table.from_batches([batch])):
+                number = np.flatnonzero(np.array(row["lengths"]) >= length)
+                digest = unpack(row["digests"], "S32")[number] if len(number) else np.zeros(0, "S32")
+                head = np.frombuffer(unpack(row["digests"], np.uint8).tobytes(), ">u8")[::4][number].astype(_U)
+                order = np.argsort(head, kind="stable")
+                number, digest, head = number[order], digest[order], head[order]
+                for q, a, b in _dealt(head, tasks):
+                    one = (q, row["slice"], pack_all(number=number[a:b], digest=digest[a:b]))
+                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(one, out, strict=True)], schema=out)
+
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        rows = sorted(((r["slice"], unpack_all(r["ask"])) for r in rows_of(table)), key=lambda r: r[0])
+        all_digests = np.concatenate([x["digest"] for _, x in rows])
+        _, first, of, count = np.unique(all_digests, return_index=True, return_inverse=True, return_counts=True)
+        copied, later = count[of] > 1, first[of] != np.arange(len(of))
+        result, at = [], 0
+        for s, x in rows:
+            here = slice(at, at + len(x["number"]))
+            at += len(x["number"])
+            result.append((s, key[0].as_py(), pack_all(copied=x["number"][copied[here]], later=x["number"][later[here]])))
+        return table_of(result, answered)
+
+    asks = slices.select("slice", "lengths", "digests").mapInArrow(ask, asked)
+    return stored(asks.groupBy("q").applyInArrow(answer, answered), "copies")
+
+
+# -- prefix doubling ---------------------------------------------------------------
+
+
+def _pairs(state: dict[str, np.ndarray], level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions whose runs get a rank this round, how many of them take part in later rounds too (first), and their keys."""
+    rank, run, stop = state["rank"], state["run"], state["stop"]
+    if not level:
+        return np.arange(len(rank)), np.array(len(rank)), state["name"]
+    half = 1 << level - 1
+    alive = np.flatnonzero(rank >= 0)
+    full = alive[alive + 2 * half <= stop[alive]]
+    full = full[rank[full + half] >= 0]
+    last = alive[(run[alive] > half) & (run[alive] < 2 * half)]
+    last = last[rank[last + run[last] - half] >= 0]
+    keys = [_key(rank[full], rank[full + half], np.zeros(len(full))), _key(rank[last], rank[last + run[last] - half], run[last])]
+    return np.concatenate([full, last]), np.array(len(full)), np.concatenate(keys)
+
+
+def _asks(number: int, keys: np.ndarray, tasks: int) -> list[tuple]:
+    found, counts = np.unique(keys, return_counts=True)
+    return [
+        (number, None, None, q, pack_all(keys=np.diff(found[a:b], prepend=_U(0)), many=counts[a:b] > 1)) for q, a, b in _dealt(found, tasks)
+    ]
+
+
+def _ranker(level: int):
+    """Ranks of the keys dealt to a task, in their order; -1 for those that occur once in all."""
+    answered = schema_of(**ANSWER)
+
+    def rank(key: tuple, table: pa.Table) -> pa.Table:
+        rows = [(r["slice"], unpack_all(r["ask"])) for r in rows_of(table)]
+        keys = np.concatenate([np.cumsum(x["keys"], dtype=_U) for _, x in rows])
+        found, of, count = np.unique(keys, return_inverse=True, return_counts=True)
+        again = count > 1
+        again[of[np.concatenate([x["many"] for _, x in rows])]] = True
+        ranks = np.where(again, np.arange(len(found)) + (level << 58 | key[0].as_py() << 32), -1)[of]
+        out, at = [], 0
+        for s, x in rows:
+            out.append((s, key[0].as_py(), pack(ranks[at : at + len(x["keys"])])))
+            at += len(x["keys"])
+        return table_of(out, answered)
+
+    return rank
+
+
+def _joined(answers: list[dict], kind: type) -> np.ndarray:
+    parts = [unpack(r["answer"], kind) for r in sorted(answers, key=lambda r: r["q"])]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _first_state(tasks: int):
+    mixed = schema_of(**MIXED)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in rows_of(left):
+            marks, answers = unpack_all(row["marks"]), [unpack_all(r["answer"]) for r in rows_of(right)]
+            copied, later = (np.concatenate([a[c] for a in answers] or [np.zeros(0, np.int64)]) for c in ("copied", "later"))
+            stay = ~np.isin(marks["owner"], later)
+            positions = np.repeat(stay, marks["n"])
+            n = marks["n"][stay]
+            state = {
+                "copied": copied, "stop": np.repeat(np.cumsum(n), n), "at": np.cumsum(marks["at"])[positions], "name": marks["name"][positions],
+                "run": marks["run"][positions].astype(np.int64), "near": marks["near"][positions], "far": marks["far"][positions],
+                "found": np.zeros(0, np.int64), "found_name": np.zeros(0, np.int64), "rank": np.full(int(n.sum()), -1, np.int64),
+            }
+            out += [(row["slice"], pack_all(**state), len(state["at"]), None, None), *_asks(row["slice"], state["name"], tasks)]
+        return table_of(out, mixed)
+
+    return run
+
+
+def _doubled(level: int, tasks: int):
+    """Takes in the ranks of a round and asks for those of the next."""
+    mixed = schema_of(**MIXED)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in rows_of(left):
+            state = unpack_all(row["state"])
+            places, full, keys = _pairs(state, level)
+            _, of = np.unique(keys, return_inverse=True)
+            answers = _joined(list(rows_of(right)), np.int64)
+            # A slice without anchors that wait has not asked; equal strings have equal runs, so none waits for it either.
+            ranks = answers[of] if len(answers) else np.full(len(keys), -1, np.int64)
+            full = int(full)
+            state["rank"] = np.full(len(state["at"]), -1, np.int64)
+            state["rank"][places[:full]] = ranks[:full]
+            run, done = state["run"][places], 1 << level
+            whole = (ranks >= 0) & np.where(np.arange(len(places)) < full, run == done, True)
+            state["found"] = np.concatenate([state["found"], places[whole]])
+            state["found_name"] = np.concatenate([state["found_name"], ranks[whole]])
+            waiting = int(((state["run"] > done) & (state["rank"] >= 0)).sum())
+            if not level:
+                del state["name"]
+            out.append((row["slice"], pack_all(**state), waiting, None, None))
+            if waiting:
+                out += _asks(row["slice"], _pairs(state, level + 1)[2], tasks)
+        return table_of(out, mixed)
+
+    return run
+
+
+# -- matches -----------------------------------------------------------------------
+
+
+def _blocks(data: np.ndarray, todo: dict[str, np.ndarray], length: int, width: int) -> dict[str, np.ndarray]:
+    """The strings of some anchors in blocks of ``width`` offsets.
+
+    A block is known by the bytes that all strings with its offsets share
+    (``core``) and by those that the anchor's own strings there cover together.
+    """
+    first, last = todo["near"] // width, todo["far"] // width
+    of = np.repeat(np.arange(len(first)), last - first + 1)
+    block = np.arange(len(of)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1) + first[of]
+    at, low = todo["at"][of], block * width
+    near, far = np.maximum(low, todo["near"][of]), np.minimum(low + width - 1, todo["far"][of])
+    core = string_hashes(data, at - low, at - low - width + 1 + length)
+    cover = core if width == 1 else string_hashes(data, at - far, at - near + length)
+    return {
+        "core": _key(todo["name"][of], block, core.view(np.int64)), "cover": _key(near, far, cover.view(np.int64)),
+        "at": at, "near": near, "far": far, "name": todo["name"][of], "open": todo["open"][of],
+    }
+
+
+def _grouped(blocks: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and number of the equal blocks of a slice, by core and cover, and which group each is in."""
+    order = np.lexsort((blocks["cover"], blocks["core"]))
+    core, cover = blocks["core"][order], blocks["cover"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (core[1:] != core[:-1]) | (cover[1:] != cover[:-1])
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], np.bincount(of, minlength=int(new.sum())), of
+
+
+REPEATED, CUT, CUT_OPEN = 1, 2, 4
+
+
+def _comparer():
+    answered = schema_of(**ANSWER)
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        """What becomes of each group of blocks: repeated, and whether its bearer is cut further, with strings still open."""
+        # By slice, so that a task that is run again names the same bearers.
+        rows = sorted(((r["slice"], unpack_all(r["ask"])) for r in rows_of(table)), key=lambda r: r[0])
+        core, cover = (np.concatenate([x[c] for _, x in rows]) for c in ("core", "cover"))
+        many, is_open = (np.concatenate([x[c] for _, x in rows]) for c in ("many", "open"))
+        order = np.lexsort((cover, core))
+        new = np.ones(len(order), bool)
+        new_core = new.copy()
+        new_core[1:] = core[order][1:] != core[order][:-1]
+        new[1:] = new_core[1:] | (cover[order][1:] != cover[order][:-1])
+        of = np.empty(len(order), np.int64)
+        of[order] = np.cumsum(new) - 1
+        first = order[new]
+        size = int(new.sum())
+        twice = np.bincount(of, minlength=size) > 1
+        twice[of[many]] = True
+        opened = np.zeros(size, bool)
+        opened[of[is_open]] = True
+        alone = ~twice & opened
+        group = (np.cumsum(new_core) - 1)[new]
+        mixed = (np.bincount(group) > 1) & (np.bincount(group, alone) > 0)
+        code = np.where(twice[of], REPEATED, 0)
+        bearer = first[mixed[group]]
+        code[bearer] |= CUT
+        code[first[mixed[group] & alone]] |= CUT_OPEN
+        out, at = [], 0
+        for s, x in rows:
+            out.append((s, key[0].as_py(), pack(code[at : at + len(x["core"])].astype(np.uint8))))
+            at += len(x["core"])
+        return table_of(out, answered)
+
+    return compare
+
+
+def _taken_in(state: dict[str, np.ndarray], answers: list[dict]) -> dict[str, np.ndarray]:
+    """Hits of the last comparison, and what is left to be cut."""
+    first, _, of = _grouped(state)
+    code = _joined(answers, np.uint8)
+    hit = (code[of] & REPEATED > 0) & state["open"]
+    low, high = state["at"] - state["far"], state["at"] - state["near"]
+    left = first[code & CUT > 0]
+    todo = {c: state[c][left] for c in ("at", "near", "far", "name")}
+    return todo | {
+        "open": code[code & CUT > 0] & CUT_OPEN > 0, "copied": state["copied"],
+        "low": np.concatenate([state["low"], low[hit]]), "high": np.concatenate([state["high"], high[hit]]),
+    }
+
+
+def _cutter(level: int, length: int, tasks: int):
+    """Takes in a comparison and asks for the next, of smaller blocks."""
+    mixed = schema_of(**MIXED)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        states, answers = [], []
+        for row in rows_of(right):
+            (answers if row["state"] is None else states).append(row)
+        out = []
+        for row, texts in zip(states, rows_of(left), strict=True):
+            state = unpack_all(row["state"])
+            if level:
+                todo = _taken_in(state, answers)
+            else:
+                none = np.zeros(0, np.int64)
+                todo = {c: state[c][state["found"]].astype(np.int64) for c in ("at", "near", "far")} | {
+                    "name": state["found_name"], "open": np.ones(len(state["found"]), bool), "copied": state["copied"], "low": none, "high": none,
+                }
+            blocks = _blocks(unpack(texts["data"], np.uint8), todo, length, WIDTHS[level])
+            out.append((row["slice"], pack_all(**(todo | blocks)), len(blocks["at"]), None, None))
+            first, counts, _ = _grouped(blocks)
+            core, cover, many = blocks["core"][first], blocks["cover"][first], counts > 1
+            opened = np.bincount(_grouped(blocks)[2], blocks["open"], minlength=len(first)) > 0
+            for q, a, b in _dealt(core, tasks):
+                out.append((row["slice"], None, None, q, pack_all(core=core[a:b], cover=cover[a:b], many=many[a:b], open=opened[a:b])))
+        return table_of(out, mixed)
+
+    return run
+
+
+def _cut_spans(text: bytes, spans: list[list[int]]) -> tuple[int, list[list[int]], str]:
+    kept, at = hashlib.sha256(), 0
+    for low, high in spans:
+        kept.update(text[at:low])
+        at = high
+    kept.update(text[at:])
+    return sum(b - a for a, b in spans), spans, kept.hexdigest()
+
+
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, span: int = SPAN, slice_bytes: int = SLICE_BYTES, keys: int = KEYS
+) -> DataFrame:
+    """One row per document: ``id``, ``n_bytes``, ``n_removed``, ``spans`` (byte ranges), ``kept_sha256``."""
+    slices = _slices(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), length, span, slice_bytes)
+    positions, texts = (int(x or 0) for x in slices.agg(F.sum("positions"), F.sum(F.size("ids"))).first())
+    tasks = 1 + positions // keys
+    mixed_schema, answer_schema = schema_of(**MIXED), schema_of(**ANSWER)
+
+    def parted(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return mixed.filter("q is null").select("slice", "state"), mixed.filter("q is not null").select("q", "slice", "ask")
+
+    copies = _copies(slices, length, 1 + texts // keys)
+    both = slices.select("slice", "marks").groupBy("slice").cogroup(copies.groupBy("slice"))
+    mixed, level = stored(both.applyInArrow(_first_state(tasks), mixed_schema), "ranks"), 0
+    while True:
+        states, asks = parted(mixed)
+        answers = asks.groupBy("q").applyInArrow(_ranker(level), answer_schema)
+        mixed = stored(states.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_doubled(level, tasks), mixed_schema), "ranks")
+        if not mixed.agg(F.sum("waiting")).first()[0]:
+            break
+        level += 1
+    states = parted(mixed)[0].withColumn("answer", F.lit(None).cast("binary")).withColumn("q", F.lit(None).cast("int"))
+    data = slices.select("slice", "data").groupBy("slice")
+    for level in range(len(WIDTHS)):
+        mixed = stored(data.cogroup(states.groupBy("slice")).applyInArrow(_cutter(level, length, tasks), mixed_schema), "blocks")
+        states, asks = parted(mixed)
+        answers = asks.groupBy("q").applyInArrow(_comparer(), answer_schema)
+        states = states.unionByName(answers, allowMissingColumns=True)
+
+    id_type = docs.schema[id_col].dataType
+    schema = schema_of(id=id_type, n_bytes="long", n_removed="long", spans="array<array<long>>", kept_sha256="string")
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        found, answers, out = [], [], []
+        for row in rows_of(right):
+            (answers if row["state"] is None else found).append(row)
+        for row, texts in zip(found, rows_of(left), strict=True):
+            state = _taken_in(unpack_all(row["state"]), answers)
+            joined, lengths = unpack(texts["data"], np.uint8).tobytes(), texts["lengths"]
+            begins = np.cumsum([0, *lengths[:-1]])
+            order = np.argsort(state["low"], kind="stable")
+            low, high = state["low"][order], np.maximum.accumulate(state["high"][order] + length) if len(order) else order
+            own = np.searchsorted(begins, low, "right") - 1
+            # A span begins where no earlier one of its text reaches.
+            new = np.ones(len(low), bool)
+            new[1:] = (low[1:] > high[:-1]) | (own[1:] != own[:-1])
+            starts = np.flatnonzero(new)
+            ends = high[np.append(starts[1:], len(low)) - 1] if len(low) else high
+            spans: dict[int, list] = {}
+            for k, a, b in zip(own[starts].tolist(), low[starts].tolist(), ends.tolist(), strict=True):
+                spans.setdefault(k, []).append([a - int(begins[k]), b - int(begins[k])])
+            spans |= {int(k): [[0, lengths[k]]] for k in state["copied"]}
+            for k, (key, n) in enumerate(zip(texts["ids"], lengths, strict=True)):
+                begin = int(begins[k])
+                out.append((key, n, *_cut_spans(joined[begin : begin + n], spans.get(k, []))))
+        return table_of(out, schema)
+
+    return slices.select("slice", "ids", "lengths", "data").groupBy("slice").cogroup(states.groupBy("slice")).applyInArrow(finish, schema)

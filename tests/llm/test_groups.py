@@ -140,6 +140,35 @@ def test_repeated_strings(docs, none, rows):
     assert substring_dedup.repeated_spans(none).count() == 0
 
 
+def _without_repeats(data, length=substring_dedup.LENGTH):
+    seen = Counter(d[s : s + length] for d in data for s in range(len(d) - length + 1))
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for s in range(len(d) - length + 1):
+            if seen[d[s : s + length]] > 1:
+                gone[s : s + length] = True
+        yield int(gone.sum()), hashlib.sha256(np.frombuffer(d, np.uint8)[~gone].tobytes()).hexdigest()
+
+
+def test_passages_near_the_ends_of_texts(spark):
+    """A shared passage of 400 to 460 bytes that ends up to 300 bytes before either text's end, or starts near its beginning."""
+    rng = random.Random(12)
+    junk = lambda n: "".join(rng.choices("abcdefghij klmnop", k=n))
+    texts = []
+    for n in range(150):
+        passage = junk(rng.randint(398, 460))
+        texts += [junk(rng.choice([0, 3, 200, 900])) + passage + junk(rng.choice([0, 1, 20, rng.randint(0, 300)])) for _ in range(2)]
+        if n % 10 == 0:
+            texts.append(passage[:430] * 2)
+            texts.append("ab" * 300 + junk(5))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    want = list(_without_repeats([t.encode() for t in texts]))
+    for sizes in ({}, {"slice_bytes": 5000, "keys": 300}):
+        got = {r.id: (r.n_removed, r.kept_sha256) for r in substring_dedup.repeated_spans(docs, **sizes).collect()}
+        assert [got[k] for k in range(len(texts))] == want
+    assert sum(n > 0 for n, _ in want) > 280
+
+
 def test_anchors_cover_all_starts():
     rng = random.Random(4)
     for data in (bytes(rng.choices(b"ab", k=3000)), b"z" * 2000, bytes(rng.choices(range(256), k=400)), b"z" * 399):
