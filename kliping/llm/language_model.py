@@ -10,9 +10,10 @@ restaurants can be swept side by side), then does the same in the root. After ``
 sweeps the predictive probabilities of ``SAMPLES`` states are averaged. Discounts come
 from the counts of words and pairs seen once and twice; the strengths are parameters.
 
-Customers alone matter for pairs seen once (one table), so only the others are drawn:
-customer by customer up to ``STEPS``, beyond that by the waiting time until the next
-table, whose distribution is a ratio of gamma functions.
+A pair seen once has one table in every state, so sweeps carry the others alone. These
+are drawn customer by customer up to ``STEPS``, beyond that by thinning: customers who
+might open a table are drawn at a rate that is too high for a stretch, and each is
+then accepted by its exact probability.
 
 Distribution. Documents are cut into slices of about ``SLICE_TOKENS`` tokens, whose
 distinct words and distinct pairs alone are exchanged, packed into one row per slice and
@@ -33,6 +34,7 @@ probability is that of the base. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,7 +46,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
-from kliping.llm.shared import schema_of, stored
+from kliping.llm.packed import pack, rows_of, table_of, unpack
+from kliping.llm.shared import dropped, schema_of, stored
 
 SLICE_TOKENS = 1_000_000
 VOCABULARY_WORDS = 2_000_000  # entries of all slices' word lists that one task numbers
@@ -54,7 +57,7 @@ ROOT_STRENGTH = 1.0
 BURN = 1
 SAMPLES = 3
 SEED = 1
-STEPS = 32
+STEPS = 1024
 
 END = b""
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -65,30 +68,6 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_LOWER).split()
 
 
-# -- packed arrays ---------------------------------------------------------------
-
-
-def pack(values: np.ndarray) -> bytes:
-    data = np.ascontiguousarray(values).tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
-
-
-def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True), kind)
-
-
-def _rows(table: pa.Table) -> Iterator[dict]:
-    """The rows one by one, so that their blobs are not all copied at once."""
-    for k in range(table.num_rows):
-        yield table.slice(k, 1).to_pylist()[0]
-
-
-def _table(rows: list[tuple], schema: StructType) -> pa.Table:
-    out = to_arrow_schema(schema)
-    columns = list(zip(*rows, strict=True)) or [[] for _ in out]
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
-
-
 # -- seating ---------------------------------------------------------------------
 
 
@@ -108,11 +87,6 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> _U(32))) + b.astype(np.int64).view(_U) * _U(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling's series; exact to 1e-12 above ``STEPS`` / 2."""
-    return (x - 0.5) * np.log(x) - x + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
-
-
 def seat(customers: np.ndarray, opening: np.ndarray, discount: float, key: np.ndarray, sweep: int) -> np.ndarray:
     """Tables after seating ``customers`` one by one, a new table's weight being ``opening``."""
     tables = np.minimum(customers, 1)
@@ -123,28 +97,28 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, key: np.nd
         t, a = tables[live], opening[live]
         tables[live] += uniform(key[live], sweep, k) * (a + k - discount * t) < a
         live = live[customers[live] > k + 1]
-    k = np.full(len(live), STEPS, np.int64)
-    step = STEPS
-    while len(live):
-        a, x = opening[live], k - discount * tables[live]
-        left = customers[live] - k
-
-        def still(m: np.ndarray, x: np.ndarray = x, a: np.ndarray = a) -> np.ndarray:
-            """Log probability that none of the next ``m`` customers opens a table."""
-            return _log_gamma(x + m) - _log_gamma(x) - _log_gamma(a + x + m) + _log_gamma(a + x)
-
-        drawn = np.log(uniform(key[live], sweep, step))
-        low, high = np.zeros(len(live), np.int64), left + 1
-        while (high - low > 1).any():  # the first customer at whom the probability falls below the draw
-            middle = (low + high) // 2
-            below = (still(middle) < drawn) & (high - low > 1)
-            high = np.where(below, middle, high)
-            low = np.where(below | (high - low <= 1), low, middle)
-        opened = high <= left
-        tables[live[opened]] += 1
-        k = k + high
-        go = opened & (k < customers[live])
-        live, k, step = live[go], k[go], step + 1
+    for x in live.tolist():
+        draw = np.random.default_rng([int(key[x]) & (1 << 64) - 1, sweep + 1000])
+        tables[x] = _thinned(int(customers[x]), float(opening[x]), discount, int(tables[x]), draw)
+    return tables
+
+
+def _thinned(customers: int, a: float, discount: float, tables: int, draw: np.random.Generator) -> int:
+    """Goes on at customer ``STEPS``, in stretches over which the probability of a new table changes by a bounded factor."""
+    k = STEPS
+    while k < customers:
+        stretch = min(customers - k, max(1, int((k - discount * tables) / 2)))
+        bound = a / (a + k - discount * (tables + stretch))  # no customer of the stretch is likelier to open one
+        at = -1
+        while at < stretch:
+            mean = stretch * bound
+            steps = draw.geometric(min(bound, 1.0), int(mean + 4 * math.sqrt(mean)) + 4)
+            places = at + np.cumsum(steps)
+            at = int(places[-1])
+            places = places[places < stretch]
+            for place, u in zip(places.tolist(), draw.random(len(places)).tolist(), strict=True):
+                tables += u * bound * (a + k + place - discount * tables) < a
+        k += stretch
     return tables
 
 
@@ -203,7 +177,7 @@ def _word_numbers(slices: DataFrame, tasks: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _rows(pa.Table.from_batches([batch])):
+            for row in rows_of(pa.Table.from_batches([batch])):
                 own = unpack(row["words"], np.uint8).tobytes().split(b"\n")
                 counts = unpack(row["counts"])
                 of = np.fromiter((xxhash.xxh3_64_intdigest(w) % tasks for w in own), np.int64, len(own))
@@ -216,7 +190,7 @@ def _word_numbers(slices: DataFrame, tasks: int) -> DataFrame:
     def number(key: tuple, table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
         lists, sums = [], np.zeros(0, np.int64)
-        for row in _rows(table):
+        for row in rows_of(table):
             own = np.array([known.setdefault(w, len(known)) for w in unpack(row["words"], np.uint8).tobytes().split(b"\n")], np.int64)
             sums = np.concatenate([sums, np.zeros(len(known) - len(sums), np.int64)])
             sums[own] += unpack(row["counts"])  # words of a slice are distinct
@@ -226,7 +200,7 @@ def _word_numbers(slices: DataFrame, tasks: int) -> DataFrame:
         rank[[known[w] for w in sorted(known)]] = np.arange(len(known))
         totals = [int((sums > 0).sum()), int(sums.sum()), int((sums == 1).sum()), int((sums == 2).sum())]
         nothing = [0] * 4
-        return _table([
+        return table_of([
             (s, at, pack(rank[own] * tasks + key[0].as_py()), pack(sums[own]), *(nothing if k else totals)) for k, (s, at, own) in enumerate(lists)
         ], numbered)
 
@@ -254,9 +228,9 @@ def _paired(slices: DataFrame, numbers: DataFrame, known: int, total: int, block
 
     def pair(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for row in _rows(left):
+        for row in rows_of(left):
             number, count = np.zeros(row["n_words"], np.int64), np.zeros(row["n_words"], np.int64)
-            for answer in _rows(right):
+            for answer in rows_of(right):
                 at = np.cumsum(unpack(answer["at"]))
                 number[at], count[at] = unpack(answer["numbers"]), unpack(answer["counts"])
             token, lengths = unpack(row["tokens"], np.int32).astype(np.int64), np.array(row["lengths"], np.int64)
@@ -279,8 +253,8 @@ def _paired(slices: DataFrame, numbers: DataFrame, known: int, total: int, block
             edges = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist() + [len(keys)]
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 at = order[low:high]
-                out.append((*[None] * 7, int(block[at[0]]), row["slice"], low, high - low, *(pack(x[at]) for x in (number[a], number[b], n))))
-        return _table(out, schema)
+                out.append((*[None] * 7, int(block[at[0]]), row["slice"], low, high - low, pack(np.diff(number[a[at]], prepend=0)), pack(number[b[at]]), pack(n[at])))
+        return table_of(out, schema)
 
     both = slices.drop("words", "counts", "n_tokens").groupBy("slice").cogroup(numbers.select("slice", "at", "numbers", "counts").groupBy("slice"))
     return stored(both.applyInArrow(pair, schema), "token-pairs")
@@ -304,25 +278,33 @@ class Block:
         rank[by_task] = np.arange(len(found))
         self.at_a, self.at_b = rank[np.searchsorted(found, self.a)], rank[np.searchsorted(found, self.b)]
         self.key = pair_key(self.a, self.b)
+        self.tasks = tasks
         edges = np.flatnonzero(np.diff(self.words % tasks, prepend=-1))
-        self.parts = list(zip((self.words[edges] % tasks).tolist(), edges.tolist(), [*edges[1:].tolist(), len(found)], strict=True))
+        ends = np.append(edges[1:], len(found))[: len(edges)]
+        self.parts = list(zip((self.words[edges] % tasks).tolist(), edges.tolist(), ends.tolist(), strict=True))
 
     @staticmethod
     def read(table: pa.Table, tasks: int) -> Block:
         columns = [[], [], []]
-        for row in _rows(table):
+        for row in rows_of(table):
             for column, name in zip(columns, "abn", strict=True):
-                column.append(unpack(row[name]))
+                values = unpack(row[name])
+                column.append(np.cumsum(values) if name == "a" else values)
         return Block(*map(np.concatenate, columns), tasks)
 
-    def tallies(self, block: int, tables: np.ndarray) -> list[tuple]:
+    def drawn(self) -> Block:
+        """The pairs that have more than one customer."""
+        many = self.n > 1
+        return Block(self.a[many], self.b[many], self.n[many], self.tasks)
+
+    def tallies(self, block: int, live: bool, tables: np.ndarray, customers: np.ndarray) -> list[tuple]:
         """A row for each task that holds words of the block: tables of each as context and as dish, customers as context."""
-        sums = [np.bincount(at, x, minlength=len(self.words)).astype(np.int64) for at, x in ((self.at_a, tables), (self.at_b, tables), (self.at_a, self.n))]
-        return [(q, block, pack(np.diff(self.words[x:y], prepend=0)), *(pack(s[x:y]) for s in sums)) for q, x, y in self.parts]
+        sums = [np.bincount(at, x, minlength=len(self.words)).astype(np.int64) for at, x in ((self.at_a, tables), (self.at_b, tables), (self.at_a, customers))]
+        return [(q, block, live, pack(np.diff(self.words[x:y], prepend=0)), *(pack(s[x:y]) for s in sums)) for q, x, y in self.parts]
 
 
-TALLIES = dict(q="int", block="int", words="binary", tables="binary", dishes="binary", customers="binary")
-STATES = dict(block="int", q="int", tables="binary", customers="binary", mass="binary", root_tables="long", root_customers="long")
+TALLIES = dict(q="int", block="int", live="boolean", words="binary", tables="binary", dishes="binary", customers="binary")
+STATES = dict(block="int", live="boolean", q="int", tables="binary", customers="binary", mass="binary", root_tables="long", root_customers="long")
 
 
 def _root(tallies: DataFrame, sweep: int, opening: float, root_discount: float) -> DataFrame:
@@ -330,16 +312,16 @@ def _root(tallies: DataFrame, sweep: int, opening: float, root_discount: float)
     schema = schema_of(**STATES)
 
     def seated(key: tuple, table: pa.Table) -> pa.Table:
-        rows = [(r["block"], np.cumsum(unpack(r["words"])), *(unpack(r[c]) for c in ("tables", "dishes", "customers"))) for r in _rows(table)]
-        found, of = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
-        tables, dishes, customers = (np.bincount(of, np.concatenate([r[k] for r in rows]), minlength=len(found)).astype(np.int64) for k in (2, 3, 4))
+        rows = [(r["block"], r["live"], np.cumsum(unpack(r["words"])), *(unpack(r[c]) for c in ("tables", "dishes", "customers"))) for r in rows_of(table)]
+        found, of = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+        tables, dishes, customers = (np.bincount(of, np.concatenate([r[k] for r in rows]), minlength=len(found)).astype(np.int64) for k in (3, 4, 5))
         own = seat(dishes, np.full(len(found), opening), root_discount, pair_key(found, found), -1 - sweep)
         mass, sums, out, at = dishes - root_discount * own, (int(own.sum()), int(dishes.sum())), [], 0
-        for block, numbers, *_ in rows:
+        for block, live, numbers, *_ in rows:
             here = of[at : at + len(numbers)]
             at += len(numbers)
-            out.append((block, key[0].as_py(), pack(tables[here]), pack(customers[here]), pack(mass[here]), *(sums if not out else (0, 0))))
-        return _table(out, schema)
+            out.append((block, live, key[0].as_py(), pack(tables[here]), pack(customers[here]), pack(mass[here]), *(sums if not out else (0, 0))))
+        return table_of(out, schema)
 
     return stored(tallies.groupBy("q").applyInArrow(seated, schema), "restaurants")
 
@@ -387,39 +369,47 @@ def scored(
     numbers = _word_numbers(slices, tasks)
     known, total, once, twice = (int(x or 0) for x in numbers.agg(*(F.sum(c) for c in ("known", "total", "once", "twice"))).first())
     rows = _paired(slices, numbers, known, total, blocks, block_tokens // 8)
+    dropped(slices, numbers)
     pairs = rows.filter("block is not null").select(*PAIRS)
 
-    merged_schema = schema_of(block="int", a="binary", b="binary", n="binary", once="long", twice="long")
+    tally_schema = schema_of(**TALLIES)
+    merged_schema = StructType([*schema_of(a="binary", b="binary", n="binary", once="long", twice="long").fields, *tally_schema.fields])
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
-        block = Block.read(table, tasks)
+        """The pairs to be drawn, and the tallies of all others, which stay the same."""
+        block, number = Block.read(table, tasks), key[0].as_py()
         once, twice = (int((block.n == k).sum()) for k in (1, 2))
-        return _table([(key[0].as_py(), pack(block.a), pack(block.b), pack(block.n), once, twice)], merged_schema)
+        drawn = block.drawn()
+        out = [(*(pack(x) for x in (np.diff(drawn.a, prepend=0), drawn.b, drawn.n)), once, twice, None, number, *[None] * 5)]
+        return table_of(out + [(*[None] * 5, *row) for row in block.tallies(number, False, block.n == 1, block.n)], merged_schema)
 
     merged = stored(pairs.select("block", "a", "b", "n").groupBy("block").applyInArrow(merge, merged_schema), "pair-blocks")
     pair_once, pair_twice = (int(x or 0) for x in merged.agg(F.sum("once"), F.sum("twice")).first())
     weights = Weights(strength, discount(pair_once, pair_twice), root_strength, discount(once, twice), known)
-    tally_schema = schema_of(**TALLIES)
+    still = merged.filter("q is not null").select(*TALLIES)
 
     def opened(key: tuple, table: pa.Table) -> pa.Table:
         block = Block.read(table, tasks)
-        return _table(block.tallies(key[0].as_py(), np.minimum(block.n, 1)), tally_schema)
+        return table_of(block.tallies(key[0].as_py(), True, np.ones(len(block.n)), np.zeros(len(block.n))), tally_schema)
 
     def swept(sweep: int, sums: tuple[int, int]) -> Callable:
         def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
             block = Block.read(left, tasks)
-            return _table(block.tallies(key[0].as_py(), weights.seated(block, weights.state(list(_rows(right)), sums), sweep)), tally_schema)
+            if not len(block.n):
+                return table_of([], tally_schema)
+            tables = weights.seated(block, weights.state(list(rows_of(right)), sums), sweep)
+            return table_of(block.tallies(key[0].as_py(), True, tables, np.zeros(len(block.n))), tally_schema)
 
         return run
 
-    bare = merged.select("block", "a", "b", "n").groupBy("block")
+    bare = merged.filter("q is null").select("block", "a", "b", "n").groupBy("block")
     tallies, root_tables, states, sums = bare.applyInArrow(opened, tally_schema), known, [], []
     for sweep in range(burn + samples + 1):
-        state = _root(tallies, sweep, weights.opening(root_tables), weights.root_discount)
+        state = _root(still.unionByName(tallies), sweep, weights.opening(root_tables), weights.root_discount)
         root_tables, root_customers = (int(x or 0) for x in state.agg(F.sum("root_tables"), F.sum("root_customers")).first())
-        states.append(state.select(F.lit(sweep).alias("sweep"), "block", "q", "tables", "customers", "mass"))
+        states.append(state.filter("not live").select(F.lit(sweep).alias("sweep"), "block", "q", "tables", "customers", "mass"))
         sums.append((root_tables, root_customers))
-        tallies = bare.cogroup(state.groupBy("block")).applyInArrow(swept(sweep + 1, sums[-1]), tally_schema)
+        tallies = bare.cogroup(state.filter("live").groupBy("block")).applyInArrow(swept(sweep + 1, sums[-1]), tally_schema)
     history = states[0]
     for state in states[1:]:
         history = history.unionByName(state)
@@ -430,7 +420,7 @@ def scored(
         places = left.select(["slice", "start", "size"]).to_pylist()
         block = Block.read(left, tasks)
         by_sweep: list[list[dict]] = [[] for _ in sums]
-        for row in _rows(right):
+        for row in rows_of(right):
             by_sweep[row["sweep"]].append(row)
         before = weights.state(by_sweep[0], sums[0])
         mean = np.zeros(len(block.a))
@@ -442,24 +432,24 @@ def scored(
         for place in places:
             out.append((place["slice"], place["start"], pack(logs[at : at + place["size"]])))
             at += place["size"]
-        return _table(out, answer_schema)
+        return table_of(out, answer_schema)
 
-    answers = stored(pairs.groupBy("block").cogroup(history.groupBy("block")).applyInArrow(predict, answer_schema), "pair-scores")
+    answers = pairs.groupBy("block").cogroup(history.groupBy("block")).applyInArrow(predict, answer_schema)
     score_schema = schema_of(
         id=docs.schema[id_col].dataType, held_out="boolean", n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double"
     )
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for row in _rows(left):
+        for row in rows_of(left):
             logs = np.empty(row["n_pairs"], np.float64)
-            for answer in _rows(right):
+            for answer in rows_of(right):
                 own = unpack(answer["logs"], np.float32)
                 logs[answer["start"] : answer["start"] + len(own)] = own
             lengths = np.array(row["n_tokens"], np.int64)
             sums = np.add.reduceat(logs[unpack(row["pairs"], np.int32)], np.cumsum(lengths) - lengths)
             out += zip(row["ids"], row["held"], row["n_tokens"], row["n_known"], [total] * len(lengths), row["base"], sums.tolist(), strict=True)
-        return _table(out, score_schema)
+        return table_of(out, score_schema)
 
     texts = rows.filter("block is null").select("slice", "ids", "held", "n_tokens", "n_known", "base", "pairs", "n_pairs")
     return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, score_schema)

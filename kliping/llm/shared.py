@@ -35,6 +35,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` has written and nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = shared_folder(spark)
+        for parent in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            # Only what lies in the shared folder is one of ours.
+            if spark._jvm.org.apache.hadoop.fs.Path(parent).toUri().getPath().startswith(spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath()):
+                path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_slices(
     df: DataFrame, fn: Callable[[list[list]], list[list]], schema: StructType, size: int = SLICE
 ) -> DataFrame:

@@ -128,7 +128,8 @@ def test_nothing_learned_and_empty(spark, frame):
     assert M.scored(frame.filter("doc_id < 0"), held()).count() == 0
 
 
-def test_waiting_times_seat_as_single_customers_do():
+def test_thinning_seats_as_single_customers_do(monkeypatch):
+    monkeypatch.setattr(M, "STEPS", 8)
     n, size = 3000, 400
     for opening, discount in ((0.5, 0.7), (8.0, 0.3), (60.0, 0.9)):
         keys = np.arange(n) * 7919
