@@ -1,7 +1,8 @@
-"""The article store: Parquet partitioned by source and publishing day."""
+"""The article store: Parquet partitioned by source and publishing day, its files alive by a manifest of commits."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,25 +12,17 @@ from pyspark.sql import Window as W
 
 from kliping.functions import urls
 from kliping.operators import dedupe, repair
-from kliping.schema import ARTICLE
 from kliping.session import durable
+from kliping.sources import keys, manifest
+from kliping.sources.files import EMPTY, PARTITIONS, STORED, read_files
 
-PARTITIONS = ["source", "pub_date"]
-STORED = T.StructType([*ARTICLE.fields, T.StructField("url_key", T.StringType()), T.StructField("pub_date", T.DateType())])
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """True where the folder is there; one without data files reads as empty, since the schema is given."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+SMALL_BYTES = 32 * 1024**2
+FILE_BYTES = 256 * 1024**2
 
 
 def read_store(spark: SparkSession, path: str, predicate: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """Scan the store; an absent one is empty."""
-    if exists(spark, path):
-        rows = spark.read.schema(STORED).parquet(path)
-    else:
-        rows = spark.createDataFrame([], STORED)
+    """Scan the store as its last commit left it; an absent one is empty."""
+    rows = read_files(spark, path, manifest.live(spark, path))
     if predicate is not None:
         rows = rows.filter(predicate)
     return rows.select(*columns) if columns else rows
@@ -44,84 +37,139 @@ def with_keys(rows: DataFrame) -> DataFrame:
     return rows.withColumn("url_key", urls.canonical(F.col("url"))).withColumn("pub_date", F.to_date("pubdate"))
 
 
-def append(rows: DataFrame, path: str) -> None:
-    """Append rows, each partition in files of even size.
+def _folder(spark: SparkSession, source: str | None, day: object) -> str:
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    source = EMPTY if source == "" else source
+    return "/".join([named("source", source), named("pub_date", None if day is None else str(day))])
+
+
+def _folders(rows: DataFrame) -> list[str]:
+    """Folders of the partitions that rows belong to, one value per partition."""
+    return sorted({_folder(rows.sparkSession, r.source, r.pub_date) for r in rows.select(*PARTITIONS).distinct().collect()})
+
+
+def write_files(rows: DataFrame, path: str) -> list[str]:
+    """Write rows into files no reader follows yet; each partition in files of even size.
 
     The rebalance hint gathers small partitions and splits large ones, so one
-    source that holds most rows is still written by many tasks.
+    source that holds most rows is still written by many tasks. ``rows`` is
+    read twice: cut its lineage first.
     """
-    rows.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    spark, mark = rows.sparkSession, f"c{uuid.uuid4().hex}"
+    folders = _folders(rows)
+    if folders:
+        _write(rows.hint("rebalance", *PARTITIONS), path, mark)
+    return _marked(spark, path, folders, mark)
+
+
+def _write(rows: DataFrame, path: str, mark: str) -> None:
+    named = rows.withColumn("source", F.when(F.col("source") == "", EMPTY).otherwise(F.col("source")))
+    named.write.mode("append").option("mapreduce.output.basename", mark).partitionBy(*PARTITIONS).parquet(path)
+
+
+def _marked(spark: SparkSession, path: str, folders: Sequence[str], mark: str) -> list[str]:
+    return [f"{f}/{name}" for f in folders for name in manifest.names(spark, path, f) if name.startswith(f"{mark}-")]
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows in one commit."""
+    manifest.commit(rows.sparkSession, path, write_files(durable(rows), path))
 
 
 def overwrite_partitions(rows: DataFrame, path: str) -> None:
-    """Replace just the partitions ``rows`` has rows for."""
-    (
-        rows.hint("rebalance", *PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    """Replace just the partitions ``rows`` has rows for, in one commit."""
+    spark, rows = rows.sparkSession, durable(rows)
+    folders = set(_folders(rows))
+    old = [f for f in manifest.live(spark, path) if f.rsplit("/", 1)[0] in folders]
+    manifest.commit(spark, path, write_files(rows, path), old)
 
 
-def insert_if_absent(batch: DataFrame, path: str, row_id: str, order: Sequence[str] | None = None) -> DataFrame:
+def insert_if_absent(
+    batch: DataFrame, path: str, row_id: str, order: Sequence[str] | None = None, checked: int | None = None
+) -> DataFrame:
     """Append the articles whose address is not stored; return the outcomes.
 
     ``batch`` has the article columns, a unique ``row_id`` and maybe a
     ``reject_reason``. Of several rows with one address the first in ``order``
-    (default: by ``row_id``) goes in. The batch and the numbers of the rows to
-    add are written to the checkpoint folder before the store changes, so the
-    batch is computed once, and the append and the returned frame agree
-    whatever is run again; a repeated call inserts nothing.
+    (default: by ``row_id``) goes in; rows without an address are rejected as
+    ``no_address``. The batch and the numbers of the rows to add are written
+    to the checkpoint folder before the store changes, so the batch is computed
+    once, and the append and the returned frame agree whatever is run again; a
+    repeated call inserts nothing. Stored addresses come from the key index.
+    With ``checked``, no address of the batch was stored at that version. If
+    another writer commits in between, the addresses are compared again.
     """
-    rows = with_keys(batch)
+    spark, rows = batch.sparkSession, with_keys(batch)
     if "reject_reason" not in rows.columns:
         rows = rows.withColumn("reject_reason", F.lit(None).cast("string"))
-    rows = durable(rows)
-    stored = read_store(batch.sparkSession, path, columns=["url_key"])
-    won = durable(dedupe.winners(rows, stored, row_id, order or [row_id]))
-    marked = dedupe.mark_outcome(rows, won, row_id)
-    append(marked.filter(F.col("outcome") == "inserted").select(*STORED.fieldNames()), path)
-    return marked.select(row_id, "url", "source", "reject_reason", "outcome")
+    nowhere = F.coalesce(F.col("url_key"), F.lit("")) == ""
+    rows = durable(rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(nowhere, "no_address"))))
+    while True:
+        at = manifest.version(spark, path)
+        stored = keys.stored(rows.select("url_key"), path) if checked is None or checked != at else rows.select("url_key").limit(0)
+        won = durable(dedupe.winners(rows, stored, row_id, order or [row_id]))
+        marked = dedupe.mark_outcome(rows, won, row_id)
+        files = write_files(marked.filter(F.col("outcome") == "inserted").select(*STORED.fieldNames()), path)
+        if not files or manifest.commit(spark, path, files, expect=at):
+            return marked.select(row_id, "url", "source", "reject_reason", "outcome")
+        checked = None
 
 
 def repair_partitions(store: DataFrame, fixes: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Put fixes, keyed by address, into the stored partitions they touch.
 
-    Partitions without a fix are not written. The merged rows go to the
-    checkpoint folder first, so the partitions are not read while replaced.
-    Repaired dates move rows: the partitions they go to are rewritten as well,
-    and those that lose their last row are deleted.
+    Partitions without a fix are neither read (but for their keys) nor written.
+    The merged rows go into new files, those with a repaired date into the
+    partition they move to; then one commit replaces the files of the touched
+    partitions. A job that dies before it has changed nothing.
     """
     if set(columns) & set(PARTITIONS):
         raise ValueError("a repair cannot set the columns the store is partitioned by")
-    hit = durable(store.join(fixes.select("url_key"), "url_key", "left_semi").select(*PARTITIONS, "url_key"))
-    parts = hit.select(*PARTITIONS)
-    if "pubdate" in columns:
-        moved = hit.join(fixes.filter(F.col("pubdate").isNotNull()), "url_key")
-        parts = parts.unionByName(moved.select("source", F.to_date("pubdate").alias("pub_date")))
-    parts = durable(parts.distinct())
-    merged = repair.merge(_in_partitions(store, parts), fixes, "url_key", columns)
+    spark = store.sparkSession
+    wanted = durable(fixes.select("url_key", *columns))
+    folders = set(_folders(store.join(wanted.select("url_key"), "url_key", "left_semi")))
+    old = [f for f in manifest.live(spark, path) if f.rsplit("/", 1)[0] in folders]
+    merged = repair.merge(read_files(spark, path, old), wanted, "url_key", columns)
     merged = durable(merged.withColumn("pub_date", F.to_date("pubdate")).select(*STORED.fieldNames()))
-    overwrite_partitions(merged, path)
-    same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in PARTITIONS]
-    left = merged.select(*[F.col(p).alias(f"_{p}") for p in PARTITIONS]).distinct()
-    for row in parts.join(left, same, "left_anti").collect():  # one row per emptied partition
-        _delete_partition(store.sparkSession, path, row.source, row.pub_date)
-
+    manifest.commit(spark, path, write_files(merged, path), old, new=False)
 
-def _in_partitions(store: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of the given partitions; dated ones by plain equality, which prunes the scan, undated ones apart."""
-    dated = store.join(parts.filter("pub_date is not null"), PARTITIONS, "left_semi")
-    undated = parts.filter("pub_date is null").select("source")
-    return dated.unionByName(store.filter("pub_date is null").join(undated, "source", "left_semi"))
 
+def compact(spark: SparkSession, path: str, small_bytes: int = SMALL_BYTES, file_bytes: int = FILE_BYTES) -> int:
+    """Put the small files of each partition together, first fit by falling size, in one commit; the number of files saved.
 
-def _delete_partition(spark: SparkSession, path: str, source: str, day: object) -> None:
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    day = None if day is None else str(day)
-    folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, named("source", source), named("pub_date", day)]))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    Large files are left alone. The sizes of the small files, one row each, are
+    looked up beside the rows by file name.
+    """
+    sizes: dict[str, list[tuple[int, str]]] = {}
+    for name, size in manifest.sizes(spark, path, manifest.live(spark, path)):
+        if size < small_bytes:
+            sizes.setdefault(name.rsplit("/", 1)[0], []).append((size, name))
+    bins: list[tuple[str, int]] = []
+    planned = 0
+    for files in sizes.values():
+        free: list[int] = []
+        of = []
+        for size, name in sorted(files, reverse=True):
+            at = next((k for k, room in enumerate(free) if room >= size), len(free))
+            if at == len(free):
+                free.append(max(file_bytes, size))
+            free[at] -= size
+            of.append((name, at))
+        held = [at for _, at in of]
+        joined = [(name, planned + at) for name, at in of if held.count(at) > 1]  # a bin of one file is as it should be
+        bins += joined
+        planned += len(free)
+    if not bins:
+        return 0
+    where = spark.createDataFrame([(name.rsplit("/", 1)[1], at) for name, at in bins], "_file string, _bin long")
+    old = [name for name, _ in bins]
+    rows = read_files(spark, path, old, F.col("_metadata.file_name").alias("_file"))
+    mark = f"c{uuid.uuid4().hex}"
+    count = len({at for _, at in bins})
+    _write(rows.join(where, "_file").repartition(count, "_bin").select(*STORED.fieldNames()), path, mark)
+    new = _marked(spark, path, sorted({name.rsplit("/", 1)[0] for name in old}), mark)
+    manifest.commit(spark, path, new, old, new=False)
+    return len(old) - len(new)
 
 
 # -- dumps ---------------------------------------------------------------------
