@@ -130,10 +130,14 @@ def discount(once: int, twice: int) -> float:
 
 
 def _slices(docs: DataFrame, slice_tokens: int) -> DataFrame:
-    """Of ``id``, ``text``, ``held``: token numbers by place in a slice's own word list, and how often training texts have each word."""
+    """Of ``id``, ``text``, ``held``: a slice's words and pairs, how often training texts have each, and the pairs of every document.
+
+    A pair is known by the places of its words in the slice's own list. A document's pairs are sorted; their order does
+    not matter any more.
+    """
     schema = schema_of(
-        slice="long", ids=ArrayType(docs.schema["id"].dataType), held="array<boolean>", lengths="array<int>", tokens="binary",
-        words="binary", counts="binary", n_words="int", n_tokens="long",
+        slice="long", ids=ArrayType(docs.schema["id"].dataType), held="array<boolean>", lengths="array<int>", pairs="binary",
+        a="binary", b="binary", n="binary", words="binary", counts="binary", n_words="int", n_tokens="long",
     )
     out = to_arrow_schema(schema)
 
@@ -146,7 +150,16 @@ def _slices(docs: DataFrame, slice_tokens: int) -> DataFrame:
             tokens = np.concatenate(parts)
             learned = np.repeat(~np.array(held, bool), lengths)
             counts = np.bincount(tokens[learned], minlength=len(known))
-            row = (number, ids, held, lengths, pack(tokens), pack(np.frombuffer(b"\n".join(known), np.uint8)), pack(counts), len(known), len(tokens))
+            first = np.cumsum(lengths) - lengths
+            before = np.concatenate([[0], tokens[:-1]]).astype(np.int64)
+            before[first] = 0  # a text begins behind an end
+            pairs, of = np.unique(before * len(known) + tokens, return_inverse=True)
+            n = np.bincount(of[learned], minlength=len(pairs))
+            a, b = pairs // len(known), pairs % len(known)
+            row = (
+                number, ids, held, lengths, _by_document(lengths, of, len(pairs)), pack(np.diff(a, prepend=0)), pack(b), pack(n),
+                pack(np.frombuffer(b"\n".join(known), np.uint8)), pack(counts), len(known), len(tokens),
+            )
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, out, strict=True)], schema=out)
 
         for batch in batches:
@@ -166,6 +179,10 @@ def _slices(docs: DataFrame, slice_tokens: int) -> DataFrame:
     return stored(docs.select("id", "text", "held").mapInArrow(run, schema), "token-slices")
 
 
+def _by_document(lengths: list[int], pairs: np.ndarray, size: int) -> bytes:
+    return pack(np.diff(np.sort(np.repeat(np.arange(len(lengths)), lengths) * size + pairs), prepend=0))
+
+
 ASKED = dict(q="int", slice="long", at="binary", words="binary", counts="binary")
 NUMBERED = dict(slice="long", at="binary", numbers="binary", counts="binary", known="long", total="long", once="long", twice="long")
 
@@ -195,9 +212,10 @@ def _word_numbers(slices: DataFrame, tasks: int) -> DataFrame:
             sums = np.concatenate([sums, np.zeros(len(known) - len(sums), np.int64)])
             sums[own] += unpack(row["counts"])  # words of a slice are distinct
             lists.append((row["slice"], row["at"], own))
-        # Numbers by the order of the words, so that they do not depend on the order of arrival.
+        # Frequent words get small numbers; ties go by the word, not by the order of arrival.
+        by_word = np.array([known[w] for w in sorted(known)], np.int64)
         rank = np.empty(len(known), np.int64)
-        rank[[known[w] for w in sorted(known)]] = np.arange(len(known))
+        rank[by_word[np.argsort(-sums[by_word], kind="stable")]] = np.arange(len(known))
         totals = [int((sums > 0).sum()), int(sums.sum()), int((sums == 1).sum()), int((sums == 2).sum())]
         nothing = [0] * 4
         return table_of([
@@ -233,24 +251,20 @@ def _paired(slices: DataFrame, numbers: DataFrame, known: int, total: int, block
             for answer in rows_of(right):
                 at = np.cumsum(unpack(answer["at"]))
                 number[at], count[at] = unpack(answer["numbers"]), unpack(answer["counts"])
-            token, lengths = unpack(row["tokens"], np.int32).astype(np.int64), np.array(row["lengths"], np.int64)
+            lengths = np.array(row["lengths"], np.int64)
             first = np.cumsum(lengths) - lengths
-            before = np.concatenate([[0], token[:-1]])
-            before[first] = 0  # a text begins behind an end
-            keys, of = np.unique(before * row["n_words"] + token, return_inverse=True)
-            a, b = keys // row["n_words"], keys % row["n_words"]
-            learned = np.repeat(~np.array(row["held"], bool), lengths)
-            n = np.bincount(of[learned], minlength=len(keys))
+            a, b, n = np.cumsum(unpack(row["a"])), unpack(row["b"]), unpack(row["n"])
+            of = np.cumsum(unpack(row["pairs"])) % len(a)
             block = _mixed(number[a] + np.where(count[a] > hot, _mixed(number[b]).astype(np.int64), 0)).astype(np.int64) % blocks
             order = np.lexsort((number[b], number[a], block))
-            rank = np.empty(len(keys), np.int64)
-            rank[order] = np.arange(len(keys))
+            rank = np.empty(len(a), np.int64)
+            rank[order] = np.arange(len(a))
             base = np.log10((count + 0.5) / (total + 0.5 * (known + 1)))
             out.append((
-                row["ids"], row["held"], lengths, np.add.reduceat(count[token] > 0, first, dtype=np.int64), np.add.reduceat(base[token], first),
-                pack(rank[of].astype(np.int32)), len(keys), None, row["slice"], None, None, None, None, None,
+                row["ids"], row["held"], lengths, np.add.reduceat(count[b[of]] > 0, first, dtype=np.int64), np.add.reduceat(base[b[of]], first),
+                _by_document(row["lengths"], rank[of], len(a)), len(a), None, row["slice"], None, None, None, None, None,
             ))
-            edges = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist() + [len(keys)]
+            edges = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist() + [len(a)]
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 at = order[low:high]
                 out.append((*[None] * 7, int(block[at[0]]), row["slice"], low, high - low, pack(np.diff(number[a[at]], prepend=0)), pack(number[b[at]]), pack(n[at])))
@@ -336,9 +350,10 @@ class Weights:
         return (self.root_strength + self.root_discount * root_tables) / (self.known + 1)
 
     def state(self, rows: list[dict], sums: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tables and customers as context, and root probability, of a block's words."""
+        """Tables as context, customers as context (in the first state only, as they stay the same) and root probability of a block's words."""
         rows = sorted(rows, key=lambda r: r["q"])
-        tables, customers = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("tables", "customers"))
+        tables = np.concatenate([unpack(r["tables"]) for r in rows])
+        customers = np.concatenate([unpack(r["customers"] or pack(np.zeros(0, np.int64))) for r in rows])
         mass = np.concatenate([unpack(r["mass"], np.float64) for r in rows])
         return tables, customers, (mass + self.opening(sums[0])) / (self.root_strength + sums[1])
 
@@ -347,8 +362,10 @@ class Weights:
         new = (self.strength + self.discount * tables[block.at_a]) * root[block.at_b]
         return seat(block.n, new, self.discount, block.key, sweep)
 
-    def predicted(self, block: Block, tables: np.ndarray, state: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        all_tables, customers, root = state
+    def predicted(
+        self, block: Block, tables: np.ndarray, customers: np.ndarray, state: tuple[np.ndarray, np.ndarray, np.ndarray]
+    ) -> np.ndarray:
+        all_tables, _, root = state
         shared = (self.strength + self.discount * all_tables[block.at_a]) * root[block.at_b]
         return (block.n - self.discount * tables + shared) / (self.strength + customers[block.at_a])
 
@@ -407,9 +424,11 @@ def scored(
     for sweep in range(burn + samples + 1):
         state = _root(still.unionByName(tallies), sweep, weights.opening(root_tables), weights.root_discount)
         root_tables, root_customers = (int(x or 0) for x in state.agg(F.sum("root_tables"), F.sum("root_customers")).first())
-        states.append(state.filter("not live").select(F.lit(sweep).alias("sweep"), "block", "q", "tables", "customers", "mass"))
+        customers = F.col("customers") if not sweep else F.lit(None).cast("binary").alias("customers")
+        states.append(state.filter("not live").select(F.lit(sweep).alias("sweep"), "block", "q", "tables", customers, "mass"))
         sums.append((root_tables, root_customers))
         tallies = bare.cogroup(state.filter("live").groupBy("block")).applyInArrow(swept(sweep + 1, sums[-1]), tally_schema)
+    dropped(merged)
     history = states[0]
     for state in states[1:]:
         history = history.unionByName(state)
@@ -423,11 +442,12 @@ def scored(
         for row in rows_of(right):
             by_sweep[row["sweep"]].append(row)
         before = weights.state(by_sweep[0], sums[0])
+        customers = before[1]
         mean = np.zeros(len(block.a))
         for sweep in range(1, len(sums)):
             tables, before = weights.seated(block, before, sweep), weights.state(by_sweep[sweep], sums[sweep])
             if sweep > burn:
-                mean += weights.predicted(block, tables, before) / samples
+                mean += weights.predicted(block, tables, customers, before) / samples
         logs, out, at = np.log10(mean).astype(np.float32)[block.of], [], 0
         for place in places:
             out.append((place["slice"], place["start"], pack(logs[at : at + place["size"]])))
@@ -447,7 +467,7 @@ def scored(
                 own = unpack(answer["logs"], np.float32)
                 logs[answer["start"] : answer["start"] + len(own)] = own
             lengths = np.array(row["n_tokens"], np.int64)
-            sums = np.add.reduceat(logs[unpack(row["pairs"], np.int32)], np.cumsum(lengths) - lengths)
+            sums = np.add.reduceat(logs[np.cumsum(unpack(row["pairs"])) % len(logs)], np.cumsum(lengths) - lengths)
             out += zip(row["ids"], row["held"], row["n_tokens"], row["n_known"], [total] * len(lengths), row["base"], sums.tolist(), strict=True)
         return table_of(out, score_schema)
 

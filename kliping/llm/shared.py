@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -36,15 +37,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete tables that ``stored`` has written and nothing will read again."""
+    """Delete tables that ``stored`` has written and nothing will read again, and shuffle files of jobs that are done.
+
+    Spark drops the latter once the driver's collector has run, which a driver with a roomy heap puts off.
+    """
     for df in tables:
         spark = df.sparkSession
-        folder = shared_folder(spark)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        ours = hadoop.Path(shared_folder(spark)).toUri().getPath()
         for parent in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-            # Only what lies in the shared folder is one of ours.
-            if spark._jvm.org.apache.hadoop.fs.Path(parent).toUri().getPath().startswith(spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath()):
-                path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+            path = hadoop.Path(parent)
+            if path.toUri().getPath().startswith(ours + "/"):
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def map_slices(

@@ -34,10 +34,10 @@ class Plain:
 
     def __init__(self, rows, tasks=1):
         texts = [(i, [*M.words(t), M.END]) for i, t in rows]
-        self.vocabulary = sorted({w for _, t in texts for w in t})
-        self.number = {w: k for k, w in enumerate(self.vocabulary)}
         learned = [t for i, t in texts if not _held(i)]
         self.c = Counter(w for t in learned for w in t)
+        vocabulary = sorted({w for _, t in texts for w in t}, key=lambda w: (-self.c[w], w))
+        self.number = {w: k for k, w in enumerate(vocabulary)}
         self.pairs = Counter(p for t in learned for p in zip([M.END, *t[:-1]], t, strict=True))
         self.total, self.known = sum(self.c.values()), len(self.c)
         twos = Counter(self.pairs.values())
