@@ -50,7 +50,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType
 
 from kliping.llm.packed import pack, pack_all, rows_of, table_of, unpack, unpack_all
-from kliping.llm.shared import schema_of, stored
+from kliping.llm.shared import dropped, schema_of, stored
 
 LENGTH = 400
 SPAN = 128
@@ -499,17 +499,22 @@ def repeated_spans(
     copies = _copies(slices, length, 1 + texts // keys)
     both = slices.select("slice", "marks").groupBy("slice").cogroup(copies.groupBy("slice"))
     mixed, level = stored(both.applyInArrow(_first_state(tasks), mixed_schema), "ranks"), 0
+    dropped(copies)
     while True:
         states, asks = parted(mixed)
         answers = asks.groupBy("q").applyInArrow(_ranker(level), answer_schema)
-        mixed = stored(states.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_doubled(level, tasks), mixed_schema), "ranks")
+        before, doubled = mixed, states.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_doubled(level, tasks), mixed_schema)
+        mixed = stored(doubled, "ranks")
+        dropped(before)
         if not mixed.agg(F.sum("waiting")).first()[0]:
             break
         level += 1
     states = parted(mixed)[0].withColumn("answer", F.lit(None).cast("binary")).withColumn("q", F.lit(None).cast("int"))
     data = slices.select("slice", "data").groupBy("slice")
     for level in range(len(WIDTHS)):
-        mixed = stored(data.cogroup(states.groupBy("slice")).applyInArrow(_cutter(level, length, tasks), mixed_schema), "blocks")
+        before, cut = mixed, data.cogroup(states.groupBy("slice")).applyInArrow(_cutter(level, length, tasks), mixed_schema)
+        mixed = stored(cut, "blocks")
+        dropped(before)
         states, asks = parted(mixed)
         answers = asks.groupBy("q").applyInArrow(_comparer(), answer_schema)
         states = states.unionByName(answers, allowMissingColumns=True)
