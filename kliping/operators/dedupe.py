@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Literal characters per blocking step of the wildcard join, and at most.
-BLOCK = 8
-LONGEST = 256
+from kliping.session import durable
+
+GRAMS = (8, 3)  # characters of the grams that wildcard patterns are joined by
+PER_BLOCK = 10_000  # stored values of a gram that are compared in one block
 
 
 def url_counts(rows: DataFrame, key: str = "url_key") -> DataFrame:
@@ -40,58 +41,58 @@ def seen_links(links: DataFrame, store: DataFrame, key: str = "url_key") -> Data
     return links.join(store.select(key), key, "left_semi")
 
 
-def _unmatched_patterns(links: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Anti join on LIKE without comparing all pairs.
+def _grams(text: Column, length: int) -> Column:
+    places = F.when(F.length(text) >= length, F.sequence(F.lit(1), F.length(text) - (length - 1)))
+    return F.coalesce(F.transform(places, lambda at: F.concat(F.lit(f"{length}:"), F.substr(text, at, F.lit(length)))), F.array().cast("array<string>"))
+
+
+def _run_grams(pattern: Column, length: int) -> Column:
+    """Grams of all literal runs; an escape ends a run, so no gram ever holds one."""
+    runs = F.regexp_extract_all(pattern, F.lit(rf"[^_%\\]{{{length},}}"), F.lit(0))
+    return F.flatten(F.transform(runs, lambda run: _grams(run, length)))
 
-    A match must agree with the literal text before the first and after the
-    last wildcard. The longer of the two, cut to a multiple of ``BLOCK`` and at
-    most ``LONGEST`` characters, is the join key of a pattern; stored values
-    offer their own beginnings and ends of the lengths in use. A pattern with
-    no wildcard takes its whole value as key, which is a plain equality join.
+
+def _unmatched_patterns(links: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Anti join on LIKE over an index of grams, without comparing all pairs.
+
+    A match holds every literal run of its pattern, so it holds every gram of it. Each
+    pattern is compared with the stored values that hold its rarest one: the
+    grams (``GRAMS`` characters, the longest a pattern has) of all patterns are counted over the stored
+    values, and those that occur nowhere settle their patterns at once. A gram
+    that more than ``PER_BLOCK`` values hold is split by a salt, which its patterns
+    take all values of. Patterns without a gram meet every value, under as many salts.
+    A pattern with no wildcard is looked up by plain equality.
     """
-    pattern = F.col(key)
-
-    def cut(literal: str) -> Column:
-        length = F.length(F.regexp_extract(pattern, literal, 0))
-        return (F.floor(F.least(length, F.lit(LONGEST)) / BLOCK) * BLOCK).cast("int")
-
-    # An escape ends a literal run, so no block ever holds one.
-    plain = ~pattern.rlike(r"[_%\\]")
-    sided = links.withColumns({"_head": cut(r"^[^_%\\]*"), "_tail": cut(r"[^_%\\]*$")}).withColumns(
-        {
-            "_side": F.when(plain, "=").when(F.col("_head") >= F.col("_tail"), "<").otherwise(">"),
-            "_cut": F.when(plain, 0).otherwise(F.greatest("_head", "_tail")),
-        }
-    )
-    probe = sided.withColumn("_block", _block(pattern, F.col("_side"), F.col("_cut"))).drop("_head", "_tail")
-    # One row per side and length: at most 2 * LONGEST / BLOCK + 3.
-    lengths = probe.select("_side", "_cut").distinct()
-    cuts = F.sequence(F.lit(0), F.least(F.length("stored"), F.lit(LONGEST)), F.lit(BLOCK))
-    offers = F.concat(
-        F.array(F.struct(F.lit("=").alias("_side"), F.lit(0).alias("_cut"))),
-        F.transform(cuts, lambda n: F.struct(F.lit("<").alias("_side"), n.alias("_cut"))),
-        F.transform(cuts, lambda n: F.struct(F.lit(">").alias("_side"), n.alias("_cut"))),
-    )
-    keys = (
-        stored.distinct()
-        .select("stored", F.inline(offers))
-        .join(F.broadcast(lengths), ["_side", "_cut"], "left_semi")
-        .select("stored", _block(F.col("stored"), F.col("_side"), F.col("_cut")).alias("_block"))
-        .join(probe.select("_block").distinct(), "_block", "left_semi")
-    )
-    like = F.expr(f"_s.stored LIKE _p.`{key}`")
-    return (
-        probe.alias("_p")
-        .join(keys.alias("_s"), (F.col("_p._block") == F.col("_s._block")) & like, "left_anti")
-        .drop("_block", "_side", "_cut")
-    )
-
-
-def _block(text: Column, side: Column, cut: Column) -> Column:
-    part = (
-        F.when(side == "=", text).when(side == "<", F.substring(text, F.lit(1), cut)).otherwise(F.right(text, cut))
-    )
-    return F.concat(side, cut.cast("string"), F.lit(":"), part)
+    pattern = F.col("_pattern")
+    distinct = links.select(F.col(key).alias("_pattern")).filter("_pattern is not null").distinct()
+    wild = pattern.rlike(r"[_%\\]")
+    plain = distinct.filter(~wild).join(stored.select(F.col("stored").alias("_pattern")), "_pattern", "left_semi")
+    of_length = [_run_grams(pattern, n) for n in GRAMS]
+    chosen = F.lit(None).cast("array<string>")
+    for grams in reversed(of_length):
+        chosen = F.when(F.size(grams) > 0, F.array_distinct(grams)).otherwise(chosen)
+    patterns = distinct.filter(wild).withColumn("_grams", F.coalesce(chosen, F.array(F.lit(""))))
+    wanted = patterns.select("_pattern", F.explode("_grams").alias("_gram"))
+    offers = F.concat(F.array(F.lit("")), *[_grams(F.col("stored"), n) for n in GRAMS])
+    held = (
+        stored.filter("stored is not null").distinct()
+        .select("stored", F.explode(F.array_distinct(offers)).alias("_gram"))
+        .join(wanted.select("_gram").distinct(), "_gram", "left_semi")
+    )
+    counts = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # A pattern whose rarest gram is nowhere has no match: it comes out of the left join with no count.
+    rarest = (
+        wanted.join(counts, "_gram", "left").groupBy("_pattern")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_least"))
+        .filter("_least.n > 0")
+    )
+    salts = F.ceil(F.col("_least.n") / PER_BLOCK).cast("int")
+    probe = rarest.select("_pattern", F.col("_least.gram").alias("_gram"), F.explode(F.sequence(F.lit(1), salts)).alias("_salt"))
+    blocks = rarest.select(F.col("_least.gram").alias("_gram"), salts.alias("_salts")).distinct()
+    values = held.join(blocks, "_gram").select("_gram", "stored", (F.pmod(F.xxhash64("stored"), F.col("_salts")) + 1).cast("int").alias("_salt"))
+    met = probe.alias("p").join(values.alias("v"), (F.col("p._gram") == F.col("v._gram")) & (F.col("p._salt") == F.col("v._salt")) & F.expr("v.stored LIKE p._pattern"), "left_semi")
+    matched = met.select("_pattern").unionByName(plain)
+    return links.join(matched.distinct(), F.col(key) == F.col("_pattern"), "left_anti")
 
 
 def first_by_key(rows: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -120,8 +121,11 @@ def until_first_seen(
     same key counts unless it was rejected (``accepted`` false). Earlier is
     meant within the listing, or, given the ``run_order`` in which a run comes
     to its links, in any listing of the run.
-    The stopping place of a listing is an aggregate, so no listing is sorted in
-    one task; ``order`` must be unique within a listing.
+    Links behind their own listing's stop are never come to, so they make no
+    address seen. The stopping place of a listing is an aggregate, so no listing is sorted in
+    one task; ``order`` must be unique within a listing, and a run comes to a listing's links in
+    that order. Listings are told apart by all of ``by``, NULLs included; links without an address are
+    never seen.
     """
     # A single column keeps the aggregates below in hash tables.
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -129,23 +133,54 @@ def until_first_seen(
     turn = place if run_order is None else F.struct(*run_order)
     narrow = links.select(*by, key, place.alias("_place"), turn.alias("_turn"), ok.alias("_ok"))
     firsts = narrow.groupBy(*by, key).agg(F.min("_place").alias("_first"))
-    stored = firsts.join(store.select(key), key, "left_semi").select(*by, F.col("_first").alias("_stop"))
+    stored = firsts.join(store.select(key), key, "left_semi").groupBy(*by).agg(F.min("_first").alias("_stop"))
+    # Links whose address comes twice and is accepted once at least: they alone can stop a listing.
     scope = [key] if run_order is not None else [*by, key]
-    taken = narrow.groupBy(*scope).agg(
-        F.min(F.when(F.col("_ok"), F.col("_turn"))).alias("_taken"), F.count(F.lit(1)).alias("_n")
-    )
-    repeated = taken.filter((F.col("_n") > 1) & F.col("_taken").isNotNull()).drop("_n")
-    again = (
-        narrow.join(repeated, scope)
-        .filter(F.col("_turn") > F.col("_taken"))
-        .select(*by, F.col("_place").alias("_stop"))
-    )
-    stops = stored.unionByName(again).groupBy(*by).agg(F.min("_stop").alias("_stop"))
-    return (
-        links.join(stops, list(by), "left")
-        .filter(F.col("_stop").isNull() | (place < F.col("_stop")))
-        .drop("_stop")
-    )
+    counts = narrow.filter(F.col(key).isNotNull()).groupBy(*scope).agg(F.max("_ok").alias("_any"), F.count(F.lit(1)).alias("_n"))
+    repeated = _same(narrow, counts.filter("_n > 1 and _any").select(*scope), scope, "left_semi")
+    stops = _next_stops(repeated, stored, stored if run_order is not None else None, by, scope)
+    if run_order is not None:
+        stops = _settled(repeated, stored, stops, by, scope)
+    kept = _same(links, stops, by, "left")
+    return kept.filter(F.col("_stop").isNull() | (place < F.col("_stop"))).drop("_stop")
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join on columns that may be NULL on both sides; the left ones stay."""
+    renamed = right.select(*[F.col(c).alias(f"_by_{c}" if c in names else c) for c in right.columns])
+    on = [left[c].eqNullSafe(renamed[f"_by_{c}"]) for c in names]
+    joined = left.join(renamed, on, how)
+    return joined.drop(*[f"_by_{c}" for c in names])
+
+
+def _next_stops(repeated: DataFrame, stored: DataFrame, stops: DataFrame | None, by: Sequence[str], scope: Sequence[str]) -> DataFrame:
+    """Stops of all listings, if the links before ``stops`` are the ones taken (all of them, without)."""
+    taken = repeated.filter("_ok")
+    if stops is not None:
+        taken = _same(taken, stops, by, "left").filter(F.col("_stop").isNull() | (F.col("_place") < F.col("_stop"))).drop("_stop")
+    first = taken.groupBy(*scope).agg(F.min("_turn").alias("_taken"))
+    again = _same(repeated, first, scope, "inner").filter(F.col("_turn") > F.col("_taken"))
+    found = again.select(*by, F.col("_place").alias("_stop")).unionByName(stored)
+    return found.groupBy(*by).agg(F.min("_stop").alias("_stop"))
+
+
+def _settled(repeated: DataFrame, stored: DataFrame, stops: DataFrame, by: Sequence[str], scope: Sequence[str]) -> DataFrame:
+    """The stops that agree with the links they leave to be taken.
+
+    A link counts as taken only if it stands before its own listing's stop. Later stops let
+    more links be taken, which makes stops earlier, so rounds give bounds in turn: the stored stops
+    are the latest possible, what follows from them the earliest, and so on. Each round
+    settles at least the first listing still open; the bounds meet in the stops of a run that
+    reads its links one by one. Every round is cut off from the ones before it.
+    """
+    repeated, stored, before = durable(repeated), durable(stored), None
+    while True:
+        stops = durable(stops)
+        digest = F.sum(F.xxhash64(*by, "_stop").cast("decimal(38,0)"))
+        now = tuple(stops.agg(F.count(F.lit(1)), digest).first())
+        if now == before:
+            return stops
+        before, stops = now, _next_stops(repeated, stored, stops, by, scope)
 
 
 def winners(batch: DataFrame, store: DataFrame, row_id: str, order: Sequence[str], key: str = "url_key", reason: str = "reject_reason") -> DataFrame:

@@ -66,18 +66,24 @@ def canonical_url(url: Column) -> Column:
     return urls.canonical(url)
 
 
-def pages_with_links(pages: DataFrame, found: DataFrame) -> DataFrame:
+def pages_with_links(pages: DataFrame, found: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Pages with the category and subcategory of the listing link that led to them.
 
-    ``found`` has ``link`` and some of ``CARRIED``; of several links to an
-    address each column takes its smallest value, by a partial aggregate. Pages
-    no link leads to keep what they have, or NULL.
+    ``found`` has ``link`` and some of ``CARRIED``. Of several links to an
+    address the first one counts, category and subcategory together: the first
+    by ``order``, or else the smallest pair. Links without any category come
+    last. Pages no link leads to keep what they have, or NULL.
     """
     have = [c for c in CARRIED if c in found.columns]
-    of = found.groupBy(urls.canonical(F.col("link")).alias("_key")).agg(*[F.min(c).alias(f"_{c}") for c in have])
+    pair = F.struct(*[F.col(c).alias(f"_{c}") for c in have])
+    bare = F.coalesce(*have).isNull()
+    rank = [F.col(c) for c in order] if order else [x for c in have for x in (F.col(c).isNull(), F.col(c))]
+    first = F.min_by(pair, F.struct(bare, *rank)).alias("_pair")
+    of = found.groupBy(urls.canonical(F.col("link")).alias("_key")).agg(first).select("_key", "_pair.*")
     both = pages.join(of, urls.canonical(pages["url"]) == F.col("_key"), "left")
     own = [c for c in have if c in pages.columns]
-    kept = [F.coalesce(f"_{c}", c).alias(c) if c in own else F.col(c) for c in pages.columns]
+    known = F.coalesce(*[F.col(f"_{c}") for c in have]).isNotNull()
+    kept = [F.when(known, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in own else F.col(c) for c in pages.columns]
     return both.select(*kept, *[F.col(f"_{c}").alias(c) for c in have if c not in own])
 
 

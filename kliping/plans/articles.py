@@ -45,17 +45,19 @@ def article_table(pages: DataFrame) -> DataFrame:
 
 
 def unseen_links(
-    found: DataFrame, store: DataFrame, rules: DataFrame, by: Sequence[str], order: Sequence[str], accepted: Column | None = None
-) -> DataFrame:
+    found: DataFrame, store: DataFrame, rules: DataFrame, by: Sequence[str], order: Sequence[str], accepted: Column | None = None,
+    run_order: Sequence[str] | None = None,
+) -> DataFrame:
     """Links to follow, by each site's habit.
 
-    Sites listed newest first stop at the first link seen before; of the others
-    every unseen link is taken. ``rules`` is the listing table.
+    Sites listed newest first stop at the first link seen before, in the listing or, given the ``run_order`` in which
+    the run comes to its links, in any of its listings. Of the others, and of sites that ``rules``, the listing table,
+    does not know, every unseen link is taken.
     """
-    marked = found.join(F.broadcast(rules.select("site", "stops_at_seen")), "site")
-    stops = F.col("stops_at_seen")
-    stopping = dedupe.until_first_seen(marked.filter(stops), store, by, order, accepted=accepted)
-    others = dedupe.new_links(marked.filter(~stops), store)
+    marked = found.join(rules.select("site", "stops_at_seen"), "site", "left").select(*found.columns, "stops_at_seen")
+    stops = F.coalesce("stops_at_seen", F.lit(False))
+    stopping = dedupe.until_first_seen(marked.filter(stops), store, by, order, accepted=accepted, run_order=run_order)
+    others = dedupe.new_links(marked.filter(~stops), store).select(*marked.columns)
     return stopping.unionByName(others).drop("stops_at_seen")
 
 

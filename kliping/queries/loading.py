@@ -72,14 +72,19 @@ def first_by_url(spark, sf):
 
 
 @query(f"""
-    WITH links AS (
-        SELECT page_id, {q.HOST} AS site, regexp_replace({q.KEY}, '^https?:', '') AS url_key, {COMPLETE} AS ok FROM pages),
-    marked AS (
-        SELECT *, url_key IN (SELECT regexp_replace({q.KEY}, '^https?:', '') FROM pages WHERE url LIKE 'http:%.html%')
-                  OR EXISTS (SELECT 1 FROM links b WHERE b.url_key = a.url_key AND b.page_id < a.page_id AND b.ok) AS seen
-        FROM links a),
-    run AS (SELECT *, sum(seen::INT) OVER (PARTITION BY site ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS hits FROM marked)
-    SELECT page_id, site, url_key FROM run WHERE hits = 0
+    WITH RECURSIVE links AS (
+        SELECT row_number() OVER (ORDER BY page_id) AS n, page_id, {q.HOST} AS site, regexp_replace({q.KEY}, '^https?:', '') AS url_key,
+               {COMPLETE} AS ok, regexp_replace({q.KEY}, '^https?:', '') IN
+                   (SELECT regexp_replace({q.KEY}, '^https?:', '') FROM pages WHERE url LIKE 'http:%.html%') AS stored FROM pages),
+    run AS (
+        SELECT 0::BIGINT AS n, NULL::BIGINT AS page_id, NULL::VARCHAR AS site, NULL::VARCHAR AS url_key, FALSE AS kept,
+               []::VARCHAR[] AS closed, []::VARCHAR[] AS taken
+        UNION ALL
+        SELECT n, page_id, site, url_key, NOT shut AND NOT seen, CASE WHEN seen AND NOT shut THEN list_append(closed, site) ELSE closed END,
+               CASE WHEN NOT shut AND NOT seen AND ok THEN list_append(taken, url_key) ELSE taken END
+        FROM (SELECT l.*, r.closed, r.taken, list_contains(r.closed, l.site) AS shut, l.stored OR list_contains(r.taken, l.url_key) AS seen
+              FROM run r JOIN links l ON l.n = r.n + 1))
+    SELECT page_id, site, url_key FROM run WHERE kept
 """)
 def until_first_seen(spark, sf):
     pages = table(spark, sf, "pages")
@@ -111,17 +116,19 @@ def load_outcome(spark, sf):
 
 @query(f"""
     WITH pages_ AS (SELECT page_id, regexp_replace({q.KEY}, '^https?:', '') AS url_key, {q.SEGMENTS} AS path, url FROM pages),
-    found AS (SELECT url_key, min(path[1]) AS category, min(path[2]) AS subcategory FROM pages_ WHERE url LIKE 'http:%' GROUP BY 1)
-    SELECT p.page_id, p.url_key AS url, f.category, f.subcategory FROM pages_ p LEFT JOIN found f ON f.url_key = p.url_key
+    found AS (
+        SELECT url_key, arg_min({{'c': path[1], 's': path[2]}}, (path[1] IS NULL AND path[2] IS NULL, page_id)) AS pair
+        FROM pages_ WHERE url LIKE 'http:%' GROUP BY 1)
+    SELECT p.page_id, p.url_key AS url, f.pair.c AS category, f.pair.s AS subcategory FROM pages_ p LEFT JOIN found f ON f.url_key = p.url_key
 """)
 def pages_with_links(spark, sf):
     """Listing links (those of plain ``http``) hand their categories to the pages they lead to."""
     pages = table(spark, sf, "pages")
     path = urls.segments(F.col("url"))
     found = pages.filter(F.col("url").startswith("http:")).select(
-        _key().alias("link"), F.get(path, 0).alias("category"), F.get(path, 1).alias("subcategory")
+        _key().alias("link"), F.get(path, 0).alias("category"), F.get(path, 1).alias("subcategory"), F.col("page_id").alias("seen_at")
     )
-    return links.pages_with_links(pages.select("page_id", _key().alias("url")), found)
+    return links.pages_with_links(pages.select("page_id", _key().alias("url")), found, order=["seen_at"])
 
 
 @query(f"""

@@ -158,3 +158,90 @@ def test_pages_without_rules_are_reported(spark):
     pages = spark.createDataFrame([(1, "nowhere", "http://n/1", "<p>x</p>"), (2, "detik", "http://d/2", "<p>y</p>")], "page_id int, site string, url string, html string")
     got = {r.page_id: r.reject_reason for r in extract.extract_fields(pages, site_rules(spark)).collect()}
     assert got[1] == "no_rules" and got[2] not in (None, "no_rules")
+
+
+def run_listings(items, stored):
+    """What a run that reads all listings link by link would keep: items are (turn, listing, key, accepted)."""
+    seen, closed, kept = set(stored), set(), set()
+    for turn, listing, key, ok in sorted(items, key=lambda x: x[0]):
+        if listing in closed:
+            continue
+        if key in seen:
+            closed.add(listing)
+            continue
+        kept.add(turn)
+        if ok and key is not None:
+            seen.add(key)
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_run_is_read_link_by_link(spark, seed):
+    rng = random.Random(seed)
+    listings = [(f"s{n % 3}", None if n % 4 == 0 else f"c{n}") for n in range(9)]
+    # Long chains: a listing's stop often hangs on that of the one before it.
+    items, turn = [], 0
+    for listing in listings * (2 if seed % 2 else 1):
+        for _ in range(rng.randint(1, 9)):
+            turn += 1
+            items.append((turn, listing, rng.choice([None, *(f"u{k}" for k in range(14 if seed < 3 else 30))]), rng.random() < 0.8))
+    rng.shuffle(items)
+    stored = ["u3", "u5"]
+    df = spark.createDataFrame([(*x[1], x[0], x[2], x[3]) for x in items], "site string, category string, turn int, url_key string, ok boolean")
+    store = spark.createDataFrame([(u,) for u in stored] + [(None,)], "url_key string")
+    got = dedupe.until_first_seen(df, store, ["site", "category"], ["turn"], accepted=F.col("ok"), run_order=["turn"])
+    assert {r.turn for r in got.collect()} == run_listings(items, stored)
+    assert got.columns == df.columns
+
+
+def test_chain_of_listings_settles(spark):
+    """Each listing would be stopped by the one before it, if that one came to its second link."""
+    rows = [(f"l{n:02}", 2 * n + p, key) for n in range(12) for p, key in enumerate((f"k{n}", f"k{n + 1}"))]
+    df = spark.createDataFrame(rows, "site string, turn int, url_key string")
+    for stored in ([], ["k0"], ["k1"], ["k5"]):
+        store = spark.createDataFrame([(k,) for k in stored], "url_key string")
+        got = dedupe.until_first_seen(df, store, ["site"], ["turn"], run_order=["turn"])
+        assert {r.turn for r in got.collect()} == run_listings([(t, s, k, True) for s, t, k in rows], stored)
+
+
+def test_run_order_reaches_the_sites(spark):
+    # Category b comes to an address that category a has taken; a site without rules keeps its links.
+    rows = [("rumah", "a", 1, "u"), ("rumah", "b", 2, "v"), ("rumah", "b", 3, "u"), ("rumah", "b", 4, "w"), ("unheard", "x", 5, "u"), ("unheard", "x", 6, "s")]
+    found = spark.createDataFrame(rows, "site string, category string, turn int, url_key string")
+    store = spark.createDataFrame([("s",)], "url_key string")
+    got = articles.unseen_links(found, store, listing_rules(spark), ["site", "category"], ["turn"], run_order=["turn"])
+    assert sorted(r.turn for r in got.collect()) == [1, 2, 5]
+    assert got.columns == found.columns
+
+
+def test_one_pair_of_categories_a_page(spark):
+    pages = spark.createDataFrame([(1, "http://a/1", None), (2, "http://a/2", "own")], "page_id int, url string, category string")
+    found = spark.createDataFrame(
+        [("http://a/1", "mobil", "z", 2), ("http://a/1", "motor", "a", 1), ("http://a/1", None, None, 0), ("http://a/9", "x", "y", 1)],
+        "link string, category string, subcategory string, at int",
+    )
+    by_order = {r.page_id: (r.category, r.subcategory) for r in links.pages_with_links(pages, found, order=["at"]).collect()}
+    assert by_order == {1: ("motor", "a"), 2: ("own", None)}
+    smallest = {r.page_id: (r.category, r.subcategory) for r in links.pages_with_links(pages, found).collect()}
+    assert smallest == {1: ("mobil", "z"), 2: ("own", None)}
+
+
+def test_a_thousand_patterns_of_one_host(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(60)]
+    host = "http://www.host.co.id/berita/"
+    stored = sorted({host + "-".join(rng.choices(words, k=rng.randint(2, 4))) for _ in range(1500)})
+    patterns = []
+    for _ in range(1000):
+        text = list(rng.choice(stored))
+        for _ in range(rng.randint(1, 3)):
+            text[rng.randrange(len(text))] = rng.choice("_%__x")
+        patterns.append("".join(text))
+    patterns += ["%", "%ab", "_" * 40, "zz%", host + "%", "%" + stored[0][-6:], stored[5], None]
+    monkeypatch.setattr(dedupe, "PER_BLOCK", 100)
+    df = spark.createDataFrame(list(enumerate(patterns)), "k int, url_key string")
+    got = dedupe.new_links(df, spark.createDataFrame([(s,) for s in stored] + [(None,)], "url_key string"), mode="like")
+    exact = [re.compile("".join(".*" if c == "%" else "." if c == "_" else re.escape(c) for c in p or ""), re.S) for p in patterns]
+    want = {k for k, p in enumerate(patterns) if p is None or not any(exact[k].fullmatch(s) for s in stored)}
+    assert {r.k for r in got.collect()} == want and 50 < len(want) < 950
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
