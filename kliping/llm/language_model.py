@@ -59,6 +59,8 @@ SAMPLES = 3
 SEED = 1
 STEPS = 1024
 
+UNIT = 1 << 16  # steps of a log probability on its way back to the texts
+
 END = b""
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _U = np.uint64
@@ -318,7 +320,7 @@ class Block:
 
 
 TALLIES = dict(q="int", block="int", live="boolean", words="binary", tables="binary", dishes="binary", customers="binary")
-STATES = dict(block="int", live="boolean", q="int", tables="binary", customers="binary", mass="binary", root_tables="long", root_customers="long")
+STATES = dict(block="int", live="boolean", q="int", tables="binary", customers="binary", dishes="binary", seated="binary", root_tables="long", root_customers="long")
 
 
 def _root(tallies: DataFrame, sweep: int, opening: float, root_discount: float) -> DataFrame:
@@ -330,11 +332,11 @@ def _root(tallies: DataFrame, sweep: int, opening: float, root_discount: float)
         found, of = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
         tables, dishes, customers = (np.bincount(of, np.concatenate([r[k] for r in rows]), minlength=len(found)).astype(np.int64) for k in (3, 4, 5))
         own = seat(dishes, np.full(len(found), opening), root_discount, pair_key(found, found), -1 - sweep)
-        mass, sums, out, at = dishes - root_discount * own, (int(own.sum()), int(dishes.sum())), [], 0
+        sums, out, at = (int(own.sum()), int(dishes.sum())), [], 0
         for block, live, numbers, *_ in rows:
             here = of[at : at + len(numbers)]
             at += len(numbers)
-            out.append((block, live, key[0].as_py(), pack(tables[here]), pack(customers[here]), pack(mass[here]), *(sums if not out else (0, 0))))
+            out.append((block, live, key[0].as_py(), pack(tables[here]), None if sweep else pack(customers[here]), pack(dishes[here]), pack(own[here]), *(sums if not out else (0, 0))))
         return table_of(out, schema)
 
     return stored(tallies.groupBy("q").applyInArrow(seated, schema), "restaurants")
@@ -352,10 +354,9 @@ class Weights:
     def state(self, rows: list[dict], sums: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tables as context, customers as context (in the first state only, as they stay the same) and root probability of a block's words."""
         rows = sorted(rows, key=lambda r: r["q"])
-        tables = np.concatenate([unpack(r["tables"]) for r in rows])
+        tables, dishes, seated = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("tables", "dishes", "seated"))
         customers = np.concatenate([unpack(r["customers"] or pack(np.zeros(0, np.int64))) for r in rows])
-        mass = np.concatenate([unpack(r["mass"], np.float64) for r in rows])
-        return tables, customers, (mass + self.opening(sums[0])) / (self.root_strength + sums[1])
+        return tables, customers, (dishes - self.root_discount * seated + self.opening(sums[0])) / (self.root_strength + sums[1])
 
     def seated(self, block: Block, state: tuple[np.ndarray, np.ndarray, np.ndarray], sweep: int) -> np.ndarray:
         tables, _, root = state
@@ -424,8 +425,7 @@ def scored(
     for sweep in range(burn + samples + 1):
         state = _root(still.unionByName(tallies), sweep, weights.opening(root_tables), weights.root_discount)
         root_tables, root_customers = (int(x or 0) for x in state.agg(F.sum("root_tables"), F.sum("root_customers")).first())
-        customers = F.col("customers") if not sweep else F.lit(None).cast("binary").alias("customers")
-        states.append(state.filter("not live").select(F.lit(sweep).alias("sweep"), "block", "q", "tables", customers, "mass"))
+        states.append(state.filter("not live").select(F.lit(sweep).alias("sweep"), "block", "q", "tables", "customers", "dishes", "seated"))
         sums.append((root_tables, root_customers))
         tallies = bare.cogroup(state.filter("live").groupBy("block")).applyInArrow(swept(sweep + 1, sums[-1]), tally_schema)
     dropped(merged)
@@ -448,7 +448,7 @@ def scored(
             tables, before = weights.seated(block, before, sweep), weights.state(by_sweep[sweep], sums[sweep])
             if sweep > burn:
                 mean += weights.predicted(block, tables, customers, before) / samples
-        logs, out, at = np.log10(mean).astype(np.float32)[block.of], [], 0
+        logs, out, at = np.rint(np.log10(mean) * UNIT).astype(np.int32)[block.of], [], 0
         for place in places:
             out.append((place["slice"], place["start"], pack(logs[at : at + place["size"]])))
             at += place["size"]
@@ -464,8 +464,8 @@ def scored(
         for row in rows_of(left):
             logs = np.empty(row["n_pairs"], np.float64)
             for answer in rows_of(right):
-                own = unpack(answer["logs"], np.float32)
-                logs[answer["start"] : answer["start"] + len(own)] = own
+                own = unpack(answer["logs"], np.int32)
+                logs[answer["start"] : answer["start"] + len(own)] = own / UNIT
             lengths = np.array(row["n_tokens"], np.int64)
             sums = np.add.reduceat(logs[np.cumsum(unpack(row["pairs"])) % len(logs)], np.cumsum(lengths) - lengths)
             out += zip(row["ids"], row["held"], row["n_tokens"], row["n_known"], [total] * len(lengths), row["base"], sums.tolist(), strict=True)
