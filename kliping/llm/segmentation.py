@@ -40,13 +40,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, IntegerType
 
 from kliping.llm.shared import map_slices, schema_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 10.0
-GROUP = 1_500_000  # characters worked out together
+GROUP = 1_800_000  # characters worked out together
 ROWS = 1024  # encoded in one slice
 DECODED = 64  # rows decoded in one slice
 MARK = "▁"  # stands for a space in pieces
@@ -382,10 +384,12 @@ class Sampler:
 
 
 def _groups(texts: list[str], group: int = GROUP) -> list[tuple[int, int]]:
-    """Ranges of texts with at most ``group`` characters together, or one longer text."""
+    """Ranges of texts with at most ``group`` characters together, of about the same size, or one longer text."""
+    total = sum(map(len, texts))
+    even = min(group, -(-total // max(1, -(-total // group))) + 1)
     out, begin, size = [], 0, 0
     for i, t in enumerate(texts):
-        if i > begin and size + len(t) > group:
+        if i > begin and (size + len(t) > group or size >= even):
             out.append((begin, i))
             begin, size = i, 0
         size += len(t)
@@ -410,6 +414,7 @@ def encoded(
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
     checksum = checksum or verify
+    pieces = to_arrow_type(ArrayType(IntegerType()))
 
     def rows(columns: list[list]) -> list[list]:
         out: list[list] = [[] for _ in range(5 + checksum)]
@@ -419,11 +424,16 @@ def encoded(
             for key, text, found in zip(columns[0][a:b], texts[a:b], sampler.sample(samples), strict=True):
                 want = zlib.crc32(text.encode()) if verify else None
                 for i, one in enumerate(found):
-                    crc = [zlib.crc32(shared.value.decode_bytes(np.asarray(one[0]).tolist()))] if checksum else []
+                    one = np.asarray(one[0], np.int32), *one[1:]
+                    crc = [zlib.crc32(shared.value.decode_bytes(one[0].tolist()))] if checksum else []
                     if verify and crc != [want]:
                         raise ValueError(f"sample {i + 1} of document {key!r} does not decode to its text")
                     for place, value in zip(out, (key, i + 1, *one, *crc), strict=True):
                         place.append(value)
+        # Pieces leave as one flat array with offsets.
+        ends = np.cumsum([0, *map(len, out[2])], dtype=np.int32)
+        flat = np.concatenate(out[2]) if out[2] else np.zeros(0, np.int32)
+        out[2] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), type=pieces)
         return out
 
     schema = schema_of(
