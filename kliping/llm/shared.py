@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructField, StructType
 
 SLICE = 512  # rows handled at once inside a task
+SLICE_BYTES = 8 << 20  # and bytes of texts
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,23 +58,60 @@ def dropped(*tables: DataFrame) -> None:
         tables[0].sparkSession._jvm.System.gc()
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """Texts may be long, so no more than ``SLICE`` rows of a session's tables go to Python at once."""
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= SLICE:
+        spark.conf.set(BATCH_ROWS, str(SLICE))
+    return df
+
+
+def released() -> None:
+    """Give memory back that a task no longer needs; its Python worker lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices_of(batch: pa.RecordBatch, size: int, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows, at most ``size`` and, unless one row alone is larger, ``slice_bytes`` of texts."""
+    weight = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type):
+            weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.cumsum(weight)
+    at = 0
+    while at < batch.num_rows:
+        room = (total[at - 1] if at else 0) + slice_bytes
+        end = min(at + size, max(at + 1, int(np.searchsorted(total, room, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_slices(
     df: DataFrame, fn: Callable[[list[list]], list[list]], schema: StructType, size: int = SLICE
 ) -> DataFrame:
-    """Apply ``fn`` to slices of ``size`` rows within tasks; columns go in and come out as lists."""
+    """Apply ``fn`` to slices of ``size`` rows or fewer within tasks; columns go in as lists and come out as lists or Arrow arrays."""
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, size):
-                part = batch.slice(at, size)
+            for part in slices_of(batch, size):
                 columns = fn([c.to_pylist() for c in part.columns])
                 if len(columns[0]):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out
+                        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out
                     )
+                del columns
+        released()
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def schema_of(**types: str | DataType) -> StructType:

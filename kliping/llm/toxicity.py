@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kliping.llm.shared import SLICE, map_slices, schema_of
+from kliping.llm.shared import SLICE, in_small_batches, map_slices, released, schema_of, slices_of
 
 PER_LABEL = 5000
 LEAST_ODDS = math.log(5)
@@ -46,7 +46,7 @@ SURE = 1.96  # standard errors
 PATTERNS = 5000
 SCOPE = 3
 LENGTHS = range(3, 8)
-CACHE = 500_000
+CACHE = 100_000
 
 # Words in English, German, French and Spanish.
 THREAT = frozenset("kill hurt destroy beat die dead attack töten umbringen sterben verletzen tuer mourir frapper détruire matar morir golpear destruir".split())
@@ -228,8 +228,9 @@ def without_toxic(docs: DataFrame, grammar: Grammar, text_col: str = "text") ->
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, SLICE):
-                part = batch.slice(a, SLICE)
+            for part in slices_of(batch, SLICE):
                 yield part.filter(pa.array([shared.value.score(t) < 0.5 for t in part.column(at).to_pylist()], pa.bool_()))
+        shared.value.cache.clear()
+        released()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_small_batches(docs).mapInArrow(keep, docs.schema)
