@@ -175,15 +175,39 @@ class _Tokens(HTMLParser):
         )
 
 
-def flatten_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+PLACES = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
+
+
+def _places(tokens: _Tokens) -> pa.Array:
+    """Per page a map from each tag to the places of its nodes, in document order; ends of elements are left out."""
+    keys: list[str] = []
+    bounds, ends, flat = [0], [0], []
+    for a, b in zip(tokens.starts, tokens.starts[1:]):
+        of: dict[str, list[int]] = {}
+        for place, tag in enumerate(tokens.tag[a:b]):
+            if tag[0] != "/":
+                of.setdefault(tag, []).append(place)
+        for tag, places in of.items():
+            keys.append(tag)
+            flat += places
+            ends.append(len(flat))
+        bounds.append(len(keys))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+    return pa.MapArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys, pa.string()), lists)
+
+
+def flatten_pages(pages: DataFrame, html: str = "html", places: bool = False) -> DataFrame:
     """Replace the markup column by ``nodes``; other columns pass through.
 
+    With ``places`` also by an index, tag to places, for selections that read their own places instead of all nodes.
+
     Select before the call what is needed after it: columns are not pruned
     through a Python step.
     """
     at = pages.columns.index(html)
     kept = [f for f in pages.schema.fields if f.name != html]
-    schema = T.StructType([*kept, T.StructField("nodes", T.ArrayType(NODE))])
+    added = [T.StructField("nodes", T.ArrayType(NODE)), *([T.StructField("places", PLACES)] if places else [])]
+    schema = T.StructType([*kept, *added])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +218,8 @@ def flatten_pages(pages: DataFrame, html: str = "html") -> DataFrame:
                     tokens.page(markup)
                 columns = [c for k, c in enumerate(part.columns) if k != at]
                 names = [n for k, n in enumerate(part.schema.names) if k != at]
-                yield pa.RecordBatch.from_arrays([*columns, tokens.arrow()], names=[*names, "nodes"])
+                made = [tokens.arrow(), *([_places(tokens)] if places else [])]
+                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, *(f.name for f in added)])
 
     return pages.mapInArrow(run, schema)
 
@@ -228,6 +253,15 @@ def inside(nodes: Column, node: Column) -> Column:
     return F.when(node["i"] == 0, nodes).otherwise(between(nodes, node["i"] + 1, node["last"]))
 
 
+def tagged(nodes: Column, node: Column, tag: Column | str, places: Column | None = None) -> Column:
+    """Nodes of one tag below a node, from the index if there is one."""
+    if places is None:
+        return F.filter(inside(nodes, node), lambda n: n["tag"] == tag)
+    own = F.coalesce(F.try_element_at(places, F.lit(tag) if isinstance(tag, str) else tag), F.array().cast("array<int>"))
+    below = F.filter(own, lambda k: (k > node["i"]) & (k <= node["last"]))
+    return F.transform(below, lambda k: F.get(nodes, k))
+
+
 def matches(node: Column, step: Column) -> Column:
     """Tag and attribute test. One class word matches any of the element's
     words, several match the whole attribute in that order."""
@@ -246,7 +280,7 @@ def matches(node: Column, step: Column) -> Column:
     )
 
 
-def select(nodes: Column, start: Column, steps: Column) -> Column:
+def select(nodes: Column, start: Column, steps: Column, places: Column | None = None) -> Column:
     """Follow steps from an array of nodes; each narrows to all matches below
     (axis ``in``) or to following siblings (axis ``next``), in document order.
 
@@ -256,7 +290,7 @@ def select(nodes: Column, start: Column, steps: Column) -> Column:
 
     def follow(found: Column, step: Column) -> Column:
         def below(node: Column) -> Column:
-            return F.filter(inside(nodes, node), lambda n: matches(n, step))
+            return F.filter(tagged(nodes, node, step["tag"], places), lambda n: matches(n, step))
 
         def beside(node: Column) -> Column:
             end = F.get(nodes, node["up"])["last"]
@@ -274,23 +308,23 @@ def is_element(node: Column) -> Column:
     return ~node["tag"].startswith("#") & ~node["tag"].startswith("/")
 
 
-def text_of(nodes: Column, node: Column) -> Column:
+def text_of(nodes: Column, node: Column, places: Column | None = None) -> Column:
     """Text below a node: every part stripped, joined with nothing."""
-    parts = F.filter(inside(nodes, node), lambda n: n["tag"] == "#text")
+    parts = tagged(nodes, node, "#text", places)
     return F.array_join(F.transform(parts, lambda n: cleanup.strip_text(n["text"])), "")
 
 
-def string_of(nodes: Column, node: Column) -> Column:
+def string_of(nodes: Column, node: Column, places: Column | None = None) -> Column:
     """Text below a node as it stands."""
-    parts = F.filter(inside(nodes, node), lambda n: n["tag"] == "#text")
+    parts = tagged(nodes, node, "#text", places)
     return F.array_join(F.transform(parts, lambda n: n["text"]), "")
 
 
-def value_of(nodes: Column, node: Column, take: Column) -> Column:
+def value_of(nodes: Column, node: Column, take: Column, places: Column | None = None) -> Column:
     """``text``, ``string`` (unstripped) or the named attribute of a node."""
     return (
-        F.when(take == "text", text_of(nodes, node))
-        .when(take == "string", string_of(nodes, node))
+        F.when(take == "text", text_of(nodes, node, places))
+        .when(take == "string", string_of(nodes, node, places))
         .otherwise(F.try_element_at(node["attrs"], take))
     )
 
@@ -299,11 +333,23 @@ def joined_text(nodes: Column, top: Column, dropped: Column) -> Column:
     """Text below ``top`` without the dropped subtrees.
 
     Line breaks become spaces and other tags separate texts, which are stripped
-    and joined with nothing. ``dropped`` is an array of nodes; their places are
-    taken out as sets, so the cost does not grow with texts times drops.
+    and joined with nothing. ``dropped`` is an array of nodes; the gaps between their
+    ranges come out of one sweep over them in order.
     """
-    gone = F.flatten(F.transform(dropped, lambda d: F.sequence(d["i"], d["last"])))
-    kept = F.array_except(F.sequence(top["i"], top["last"]), gone)
+    ranges = F.array_sort(F.transform(dropped, lambda d: F.struct(d["i"].alias("a"), d["last"].alias("b"))))
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    begin = F.struct(top["i"].alias("at"), none.alias("gaps"))
+
+    def sweep(done: Column, r: Column) -> Column:
+        gap = F.array(F.struct(done["at"].alias("a"), (r["a"] - 1).alias("b")))
+        return F.struct(
+            F.greatest(done["at"], r["b"] + 1).alias("at"),
+            F.when(r["a"] > done["at"], F.concat(done["gaps"], gap)).otherwise(done["gaps"]).alias("gaps"),
+        )
+
+    swept = F.aggregate(ranges, begin, sweep)
+    tail = F.when(swept["at"] <= top["last"], F.array(F.struct(swept["at"].alias("a"), top["last"].alias("b")))).otherwise(none)
+    kept = F.flatten(F.transform(F.concat(swept["gaps"], tail), lambda g: F.sequence(g["a"], g["b"])))
 
     def piece(place: Column) -> Column:
         node = F.get(nodes, place)

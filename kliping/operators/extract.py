@@ -27,6 +27,7 @@ RULE = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("pattern", T.StringType()),
         T.StructField("remove", T.StringType()),
+        T.StructField("only", T.StringType()),
     ]
 )
 REQUIRED = T.StructType([T.StructField("name", T.StringType()), T.StructField("rule", RULE)])
@@ -56,6 +57,7 @@ SITE_RULES = T.StructType(
         T.StructField("soft_drops", T.ArrayType(DROP)),
         T.StructField("cut", T.StringType()),
         T.StructField("escaped_twice", T.BooleanType()),
+        T.StructField("escaped_json", T.BooleanType()),
     ]
 )
 
@@ -69,7 +71,7 @@ _KINDS: dict[str, RuleKind] = {}
 def register_rule_kind(name: str, value: RuleKind) -> None:
     """Add a rule kind: ``value(page, rule)`` gives a string Column.
 
-    ``page`` offers ``page['nodes']``, ``page['url']`` and ``page['blocks']``
+    ``page`` offers ``page['nodes']``, their ``page['places']`` by tag, ``page['url']`` and ``page['blocks']``
     (JSON-LD texts); ``rule`` is one ``RULE`` struct. Sites with new needs are
     served by expressions like these instead of by code run per row.
     """
@@ -78,9 +80,9 @@ def register_rule_kind(name: str, value: RuleKind) -> None:
 
 def _from_nodes(page: Column, rule: Column) -> Column:
     nodes = page["nodes"]
-    found = N.select(nodes, N.root(nodes), rule["steps"])
+    found = N.select(nodes, N.root(nodes), rule["steps"], page["places"])
     return let(
-        F.transform(found, lambda n: N.value_of(nodes, n, rule["take"])),
+        F.transform(found, lambda n: N.value_of(nodes, n, rule["take"], page["places"])),
         lambda values: F.when(F.size(values) > 0, F.array_join(values, ",")),
     )
 
@@ -100,10 +102,17 @@ def jsonld(blocks: Column, pick: Column | str) -> Column:
     )
 
 
+BODY_TEXT = r'(?s)"articleBody"\s*:\s*".*"\s*,\s*(?="datePublished")'
+
+
 def repair_json(text: Column) -> Column:
     """Leave out a broken body text in front of the publishing date."""
-    body = r'(?s)"articleBody"\s*:\s*".*"\s*,\s*(?="datePublished")'
-    return F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.regexp_replace(text, body, ""))
+    return F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.regexp_replace(text, BODY_TEXT, ""))
+
+
+def plain_json(text: Column, escaped: Column) -> Column:
+    """An escaped block resolved before it is parsed, without the body text, whose quotes would end it."""
+    return F.when(escaped, cleanup.unescape_common(F.regexp_replace(text, BODY_TEXT, ""))).otherwise(text)
 
 
 register_rule_kind("node", _from_nodes)
@@ -147,15 +156,15 @@ def parse_pubdate(text: Column) -> Column:
     )
 
 
-def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column) -> Column:
+def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column, places: Column) -> Column:
     """Nodes below the body that one drop rule removes."""
     step, mode, phrase = drop["step"], drop["mode"], drop["phrase"]
 
     def first_below(node: Column, tag: Column | str) -> Column:
-        return F.get(F.filter(N.inside(nodes, node), lambda n: n["tag"] == tag), 0)
+        return F.get(N.tagged(nodes, node, tag, places), 0)
 
     def says(node: Column) -> Column:
-        return F.lower(N.text_of(nodes, node)).contains(phrase)
+        return F.lower(N.text_of(nodes, node, places)).contains(phrase)
 
     in_child = drop["child"].isNotNull() & (mode != "self")
 
@@ -174,7 +183,7 @@ def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column) -> Col
             first_below(node, "em"),
             lambda em: let(first_below(em, "strong"), lambda s: first_below(s, "a").isNotNull()),
         )
-        repeats = let(first_below(node, "strong"), lambda s: N.text_of(nodes, s) == author)
+        repeats = let(first_below(node, "strong"), lambda s: N.text_of(nodes, s, places) == author)
         emphasised = first_below(node, "em").isNotNull()
         return F.coalesce(F.when(emphasised, linked).otherwise(repeats), F.lit(False))
 
@@ -190,14 +199,14 @@ def _drop_hits(nodes: Column, body: Column, author: Column, drop: Column) -> Col
             .otherwise(F.filter(F.slice(found, start, F.size(found)), named))
         )
 
-    applies = drop["when"].isNull() | F.lower(N.string_of(nodes, body)).contains(drop["when"])
-    hits = let(F.filter(N.inside(nodes, body), lambda n: N.matches(n, step)), chosen)
+    applies = drop["when"].isNull() | F.lower(N.string_of(nodes, body, places)).contains(drop["when"])
+    hits = let(F.filter(N.tagged(nodes, body, step["tag"], places), lambda n: N.matches(n, step)), chosen)
     return F.when(applies, hits).otherwise(N.none_of(nodes))
 
 
-def clean_body(nodes: Column, body: Column, author: Column, drops: Column) -> Column:
+def clean_body(nodes: Column, body: Column, author: Column, drops: Column, places: Column) -> Column:
     """Text of the body without what the drop rules remove."""
-    dropped = F.flatten(F.transform(drops, lambda d: _drop_hits(nodes, body, author, d)))
+    dropped = F.flatten(F.transform(drops, lambda d: _drop_hits(nodes, body, author, d, places)))
     return N.joined_text(nodes, body, dropped)
 
 
@@ -225,13 +234,24 @@ def _expressions(application: str, kinds: tuple) -> dict[str, Column]:
     nodes = page["nodes"]
     # Required parts are rules too, evaluated behind the fields.
     chains = F.concat("fields", F.transform("required", lambda r: F.array(r["rule"])))
-    body = F.transform("body", lambda r: N.select(nodes, N.root(nodes), r["steps"]))
+    category = F.col("v")["category"]
+
+    def applies(r: Column) -> Column:
+        """A page without a category takes the body rules of all, in their order."""
+        wanted = F.when(r["only"].startswith("!"), category != F.substr(r["only"], F.lit(2))).otherwise(category == r["only"])
+        return F.coalesce(wanted, F.lit(True))
+
+    body = F.transform(F.filter("body", applies), lambda r: N.select(nodes, N.root(nodes), r["steps"], page["places"]))
+
+    def cleaned(done: Column, drops: Column) -> Column:
+        """The softer cleaning is tried only where the strict one leaves nothing."""
+        again = done.isNull() | ((done == "") & drops.isNotNull())
+        return F.when(again, clean_body(nodes, F.col("b"), F.col("v")["author"], drops, page["places"])).otherwise(done)
+
     return {
         "values": F.transform(chains, lambda rules: first_value(page, rules)),
         "body": F.get(F.flatten(body), 0),
-        "cleanings": F.transform(
-            F.array("drops", "soft_drops"), lambda drops: clean_body(nodes, F.col("b"), F.col("v")["author"], drops)
-        ),
+        "content": F.aggregate(F.array("drops", "soft_drops"), F.lit(None).cast("string"), cleaned),
     }
 
 
@@ -256,10 +276,12 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     barred = F.coalesce(F.arrays_overlap(F.split("url", "/"), "_segments"), F.lit(False))
     ruled = carried.join(known, "site", "left").withColumn("_barred", barred).drop("_segments")
     ruled = ruled.withColumn("html", F.when(F.col("_ruled") & ~F.col("_barred"), F.col("html")))
-    joined = N.flatten_pages(ruled).join(rules, "site", "left")
-    blocks = F.transform(F.filter("nodes", lambda n: n["tag"] == "#json"), lambda n: repair_json(n["text"]))
-    page = F.struct("nodes", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
-    staged = joined.withColumn("page", page).drop("nodes")
+    joined = N.flatten_pages(ruled, places=True).join(rules, "site", "left")
+    scripts = F.coalesce(F.try_element_at("places", F.lit("#json")), F.array().cast("array<int>"))
+    # Some portals escape the whole block as if it were markup.
+    blocks = F.transform(scripts, lambda k: repair_json(plain_json(F.get("nodes", k)["text"], F.col("escaped_json"))))
+    page = F.struct("nodes", "places", "url", "link_category", "link_subcategory", blocks.alias("blocks"))
+    staged = joined.withColumn("page", page).drop("nodes", "places")
 
     values, v = F.col("values"), F.col("v")
     names = FIELDS + CHECKS
@@ -271,10 +293,8 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
         staged.withColumn("values", made["values"])
         .withColumn("v", F.struct(*[F.get(values, k).alias(name) for k, name in enumerate(names)]))
         .withColumn("b", made["body"])
-        .withColumn("cleanings", made["cleanings"])
+        .withColumn("content", made["content"])
     )
-    strict, soft = F.get("cleanings", 0), F.get("cleanings", 1)
-    content = F.when((strict == "") & soft.isNotNull(), soft).otherwise(strict)
     cut = F.when(F.col("cut").isNull(), F.col("content")).otherwise(
         F.regexp_replace("content", F.concat(F.lit("(?s)"), F.col("cut"), F.lit(".*")), F.lit(""))
     )
@@ -297,8 +317,7 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
         return F.when(F.col("escaped_twice"), cleanup.unescape_common(value)).otherwise(value)
 
     return (
-        found.withColumn("content", content)
-        .withColumn("content", cleanup.strip_control(cleanup.normalized(F.col("content"))))
+        found.withColumn("content", cleanup.strip_control(cleanup.normalized(F.col("content"))))
         .select(
             *extra,
             "site",

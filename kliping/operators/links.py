@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kliping.functions import cleanup, urls
+from kliping.functions import cleanup, dates, urls
 from kliping.functions import nodes as N
 from kliping.functions.nodes import STEP, let
 from kliping.sources import pages as sources
@@ -29,6 +29,8 @@ LISTING_RULES = T.StructType(
         T.StructField("badge", T.ArrayType(STEP)),
         T.StructField("label", T.ArrayType(STEP)),
         T.StructField("needs_label", T.BooleanType()),
+        # Where an item shows its day; items of other days than the listing's are left out.
+        T.StructField("date", T.ArrayType(STEP)),
         T.StructField("stops_at_seen", T.BooleanType()),
         T.StructField("next_kind", T.StringType()),
         T.StructField("next_steps", T.ArrayType(STEP)),
@@ -93,15 +95,18 @@ def filter_segments(df: DataFrame, url: str, words: Sequence[str]) -> DataFrame:
 
 
 def listing_links(listings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Links of listing pages: ``pos, link, badge, label`` beside the input.
+    """Links of listing pages: ``pos, link, badge, label`` and a ``reject_reason`` beside the input.
 
-    ``listings`` needs ``site, html``. The link of an item is its first anchor
+    ``listings`` needs ``site, html``. A page of a site without rules gives one row, without a link and with the
+    reason ``no_rules``. Where a site's items show their day and ``listings`` has the
+    ``date`` it was asked for, only items of that day count. The link of an item is its first anchor
     with a target; items without one, and without the label a site asks for,
     give no row. Listings that arrive as JSON are read by the ``form`` of their
     site: markup in an envelope is unwrapped, links in a page state are taken
     from there.
     """
-    forms = listings.join(rules.select("site", "form", "prefix"), "site")
+    known = listings.join(rules.select("site", "form", "prefix"), "site", "left")
+    forms = known.filter("form is not null")
     carried = [c for c in listings.columns if c != "html"]
     state = sources.state_links(forms.filter("form = 'state'"), "html")
     nothing = F.lit(None).cast("string")
@@ -109,40 +114,54 @@ def listing_links(listings: DataFrame, rules: DataFrame) -> DataFrame:
         *carried, "pos", urls.absolute(F.col("link"), F.coalesce("prefix", F.lit(""))).alias("link"),
         nothing.alias("badge"), nothing.alias("label"),
     )
+    lost = known.filter("form is null").select(
+        *carried, F.lit(None).cast("int").alias("pos"), *[nothing.alias(c) for c in ("link", "badge", "label")], F.lit("no_rules").alias("reject_reason")
+    )
     inner = F.when(F.col("form") == "envelope", sources.envelope(F.col("html"))).otherwise(F.col("html"))
     marked = forms.filter("form <> 'state'").withColumn("html", inner).select(*listings.columns)
-    return _items(marked, rules).unionByName(state)
+    return _items(marked, rules).unionByName(state).withColumn("reject_reason", nothing).unionByName(lost)
 
 
 def _items(listings: DataFrame, rules: DataFrame) -> DataFrame:
     """Links of listings whose items are elements of markup."""
     carried = [c for c in listings.columns if c != "html"]
-    used = ["prefix", "items", "link", "badge", "label", "needs_label"]
-    flat = N.flatten_pages(listings).join(rules.select("site", *used), "site")
-    nodes = F.col("nodes")
-    chains = F.transform("items", lambda steps: N.select(nodes, N.root(nodes), steps))
+    used = ["prefix", "items", "link", "badge", "label", "needs_label", F.col("date").alias("_day")]
+    flat = N.flatten_pages(listings, places=True).join(rules.select("site", *used), "site")
+    nodes, places = F.col("nodes"), F.col("places")
+    chains = F.transform("items", lambda steps: N.select(nodes, N.root(nodes), steps, places))
     items = F.get(F.filter(chains, lambda found: F.size(found) > 0), 0)
 
     def first_text(item: Column, steps: Column) -> Column:
-        hit = F.get(N.select(nodes, F.array(item), steps), 0)
-        return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n))))
-
-    def read(item: Column) -> Column:
-        anchors = F.when(F.size("link") == 0, F.array(item)).otherwise(N.select(nodes, F.array(item), F.col("link")))
+        hit = F.get(N.select(nodes, F.array(item), steps, places), 0)
+        return F.when(steps.isNotNull(), let(hit, lambda n: F.when(n.isNotNull(), N.text_of(nodes, n, places))))
+
+    def on_day(item: Column) -> Column:
+        """Whether the item's day, in front of its time, is the listing's; undated items are no articles there."""
+        if "date" not in carried:
+            return F.lit(True)
+        day = F.to_date(dates.parse_local_dates(F.btrim(F.get(F.split(first_text(item, F.col("_day")), r"\|"), 0))))
+        return F.col("_day").isNull() | F.coalesce(day == F.col("date").cast("date"), F.lit(False))
+
+    def read(item: Column, place: Column) -> Column:
+        anchors = F.when(F.size("link") == 0, F.array(item)).otherwise(N.select(nodes, F.array(item), F.col("link"), places))
         targets = F.transform(anchors, lambda n: F.try_element_at(n["attrs"], F.lit("href")))
         return F.struct(
+            place.alias("pos"),
             F.get(F.array_compact(targets), 0).alias("target"),
             first_text(item, F.col("badge")).alias("badge"),
             first_text(item, F.col("label")).alias("label"),
+            on_day(item).alias("on_day"),
         )
 
     # Items are read inside their page, so only small values are exploded.
-    found = flat.select(*carried, "prefix", "needs_label", F.posexplode(F.transform(items, read)).alias("pos", "item"))
-    return found.filter(
-        F.col("item.target").isNotNull() & (~F.col("needs_label") | F.col("item.label").isNotNull())
-    ).select(
+    wanted = F.filter(
+        F.transform(items, read),
+        lambda x: x["on_day"] & x["target"].isNotNull() & (~F.col("needs_label") | x["label"].isNotNull()),
+    )
+    found = flat.select(*carried, "prefix", F.explode(wanted).alias("item"))
+    return found.select(
         *carried,
-        "pos",
+        "item.pos",
         urls.absolute(F.col("item.target"), F.coalesce("prefix", F.lit(""))).alias("link"),
         "item.badge",
         "item.label",

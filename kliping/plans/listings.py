@@ -90,7 +90,8 @@ def listing_urls(grid: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``listing_url`` to a grid of ``site, category, date, page`` (and
     ``subcategory`` where a site needs it).
 
-    ``rules`` is the listing table of ``kliping.rules``, one literal row per site.
+    ``rules`` is the listing table of ``kliping.rules``, one literal row per site. Rows of sites it does not know get
+    no address.
     """
     used = ["template", "first_template", "section", "section_template", "page_size"]
     template = (
@@ -101,7 +102,7 @@ def listing_urls(grid: DataFrame, rules: DataFrame) -> DataFrame:
     subcategory = F.col("subcategory") if "subcategory" in grid.columns else None
     url = fill_template(template, F.col("category"), F.col("date"), F.col("page"), F.col("page_size"), subcategory)
     return (
-        grid.join(F.broadcast(rules.select("site", *used)), "site").withColumn("listing_url", url).drop(*used)
+        grid.join(rules.select("site", *used), "site", "left").withColumn("listing_url", F.when(F.col("template").isNotNull(), url)).drop(*used)
     )
 
 
@@ -129,16 +130,16 @@ def last_page(kind: Column, value: Column, page_size: Column, page: Column) -> C
 
 
 def max_page(listings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``last_page`` to listing pages (``site, page, html``) by each site's rule."""
+    """Add ``last_page`` to listing pages (``site, page, html``) by each site's rule; NULL for sites without one."""
     carried = [c for c in listings.columns if c != "html"]
     used = ["page_size", "next_kind", "next_steps", "next_take"]
-    ruled = listings.join(F.broadcast(rules.select("site")), "site", "left_semi")
-    flat = N.flatten_pages(ruled).join(F.broadcast(rules.select("site", *used)), "site")
+    flat = N.flatten_pages(listings, places=True).join(rules.select("site", *used), "site", "left")
     nodes = F.col("nodes")
-    hit = F.get(N.select(nodes, N.root(nodes), F.col("next_steps")), 0)
-    value = N.let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"))))
+    places = F.col("places")
+    hit = F.get(N.select(nodes, N.root(nodes), F.col("next_steps"), places), 0)
+    value = N.let(hit, lambda n: F.when(n.isNotNull(), N.value_of(nodes, n, F.col("next_take"), places)))
     last = last_page(F.col("next_kind"), value, F.col("page_size"), F.col("page"))
-    return flat.select(*carried, last.alias("last_page"))
+    return flat.select(*carried, F.when(F.col("next_kind").isNotNull(), last).alias("last_page"))
 
 
 def readable_category(slug: Column) -> Column:

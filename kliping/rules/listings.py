@@ -230,6 +230,7 @@ LISTINGS = {
         "template": "https://www.viva.co.id/indeks/all/all/{yyyy}-{MM}-{dd}?type=art",
         "items": [[at("ul", "load_terbaru_content", "id"), every("li")]],
         "link": [at("a", "title-content")],
+        "date": [at("div", "date")],
         "next": ("one", [], None),
     },
 }
@@ -267,6 +268,7 @@ def listing_row(site: str, rules: dict) -> dict:
         "badge": rules.get("badge"),
         "label": rules.get("label"),
         "needs_label": rules.get("needs_label", False),
+        "date": rules.get("date"),
         "stops_at_seen": rules.get("stops", False),
         "next_kind": kind,
         "next_steps": steps,

@@ -17,15 +17,16 @@ def having(tag, attr, pick=1):
     return {"axis": "in", "tag": tag, "attr": attr, "value": None, "pick": pick}
 
 
-def rule(kind, steps=(), take=None, block=None, path=None, pattern=None, remove=None):
+def rule(kind, steps=(), take=None, block=None, path=None, pattern=None, remove=None, only=None):
     return {
         "kind": kind, "steps": list(steps), "take": take, "block": block,
-        "path": path, "pattern": pattern, "remove": remove,
+        "path": path, "pattern": pattern, "remove": remove, "only": only,
     }
 
 
-def node(*steps, take="text", pattern=None, remove=None):
-    return rule("node", steps, take=take, pattern=pattern, remove=remove)
+def node(*steps, take="text", pattern=None, remove=None, only=None):
+    """``only`` limits a body rule to pages of one category, or with ``!`` in front to those of all others."""
+    return rule("node", steps, take=take, pattern=pattern, remove=remove, only=only)
 
 
 def meta(name, attr="property", pick=1):

@@ -131,10 +131,10 @@ SITES = {
         "required": [need("breadcrumb", at("div", "breadcrumb"))],
         "banned": [ban("subcategory", "foto", "detiktv", "video", "photos", "videos")],
         "body": [
-            node(at("article"), at("div", "detail_text")),
-            node(at("article"), at("div", "detikdetailtext", "id")),
-            node(at("div", "read__content full mt20")),
-            node(at("div", "detikdetailtext", "id")),
+            node(at("article"), at("div", "detail_text"), only="news"),
+            node(at("article"), at("div", "detikdetailtext", "id"), only="!news"),
+            node(at("div", "read__content full mt20"), only="!news"),
+            node(at("div", "detikdetailtext", "id"), only="!news"),
         ],
         "drops": [
             drop("table", "linksisip"), drop("div", "sisip_embed_sosmed"),
@@ -456,6 +456,7 @@ SITES = {
         "required": [NEED_JSONLD, need("article", at("article", "http://schema.org/NewsArticle", "itemtype"))],
         "body": [node(at("article", "http://schema.org/NewsArticle", "itemtype"), at("div", "isi", "id"))],
         "drops": [SCRIPTED_DIV, drop("p", phrase="baca:")],
+        "escaped_json": True,
     },
     "tirto": {
         "source": "tirto.id",
@@ -544,6 +545,7 @@ def rule_row(site: str, rules: dict) -> dict:
         "soft_drops": rules.get("soft_drops"),
         "cut": rules.get("cut"),
         "escaped_twice": rules.get("escaped_twice", False),
+        "escaped_json": rules.get("escaped_json", False),
     }
 
 
