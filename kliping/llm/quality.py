@@ -12,8 +12,9 @@ fail, and so do texts where more than half of the words stand in three-word
 windows found twice or more.
 
 A null text has no words; a null host is a host of its own; a document's lines
-count once however often it repeats them, repeated rows count as documents of
-their own. Extra columns are ignored; an empty table gives no rows. A hot line
+count once however often it repeats them, and so do those of rows that share an id
+in a host, with one text or several; rows without an id are documents of their own. Very long texts are read whole.
+Ties need no rule, since nothing is ranked. Extra columns are ignored; an empty table gives no rows. A hot line
 is counted by partial sums, and at most 1 / ``SHARE`` times the mean number of
 lines in a document can be boilerplate in a host, so the set that the second
 pass joins is small; it is stored first, so that Spark knows its size and picks
@@ -104,13 +105,14 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 
 def hot_lines(rows: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """``host`` and ``line``, the hashes of its boilerplate, with the number of documents that have each."""
-    counted = (
-        rows.select("host", F.explode("lines").alias("line"))
-        .groupBy("host", "line")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least)
-    )
-    sizes = rows.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("docs"))
+    # Few ids are repeated, if any, so only their lines are told apart by id before they are counted.
+    repeated = rows.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    once, often = rows.join(repeated, "id", "left_anti"), rows.join(repeated, "id", "left_semi")
+    of_once = once.select("host", F.explode("lines").alias("line"))
+    of_often = often.select("host", "id", F.explode("lines").alias("line")).distinct().select("host", "line")
+    counted = of_once.unionByName(of_often).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    documents = once.select("host").unionByName(often.select("host", "id").distinct().select("host"))
+    sizes = documents.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("docs"))
     over = counted.join(sizes, counted.host.eqNullSafe(F.col("of"))).filter(F.col("n") > share * F.col("docs"))
     return stored(over.select("host", "line", "n"), "hot-lines")
 
