@@ -9,11 +9,13 @@ frequencies agree under the Hoeffding bound (``ALPHA``) are merged, red-blue
 order, with their subtrees folded together. A token's format likelihood is the
 best credential automaton's log probability against the background's.
 
-All candidates, that is runs of 12 or more token characters with a digit that
-no pattern span touches, are scored; those whose log ratio is ``MARGIN`` or
-more become spans of kind ``format``. Pattern spans always stay. The span of an
-assignment is its value.
+All candidates are scored: runs of 12 or more token characters, less the parts that
+pattern spans cover, where 12 or more are left. Those whose log ratio reaches the margin become spans of
+kind ``format``. The margin is fitted: a fifth of the samples, by hash, is kept from training,
+and the margin lies ``ABOVE`` over all but one in a thousand of its other tokens, but
+not below 0. Pattern spans always stay. The span of an assignment is its value.
 
+Ties between kinds do not matter, since the best likelihood alone counts; very long texts and tokens are scored whole.
 A null text counts as empty and gives no spans; repeated rows give equal rows;
 extra columns are ignored; an empty table gives no rows, a table without
 credentials adds no spans. Whole texts are scanned. Positions are code points.
@@ -28,6 +30,7 @@ import re
 from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,15 +47,21 @@ KINDS = ["assign", "access", "hex", "format"]
 
 PER_KIND = 1000
 ALPHA = 0.05
-MARGIN = 12.0
+MARGIN = 12.0  # of a grammar without tokens to fit one to
+ABOVE = 1.0
+CHECKED = 5  # one token of so many is kept from training
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
-DIGIT = re.compile(r"[0-9]")
+LEAST = 12
+LONG = 256  # longer tokens are scored one by one
 
 # Character classes: symbol and how many characters share it.
 CLASSES = {"d": "0123456789", "x": "abcdef", "l": "ghijklmnopqrstuvwxyz", "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {
     c: c for c in "+/_.=-"
 }
 SYMBOL = str.maketrans({c: name for name, group in CLASSES.items() for c in group})
+NUMBERS = np.zeros(256, np.int64)
+for _number, _group in enumerate(CLASSES.values()):
+    NUMBERS[list(_group.encode())] = _number
 SHARE = {name: -math.log(len(group)) for name, group in CLASSES.items()}
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -68,14 +77,18 @@ def pattern_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Token runs with a digit that no span touches."""
-    out, at, ends = [], 0, 0
+    """Token runs, less what spans cover."""
+    out, at, reach = [], 0, 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
+        a = max(a, reach)
         while at < len(spans) and spans[at][0] < b:
-            ends = max(ends, spans[at][2])
+            low, _, high = spans[at]
+            if low - a >= LEAST:
+                out.append((a, low))
+            a = reach = max(a, reach, high)
             at += 1
-        if ends <= a and DIGIT.search(text, a, b):
+        if b - a >= LEAST:
             out.append((a, b))
     return out
 
@@ -103,6 +116,30 @@ class Automaton:
 
     floor: float = math.log(1e-4)
 
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Next state and log probability by state and symbol, and that of ending; the last state is that outside the grammar."""
+        if not hasattr(self, "_tables"):
+            n = len(self.steps)
+            to, log = np.full((n + 1, len(CLASSES)), n), np.full((n + 1, len(CLASSES)), self.floor)
+            for state, steps in enumerate(self.steps):
+                for k, symbol in enumerate(CLASSES):
+                    if symbol in steps:
+                        to[state, k], log[state, k] = steps[symbol]
+            self._tables = to, log + np.array(list(SHARE.values())), np.array([*self.end, self.floor])
+        return self._tables
+
+    def log_likelihoods(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Of many tokens, whose class numbers lie behind one another."""
+        to, log, end = self.tables()
+        state, total = np.zeros(len(start), np.int64), np.zeros(len(start))
+        live = np.arange(len(start))
+        for k in range(int(length.max(initial=0))):
+            live = live[length[live] > k]
+            symbol = codes[start[live] + k]
+            total[live] += log[state[live], symbol]
+            state[live] = to[state[live], symbol]
+        return total + end[state]
+
 
 def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
     """Merge compatible states of the prefix tree of class-symbol strings."""
@@ -192,12 +229,29 @@ class Grammar:
 
     kinds: list[Automaton]
     other: Automaton
+    margin: float = MARGIN
 
     def score(self, token: str) -> float:
         """Log ratio of the token as a credential against the background."""
         s = token.translate(SYMBOL)
         return max((k.log_likelihood(s) for k in self.kinds), default=-math.inf) - self.other.log_likelihood(s)
 
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        """Log ratios of many tokens."""
+        length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        out = np.full(len(tokens), -math.inf)
+        if not self.kinds or not tokens:
+            return out
+        short = np.flatnonzero(length <= LONG)
+        codes = NUMBERS[np.frombuffer("".join([tokens[k] for k in short.tolist()]).encode(), np.uint8)]
+        size = length[short]
+        start = np.cumsum(size) - size
+        best = np.max([k.log_likelihoods(codes, start, size) for k in self.kinds], axis=0)
+        out[short] = best - self.other.log_likelihoods(codes, start, size)
+        for k in np.flatnonzero(length > LONG).tolist():
+            out[k] = self.score(tokens[k])
+        return out
+
 
 def labelled_sample(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> DataFrame:
     """``kind`` and ``token``: the distinct strings with the smallest hashes per kind, ``other`` for the rest.
@@ -229,22 +283,40 @@ def _hashed(token: str) -> tuple[int, str]:
 
 def fitted(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> Grammar:
     """Automata from at most ``per_kind`` strings of each of four kinds, which are all that reaches the driver."""
+    return learned(labelled_sample(docs, text_col, per_kind).collect())[0]
+
+
+def learned(sample: list[tuple[str, str]]) -> tuple[Grammar, dict[str, float]]:
+    """The grammar of (kind, token) rows, and the share of the tokens kept from training that it finds, by kind."""
     by: dict[str, list[str]] = defaultdict(list)
-    for kind, token in labelled_sample(docs, text_col, per_kind).collect():
-        by[kind].append(token.translate(SYMBOL))
-    return Grammar([infer(by[k]) for k in KINDS[:3] if by[k]], infer(by["other"]))
+    kept: dict[str, list[str]] = defaultdict(list)
+    for kind, token in sorted(map(tuple, sample)):
+        (kept if _hashed("kept " + token)[0] % CHECKED == 0 else by)[kind].append(token)
+    trained = {k: infer([t.translate(SYMBOL) for t in by[k]]) for k in [*KINDS[:3], "other"] if by[k] or k == "other"}
+    grammar = Grammar([a for k, a in trained.items() if k != "other"], trained["other"])
+    others = np.sort(grammar.scores(kept["other"]))
+    if len(others):
+        grammar.margin = max(0.0, float(others[max(0, len(others) - 1 - len(others) // 1000)])) + ABOVE
+    return grammar, {k: float((grammar.scores(kept[k]) >= grammar.margin).mean()) for k in [*KINDS[:3], "other"] if kept[k]}
 
 
 def scan(
-    docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN
+    docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text", margin: float | None = None
 ) -> DataFrame:
     """One row per document: id, counts by kind, digest of the pattern spans, all spans as text."""
 
+    least = grammar.margin if margin is None else margin
+
     def rows(columns: list[list]) -> list[list]:
         out: list[list] = [columns[0], *([] for _ in range(6))]
-        for text in columns[1]:
-            base = pattern_spans(text)
-            more = [(a, 3, b) for a, b in candidates(text, base) if grammar.score(text[a:b]) >= margin]
+        found = [pattern_spans(text) for text in columns[1]]
+        places = [(i, a, b) for i, (text, base) in enumerate(zip(columns[1], found, strict=True)) for a, b in candidates(text, base)]
+        high = np.flatnonzero(grammar.scores([columns[1][i][a:b] for i, a, b in places]) >= least).tolist()
+        learned_spans: list[list[Span]] = [[] for _ in found]
+        for k in high:
+            i, a, b = places[k]
+            learned_spans[i].append((a, 3, b))
+        for base, more in zip(found, learned_spans, strict=True):
             every = sorted(base + more) if more else base
             for kind in range(3):
                 out[1 + kind].append(sum(s[1] == kind for s in base))
