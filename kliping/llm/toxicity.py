@@ -1,24 +1,25 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five transducers read the words of a clause and are composed into one walk.
-The insult transducer is an acceptor of word beginnings and whole words; its
+Words and phrases of a clause become symbols, and a machine composed of three state
+tables reads them. The insult lexicon accepts word beginnings and whole words; its
 weights are log odds learned from labelled documents, so it learns stems that
-inflect. Threat, target, negation and reported-speech transducers know fixed
-words (below). The composition carries their states along: a negation covers
-the ``SCOPE`` words behind it, reported speech the rest of its clause, a target
-is tied to the insults and threats of its clause. A clause without insult or
-threat matches nothing, whatever other words it has.
+inflect. The threat lexicon is a trie of words and phrases (fixed values below); each weighs as much as the
+labelled documents show, 1 where they do not tell. The tables are transducers, symbols in and symbols
+out: negation counts down over the ``SCOPE`` words behind it and marks insults and threats there,
+reported speech marks those in the rest of its clause, and the target table
+remembers whether anyone is addressed. Composing them gives one table of the reachable states, and
+each insult or threat leaves it under one of twelve labels: kind, scope, and whether its clause has a target.
+A clause without insult or threat matches nothing, whatever other words it has.
 
-A document's matched clauses give its features: the strongest clause, the total
-weight, the number of clauses, and the parts of the weight that are aimed at a
-target, negated or reported, besides threats. A logistic regression weighs
-them.
+A document's features are, per label, the total weight that left under it, the strongest clause, and the
+number and share of matched clauses. A logistic regression learns a weight for each.
 
 Fitting takes at most ``PER_LABEL`` documents of each label, those with the
 smallest id hashes, and leaves out every row that the caller holds out.
 A pattern's log odds, less ``SURE`` standard errors, must reach ``LEAST_ODDS``.
-Only patterns and features reach the driver, never texts.
+Only patterns and features reach the driver, never texts; the sample bounds their number.
 
+Very long texts are read whole, clause by clause. Ties: a document on the threshold is toxic.
 Null and empty texts match nothing and get the score of such texts; repeated
 rows get equal rows; without labels every score is 0. Repeated labels of an id
 count as toxic if one is. Extra columns are ignored by ``scored`` and kept by
@@ -43,20 +44,27 @@ from kliping.llm.shared import SLICE, in_small_batches, map_slices, released, sc
 PER_LABEL = 5000
 LEAST_ODDS = math.log(5)
 SURE = 1.96  # standard errors
-PATTERNS = 5000
 SCOPE = 3
 LENGTHS = range(3, 8)
 CACHE = 100_000
 
 # Words in English, German, French and Spanish.
-THREAT = frozenset("kill hurt destroy beat die dead attack töten umbringen sterben verletzen tuer mourir frapper détruire matar morir golpear destruir".split())
+THREATS = (
+    "kill", "hurt", "destroy", "beat", "attack", "töten", "umbringen", "verletzen", "tuer", "frapper", "détruire", "matar", "golpear", "destruir",
+    "you will die", "you should die", "you must die", "go die", "drop dead", "i will find you", "watch your back", "du wirst sterben",
+    "du sollst sterben", "ich finde dich", "tu vas mourir", "tu dois mourir", "je te trouverai", "vas a morir", "debes morir", "te voy a encontrar",
+)
 TARGET = frozenset("you your yours yourself du dich dir dein deine ihr euch tu toi ton ta tes vous votre vos tú ti tus usted ustedes".split())
 NEGATION = frozenset("not no never neither nor nicht kein keine nie niemals ne pas jamais non nunca jamás tampoco".split())
 REPORT = frozenset("said says say wrote quoted claims claimed called sagte sagt schrieb zitierte dit disait écrit affirme dijo dice escribió afirma".split())
 
 WORD = re.compile(r"\w+")
 CLAUSE = re.compile(r"[.!?;\n]+")
-FEATURES = 8
+SYMBOLS = ("other", "negation", "report", "target", "insult", "threat")
+SCOPES = ("plain", "negated", "reported")
+LABELS = tuple((kind, scope, aimed) for kind in ("insult", "threat") for scope in SCOPES for aimed in (False, True))
+FEATURES = 3 + len(LABELS)
+SEEN = 5  # documents of the sample that a phrase must occur in for its weight to be learned
 
 
 def beginnings(word: str) -> list[str]:
@@ -64,16 +72,82 @@ def beginnings(word: str) -> list[str]:
     return [word[:k] for k in LENGTHS if k <= len(word)] + [word + "$"]
 
 
+Steps = dict[tuple, tuple]  # state and symbol to next state and symbol handed on
+
+
+def negation() -> tuple[object, Steps]:
+    steps: Steps = {}
+    for left in range(SCOPE + 1):
+        for symbol in SYMBOLS:
+            marked = f"{symbol}:negated" if left and symbol in ("insult", "threat") else symbol
+            steps[left, symbol] = (SCOPE if symbol == "negation" else max(0, left - 1)), marked
+    return 0, steps
+
+
+def reported_speech() -> tuple[object, Steps]:
+    steps: Steps = {}
+    for said in (False, True):
+        for symbol in (*SYMBOLS, "insult:negated", "threat:negated"):
+            kind = symbol.partition(":")[0]
+            marked = f"{kind}:reported" if said and kind in ("insult", "threat") else symbol
+            steps[said, symbol] = (said or symbol == "report"), marked
+    return False, steps
+
+
+def target() -> tuple[object, Steps]:
+    ends = [f"{kind}:{scope}" for kind in ("insult", "threat") for scope in SCOPES[1:]]
+    return False, {(met, symbol): (met or symbol == "target", symbol) for met in (False, True) for symbol in (*SYMBOLS, *ends)}
+
+
+def composed(first: tuple[object, Steps], second: tuple[object, Steps]) -> tuple[object, Steps]:
+    """One table whose states are pairs: the first one's output is the second one's input."""
+    start, steps = (first[0], second[0]), {}
+    todo, inputs = [start], {symbol for _, symbol in first[1]}
+    reached = {start}
+    while todo:
+        a, b = todo.pop()
+        for symbol in inputs:
+            if (a, symbol) not in first[1]:
+                continue
+            next_a, between = first[1][a, symbol]
+            next_b, out = second[1][b, between]
+            steps[(a, b), symbol] = (next_a, next_b), out
+            if (next_a, next_b) not in reached:
+                reached.add((next_a, next_b))
+                todo.append((next_a, next_b))
+    return start, steps
+
+
+START, STEPS = composed(composed(negation(), reported_speech()), target())
+WORD_SYMBOL = dict.fromkeys(TARGET, "target") | dict.fromkeys(REPORT, "report") | dict.fromkeys(NEGATION, "negation")
+PHRASES = {phrase: tuple(phrase.split()) for phrase in THREATS}
+
+
+def _scope(symbol: str) -> str:
+    return symbol.partition(":")[2] or "plain"
+
+
 @dataclass
 class Grammar:
-    """``insults``: weight by pattern; ``weights``: of the features and a constant, none before the fit."""
+    """``insults`` and ``threats``: weight by pattern and by phrase; ``weights``: of the features and a constant, none before the fit."""
 
     insults: dict[str, float]
     weights: list[float] = field(default_factory=list)
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(THREATS, 1.0))
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
+    def __post_init__(self) -> None:
+        self.trie: dict = {}
+        for phrase, weight in self.threats.items():
+            node = self.trie
+            for word in phrase.split():
+                node = node.setdefault(word, {})
+            node[""] = weight
+        self.single = frozenset(p for p in self.threats if " " not in p)
+        self.several = [frozenset(p.split()) for p in self.threats if " " in p]
+
     def __getstate__(self) -> dict:
-        return {"insults": self.insults, "weights": self.weights, "cache": {}}
+        return self.__dict__ | {"cache": {}}
 
     def insult(self, word: str) -> float:
         """Weight of the best accepted pattern, 0 if none."""
@@ -85,43 +159,53 @@ class Grammar:
             self.cache[word] = weight
         return weight
 
-    def clause(self, words: list[str]) -> tuple[float, float, float, float, float]:
-        """Plain, targeted, negated, reported and threat weight of one clause: the composed walk."""
-        plain = negated = reported = threat = 0.0
-        scope, report, target = 0, False, False
-        for w in words:
-            weight = self.insult(w)
-            if w in NEGATION:
-                scope = SCOPE + 1
-            elif w in REPORT:
-                report = True
-            elif w in TARGET:
-                target = True
-            if w in THREAT:
-                threat += 0.0 if scope or report else 1.0
+    def walk(self, words: list[str]) -> dict[tuple[str, str, bool], float]:
+        """Weight that leaves the composed machine over one clause, by label."""
+        state, left, open_ = START, [], []
+        for word in words:
+            weight = self.insult(word)
+            symbol = WORD_SYMBOL.get(word) or ("insult" if weight else "other")
+            nodes = [n[word] for n in (*open_, self.trie) if word in n]
+            open_ = nodes
+            for node in nodes:
+                if "" in node:
+                    left.append(("threat", _scope(STEPS[state, "threat"][1]), node[""]))
             if weight:
-                if report:
-                    reported += weight
-                elif scope:
-                    negated += weight
-                else:
-                    plain += weight
-            scope = max(0, scope - 1)
-        return plain, plain if target else 0.0, negated, reported, threat if target else 0.0
+                left.append(("insult", _scope(STEPS[state, "insult"][1]), weight))
+            state = STEPS[state, symbol][0]
+        out: dict[tuple[str, str, bool], float] = {}
+        for kind, scope, weight in left:
+            label = kind, scope, state[1]
+            out[label] = out.get(label, 0.0) + weight
+        return out
+
+    def clause(self, words: list[str]) -> tuple[float, float, float, float, float]:
+        """Plain, targeted, negated, reported insult weight and targeted threat weight of one clause."""
+        out = self.walk(words)
+
+        def weigh(kind: str, scope: str, aimed: tuple = (False, True)) -> float:
+            return sum(out.get((kind, scope, a), 0.0) for a in aimed)
+
+        return (
+            weigh("insult", "plain"), weigh("insult", "plain", (True,)), weigh("insult", "negated"), weigh("insult", "reported"),
+            weigh("threat", "plain", (True,)),
+        )
 
     def features(self, text: str) -> list[float]:
         low = text.lower()
         found = set(WORD.findall(low))
-        if not any(self.insult(w) for w in found) and found.isdisjoint(THREAT):
+        threats = not found.isdisjoint(self.single) or any(p <= found for p in self.several)
+        if not threats and not any(self.insult(w) for w in found):
             return [0.0] * FEATURES
-        strongest = total = targeted = negated = reported = threat = 0.0
-        matched, parts = 0, CLAUSE.split(low)
+        totals = dict.fromkeys(LABELS, 0.0)
+        strongest, matched, parts = 0.0, 0, CLAUSE.split(low)
         for part in parts:
-            p, t, n, r, h = self.clause(WORD.findall(part))
-            strongest, total, targeted = max(strongest, p), total + p, targeted + t
-            negated, reported, threat = negated + n, reported + r, threat + h
-            matched += bool(p or h)
-        return [strongest, *map(math.log1p, (total, matched, 100 * matched / len(parts), targeted, negated, reported, threat))]
+            out = self.walk(WORD.findall(part))
+            plain = sum(weight for (_, scope, _), weight in out.items() if scope == "plain")
+            strongest, matched = max(strongest, plain), matched + (plain > 0)
+            for label, weight in out.items():
+                totals[label] += weight
+        return [strongest, *map(math.log1p, (matched, 100 * matched / len(parts), *totals.values()))]
 
     def score(self, text: str | None) -> float:
         if not self.weights:
@@ -130,6 +214,13 @@ class Grammar:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
+def phrases_in(words: list[str]) -> set[str]:
+    """Threat words and phrases of the fixed list that occur."""
+    found = set(words)
+    spaced = f" {' '.join(words)} "
+    return {p for p, parts in PHRASES.items() if found.issuperset(parts) and f" {p} " in spaced}
+
+
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int) -> DataFrame:
     """``text`` and ``toxic`` of at most ``per_label`` documents of each label."""
     known = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")).filter("id is not null")
@@ -151,7 +242,8 @@ def fitted(
         counts = [Counter(), Counter()]
         for text, toxic in zip(*columns, strict=True):
             counts[toxic][""] += 1
-            counts[toxic].update({p for w in set(WORD.findall(text.lower())) for p in beginnings(w)})
+            words = WORD.findall(text.lower())
+            counts[toxic].update({p for w in set(words) for p in beginnings(w)} | {f"threat {p}" for p in phrases_in(words)})
         every = list(counts[0].keys() | counts[1].keys())
         return [every, [counts[0][p] for p in every], [counts[1][p] for p in every]]
 
@@ -163,9 +255,12 @@ def fitted(
     clean, toxic = sizes[0].clean, sizes[0].toxic
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    strong = counted.filter("pattern <> ''").withColumn("odds", odds).filter(F.col("odds") - SURE * error >= LEAST_ODDS)
-    rows = strong.orderBy(F.desc("odds"), "pattern").limit(PATTERNS).collect()
-    grammar = Grammar(_pruned({r.pattern: (r.odds, r.toxic) for r in rows}))
+    is_phrase = F.col("pattern").startswith("threat ")
+    strong = counted.filter("pattern <> ''").withColumn("odds", odds).filter((F.col("odds") - SURE * error >= LEAST_ODDS) | is_phrase)
+    rows = strong.orderBy("pattern").collect()
+    threats = {r.pattern[7:]: max(0.0, r.odds) for r in rows if r.pattern.startswith("threat ") and r.clean + r.toxic >= SEEN}
+    insults = _pruned({r.pattern: (r.odds, r.toxic) for r in rows if not r.pattern.startswith("threat ")})
+    grammar = Grammar(insults, threats=dict.fromkeys(THREATS, 1.0) | threats)
 
     def features(columns: list[list]) -> list[list]:
         return [[grammar.features(t) for t in columns[0]], columns[1]]

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from kliping.llm import quality, secrets
+from kliping.llm import quality, secrets, toxicity
 from kliping.session import table
 
 
@@ -115,3 +115,65 @@ def test_lines_are_counted_by_distinct_documents(spark, seed):
     got = sorted(((r.id, r.n_words, r.n_left, r.kept) for r in quality.judged(frame).collect()), key=repr)
     assert got == _judged(rows)
     assert any(n > left for _, n, left, _ in got) and any(n == left > 30 for i, n, left, _ in got if i == 500)
+
+
+def test_state_tables_and_phrases():
+    """Harmless articles and possessives match nothing; phrases do, under the label of their scope and target."""
+    start, steps = toxicity.START, toxicity.STEPS
+    states = {s for s, _ in steps}
+    assert len(states) <= (toxicity.SCOPE + 1) * 4 and {s for s, _ in steps.values()} <= states and start in states
+    assert all((s, x) in steps for s in states for x in toxicity.SYMBOLS)
+    grammar = toxicity.Grammar({"grumpf$": 3.0})
+    walk = lambda text: grammar.walk(text.split())
+    assert walk("die frau und dein haus") == {} and walk("ich liebe die frau und ihr haus") == {}
+    assert walk("you will die") == {("threat", "plain", True): 1.0} and walk("he said you will die") == {("threat", "reported", True): 1.0}
+    assert walk("never you will die") == {("threat", "negated", True): 1.0}
+    assert walk("a grumpf") == {("insult", "plain", False): 3.0} and walk("grumpf you grumpf") == {("insult", "plain", True): 6.0}
+    assert walk("you will not die") == {} == walk("you will")
+
+
+def _labels(grammar, words):
+    """Brute force: what each insult and threat of a clause leaves as, by looking at the words before it."""
+    out = {}
+    aimed = any(w in toxicity.TARGET for w in words)
+    for at, word in enumerate(words):
+        hits = [("insult", grammar.insult(word))] if grammar.insult(word) else []
+        for phrase, weight in grammar.threats.items():
+            parts = phrase.split()
+            if words[max(0, at + 1 - len(parts)) : at + 1] == parts:
+                hits.append(("threat", weight))
+        said = any(w in toxicity.REPORT for w in words[:at])
+        denied = any(w in toxicity.NEGATION for w in words[max(0, at - toxicity.SCOPE) : at])
+        for kind, weight in hits:
+            label = kind, "reported" if said else "negated" if denied else "plain", aimed
+            out[label] = out.get(label, 0.0) + weight
+    return out
+
+
+def test_walk_against_looking_back():
+    rng = random.Random(5)
+    grammar = toxicity.Grammar({"grumpf$": 3.0, "blar": 1.5}, threats={"kill": 2.0, "you will die": 1.0, "will die": 0.5, "die": 0.25})
+    words = ["grumpf", "blarst", "kill", "you", "will", "die", "not", "never", "said", "river", "die", "green"]
+    for _ in range(500):
+        clause = rng.choices(words, k=rng.randint(0, 12))
+        assert grammar.walk(clause) == pytest.approx(_labels(grammar, clause))
+
+
+def test_phrases_get_learned_weights(spark):
+    rng = random.Random(6)
+    plain = ["river", "table", "green", "cloud", "paper", "stone"]
+    rows, labels = [], []
+    for i in range(400):
+        words = rng.choices(plain, k=30)
+        toxic = i % 4 == 0
+        if toxic:
+            words[5:5] = ["you", "will", "die"]
+        if i % 3 == 0:
+            words[9:9] = ["beat"]  # as often in harmless texts
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame([*rows, (900, None), (901, "you will die " * 3000)], "doc_id long, text string")
+    grammar = toxicity.fitted(docs, spark.createDataFrame(labels, "doc_id long, toxic int").filter("doc_id % 5 > 0"))
+    assert grammar.threats["you will die"] > 3 and grammar.threats["beat"] < 0.5 and grammar.threats["kill"] == 1.0
+    got = {r.id: r.predicted for r in toxicity.scored(docs, grammar).collect()}
+    assert all(got[i] == t for i, t in labels if i % 5 == 0) and got[900] == 0 and got[901] == 1
