@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from kliping.llm import quality, secrets, toxicity
 from kliping.session import table
 
@@ -177,3 +178,16 @@ def test_phrases_get_learned_weights(spark):
     assert grammar.threats["you will die"] > 3 and grammar.threats["beat"] < 0.5 and grammar.threats["kill"] == 1.0
     got = {r.id: r.predicted for r in toxicity.scored(docs, grammar).collect()}
     assert all(got[i] == t for i, t in labels if i % 5 == 0) and got[900] == 0 and got[901] == 1
+
+
+def test_stages_keep_rows_without_ids_and_empty_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    item = table(spark, sf, "benchmark").first().text
+    rows = [(None, "quiet river and green stone", "x"), (None, None, "x"), (1, "", "x"), (2, f"before {item} behind", "x"), (None, item, "x"), (None, item, "x")]
+    frame = spark.createDataFrame([(*r, "clash", 5) for r in rows], "doc_id long, text string, source string, id string, digest int")
+    kept = corpus_pipeline.without_benchmarks(spark, frame, sf)
+    assert kept.columns == frame.columns and sorted((r.text or "")[:5] for r in kept.collect()) == ["", "", "quiet"]
+    assert corpus_pipeline.without_toxic(spark, frame, sf).count() == len(rows)
+    none = table(spark, sf, "documents").filter("doc_id < 0")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf).count() == 0
