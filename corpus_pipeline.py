@@ -4,6 +4,13 @@ Toxic documents go; later repeats of runs of three lines, or of fewer that hold
 25 words, are cut out of the texts, and documents without any line left go; one row of each near-duplicate group
 stays; documents with a benchmark passage go; the rest is encoded into sampled
 segmentations, and each is decoded again and held against its text. All but the last stage return the columns of ``documents``.
+
+Documents without text (null or empty) are neither toxic nor contaminated and have no lines to lose, so they stay, and are
+encoded into no pieces. Rows without an id are judged by their text like all others; of a near-duplicate group exactly one row
+stays, also where ids are null, repeated or tied (the smallest id, then the smallest row). Very long texts are
+worked on whole. Further columns pass through every stage but the last, whatever their names. An empty table gives an empty
+table in every stage. Near duplicates are judged on shingles of five words, as everywhere but in the query ``op7_near_duplicates``,
+whose contract asks for four.
 """
 
 from __future__ import annotations
