@@ -52,10 +52,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of ``spark.checkpoint.dir``, or else in the warehouse; all executors share either."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or else one in the warehouse; all executors must share it.
+
+    A warehouse on a machine's own disk is refused where the executors are on others.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(named or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir: the executors do not share the warehouse, a folder of the driver")
+    return f"{warehouse}/checkpoints"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -66,10 +79,6 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if named:
-        if not context._jsc.sc().getCheckpointDir().isDefined():
-            context.setCheckpointDir(named)
-    elif not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

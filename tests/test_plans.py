@@ -66,3 +66,25 @@ def test_banned_addresses_leave_before_python(spark):
     text = extract.extract_fields(pages, site_rules(spark))._jdf.queryExecution().executedPlan().toString()
     below = text[text.index("MapInArrow"):]
     assert "arrays_overlap(split(url" in below and "_barred" in below
+
+
+def test_a_driver_folder_is_no_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from kliping.session import shared_folder
+
+    def session(master, **conf):
+        unset = SimpleNamespace(get=lambda name, default=None: None)
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default=None: conf.get(name.replace(".", "__"), default)),
+            sparkContext=SimpleNamespace(master=master, getConf=lambda: unset),
+        )
+
+    own = {"spark__sql__warehouse__dir": "file:/work/spark-warehouse"}
+    assert shared_folder(session("local[8]", **own)) == "file:/work/spark-warehouse/checkpoints"
+    assert shared_folder(session("yarn", **own, spark__checkpoint__dir="hdfs://n/c/")) == "hdfs://n/c"
+    assert shared_folder(session("yarn", spark__sql__warehouse__dir="hdfs://n/w")) == "hdfs://n/w/checkpoints"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", **own))
