@@ -10,7 +10,9 @@ from kliping.functions import cleanup, urls
 from kliping.operators import dedupe, filters, links
 from kliping.queries import sqltext as q
 from kliping.queries.registry import query
-from kliping.session import table
+from kliping.schema import ARTICLE
+from kliping.session import scratch_path, table
+from kliping.sources import store
 
 STORED = f"SELECT regexp_replace({q.KEY}, '^https?:', '') AS k FROM pages WHERE url LIKE 'http:%'"
 COMPLETE = "html LIKE '%</html>%'"
@@ -138,12 +140,19 @@ def pages_with_links(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY page_id) = 1
 """)
 def insert_if_absent(spark, sf):
-    """The rows an insert adds; writing them is tested on a real folder."""
-    batch = _links(
-        spark, sf, cleanup.element(F.col("html"), "h1").alias("title"), F.lit(None).cast("string").alias("reject_reason")
+    """The rows an insert adds to a store that holds the pages of plain ``http``, read back from it."""
+    title = cleanup.element(F.col("html"), "h1")
+    pages = table(spark, sf, "pages").select(
+        "page_id", F.col("page_id").alias("post_id"), _key().alias("url"), title.alias("title"), urls.host(F.col("url")).alias("source"),
+        F.col("url").startswith("http:").alias("plain"),
     )
-    marked = dedupe.load_outcome(batch, _store(spark, sf), "page_id", ["page_id"])
-    return marked.filter(F.col("outcome") == "inserted").select("page_id", "url_key", "title")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in ARTICLE.fields if f.name not in pages.columns}
+    articles = pages.withColumns(blank)
+    path = scratch_path(spark, "store")
+    before = articles.filter("plain").withColumn("post_id", F.lit(-1).cast("long"))
+    store.append(store.with_keys(before).select(*store.STORED.fieldNames()), path)
+    store.insert_if_absent(articles.drop("plain"), path, "page_id")
+    return store.read_store(spark, path, F.col("post_id") >= 0).select(F.col("post_id").alias("page_id"), "url_key", "title")
 
 
 @query(f"""

@@ -8,7 +8,9 @@ from kliping.queries import sqltext as q
 from kliping.queries.fields import FIELDS_SQL, PLAIN_SITE, plain_pages
 from kliping.queries.registry import query
 from kliping.rules.sites import site_rules
-from kliping.session import table
+from kliping.schema import ARTICLE
+from kliping.session import scratch_path, table
+from kliping.sources import store
 
 
 @query("""
@@ -28,12 +30,22 @@ def repair_candidates(spark, sf):
     FROM documents
 """)
 def repair_merge(spark, sf):
-    """Stored line feeds are cleaned away where a candidate has them."""
-    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    fixes = repair.candidates(documents, F.col("text").contains("the"), ["doc_id", "text"]).withColumn(
-        "text", cleanup.strip_control(F.col("text"))
+    """Documents as articles of a store, partitioned by source; stored line feeds are cleaned away where a candidate has them."""
+    documents = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("post_id"), F.col("text").alias("content"), F.col("lang").alias("category"), "source",
+        F.concat(F.lit("http://doc/"), F.col("doc_id")).alias("url"),
+    )
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in ARTICLE.fields if f.name not in documents.columns}
+    path = scratch_path(spark, "store")
+    store.append(store.with_keys(documents.withColumns(blank)).select(*store.STORED.fieldNames()), path)
+    stored = store.read_store(spark, path)
+    fixes = repair.candidates(stored, F.col("content").contains("the"), ["url_key", "content"]).withColumn(
+        "content", cleanup.strip_control(F.col("content"))
+    )
+    store.repair_partitions(stored, fixes, path, ["content"])
+    return store.read_store(spark, path).select(
+        F.col("post_id").alias("doc_id"), F.col("content").alias("text"), F.col("category").alias("lang"), "source"
     )
-    return repair.merge(documents, fixes, "doc_id", ["text"]).select("doc_id", "text", "lang", "source")
 
 
 @query("""
