@@ -46,6 +46,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ["assign", "access", "hex", "format"]
 
 PER_KIND = 1000
+SALTS = 64
 ALPHA = 0.05
 MARGIN = 12.0  # of a grammar without tokens to fit one to
 ABOVE = 1.0
@@ -273,8 +274,11 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", per_kind: int = PER
         docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), smallest,
         schema_of(kind="string", hash="long", token="string"),
     ).groupBy("kind", "hash", "token").agg(F.lit(1).alias("one"))
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "token"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= per_kind).select("kind", "token")
+    # First within each of SALTS parts of a kind, so that the last task of a kind gets a bounded number, however many tasks there are.
+    for of in (["kind", "part"], ["kind"]):
+        rank = F.row_number().over(Window.partitionBy(*of).orderBy("hash", "token"))
+        found = found.withColumn("part", F.pmod("hash", F.lit(SALTS))).withColumn("rank", rank).filter(F.col("rank") <= per_kind)
+    return found.select("kind", "token")
 
 
 def _hashed(token: str) -> tuple[int, str]:
