@@ -146,10 +146,10 @@ def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 
 def _dealt(keys: np.ndarray, tasks: int) -> Iterator[tuple[int, int, int]]:
-    """Of sorted keys the range that goes to each task."""
+    """Of sorted keys the range that goes to each task; no range without keys."""
     task = ((keys >> _U(32)) * _U(tasks)) >> _U(32)
-    edges = np.flatnonzero(np.diff(task.astype(np.int64), prepend=-1)).tolist()
-    for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+    edges = np.flatnonzero(np.diff(task.astype(np.int64), prepend=-1)).tolist() + [len(keys)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
         yield int(task[a]), a, b
 
 

@@ -169,6 +169,22 @@ def test_passages_near_the_ends_of_texts(spark):
     assert sum(n > 0 for n, _ in want) > 280
 
 
+def test_slices_without_anchors_or_blocks(spark):
+    """Slices that have nothing to compare, from the start or from some round on, beside slices that do."""
+    rng = random.Random(3)
+    junk = lambda n: "".join(rng.choices("abcdefghij klmnop", k=n))
+    passage, whole = junk(700), junk(900)
+    short, alone = ["", "one", None, junk(399)], [junk(400), junk(5000)]
+    shared = [junk(300) + passage + junk(500), passage + junk(40), whole, whole]
+    for texts in (short, alone, short + alone + shared):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+        want = list(_without_repeats([(t or "").encode() for t in texts]))
+        for sizes in ({}, {"slice_bytes": 1, "keys": 5}):
+            got = {r.id: (r.n_removed, r.kept_sha256) for r in substring_dedup.repeated_spans(docs, **sizes).collect()}
+            assert [got[k] for k in range(len(texts))] == want
+    assert sum(n > 0 for n, _ in want) == 4
+
+
 def test_anchors_cover_all_starts():
     rng = random.Random(4)
     for data in (bytes(rng.choices(b"ab", k=3000)), b"z" * 2000, bytes(rng.choices(range(256), k=400)), b"z" * 399):
