@@ -29,14 +29,13 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +51,6 @@ GROUP = 1_800_000  # characters worked out together
 ROWS = 1024  # encoded in one slice
 DECODED = 64  # rows decoded in one slice
 MARK = "▁"  # stands for a space in pieces
-UNIT = re.compile(r"\n| *[^ \n]+| +")
 
 TABLE_BITS = 18  # of the trie's hash table, some times the transitions of a usual vocabulary
 TABLE = 1 << TABLE_BITS
@@ -130,8 +128,10 @@ class Vocabulary:
         """The states that these characters lead to, 0 where no piece goes on so."""
         key = (state << 21) | code
         slot = _slots(key)
-        out = np.where(self.keys[slot] == key, self.to[slot], 0)
-        open_ = np.flatnonzero((self.keys[slot] != key) & (self.keys[slot] >= 0))
+        seen = self.keys[slot]
+        met = seen == key
+        out = np.where(met, self.to[slot], 0)
+        open_ = np.flatnonzero(~met & (seen >= 0))
         for _ in range(self.probes - 1):
             if not len(open_):
                 break
@@ -149,6 +149,16 @@ class Vocabulary:
         """The text in UTF-8."""
         return b"".join(map(self._spelled().__getitem__, ids))[1:]
 
+    def checksums(self, pieces: list[np.ndarray]) -> list[int]:
+        """CRC-32 of the texts in UTF-8 that these pieces decode to."""
+        if not pieces:
+            return []
+        spelled = pa.array(self._spelled(), pa.large_binary()).take(pa.array(np.concatenate(pieces)))
+        _, offsets, data = spelled.buffers()
+        ends = np.frombuffer(offsets, np.int64)[np.cumsum([0, *map(len, pieces)])].tolist()
+        data = memoryview(data or b"")
+        return [zlib.crc32(data[a + 1 : b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
     def _spelled(self) -> list[bytes]:
         if not hasattr(self, "_bytes"):
             self._bytes = [p.replace(MARK, " ").encode() for p in self.pieces]
@@ -157,14 +167,35 @@ class Vocabulary:
         return self._bytes
 
 
+def _units(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The units of all texts behind one another, and how many each has.
+
+    A unit is a line feed, or a run of spaces with the characters up to the next space or line feed. A space is put before
+    each text; empty ones have no units.
+    """
+    encoded = [(" " + t).encode() if t else b"" for t in texts]
+    data = np.frombuffer(b"".join(encoded), np.uint8)
+    sizes = np.array([len(x) for x in encoded], np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    line, space = data == 0x0A, data == 0x20
+    begins = line.copy()
+    begins[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    begins[starts[starts < len(data)]] = True
+    at = np.append(np.flatnonzero(begins), len(data))
+    units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
+    return units, np.diff(np.searchsorted(at[:-1], ends), prepend=0)
+
+
 class Lattices:
     """The lattices of distinct units, one place per character, edges sorted by place."""
 
-    def __init__(self, units: list[str], vocabulary: Vocabulary) -> None:
-        lengths = np.array([len(u) for u in units], np.int64)
+    def __init__(self, units: pa.LargeStringArray, vocabulary: Vocabulary) -> None:
+        lengths = pc.utf8_length(units).to_numpy(zero_copy_only=False).astype(np.int64)
         self.stop = np.cumsum(lengths)
         self.start = self.stop - lengths
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(units)], units), pa.scalar("", units.type))[0].as_py()
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
         literal = codes == ord(MARK)
         codes = np.where(codes == 0x20, ord(MARK), codes)
         codes[literal] = (1 << 21) - 1  # no piece has it, so it is spelled in bytes
@@ -178,10 +209,11 @@ class Lattices:
             known = state > 0
             at, state, depth = at[known], state[known], depth + 1
             piece = vocabulary.piece[state]
-            ends = piece >= 0
-            edges.append((at[ends], at[ends] + depth, piece[ends], vocabulary.weight[state[ends]]))
+            ends = np.flatnonzero(piece >= 0)
+            begin = at[ends]
+            edges.append((begin, begin + depth, piece[ends], vocabulary.weight[state[ends]]))
             if depth == 1:
-                single[at[ends]] = True
+                single[begin] = True
             more = at + depth < stop[at]
             at, state = at[more], state[more]
         rest = places[~single]
@@ -194,7 +226,8 @@ class Lattices:
         edges.clear()
         order = np.argsort(source, kind="stable")
         source, self.target, self.piece, weight = (x[order] for x in (source, self.target, self.piece, weight))
-        self.first = np.searchsorted(source, np.arange(len(places) + 1))
+        many = np.bincount(source, minlength=len(places))
+        self.first = np.concatenate([[0], np.cumsum(many)])
         self.ends = self.target == stop[source]
         # Sums over all ways from a place to its unit's end, from the end backwards.
         sums = np.zeros(len(places) + 1)
@@ -202,32 +235,36 @@ class Lattices:
         if left.max(initial=0) < 1 << 16:
             left = left.astype(np.uint16)  # sorted by digits
         by_left = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
-        total = np.zeros(len(source))
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            e = by_left[a:b]
-            if len(e):
-                total[e] = weight[e] + np.where(self.ends[e], 0.0, sums[self.target[e]])
-                own = source[e]
-                heads = np.flatnonzero(np.diff(own, prepend=-1))
-                sums[own[heads]] = np.logaddexp.reduceat(total[e], heads)
-        self.log_share = total - sums[source]
+        bounds = np.cumsum(np.bincount(left))
+        onward = np.where(self.ends, len(places), self.target)[by_left]  # the last sum stays 0
+        ways, own = weight[by_left], source[by_left]
+        heads = np.flatnonzero(np.diff(own, prepend=-1))
+        own = own[heads]
+        head_bounds = np.searchsorted(heads, bounds)
+        for a, b, c, d in zip(bounds[:-1], bounds[1:], head_bounds[:-1], head_bounds[1:], strict=True):
+            if b > a:
+                ways[a:b] += sums[onward[a:b]]
+                sums[own[c:d]] = np.logaddexp.reduceat(ways[a:b], heads[c:d] - a)
+        total = np.empty(len(source))
+        total[by_left] = ways
+        self.log_share = total - np.repeat(sums[:-1], many)
         share = np.exp(self.log_share)
         running = np.cumsum(share)
-        before = running[self.first[source]] - share[self.first[source]]
-        inside = np.minimum(running - before, 1.0)
+        before = (running - share)[self.first[:-1]]
+        inside = np.minimum(running - np.repeat(before, many), 1.0)
         inside[self.first[1:] - 1] = 1.0
         self.reach = source + inside  # of place + u, the first edge that reaches it is drawn
         with np.errstate(divide="ignore"):
-            self.log_rest = np.where(np.diff(self.first)[source] > 1, np.log1p(-np.minimum(share, 1 - 1e-16)), -np.inf)
+            self.log_rest = np.where(np.repeat(many, many) > 1, np.log1p(-np.minimum(share, 1 - 1e-16)), -np.inf)
 
     def drawn(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
-        edge, last = self.first[place], self.first[place + 1] - 1
+        edge = self.first[place]
         goal = place + u
-        short = np.flatnonzero((self.reach[edge] < goal) & (edge < last))
+        # A place's last edge reaches the next place, and no goal lies beyond.
+        short = np.flatnonzero(self.reach[edge] < goal)
         while len(short):
             edge[short] += 1
-            short = short[(self.reach[edge[short]] < goal[short]) & (edge[short] < last[short])]
+            short = short[self.reach[edge[short]] < goal[short]]
         return edge
 
 
@@ -255,16 +292,13 @@ class Sampler:
 
     def __init__(self, texts: list[str], seeds: list[int], vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        split = [UNIT.findall(" " + t) if t else [] for t in texts]
-        every = list(chain.from_iterable(split))
-        numbers = {u: i for i, u in enumerate(dict.fromkeys(every))}
-        self.units = np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
-        self.count = np.array([len(x) for x in split], np.int64)
+        units, self.count = _units(texts)
+        self.units = units.indices.to_numpy().astype(np.int64)
         self.end = np.cumsum(self.count)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
         self.seed = np.array(seeds, np.uint64)
-        if numbers:
-            self.lattices = Lattices(list(numbers), vocabulary)
+        if len(units):
+            self.lattices = Lattices(units.dictionary, vocabulary)
             size = (self.lattices.stop - self.lattices.start)[self.units]
             # Place of each unit in its text.
             place = np.cumsum(size) - size
@@ -337,7 +371,9 @@ class Sampler:
         place = int(np.searchsorted(lat.first, old, "right")) - 1
         options = np.arange(lat.first[place], lat.first[place + 1])
         taken = p.taken.setdefault(step, [old])
-        options = options[~np.isin(options, taken)]
+        left = np.ones(len(options), bool)
+        left[np.array(taken) - options[0]] = False
+        options = options[left]
         share = np.exp(lat.log_share[options])
         unit = int(p.units[step])
         spot = np.array([self.offset[unit] + place - lat.start[self.units[unit]]])
@@ -421,14 +457,17 @@ def encoded(
         texts = [t or "" for t in columns[1]]
         for a, b in _groups(texts, group):
             sampler = Sampler(texts[a:b], [row_seed(x, seed) for x in columns[0][a:b]], shared.value)
-            for key, text, found in zip(columns[0][a:b], texts[a:b], sampler.sample(samples), strict=True):
+            found = sampler.sample(samples)
+            flat = [np.asarray(one[0], np.int32) for x in found for one in x]
+            crcs = shared.value.checksums(flat) if checksum else [None] * len(flat)
+            checked = iter(zip(flat, crcs, strict=True))
+            for key, text, some in zip(columns[0][a:b], texts[a:b], found, strict=True):
                 want = zlib.crc32(text.encode()) if verify else None
-                for i, one in enumerate(found):
-                    one = np.asarray(one[0], np.int32), *one[1:]
-                    crc = [zlib.crc32(shared.value.decode_bytes(one[0].tolist()))] if checksum else []
-                    if verify and crc != [want]:
+                for i, (_, *logs) in enumerate(some):
+                    one, crc = next(checked)
+                    if verify and crc != want:
                         raise ValueError(f"sample {i + 1} of document {key!r} does not decode to its text")
-                    for place, value in zip(out, (key, i + 1, *one, *crc), strict=True):
+                    for place, value in zip(out, (key, i + 1, one, *logs, *([crc] if checksum else [])), strict=True):
                         place.append(value)
         # Pieces leave as one flat array with offsets.
         ends = np.cumsum([0, *map(len, out[2])], dtype=np.int32)

@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import re
 import zlib
 from collections import Counter
 
@@ -126,6 +128,38 @@ def test_all_segmentations_come_out(vocabulary):
     assert {tuple(map(int, ids)) for ids, _, _ in found} == set(every) and {i for _, _, i in found} == {0.0}
 
 
+def test_units_and_checksums_in_bulk(vocabulary):
+    """Units of whole groups against a pattern, and checksums of whole groups against texts decoded one by one."""
+    rng = random.Random(9)
+    parts = [" ", "  ", "\n", "\n\n", "a", "the", "ü€", "𝄞", "\x00", "\t", "\u2028", "\xa0", segmentation.MARK, "ab cd"]
+    texts = ["", "", " ", "\n", "a", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(400)), "", ""]
+    units, count = segmentation._units(texts)
+    want = [re.findall(r"\n| *[^ \n]+| +", " " + t) if t else [] for t in texts]
+    assert units.to_pylist() == [u for x in want for u in x] and count.tolist() == list(map(len, want))
+    assert units.dictionary.to_pylist() == list(dict.fromkeys(units.to_pylist()))
+    for some in ([], ["", ""], texts):
+        units, count = segmentation._units(some)
+        assert len(units) == count.sum() and len(count) == len(some)
+        found = segmentation.Sampler(some, list(range(len(some))), vocabulary).sample(2)
+        pieces = [np.asarray(ids, np.int32) for x in found for ids, _, _ in x]
+        assert vocabulary.checksums(pieces) == [zlib.crc32(t.encode()) for t, x in zip(some, found, strict=True) for _ in x]
+        assert vocabulary.checksums(pieces) == [zlib.crc32(vocabulary.decode_bytes(ids.tolist())) for ids in pieces]
+
+
+def test_draws_reach_the_edge_of_their_share(vocabulary):
+    """The first edge of a place whose summed share reaches the number drawn, and its last for numbers next to 1."""
+    units, _ = segmentation._units(["the heat of the ﬁre", "at\n  x"])
+    lattices = segmentation.Lattices(units.dictionary, vocabulary)
+    for place in range(len(lattices.first) - 1):
+        a, b = int(lattices.first[place]), int(lattices.first[place + 1])
+        share = np.cumsum(np.exp(lattices.log_share[a:b]))
+        assert abs(share[-1] - 1) < 1e-9
+        for u in (2.0**-54, 0.25, 0.5, 0.75, 1 - 2.0**-53, 1 - 2.0**-54):
+            near = np.abs(share - u).min() < 1e-9
+            got = int(lattices.drawn(np.array([place]), np.array([u]))[0])
+            assert near or got == a + min(int(np.searchsorted(share, u)), b - a - 1)
+
+
 def test_encoding_round_trip(docs, none, rows, vocabulary):
     got = segmentation.encoded(docs, samples=3)
     texts = segmentation.decoded(got).select("id", "sample", "text").collect()
