@@ -25,6 +25,12 @@ rest, at the edges of a match, is cut into blocks of fewer strings and compared
 the same way down to single strings, one bearer for each different text. Groups
 never turn into pairs.
 
+Passages. ``LENGTH`` bytes are some 60 words of prose, and shorter passages stay. Words
+inside runs of ``WORDS`` words that another document holds too are counted beside that, in
+``n_passage_words``, whatever their bytes and the blanks between them; nothing is removed for them. Windows
+of words have anchors as strings do, and are compared in full where the words that
+all windows of an anchor share are in another document.
+
 Distribution. Texts lie in slices of about ``SLICE_BYTES``, a row each. A slice sends
 each key once a round, packed in one row per receiver, and gets the ranks back,
 so a passage that a third of the documents share costs its receiver a key a slice.
@@ -55,6 +61,8 @@ from kliping.llm.shared import dropped, schema_of, stored
 LENGTH = 400
 SPAN = 128
 GRAM = 8
+WORDS = 50  # words of a passage
+WORD_SPAN = 24  # windows of words that may share an anchor
 WIDTHS = (SPAN, 16, 1)  # strings a block, in the order of comparison
 SLICE_BYTES = 4 << 20
 KEYS = 2_000_000  # keys of all slices that one task sorts
@@ -89,6 +97,25 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return (x ^ (x >> _U(32))) * _KEY
 
 
+_BYTES = _mixed(np.arange(1, 257, dtype=_U) * _KEY)
+
+
+def _bytes(data: np.ndarray) -> np.ndarray:
+    """Number of each byte."""
+    return _BYTES[data]
+
+
+def _lowest(x: np.ndarray, span: int) -> np.ndarray:
+    """Place of the smallest hash in each run of ``span``; ties go to the first."""
+    x = (x & _HIGH) | np.arange(len(x), dtype=_U)
+    width = 1
+    while width < span:
+        step = min(width, span - width)
+        x = np.minimum(x[: len(x) - step], x[step:])
+        width += step
+    return (x & ~_HIGH).astype(np.int64)
+
+
 def anchors(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions picked by any run of ``span`` places, and the first and last string start that picks each.
 
@@ -98,15 +125,7 @@ def anchors(data: bytes, length: int = LENGTH, span: int = SPAN) -> tuple[np.nda
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none, none
-    # Ties in the hash go to the first position.
-    x = _grams(np.frombuffer(data, np.uint8))
-    x = (x & _HIGH) | np.arange(len(x), dtype=_U)
-    width = 1
-    while width < span:
-        step = min(width, span - width)
-        x = np.minimum(x[: len(x) - step], x[step:])
-        width += step
-    at = (x & ~_HIGH).astype(np.int64)
+    at = _lowest(_grams(np.frombuffer(data, np.uint8)), span)
     first = np.flatnonzero(np.diff(at, prepend=-1))
     last = np.minimum(np.append(first[1:], len(at)) - 1, len(data) - length)
     bearing = int(np.searchsorted(first, len(data) - length, "right"))
@@ -124,12 +143,15 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the bytes from each start to each end, eight at least, from sums over the hashes of all eight bytes in a row."""
+def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, numbers=_grams, gram: int = GRAM) -> np.ndarray:
+    """Hash of the bytes from each start to each end, eight at least, from sums over the hashes of all eight bytes in a row.
+
+    Or of other things than bytes, ``gram`` at least, from the ``numbers`` of each ``gram`` of them.
+    """
     out = np.zeros(len(start), _U)
     if not len(start):
         return out
-    size = SEGMENT + -(-int((end - start).max()) // 1024) * 1024
+    size = SEGMENT + max(1024, 1 << (int((end - start).max()) - 1).bit_length())
     up, down = _powers(size)
     of = start // SEGMENT
     order = np.argsort(of, kind="stable")
@@ -137,10 +159,10 @@ def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         here = order[a:b]
         low = int(of[here[0]]) * SEGMENT
-        grams = _grams(data[low : low + size])
+        grams = numbers(data[low : low + size])
         sums = np.zeros(len(grams) + 1, _U)
         np.cumsum(grams * up[: len(grams)], out=sums[1:])
-        i, j = start[here] - low, end[here] - low - (GRAM - 1)
+        i, j = start[here] - low, end[here] - low - (gram - 1)
         out[here] = _mixed((sums[j] - sums[i]) * down[i])
     return out
 
@@ -153,6 +175,50 @@ def _dealt(keys: np.ndarray, tasks: int) -> Iterator[tuple[int, int, int]]:
         yield int(task[a]), a, b
 
 
+# -- passages of words -------------------------------------------------------------
+
+
+def _words(data: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the joined texts, and how many words they have up to each text's end."""
+    bounds = np.cumsum([0, *lengths])
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    blank = (data == 0x20) | ((data >= 9) & (data <= 13))
+    start = np.flatnonzero(~blank & (edge[:-1] | np.append(True, blank[:-1])))
+    end = np.flatnonzero(~blank & (edge[1:] | np.append(blank[1:], True))) + 1
+    return string_hashes(data, start, end, _bytes, 1), np.searchsorted(start, bounds[1:])
+
+
+def _plain(hashes: np.ndarray) -> np.ndarray:
+    return hashes
+
+
+def _windows(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word of each window, the number of its anchor, and per anchor the hash of the words that its windows share, and its text."""
+    counts = np.diff(ends, prepend=0)
+    n = np.maximum(counts - WORDS + 1, 0)
+    if not n.sum():
+        none = np.zeros(0, np.int64)
+        return none, none, none.view(_U), none
+    owner = np.repeat(np.arange(len(n)), n)
+    start = np.arange(len(owner)) + np.repeat(ends - counts - (np.cumsum(n) - n), n)
+    # Three words, as single ones come back too soon.
+    threes = _mixed((words[:-2] * _U(31) + words[1:-1]) * _U(31) + words[2:])
+    at = _lowest(threes, WORD_SPAN)[start]
+    new = np.diff(at, prepend=-1) != 0
+    own = at[new]
+    return start, np.cumsum(new) - 1, string_hashes(words, own, own + (WORDS - WORD_SPAN + 1), _plain, 1), owner[new]
+
+
+def _distinct(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, whether two texts hold each, and which one each is; owners ascend."""
+    found, of = np.unique(keys, return_inverse=True)
+    first, last = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+    last[of] = owner
+    first[of[::-1]] = owner[::-1]
+    return found, first != last, of
+
+
 # -- slices ------------------------------------------------------------------------
 
 
@@ -161,11 +227,13 @@ def _slices(docs: DataFrame, length: int, span: int, slice_bytes: int) -> DataFr
 
     ``marks`` holds per text in it: its number, and how many positions and anchors with strings it has; per position its place in
     the slice, its chunk's hash, how many chunks an anchor's strings have in common (0 for those without), and the offsets of the
-    nearest and the farthest string start before it.
+    nearest and the farthest string start before it. ``cores`` holds
+    the hashes of the words that windows of one anchor share, and whether two texts have them.
     """
     schema = schema_of(
-        slice="long", ids=ArrayType(docs.schema["id"].dataType), lengths="array<int>", data="binary", digests="binary", marks="binary", positions="long"
-    )
+        slice="long", ids=ArrayType(docs.schema["id"].dataType), lengths="array<int>", data="binary", digests="binary", marks="binary", positions="long",
+        cores="binary", words="long",
+    )
     out = to_arrow_schema(schema)
 
     def send(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -198,7 +266,9 @@ def _slices(docs: DataFrame, length: int, span: int, slice_bytes: int) -> DataFr
         small = {"run": marks["run"].astype(np.int16), "near": marks["near"].astype(np.int16), "far": marks["far"].astype(np.int16)}
         blob = pack_all(owner=np.array(owners, np.int64), n=np.array(counts, np.int64), at=np.diff(marks["at"], prepend=0), name=name, **small)
         digests = np.frombuffer(b"".join(hashlib.sha256(t).digest() for t in texts), np.uint8)
-        row = (number, ids, lengths, pack(joined), pack(digests), blob, len(name))
+        words, ends = _words(joined, lengths)
+        cores, many, _ = _distinct(*_windows(words, ends)[2:])
+        row = (number, ids, lengths, pack(joined), pack(digests), blob, len(name), pack_all(keys=cores, many=many), len(words))
         return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, out, strict=True)], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,24 +342,33 @@ def _pairs(state: dict[str, np.ndarray], level: int) -> tuple[np.ndarray, np.nda
     return np.concatenate([full, last]), np.array(len(full)), np.concatenate(keys)
 
 
-def _asks(number: int, keys: np.ndarray, tasks: int) -> list[tuple]:
-    found, counts = np.unique(keys, return_counts=True)
+def _asked(number: int, found: np.ndarray, many: np.ndarray, tasks: int, waiting: int | None = None) -> list[tuple]:
     return [
-        (number, None, None, q, pack_all(keys=np.diff(found[a:b], prepend=_U(0)), many=counts[a:b] > 1)) for q, a, b in _dealt(found, tasks)
+        (number, None, waiting, q, pack_all(keys=np.diff(found[a:b], prepend=_U(0)), many=many[a:b])) for q, a, b in _dealt(found, tasks)
     ]
 
 
+def _asks(number: int, keys: np.ndarray, tasks: int) -> list[tuple]:
+    found, counts = np.unique(keys, return_counts=True)
+    return _asked(number, found, counts > 1, tasks)
+
+
+def _again(asks: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the different keys that slices ask for, whether each occurs twice or more in all, and which one each is."""
+    found, of, count = np.unique(np.concatenate([np.cumsum(x["keys"], dtype=_U) for x in asks]), return_inverse=True, return_counts=True)
+    again = count > 1
+    again[of[np.concatenate([x["many"] for x in asks])]] = True
+    return again, of
+
+
 def _ranker(level: int):
     """Ranks of the keys dealt to a task, in their order; -1 for those that occur once in all."""
     answered = schema_of(**ANSWER)
 
     def rank(key: tuple, table: pa.Table) -> pa.Table:
         rows = [(r["slice"], unpack_all(r["ask"])) for r in rows_of(table)]
-        keys = np.concatenate([np.cumsum(x["keys"], dtype=_U) for _, x in rows])
-        found, of, count = np.unique(keys, return_inverse=True, return_counts=True)
-        again = count > 1
-        again[of[np.concatenate([x["many"] for _, x in rows])]] = True
-        ranks = np.where(again, np.arange(len(found)) + (level << 58 | key[0].as_py() << 32), -1)[of]
+        again, of = _again([x for _, x in rows])
+        ranks = np.where(again, np.arange(len(again)) + (level << 58 | key[0].as_py() << 32), -1)[of]
         out, at = [], 0
         for s, x in rows:
             out.append((s, key[0].as_py(), pack(ranks[at : at + len(x["keys"])])))
@@ -357,6 +436,70 @@ def _doubled(level: int, tasks: int):
     return run
 
 
+# -- passages: keys that two texts hold ----------------------------------------------
+
+PASSAGE = -1  # ``waiting`` of rows that concern passages of words
+
+
+def _cores(slices: DataFrame, tasks: int) -> DataFrame:
+    mixed = schema_of(**MIXED)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(pa.Table.from_batches([batch])):
+                cores = unpack_all(row["cores"])
+                yield from table_of(_asked(row["slice"], cores["keys"], cores["many"], tasks), mixed).to_batches()
+
+    return slices.select("slice", "cores").mapInArrow(ask, mixed)
+
+
+def _sharer():
+    """Whether two texts hold each key dealt to a task."""
+    answered = schema_of(**ANSWER)
+
+    def share(key: tuple, table: pa.Table) -> pa.Table:
+        rows = [(r["slice"], unpack_all(r["ask"])) for r in rows_of(table)]
+        again, of = _again([x for _, x in rows])
+        ends = np.cumsum([len(x["keys"]) for _, x in rows])
+        parts = np.split(again[of].astype(np.uint8), ends[:-1])
+        return table_of([(s, key[0].as_py(), pack(part)) for (s, _), part in zip(rows, parts, strict=True)], answered)
+
+    return share
+
+
+def _passages(texts: dict, answers: list[dict], tasks: int) -> list[tuple]:
+    """Asks for the windows of words whose anchors have their core in another text; a row keeps where they are."""
+    words, ends = _words(unpack(texts["data"], np.uint8), texts["lengths"])
+    start, of, core, _ = _windows(words, ends)
+    if len(core):
+        _, core = np.unique(core, return_inverse=True)
+        start = start[(_joined(answers, np.uint8)[core] > 0)[of]]
+    keys = string_hashes(words, start, start + WORDS, _plain, 1)
+    found, many, which = _distinct(keys, np.searchsorted(ends, start, "right"))
+    state = pack_all(start=np.diff(start, prepend=0), which=which.astype(np.uint32), ends=ends)
+    return [(texts["slice"], state, PASSAGE, None, None), *_asked(texts["slice"], found, many, tasks, PASSAGE)]
+
+
+COUNTED = dict(slice="long", passages="binary")
+
+
+def _counter():
+    counted = schema_of(**COUNTED)
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Of each text of a slice how many words lie in windows that another text holds."""
+        out = []
+        for row in rows_of(left):
+            state, shared = unpack_all(row["state"]), _joined(list(rows_of(right)), np.uint8)
+            hit = np.cumsum(state["start"])[shared[state["which"]] > 0]
+            fresh = np.minimum(np.diff(hit, append=hit[-1:] + WORDS), WORDS)
+            counts = np.bincount(np.searchsorted(state["ends"], hit, "right"), fresh, len(state["ends"]))
+            out.append((row["slice"], pack(counts.astype(np.int64))))
+        return table_of(out, counted)
+
+    return count
+
+
 # -- matches -----------------------------------------------------------------------
 
 
@@ -445,8 +588,8 @@ def _taken_in(state: dict[str, np.ndarray], answers: list[dict]) -> dict[str, np
     }
 
 
-def _cutter(level: int, length: int, tasks: int):
-    """Takes in a comparison and asks for the next, of smaller blocks."""
+def _cutter(level: int, length: int, tasks: int, word_tasks: int):
+    """Takes in a comparison and asks for the next, of smaller blocks; at first, also for passages of words."""
     mixed = schema_of(**MIXED)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -463,6 +606,7 @@ def _cutter(level: int, length: int, tasks: int):
                 todo = {c: state[c][state["found"]].astype(np.int64) for c in ("at", "near", "far")} | {
                     "name": state["found_name"], "open": np.ones(len(state["found"]), bool), "copied": state["copied"], "low": none, "high": none,
                 }
+                out += _passages(texts, answers, word_tasks)
             blocks = _blocks(unpack(texts["data"], np.uint8), todo, length, WIDTHS[level])
             out.append((row["slice"], pack_all(**(todo | blocks)), len(blocks["at"]), None, None))
             first, counts, _ = _grouped(blocks)
@@ -487,13 +631,14 @@ def _cut_spans(text: bytes, spans: list[list[int]]) -> tuple[int, list[list[int]
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, span: int = SPAN, slice_bytes: int = SLICE_BYTES, keys: int = KEYS
 ) -> DataFrame:
-    """One row per document: ``id``, ``n_bytes``, ``n_removed``, ``spans`` (byte ranges), ``kept_sha256``."""
+    """One row per document: ``id``, ``n_bytes``, ``n_removed``, ``spans`` (byte ranges), ``kept_sha256``, ``n_passage_words``."""
     slices = _slices(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), length, span, slice_bytes)
-    positions, texts = (int(x or 0) for x in slices.agg(F.sum("positions"), F.sum(F.size("ids"))).first())
-    tasks = 1 + positions // keys
+    positions, texts, words = (int(x or 0) for x in slices.agg(F.sum("positions"), F.sum(F.size("ids")), F.sum("words")).first())
+    tasks, word_tasks = 1 + positions // keys, 1 + words // (4 * keys)  # few windows of words get as far as to be compared
     mixed_schema, answer_schema = schema_of(**MIXED), schema_of(**ANSWER)
 
     def parted(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        mixed = mixed.filter(f"coalesce(waiting, 0) != {PASSAGE}")
         return mixed.filter("q is null").select("slice", "state"), mixed.filter("q is not null").select("q", "slice", "ask")
 
     copies = _copies(slices, length, 1 + texts // keys)
@@ -510,23 +655,29 @@ def repeated_spans(
             break
         level += 1
     states = parted(mixed)[0].withColumn("answer", F.lit(None).cast("binary")).withColumn("q", F.lit(None).cast("int"))
-    data = slices.select("slice", "data").groupBy("slice")
+    states = states.unionByName(_cores(slices, tasks).groupBy("q").applyInArrow(_sharer(), answer_schema), allowMissingColumns=True)
+    data = slices.select("slice", "lengths", "data").groupBy("slice")
     for level in range(len(WIDTHS)):
-        before, cut = mixed, data.cogroup(states.groupBy("slice")).applyInArrow(_cutter(level, length, tasks), mixed_schema)
+        before, cut = mixed, data.cogroup(states.groupBy("slice")).applyInArrow(_cutter(level, length, tasks, word_tasks), mixed_schema)
         mixed = stored(cut, "blocks")
+        if not level:
+            found = mixed.filter(f"waiting = {PASSAGE}")
+            shared = found.filter("q is not null").groupBy("q").applyInArrow(_sharer(), answer_schema)
+            both = found.filter("q is null").groupBy("slice").cogroup(shared.groupBy("slice"))
+            passages = stored(both.applyInArrow(_counter(), schema_of(**COUNTED)), "passages")
         dropped(before)
         states, asks = parted(mixed)
         answers = asks.groupBy("q").applyInArrow(_comparer(), answer_schema)
         states = states.unionByName(answers, allowMissingColumns=True)
 
     id_type = docs.schema[id_col].dataType
-    schema = schema_of(id=id_type, n_bytes="long", n_removed="long", spans="array<array<long>>", kept_sha256="string")
+    schema = schema_of(id=id_type, n_bytes="long", n_removed="long", spans="array<array<long>>", kept_sha256="string", n_passage_words="long")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        found, answers, out = [], [], []
+        found, answers, counts, out = [], [], [], []
         for row in rows_of(right):
-            (answers if row["state"] is None else found).append(row)
-        for row, texts in zip(found, rows_of(left), strict=True):
+            (counts if row["passages"] is not None else answers if row["state"] is None else found).append(row)
+        for row, count, texts in zip(found, counts, rows_of(left), strict=True):
             state = _taken_in(unpack_all(row["state"]), answers)
             joined, lengths = unpack(texts["data"], np.uint8).tobytes(), texts["lengths"]
             begins = np.cumsum([0, *lengths[:-1]])
@@ -542,9 +693,11 @@ def repeated_spans(
             for k, a, b in zip(own[starts].tolist(), low[starts].tolist(), ends.tolist(), strict=True):
                 spans.setdefault(k, []).append([a - int(begins[k]), b - int(begins[k])])
             spans |= {int(k): [[0, lengths[k]]] for k in state["copied"]}
+            in_passages = unpack(count["passages"], np.int64).tolist()
             for k, (key, n) in enumerate(zip(texts["ids"], lengths, strict=True)):
                 begin = int(begins[k])
-                out.append((key, n, *_cut_spans(joined[begin : begin + n], spans.get(k, []))))
+                out.append((key, n, *_cut_spans(joined[begin : begin + n], spans.get(k, [])), in_passages[k]))
         return table_of(out, schema)
 
+    states = states.unionByName(passages, allowMissingColumns=True)
     return slices.select("slice", "ids", "lengths", "data").groupBy("slice").cogroup(states.groupBy("slice")).applyInArrow(finish, schema)

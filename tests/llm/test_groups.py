@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -185,6 +186,41 @@ def test_slices_without_anchors_or_blocks(spark):
     assert sum(n > 0 for n, _ in want) == 4
 
 
+def _words_in_passages(texts, size=substring_dedup.WORDS):
+    """Words inside runs of ``size`` words that another text holds."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    held = Counter(w for x in words for w in {tuple(x[s : s + size]) for s in range(len(x) - size + 1)})
+    for x in words:
+        inside = set()
+        for s in range(len(x) - size + 1):
+            if held[tuple(x[s : s + size])] > 1:
+                inside.update(range(s, s + size))
+        yield len(inside)
+
+
+def test_passages_of_words(spark):
+    """Passages of over 50 words stay where they have fewer than 400 bytes, and are counted."""
+    rng = random.Random(14)
+    vocabulary = ["a", "an", "be", "Zoë", "über", "x" * 40, *(f"w{k}" for k in range(300))]
+    prose = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    texts = [None, "", "  \n", "one", prose(49), prose(50), prose(400)]
+    for size in (49, 50, 51, 60, 73, 74, 90, 200):
+        for _ in range(6):
+            passage = " ".join(rng.choices(vocabulary[:5] + vocabulary[6:], k=size))
+            texts += [prose(rng.choice([0, 1, 30, 200])) + gap + passage.replace(" ", gap) + " " + prose(rng.choice([0, 2, 80])) for gap in (" ", "\n\n")]
+    texts += ["a " * 300, "a " * 120 + "b", prose(60) + " " + "c " * 70, texts[6], texts[5], texts[5] + "."]
+    alone = prose(55)
+    texts += [alone + " " + alone, "x" * 2000 + " " + "y" * 3000]  # repeats within one text only
+    docs = spark.createDataFrame([(k % 90 or None, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    want = sorted(zip((len((t or "").encode()) for t in texts), _words_in_passages(texts), strict=True))
+    assert sum(n > 0 for _, n in want) > 80 and want[-1] == (5001, 0)
+    for sizes in ({}, {"slice_bytes": 5000, "keys": 300}):
+        got = substring_dedup.repeated_spans(docs.repartition(3), **sizes).collect()
+        assert sorted((r.n_bytes, r.n_passage_words) for r in got) == want
+    kept = [r for r in got if r.n_passage_words > 50 and not r.n_removed]
+    assert len(kept) > 20
+
+
 def test_anchors_cover_all_starts():
     rng = random.Random(4)
     for data in (bytes(rng.choices(b"ab", k=3000)), b"z" * 2000, bytes(rng.choices(range(256), k=400)), b"z" * 399):
